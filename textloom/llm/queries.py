@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, language, quality, secrets
+from . import bpe, common, fingerprints, language, linededup, quality, secrets
 
 
 def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (common.fold(4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    return linededup.dedup_lines(docs).select("doc_id", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op6_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     trees = language.learn(docs.select("doc_id", "text", "lang").where(common.fold(3) != 1))
@@ -28,6 +33,19 @@ def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """near_docs: for ids divisible by 100, how many other documents have a fingerprint within the radius."""
+    docs = common.table(spark, sf_dir, "documents")
+    prints = common.written(fingerprints.fingerprints(docs), f"{common.shared_folder(spark)}/fingerprints")
+    asked = prints.where("doc_id % 100 = 0").select(F.col("fingerprint").alias("query"))
+    sizes = prints.groupBy("fingerprint").agg(F.count("*").alias("n"))
+    near = fingerprints.within(asked, prints).join(sizes, "fingerprint").groupBy("query").agg(F.sum("n").alias("n"))
+    out = prints.withColumn("query", F.when(F.col("doc_id") % 100 == 0, F.col("fingerprint"))).join(near, "query", "left")
+    text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0")).alias(c)
+    like = lambda c: fingerprints.likeness(F.col("fingerprint"), F.col(c))
+    return out.select("doc_id", "n_chars", "edited_sha256", text("fingerprint"), text("edited_fingerprint"), like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"), (F.col("n") - 1).alias("near_docs"))
+
+
 def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(common.table(spark, sf_dir, "documents"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
