@@ -44,9 +44,9 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str, *by: str) -> DataFrame:
+def written(df: DataFrame, path: str, options: dict[str, str] | None = None) -> DataFrame:
     """df as a Parquet table at path, read again: a cut of the lineage that survives lost executors."""
-    (df.write.partitionBy(*by) if by else df.write).mode("overwrite").parquet(path)
+    df.write.options(**(options or {})).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

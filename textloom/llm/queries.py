@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, fingerprints, language, linededup, quality, secrets
+from . import bpe, common, fingerprints, jaccard, language, linededup, lm, quality, secrets
 
 
 def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (common.fold(4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op3_jaccard_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(common.table(spark, sf_dir, "documents"))
+
+
+def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(common.table(spark, sf_dir, "documents"), common.fold(7) == 2)
+
+
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return linededup.dedup_lines(docs).select("doc_id", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
