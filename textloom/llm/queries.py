@@ -58,7 +58,8 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_documents(common.table(spark, sf_dir, "documents"))
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     base = F.filter("spans", lambda x: x["kind"].isin(*secrets.BASE))
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    counts = [of(kind).alias(f"n_{kind}") for kind in secrets.BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
