@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, fingerprints, jaccard, language, linededup, lm, quality, secrets
+from . import bpe, common, fingerprints, jaccard, language, linededup, lm, quality, secrets, store
 
 
 def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op6_language_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, trees, common.fold(3) == 1)
 
 
+def op7_content_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{common.shared_folder(spark)}/store"
+    store.write(common.table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return store.read(spark, folder)
+
+
 def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(common.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
