@@ -20,7 +20,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, graph, tokens
@@ -194,3 +194,13 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     member = merged.select("doc_id", "comp").join(last, "comp", "left").select(F.col("doc_id").alias("rep"), F.coalesce("root", "comp").alias("comp")).groupBy("rep").agg(F.min("comp").alias("comp"))
     out = sets.select("doc_id", "n", "h1", "h2").join(classes.join(member, "rep", "left"), ["h1", "h2"], "left")
     return out.select(F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "rep")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id and words, one. Rows without words all stay."""
+    key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
+    found = join(docs, width, percent)
+    stay = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).groupBy(key.alias("_key")).agg(F.max("n_shingles").alias("_n"))
+    kept = docs.withColumn("_key", key).join(stay, "_key")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    return kept.withColumn("_at", first).where("_at = 1 or _n = 0").select(*[F.col(f"`{c}`") for c in docs.columns])

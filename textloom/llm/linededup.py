@@ -48,8 +48,8 @@ def _cut(spans: str) -> Column:
     return F.transform(spans, lambda c: F.struct(c["hash"].alias("hash"), c["start"].alias("start"), c["size"].alias("size"), c["first"].alias("first"), F.array_join(F.slice("_lines", c["start"] + 1, c["size"]), "").alias("bytes")))
 
 
-def dedup_lines(docs: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """docs with repeated chunks taken out of text (and n_chars counted again, where there is that column); all columns and rows stay.
+def dedup_lines(docs: DataFrame, least: int = LEAST_BYTES, drop_emptied: bool = False) -> DataFrame:
+    """docs with repeated chunks taken out of text (and n_chars counted again, where there is that column); all columns and rows stay, but with drop_emptied not the rows of whose text only white space is left.
 
     The first occurrence in the order of (doc_id, line) stays; a null id comes
     first. Null and empty texts stay as they are. Rows equal in id and text
@@ -77,8 +77,10 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     out = keys.join(gone, ["_id", "_row"], "left")
     in_any = lambda i: F.exists("gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["size"]))
     rest = F.array_join(F.filter(lines(F.col("_text")), lambda x, i: ~in_any(i)), "")
-    out = out.select("_id", "_row", F.when(F.col("gone").isNull(), F.col("_text")).otherwise(rest).alias("_new")).dropDuplicates(["_id", "_row"])
+    out = out.select("_id", "_row", F.when(F.col("gone").isNull(), F.col("_text")).otherwise(rest).alias("_new"), F.col("gone").isNotNull().alias("_cut")).dropDuplicates(["_id", "_row"])
     others = docs.select(*[F.col(f"`{c}`") for c in columns if c not in ("text", "n_chars")], F.col("text").isNull().alias("_null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_row"))
     whole = others.join(out, ["_id", "_row"])
+    if drop_emptied:
+        whole = whole.where(~F.col("_cut") | F.col("_new").rlike(r"\S"))
     new = {"text": F.when(~F.col("_null"), F.col("_new")).alias("text"), "n_chars": F.when(~F.col("_null"), F.length("_new").cast("long")).alias("n_chars")}
     return whole.select(*[new.get(c, F.col(f"`{c}`")) for c in columns])

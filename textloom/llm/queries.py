@@ -8,7 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, fingerprints, jaccard, language, linededup, lm, quality, secrets, store
+from . import bpe, common, decontaminate, fingerprints, jaccard, language, linededup, lm, quality, secrets, store
+
+
+def op1_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
 def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
