@@ -101,7 +101,7 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_cells: int = MAX
         full = beyond = None
         for order in range(4):
             if order == 0:
-                parent_full = np.tile(np.log2(256 / spread), (1, 1))
+                parent_full = np.full((1, symbols), 8.0)
                 parent_beyond, parent_counts, parent = np.zeros((1, symbols)), None, np.zeros(1, np.int64)
                 row = contexts[0]
             else:
@@ -116,7 +116,7 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_cells: int = MAX
             # the code length of what this context has not seen, after its escape
             if order == 0:
                 left = np.where(seen, 0, spread).sum(1, keepdims=True)
-                then = np.log2(np.maximum(left, 1)) - np.log2(spread)
+                then = np.broadcast_to(np.log2(np.maximum(left, 1)), (1, symbols))  # every byte left is as likely
             else:
                 pc, pb = parent_counts[parent], parent_beyond[parent]
                 free = np.where(seen, 0, pc)
