@@ -256,9 +256,9 @@ def stage(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path, pattern)
         memo: dict[str, list[int]] = {}
-        for b in common.slices((b.append_column("_text", b.column("text").fill_null("")) for b in batches), "_text", 1 << 20):
+        for b in common.slices((b.append_column("_text", b.column("text").fill_null("")) for b in batches), None, 1 << 20):
             values, off = array("i"), array("i", [0])
-            for text in b.column("_text").to_pylist():
+            for text in b.column(b.num_columns - 1).to_pylist():
                 for p in v.pieces(text):
                     ids = memo.get(p)
                     if ids is None:

@@ -55,12 +55,12 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the column's texts have about limit bytes; one longer text stays whole."""
+def slices(batches: Iterator[pa.RecordBatch], column: str | None = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the column's (with None the last one's) texts have about limit bytes; one longer text stays whole."""
     for b in batches:
         if not b.num_rows:
             continue
-        _, off = utf8(b.column(column))
+        _, off = utf8(b.column(b.num_columns - 1 if column is None else column))
         at = 0
         while at < b.num_rows:
             to = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)

@@ -226,8 +226,8 @@ def without(docs: DataFrame, benchmark: DataFrame, max_items: int = MAX_ITEMS) -
     for index in _indexes(benchmark, max_items):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for b in common.slices((b.append_column("_lower", b.column("text").fill_null("")) for b in batches), "_lower", 2 << 20):
-                buf, off = common.utf8(pc.utf8_lower(b.column("_lower")))
+            for b in common.slices((b.append_column("_lower", b.column("text").fill_null("")) for b in batches), None, 2 << 20):
+                buf, off = common.utf8(pc.utf8_lower(b.column(b.num_columns - 1)))
                 starts, ends, first = common.word_spans(buf, off)
                 bad = {r[0] for r in leaks(index, common.span_hashes(buf, starts, ends), first)}
                 yield b.select(range(b.num_columns - 1)).filter(pa.array([i not in bad for i in range(b.num_rows)]))
