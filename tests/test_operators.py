@@ -143,3 +143,22 @@ def test_stats(spark):
     assert rows(c, "v", "cluster") == [(1.0, 1), (2.0, 1), (4.0, 2), (5.0, 2)]
     b = spark.createDataFrame([(1, 1, 5), (1, 2, 3), (1, 6, 7), (1, 20, 21)], "g int, start int, end int")
     assert rows(layout.merged(b, 3, ["g"]), "start", "end", "n") == [(1, 7, 3), (20, 21, 1)]
+
+
+def test_scored_match():
+    a, b = np.array([100.0, 140, 180, 260]), np.array([105.0, 145, 185, 225, 265])
+    assert align.scored(a, b) == [(0, 0), (1, 1), (2, 2), (3, 4)]
+    assert align.scored(a, a[:0]) == []
+
+
+def test_emphasis(spark):
+    from textloom.functions import text as T
+
+    d = spark.createDataFrame([("**Bold two** and *it's* but ***no***",), ("",)], "t string")
+    got = d.select(T.emphasised(F.col("t")).alias("x"), T.emphasis_share(F.col("t"), r"\*\*([^*]+)\*\*").alias("s")).collect()
+    assert [(w["word"], w["cls"]) for w in got[0]["x"]][:3] == [("Bold", "bold"), ("two", "bold"), ("it's", "italic")] and got[1]["s"] == 0.0
+
+
+def test_three_values(spark):
+    d = spark.createDataFrame([(1, 2, 2), (2, 2, 3), (3, None, 3)], "p int, a int, b int")
+    assert rows(stats.three_valued(d, ["p"], F.col("a"), F.col("b")), "p", "verdict") == [(1, "ok"), (2, "wrong"), (3, "not judged")]

@@ -156,3 +156,21 @@ def headword_case(c: Column, heading: Column, proper: list[str] = []) -> Column:
     """A heading opens with a capital; in a cited head each word but proper names opens with a small letter."""
     small = F.array_join(F.transform(F.split(c, "(?<=[ ,-])"), lambda w: F.when(F.regexp_replace(w, "[ ,-]+$", "").isin(list(proper)), w).otherwise(F.concat(F.lower(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30)))), "")
     return F.when(heading, F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))).otherwise(small)
+
+
+def label(title: Column, is_note: Column) -> Column:
+    """What a search result is listed under: the chapter, and that it is a note."""
+    return F.concat(title, F.when(is_note, F.lit(" · noto")).otherwise(F.lit("")))
+
+
+def emphasised(c: Column) -> Column:
+    """(word, cls) of the words in bold and in italics of a Markdown text: bold runs first."""
+    runs = lambda p: F.flatten(F.transform(F.regexp_extract_all(c, F.lit(p), 1), lambda r: words(r, WORD_WITH_MARKS)))
+    as_cls = lambda xs, cls: F.transform(xs, lambda w: F.struct(w.alias("word"), F.lit(cls).alias("cls")))
+    return F.concat(as_cls(runs(r"(?<!\*)\*\*([^*]+?)\*\*(?!\*)"), "bold"), as_cls(runs(r"(?<!\*)\*([^*]+?)\*(?!\*)"), "italic"))
+
+
+def emphasis_share(c: Column, pattern: str) -> Column:
+    """The share of a line's characters in runs of the pattern's first group, 1 at most; 0 for an empty line."""
+    inner = F.aggregate(F.regexp_extract_all(c, F.lit(pattern), 1), F.lit(0), lambda s, x: s + F.length(x))
+    return F.when(F.length(c) == 0, 0.0).otherwise(F.least(F.lit(1.0), inner / F.length(c)))

@@ -28,6 +28,12 @@ def counts_agree(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return a.join(b, by).where("_a = _b").select(*by)
 
 
+def zipped(rows: DataFrame, keys: list[str], left: str, right: str) -> DataFrame:
+    """(keys, rank, left, right): two arrays position by position, where they are as long as each other."""
+    d = rows.where(F.size(left) == F.size(right)).select(*keys, F.posexplode(F.arrays_zip(left, right)).alias("rank", "x"))
+    return d.select(*keys, (F.col("rank") + 1).cast("long").alias("rank"), F.col(f"x.{left}").alias(left), F.col(f"x.{right}").alias(right))
+
+
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float, float]:
     """Scale and offset that lay the points x over y: least squares over nearest neighbours, again and again; a scale outside SCALES counts as 1."""
     if len(x) < 2 or len(y) < 2:
@@ -77,6 +83,32 @@ def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float
     return out[::-1]
 
 
+def scored(x: np.ndarray, y: np.ndarray, reward: float = 10.0, gap: float = -1.0) -> list[tuple[int, int]]:
+    """Pairs of the order-preserving match with the highest score: reward less the deviation for a pair, gap for a point left alone. Deviations are after the offset that brings most points near."""
+    if not len(x) or not len(y):
+        return []
+    offsets = (y[None, :] - x[:, None]).ravel()
+    votes = (np.abs((x[:, None] + offsets)[:, :, None] - y) <= reward).any(2).sum(0)
+    offset = offsets[votes == votes.max()].min()
+    gain = reward - np.abs((x + offset)[:, None] - y)
+    n, m = gain.shape
+    best = np.empty((n + 1, m + 1))
+    best[0], best[:, 0] = gap * np.arange(m + 1), gap * np.arange(n + 1)
+    for i in range(1, n + 1):
+        row = np.maximum(best[i - 1, :-1] + gain[i - 1], best[i - 1, 1:] + gap)
+        best[i] = np.maximum.accumulate(np.concatenate([[best[i, 0]], row]) - gap * np.arange(m + 1)) + gap * np.arange(m + 1)
+    out, i, j = [], n, m
+    while i and j:
+        if np.isclose(best[i, j], best[i - 1, j - 1] + gain[i - 1, j - 1], atol=1e-9):
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        elif np.isclose(best[i, j], best[i - 1, j] + gap, atol=1e-9):
+            i -= 1
+        else:
+            j -= 1
+    return out[::-1]
+
+
 def aligned(rows: DataFrame, by: str = "page") -> DataFrame:
     """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs, and with a null the points left alone. A page at a time; a page is a bounded group."""
 

@@ -18,9 +18,9 @@ def search(index: DataFrame, query: str, order: list[str], shown: int = 300, lea
     """The first hit of query in each row, in order: hit (its number), at, total, snippet; the first ``shown`` only, a feature of the search. A shorter query than ``least`` finds nothing."""
     at = F.instr(F.lower("text"), query.lower())
     found = index.where(at > 0) if len(query) >= least else index.where(F.lit(False))
-    total = found.agg(F.count("*").alias("total"))
+    total = found.agg(F.count("*").alias("total"), F.lit(1).alias("_one"))
     top = found.orderBy(*order).limit(shown).withColumn("hit", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    return top.crossJoin(F.broadcast(total)).select(*order, "hit", at.cast("long").alias("at"), "total", snippet(F.col("text"), at, F.lit(len(query))).alias("snippet"))  # total: one row
+    return top.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select(*order, "hit", at.cast("long").alias("at"), "total", snippet(F.col("text"), at, F.lit(len(query))).alias("snippet"))  # total: one row
 
 
 def pages(hits: DataFrame, head: Column, by: list[str], order: list[str]) -> DataFrame:

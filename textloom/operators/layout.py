@@ -76,3 +76,12 @@ def parents(groups: DataFrame) -> DataFrame:
 
 def subset(inner: Column, outer: Column) -> Column:
     return F.size(F.array_except(inner, outer)) == 0
+
+
+def covered(groups: DataFrame, depth: int = 3) -> DataFrame:
+    """groups (id, parent, rows) with ``covered``: their rows and those of the groups above them, depth levels up. A bounded number of self-joins."""
+    up = groups.select(F.col("id").alias("_id"), F.col("parent").alias("_up"), F.col("rows").alias("_rows"))
+    d = groups.withColumns({"covered": F.col("rows"), "_at": F.col("parent")})
+    for _ in range(depth):
+        d = d.join(up, d["_at"] == up["_id"], "left").withColumns({"covered": F.array_distinct(F.concat("covered", F.coalesce("_rows", F.array().cast("array<bigint>")))), "_at": F.col("_up")}).drop("_id", "_up", "_rows")
+    return d.drop("_at")

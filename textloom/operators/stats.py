@@ -67,3 +67,27 @@ def best_offset(a: DataFrame, b: DataFrame, by: list[str], reach: int = 10, bin:
     near = pairs.select(*by, "_a", F.explode(F.sequence(F.col("_b") - F.col("_a") - reach, F.col("_b") - F.col("_a") + reach)).alias("offset")).distinct()
     votes = near.groupBy(*by, "offset").agg(F.count("*").alias("votes"))
     return votes.groupBy(*by).agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("offset"))).alias("m")).select(*by, F.col("m.offset").alias("offset"), (-F.col("m.v")).alias("votes"))
+
+
+def local_pitch(rows: DataFrame, pitch: str, by: list[str], side: str, least: int = 4) -> DataFrame:
+    """rows with ``usual``: the median pitch of their own side (text or notes) of the page, or of the whole page where that side has fewer than least."""
+    own, page = Window.partitionBy(*by, side), Window.partitionBy(*by)
+    return rows.withColumn("usual", F.when(F.count(pitch).over(own) >= least, F.median(pitch).over(own)).otherwise(F.median(pitch).over(page)))
+
+
+def excess(rows: DataFrame, pitch: str, by: list[str], limit: float) -> DataFrame:
+    """Rows whose pitch is more than limit over the page's median, with by how much."""
+    d = rows.withColumn("excess", F.col(pitch) - F.median(pitch).over(Window.partitionBy(*by)))
+    return d.where(F.col("excess") > limit)
+
+
+def line_starts(x: Column, margin: float, indent: float, centre: Column, slack: float) -> Column:
+    """Where a line starts: at the margin, at the indent, centred, or odd; null if not measured."""
+    near = lambda y: F.abs(x - y) <= slack
+    return F.when(near(F.lit(margin)), "margin").when(near(F.lit(indent)), "indent").when(F.abs(centre) <= slack, "centred").when(x.isNotNull(), "odd")
+
+
+def three_valued(rows: DataFrame, by: list[str], found: Column, wanted: Column) -> DataFrame:
+    """(by, verdict): ok or wrong where both numbers are there, else not judged, which is not ok."""
+    v = F.when(found.isNull() | wanted.isNull(), "not judged").when(found == wanted, "ok").otherwise("wrong")
+    return rows.select(*by, v.alias("verdict"))

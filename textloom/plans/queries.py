@@ -544,3 +544,79 @@ def file_sizes(spark, sf):
 @query("select lang, count(*) as blocks, count(*) filter (n_chars < 200) as short, count(*) filter (source = 'src0') as from_first, sum(n_chars)::bigint as chars, count(distinct source) as sources from documents group by lang")
 def stats_block(spark, sf):
     return t(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("blocks"), F.count_if(F.col("n_chars") < 200).alias("short"), F.count_if(F.col("source") == "src0").alias("from_first"), F.sum("n_chars").alias("chars"), F.count_distinct("source").alias("sources"))
+
+
+@query("select conv_id, turn, 'conversation ' || conv_id || case when role = 'assistant' then ' · noto' else '' end as label from conversations")
+def result_labels(spark, sf):
+    c = t(spark, sf, "conversations")
+    return c.select("conv_id", "turn", T.label(F.concat(F.lit("conversation "), "conv_id"), F.col("role") == "assistant").alias("label"))
+
+
+@query(f"with {LINES} select doc_id, rank, round(least(1.0, list_sum(list_transform(regexp_extract_all(text, '([A-ZÀ-Þ]+)', 1), lambda x: length(x))) / length(text)), 6) as share from lines where regexp_matches(text, '[A-ZÀ-Þ]')")
+def emphasis_shares(spark, sf):
+    d = lines(spark, sf).where(F.col("text").rlike("[A-ZÀ-Þ]"))
+    return d.select("doc_id", "rank", F.round(T.emphasis_share(F.col("text"), "([A-ZÀ-Þ]+)"), 6).alias("share"))
+
+
+_PITCH = "p as (select user_id, event_id, event_type = 'click' as side, event_id - lag(event_id) over (partition by user_id order by event_id) as pitch from events)"
+
+
+@query(f"with {_PITCH} select user_id, event_id, case when count(pitch) over (partition by user_id, side) >= 4 then median(pitch) over (partition by user_id, side) else median(pitch) over (partition by user_id) end as usual from p")
+def local_pitch(spark, sf):
+    d = line_pitch(spark, sf).join(t(spark, sf, "events").select("event_id", (F.col("event_type") == "click").alias("side")), "event_id")
+    return stats.local_pitch(d, "pitch", ["user_id"], "side").select("user_id", "event_id", "usual")
+
+
+@query(f"with {_PITCH}, x as (select user_id, event_id, pitch - median(pitch) over (partition by user_id) as excess from p) select * from x where excess > 3")
+def carding_excess(spark, sf):
+    return stats.excess(line_pitch(spark, sf), "pitch", ["user_id"], 3.0).select("user_id", "event_id", "excess")
+
+
+@query("select event_id, case when abs(value - 5.0) <= 4.0 then 'margin' when abs(value - 20.0) <= 4.0 then 'indent' when abs(value - 60.0) <= 4.0 then 'centred' when value is not null then 'odd' end as start from events")
+def line_start_classes(spark, sf):
+    v = F.col("value")
+    return t(spark, sf, "events").select("event_id", stats.line_starts(v, 5.0, 20.0, v - 60.0, 4.0).alias("start"))
+
+
+@query("with n as (select doc_id, text from documents), f as (select n.doc_id, length(n.text) as found, case when doc_id % 4 > 0 then n_chars + (doc_id % 4 = 3)::int end as wanted from n join documents using (doc_id)) select doc_id, case when found is null or wanted is null then 'not judged' when found = wanted then 'ok' else 'wrong' end as verdict from f")
+def three_valued_verdicts(spark, sf):
+    wanted = F.when(F.col("doc_id") % 4 > 0, F.col("n_chars") + (F.col("doc_id") % 4 == 3).cast("int"))
+    return stats.three_valued(t(spark, sf, "documents"), ["doc_id"], F.length("text").cast("long"), wanted)
+
+
+@query("""with w as (select conv_id, turn, string_split(text, ' ') as a, string_split(lower(text), ' ') as b from conversations where turn % 2 = 0)
+select conv_id, turn, generate_subscripts(a, 1)::bigint as rank, unnest(a) as truth, unnest(b) as read from w where len(a) = len(b)""")
+def words_zipped(spark, sf):
+    d = t(spark, sf, "conversations").where("turn % 2 = 0").select("conv_id", "turn", F.split("text", " ").alias("truth"), F.split(F.lower("text"), " ").alias("read"))
+    return align.zipped(d, ["conv_id", "turn"], "truth", "read")
+
+
+@query("""with r as (select n_nationkey::bigint as id, case when n_nationkey > 0 then (n_nationkey // 3)::bigint end as parent, [n_nationkey::bigint, n_regionkey::bigint + 100] as rows from nation),
+c as (select a.id, list_concat(a.rows, coalesce(b.rows, []), coalesce(c.rows, []), coalesce(d.rows, [])) as x from r a left join r b on a.parent = b.id left join r c on b.parent = c.id left join r d on c.parent = d.id)
+select id, array_to_string(list_sort(list_distinct(x)), ',') as covered from c""")
+def rows_covered(spark, sf):
+    k = F.col("n_nationkey").cast("long")
+    n = t(spark, sf, "nation").select(k.alias("id"), F.when(k > 0, F.floor(k / 3)).alias("parent"), F.array(k, F.col("n_regionkey").cast("long") + 100).alias("rows"))
+    return layout.covered(n).select("id", F.array_join(F.array_sort("covered").cast("array<string>"), ",").alias("covered"))
+
+
+@query(f"with {LINES}, h as (select doc_id, rank, case when regexp_matches(text, '^[A-ZÀ-Þ][a-zà-ÿ]*[.]') then regexp_extract(text, '^([A-ZÀ-Þ][a-zà-ÿ]*)[.]', 1) end as h from lines) select doc_id, rank, last_value(h ignore nulls) over (partition by doc_id order by rank rows unbounded preceding) as head from h")
+def heads_above(spark, sf):
+    d = lines(spark, sf)
+    head = F.nullif(F.regexp_extract("text", "^([A-ZÀ-Þ][a-zà-ÿ]*)[.]", 1), F.lit(""))
+    return concordance.top_heads(d, head, ["doc_id"], ["rank"]).select("doc_id", "rank", "head")
+
+
+@query(f"""with {LINES}, i as (select doc_id, count(*) as blocks, sum(length(text))::bigint as chars from lines group by doc_id) select doc_id, blocks, chars from i""")
+def search_index(spark, sf):
+    d = files.index_rows(raw_lines(spark, sf))
+    return d.groupBy("doc_id").agg(F.count("*").alias("blocks"), F.sum(F.length(T.strip(F.col("text")))).cast("long").alias("chars"))
+
+
+@query("select g as page, differences, first_rank from (select conv_id as g, count(*) filter (a is distinct from b) as differences, min(case when a is distinct from b then turn end) as first_rank from (select conv_id, turn, text as a, lag(text, 1, text) over (partition by conv_id order by turn) as b from conversations) group by conv_id)")
+def first_differences(spark, sf):
+    c = t(spark, sf, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").alias("rank"), "text")
+    w = Window.partitionBy("page").orderBy("rank")
+    other = c.withColumn("text", F.coalesce(F.lag("text").over(w), F.col("text")))
+    d = align.first_difference(align.by_rank(c, other, ["page", "rank"]), ["page"], "rank")
+    return d.select("page", "differences", F.col("first.rank").alias("first_rank"))
