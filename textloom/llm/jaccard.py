@@ -8,9 +8,10 @@ breaks ties. Shingles that only one document holds fill prefixes without ever
 making a candidate, so most documents need no more than their frequencies.
 
 Components are found without making all pairs of a group: equal sets are one;
-documents with the same first token are compared with leaders, in salted
-groups of bounded size; leaders with each other; and at last all documents of
-different components that share a prefix token under every order.
+documents that agree in a minimum hash are compared with leaders, in salted
+groups of bounded size, and the leaders again under another hash; leaders with
+each other; and at last all documents of different components that share a
+prefix token under every order, where what is left behind the token is enough.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from . import common, graph, tokens
 
 WIDTH, PERCENT = 5, 75
 ORDERS = tuple(np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
-#: Documents of one salted group, on average.
+#: Documents of one salted group, on average, and the minimum hashes by which groups are made, one after the other.
 GROUP = 256
+HASHES = tuple(np.uint64(x) for x in (0x082EFA98EC4E6C89, 0x452821E638D01377, 0xBE5466CF34E90C6C))
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -111,14 +113,22 @@ def _candidate(a, b, percent: int) -> bool:
 
 
 def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(token, place, doc_id, n, comp) of the first order's prefixes."""
+    """(token, left, doc_id, n, comp) of the first order's prefixes; left: how many of the set's tokens the order has from this one on."""
     for b in batches:
         for rows in (b.slice(i, 256).to_pylist() for i in range(0, b.num_rows, 256)):
             prefixes = [_prefix(*_arrays(r), ORDERS[0], percent) for r in rows]
             size = [len(p) for p in prefixes]
             of = np.repeat(np.arange(len(rows)), size)
             take = lambda k: np.array([r[k] for r in rows], np.int64)[of]  # noqa: B023, E731
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes).view(np.int64)), pa.array(np.concatenate([np.arange(x) for x in size])), pa.array(take("doc_id")), pa.array(take("n")), pa.array(take("comp"))], ["token", "place", "doc_id", "n", "comp"])
+            left = np.array([len(r["shared"]) // 8 for r in rows], np.int64)[of] - np.concatenate([np.arange(x) for x in size])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes).view(np.int64)), pa.array(left), pa.array(take("doc_id")), pa.array(take("n")), pa.array(take("comp"))], ["token", "left", "doc_id", "n", "comp"])
+
+
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The minimum hashes of each set's shared tokens."""
+    for b in batches:
+        sets = [np.frombuffer(x, np.uint64) for x in b.column("shared").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array([int(common.mix(x ^ seed).min()) - (1 << 63) for x in sets], pa.int64()) for seed in HASHES]], ["doc_id", *(f"k{i}" for i in range(len(HASHES)))])
 
 
 def _stars(group: pa.Table, percent: int) -> pa.Table:
@@ -148,12 +158,13 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between components, from all pairs of sets (doc_id, comp, n, shared, df) in different components that pass the filters."""
-    post = sets.mapInArrow(partial(_postings, percent=percent), "token long, place long, doc_id long, n long, comp long").drop("place")
+    post = sets.mapInArrow(partial(_postings, percent=percent), "token long, left long, doc_id long, n long, comp long")
     lists = post.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
     post = post.join(lists, "token", "left_semi")
-    other = post.select("token", F.col("doc_id").alias("doc_b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    near = (F.col("n") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n") * percent)
-    pairs = post.join(other, "token").where((F.col("doc_id") < F.col("doc_b")) & (F.col("comp") != F.col("comp_b")) & near).select("doc_id", "doc_b").distinct()
+    other = post.select("token", *[F.col(c).alias(c + "_b") for c in ("left", "doc_id", "n", "comp")])
+    # at the first token that two sets share, all that they can share is from there on
+    enough = F.least("left", "left_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
+    pairs = post.join(other, "token").where((F.col("doc_id") < F.col("doc_id_b")) & (F.col("comp") != F.col("comp_b")) & enough).select("doc_id", F.col("doc_id_b").alias("doc_b")).distinct()
     right = sets.select(*[F.col(c).alias("doc_b" if c == "doc_id" else c + "_b") for c in ("doc_id", "n", "shared", "df", "comp")])
     both = pairs.join(sets.select("doc_id", "n", "shared", "df", "comp"), "doc_id").join(right, "doc_b").drop("doc_id", "doc_b")
     return both.mapInArrow(partial(_verified, percent=percent), "a long, b long").distinct()
@@ -163,7 +174,8 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents without words (null or empty texts) link with nothing. Rows with
-    the same id count as linked. A null id comes back as null. An empty table
+    the same id count as linked, and so do those without one; a null id is the
+    smallest and comes back as null. An empty table
     gives an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -179,28 +191,36 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     able = sets.where("shared is not null").join(classes.select("h1", "h2", F.col("rep").alias("doc_id")), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
     able = common.written(able.drop("h1", "h2").withColumn("comp", F.col("doc_id")), f"{folder}/able", zstd)
 
-    post = able.mapInArrow(partial(_postings, percent=percent), "token long, place long, doc_id long, n long, comp long")
-    live = post.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
-    home = post.join(live, "token").groupBy("doc_id").agg(F.min(F.struct("place", "token", "size")).alias("h"))
-    salt = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("h.size") / GROUP))
-    grouped = able.join(home, "doc_id").select("doc_id", "n", "shared", "df", F.col("h.token").alias("token"), salt.alias("salt"))
-    stars = common.written(grouped.groupBy("token", "salt").applyInArrow(lambda g: _stars(g, percent), "doc_id long, comp long"), f"{folder}/stars").groupBy("doc_id").agg(F.min("comp").alias("comp"))
+    keys = common.written(able.select("doc_id", "shared").mapInArrow(_least, f"doc_id long, {', '.join(f'k{i} long' for i in range(len(HASHES)))}"), f"{folder}/keys")
+    members = None  # (doc_id, comp): who has joined a leader, a row for each turn
+    for i in range(len(HASHES)):
+        now = keys.select("doc_id", F.col(f"k{i}").alias("key"))
+        if members is not None:
+            now = now.join(members.select("doc_id"), "doc_id", "left_anti")
+        sizes = now.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        now = now.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / GROUP))).drop("size")
+        stars = able.drop("comp").join(now, "doc_id").groupBy("key", "salt").applyInArrow(lambda g: _stars(g, percent), "doc_id long, comp long")
+        stars = common.written(stars, f"{folder}/stars{i}")
+        members = stars if members is None else members.unionAll(stars)
+    chains = graph.components(members.select(F.col("doc_id").alias("a"), F.col("comp").alias("b")), f"{folder}/chains").withColumnRenamed("node", "doc_id")
 
     # leaders with each other, then all documents of components that are still apart
-    led = able.drop("comp").join(stars, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    led = able.drop("comp").join(chains, "doc_id", "left").withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
     roots = graph.components(_links(led.where("comp = doc_id"), percent), f"{folder}/leaders").withColumnRenamed("node", "comp")
     merged = led.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
     last = graph.components(_links(merged, percent), f"{folder}/components").withColumnRenamed("node", "comp")
     member = merged.select("doc_id", "comp").join(last, "comp", "left").select(F.col("doc_id").alias("rep"), F.coalesce("root", "comp").alias("comp")).groupBy("rep").agg(F.min("comp").alias("comp"))
     out = sets.select("doc_id", "n", "h1", "h2").join(classes.join(member, "rep", "left"), ["h1", "h2"], "left")
-    return out.select(F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "rep")).otherwise(F.col("doc_id")).alias("component_id"))
+    real = lambda c: F.when(c != -(1 << 63), c)
+    component = F.when(F.col("n") > 0, F.coalesce("comp", "rep")).otherwise(F.col("doc_id"))
+    return out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(component).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id and words, one. Rows without words all stay."""
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     found = join(docs, width, percent)
-    stay = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).groupBy(key.alias("_key")).agg(F.max("n_shingles").alias("_n"))
-    kept = docs.withColumn("_key", key).join(stay, "_key")
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(key.alias("_key")).agg(F.max("n_shingles").alias("_n"))
+    kept = docs.select(F.struct("*").alias("_d"), key.alias("_key")).join(stay, "_key")
     first = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    return kept.withColumn("_at", first).where("_at = 1 or _n = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.withColumn("_at", first).where("_at = 1 or _n = 0").select("_d.*")
