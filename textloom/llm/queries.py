@@ -1,4 +1,4 @@
-"""The queries of this subpackage, by name; SQL has none, as its results are hashes of vocabularies, learned scores or searches over whole tables."""
+"""The queries of this subpackage, by name, and the SQL of the one that has any; the others' results are hashes of vocabularies, learned scores or searches over whole tables."""
 
 from __future__ import annotations
 
@@ -77,5 +77,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+#: Pairs by shared shingles, links by the contract's rule, components by reachability.
+OP3_SQL = r"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as g from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 75 * (a.n + b.n - c)),
+both_ways as (select x, y from e union all select y, x from e),
+reach(doc_id, other) as (select doc_id, doc_id from w union select reach.doc_id, b.y from reach join both_ways b on reach.other = b.x)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.component_id from w left join n using (doc_id) join (select doc_id, min(other) as component_id from reach group by doc_id) r using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_jaccard_orders": OP3_SQL}
