@@ -137,7 +137,7 @@ def test_leave_one_out(spark):
 
 def test_stats(spark):
     d = spark.createDataFrame([(1, i, float(v)) for i, v in enumerate([5, 1, 4, 2])], "g int, i int, v double")
-    assert d.groupBy("g").agg(stats.by_index(F.col("v"), 1, 2).alias("m"), F.median("v").alias("n")).first()[1:] == (4.0, 3.0)
+    assert rows(stats.by_index(d, "v", ["g"], {"m": (1, 2), "first": (0, 1), "last": (3, 4)}), "m", "first", "last") == [(4.0, 1.0, 5.0)]
     assert rows(stats.rolling_median(d, "v", ["g"], ["i"]), "i", "rolled") == [(0, 3.0), (1, 4.0), (2, 2.0), (3, 3.0)]
     c = layout.clusters(d, F.col("v"), 1.5, ["g"], ["v"])
     assert rows(c, "v", "cluster") == [(1.0, 1), (2.0, 1), (4.0, 2), (5.0, 2)]

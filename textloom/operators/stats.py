@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def by_index(value: Column, numerator: int, denominator: int) -> Column:
-    """The element at index n * numerator // denominator of the sorted values; not interpolated. Within groupBy."""
-    xs = F.array_sort(F.collect_list(value))
-    return F.element_at(xs, (F.floor(F.size(xs) * numerator / denominator) + 1).cast("int"))
+def by_index(rows: DataFrame, value: str, by: list[str], picks: dict[str, tuple[int, int]]) -> DataFrame:
+    """(by, picks): for each name the element at index n * numerator // denominator of the group's sorted values; not interpolated. Equal values are counted first, so that no group's values are gathered."""
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    d = counts.withColumn("_upto", upto).join(counts.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
+    pick = lambda num, den: F.min(F.when(F.col("_upto") > F.floor(F.col("_all") * num / den), F.col("_v")))
+    return d.groupBy(*by).agg(*[pick(*f).alias(k) for k, f in picks.items()])
 
 
 def mode_centroid(rows: DataFrame, value: str, by: list[str], reach: int = 2) -> DataFrame:

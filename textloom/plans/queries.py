@@ -419,7 +419,8 @@ def rolling_median3(spark, sf):
 @query("select event_type, median(value) as middle, round(quantile_cont(value, 0.25), 6) as low, round(quantile_cont(value, 0.9), 6) as high, list_sort(list(value))[count(*) // 2 + 1] as middle_by_index, list_sort(list(value))[count(*) // 10 + 1] as decile_by_index from events where value is not null group by event_type")
 def medians(spark, sf):
     e = t(spark, sf, "events").where("value is not null")
-    return e.groupBy("event_type").agg(F.median("value").alias("middle"), F.round(F.percentile("value", F.lit(0.25)), 6).alias("low"), F.round(F.percentile("value", F.lit(0.9)), 6).alias("high"), stats.by_index(F.col("value"), 1, 2).alias("middle_by_index"), stats.by_index(F.col("value"), 1, 10).alias("decile_by_index"))
+    both = e.groupBy("event_type").agg(F.median("value").alias("middle"), F.round(F.percentile("value", F.lit(0.25)), 6).alias("low"), F.round(F.percentile("value", F.lit(0.9)), 6).alias("high"))
+    return both.join(stats.by_index(e, "value", ["event_type"], {"middle_by_index": (1, 2), "decile_by_index": (1, 10)}), "event_type")
 
 
 @query("""with h as (select p_brand, p_size as v, count(*) as n from part group by all), m as (select p_brand, arg_min(v, (-n, v)) as mode from h group by p_brand)
