@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: Bounds of the sample that is learned from: labelled documents, and the bytes of their texts.
-TRAIN_DOCS, TRAIN_BYTES = 3000, 24 << 20
+TRAIN_DOCS, TRAIN_BYTES = 2500, 8 << 20
 #: Words of a passage.
 PASSAGE = 48
 #: Documents with this score or more are kept.
@@ -153,11 +153,14 @@ def learn(docs: DataFrame, labels: DataFrame, among=None, max_docs: int = TRAIN_
             fits.append(r["doc_id"])
     if not fits:
         return fit(np.zeros((0, FEATURES)), np.zeros(1, np.int64), np.zeros(0))
-    got = own.where(F.col("doc_id").isin(fits)).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(max_docs).toArrow().combine_chunks()
-    ids = got.column("doc_id").to_numpy()
-    buf, off = common.utf8(got.column("text").combine_chunks() if isinstance(got.column("text"), pa.ChunkedArray) else got.column("text"))
-    x, begin = passages(buf, off)
-    return fit(x, begin, np.array([float(drawn[i] > 0) for i in ids]))
+    got = own.where(F.col("doc_id").isin(fits)).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(max_docs).toArrow()
+    ids, parts, begin = got.column("doc_id").to_pylist(), [], [0]
+    for b in common.slices(got.select(["text"]).to_batches(), limit=256 << 10):  # bounds what the driver holds beside the features
+        x, at = passages(*common.utf8(b.column("text")))
+        begin.extend((at[1:] + begin[-1]).tolist())
+        parts.append(x)
+    del got
+    return fit(np.concatenate(parts), np.array(begin), np.array([float(drawn[i] > 0) for i in ids]))
 
 
 def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
@@ -171,8 +174,8 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     schema = T.StructType([*d.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in common.slices((b.append_column("_text", b.column("text").fill_null("")) for b in batches), "_text", 1 << 20):
-            x, begin = passages(*common.utf8(b.column("_text")))
+        for b in common.slices((b.append_column("_text", b.column("text").fill_null("")) for b in batches), None, 1 << 20):
+            x, begin = passages(*common.utf8(b.column(b.num_columns - 1)))
             s = model.score(x, begin)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s), pa.array((s >= keep).astype(np.int32))], [*b.schema.names[:-1], "score", "predicted"])
 
