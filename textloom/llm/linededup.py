@@ -2,9 +2,10 @@
 
 Texts are cut into lines: after a newline, and after a full stop that no
 newline follows. A rolling hash over the hashes of two neighbouring lines
-decides where chunks start: at even hashes in the first chunking, at odd ones
-in the second, so that in a repeated passage every line starts a chunk of one
-of the two, wherever the passage stands. Chunks of two lines or more that
+decides where chunks start: the first chunking starts one at the first of a
+run of even hashes and at every second line of the run, the second one does so
+with odd hashes. So a chunk has two lines or more, and in a repeated passage
+the two chunkings agree, wherever it stands, soon after its begin. Chunks that
 occur again anywhere are removed, all but the first occurrence in the order of
 (doc_id, line), after a comparison of their bytes.
 """
@@ -25,18 +26,23 @@ def lines(text: Column) -> Column:
     return F.filter(F.split(text, r"(?<=[.\n])(?!\n)"), lambda x: x != "")
 
 
-def _starts(hashes: str, parity: int) -> Column:
-    """Where chunks of one chunking start: line 0, and each line whose rolling hash (its own and the next line's) has the parity."""
-    rolled = lambda h, i: F.xxhash64(h, F.try_element_at(F.col(hashes), i + 2)).bitwiseAND(F.lit(1))
-    marked = F.transform(F.col(hashes), lambda h, i: F.when((i == 0) | (rolled(h, i) == parity), i))
-    return F.filter(marked, lambda i: i.isNotNull())
+def _starts(parity: int) -> Column:
+    """Where chunks of one chunking start: in each run (from ``_runs``) of rolling hashes of its parity, the first line and every second one."""
+    own = F.filter("_runs", lambda x: x["parity"] == parity)
+    return F.flatten(F.transform(own, lambda x: F.sequence(x["start"], x["end"] - 1, F.lit(2))))
 
 
 def chunks(docs: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     """(_id, _row, chunks): the chunks of two lines or more and least bytes of each row, of both chunkings, as (hash, start, size) in lines."""
     d = docs.select("_id", "_row", lines(F.col("_text")).alias("_lines"))
     d = d.select("_id", "_row", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_h"), F.transform("_lines", lambda x: F.octet_length(x)).alias("_n"))
-    d = d.select("*", *[_starts("_h", p).alias(f"_s{p}") for p in (0, 1)])
+    rolled = F.transform("_h", lambda h, i: F.xxhash64(h, F.try_element_at(F.col("_h"), i + 2)).bitwiseAND(F.lit(1)))  # each line's hash and the next one's
+    d = d.withColumn("_r", rolled)
+    turns = F.filter(F.transform("_r", lambda r, i: F.when((i == 0) | (r != F.try_element_at(F.col("_r"), F.greatest(i, F.lit(1)))), i)), lambda i: i.isNotNull())
+    d = d.withColumn("_t", turns)
+    runs = F.zip_with("_t", F.slice("_t", 2, F.greatest(F.size("_t"), F.lit(1))), lambda a, b: F.struct(a.alias("start"), F.coalesce(b, F.size("_h")).alias("end"), F.element_at("_r", a + 1).alias("parity")))
+    d = d.withColumn("_runs", runs)
+    d = d.select("*", *[_starts(p).alias(f"_s{p}") for p in (0, 1)])
     part = lambda p: F.zip_with(F.col(f"_s{p}"), F.slice(f"_s{p}", 2, F.greatest(F.size(f"_s{p}"), F.lit(1))), lambda a, b: F.struct(a.alias("start"), (F.coalesce(b, F.size("_h")) - a).alias("size")))
     both = F.filter(F.concat(part(0), part(1)), lambda c: c["size"] > 1)
     hashed = F.transform(both, lambda c: F.struct(F.xxhash64(F.slice("_h", c["start"] + 1, c["size"])).alias("hash"), c["start"].alias("start"), c["size"].alias("size"), F.aggregate(F.slice("_n", c["start"] + 1, c["size"]), F.lit(0), lambda s, x: s + x).alias("bytes")))
@@ -76,11 +82,15 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_BYTES, drop_emptied: bool =
     gone = gone.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "size")).alias("gone"))
     out = keys.join(gone, ["_id", "_row"], "left")
     in_any = lambda i: F.exists("gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["size"]))
-    rest = F.array_join(F.filter(lines(F.col("_text")), lambda x, i: ~in_any(i)), "")
+    # where a removed stretch ends a line of its text, the newline stays, unless it is the text's begin
+    ends = lambda x, i: F.endswith(x, F.lit("\n")) & ~in_any(i + 1) & (i + 1 < F.size("_lines"))
+    out = out.withColumn("_lines", F.when(F.col("gone").isNotNull(), lines(F.col("_text"))))
+    rest = F.array_join(F.transform("_lines", lambda x, i: F.when(~in_any(i), x).when(ends(x, i), F.lit("\n")).otherwise("")), "")
+    rest = F.when(in_any(F.lit(0)), F.regexp_replace(rest, r"^\n", "")).otherwise(rest)
     out = out.select("_id", "_row", F.when(F.col("gone").isNull(), F.col("_text")).otherwise(rest).alias("_new"), F.col("gone").isNotNull().alias("_cut")).dropDuplicates(["_id", "_row"])
-    others = docs.select(*[F.col(f"`{c}`") for c in columns if c not in ("text", "n_chars")], F.col("text").isNull().alias("_null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_row"))
+    others = docs.select(F.struct(F.lit(0), *[F.col(f"`{c}`") for c in columns if c != "text"]).alias("_d"), F.col("text").isNull().alias("_null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_row"))
     whole = others.join(out, ["_id", "_row"])
     if drop_emptied:
         whole = whole.where(~F.col("_cut") | F.col("_new").rlike(r"\S"))
     new = {"text": F.when(~F.col("_null"), F.col("_new")).alias("text"), "n_chars": F.when(~F.col("_null"), F.length("_new").cast("long")).alias("n_chars")}
-    return whole.select(*[new.get(c, F.col(f"`{c}`")) for c in columns])
+    return whole.select(*[new.get(c, F.col("_d").getField(c).alias(c)) for c in columns])
