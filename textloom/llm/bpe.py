@@ -70,7 +70,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 4 * MAX_CACHE:
+            if len(self._fits) > MAX_CACHE:
                 self._fits.clear()
             known = self._fits[key] = self._walk(left, right)
         return known

@@ -50,11 +50,6 @@ def written(df: DataFrame, path: str, options: dict[str, str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: str | None = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column's (with None the last one's) texts have about limit bytes; one longer text stays whole."""
     for b in batches:
