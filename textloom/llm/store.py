@@ -39,7 +39,9 @@ _BY_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Stands between words that are encoded together.
 _MARK = "\x01"
 #: Words whose ids a worker keeps; when there are more, it starts afresh.
-MAX_WORDS = 1_500_000
+MAX_WORDS = 600_000
+#: Words encoded at once; what the library holds beside the ids grows with them.
+TOGETHER = 4096
 
 
 class Encoder:
@@ -67,22 +69,29 @@ class Encoder:
 
     def _clear(self) -> None:
         self.keys, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.fresh: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        if len(self.keys) + len(keys) > MAX_WORDS:
-            self._clear()
-        apart = [w for w in words if _MARK in w]
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of words, where each word's begin among them, and how many they are. The words are encoded as one text, a mark between them."""
         joined = f" {_MARK} ".join(w if _MARK not in w else "" for w in words)
         ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
         cut = np.flatnonzero(ids == self.mark)
-        n = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1
-        at = len(self.ids) + np.concatenate([[0], cut + 1])
+        n, at = np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1, np.concatenate([[0], cut + 1])
+        for i, w in enumerate(words):
+            if _MARK in w:
+                own = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.int32)
+                at[i], n[i] = len(ids), len(own)
+                ids = np.concatenate([ids, own])
+        return ids, at, n
+
+    def _add(self, ids: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        self.fresh.append((at + sum(len(x[2]) for x in self.fresh) + len(self.ids), n, ids))
+
+    def _index(self, keys: np.ndarray) -> None:
+        """Take in what was added, in the order of keys."""
+        at, n, ids = (np.concatenate(x) for x in zip(*self.fresh, strict=True))
+        self.fresh = []
         self.ids = np.concatenate([self.ids, ids])
-        for w in apart:
-            own = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.int32)
-            i = words.index(w)
-            at[i], n[i] = len(self.ids), len(own)
-            self.ids = np.concatenate([self.ids, own])
         every, where, size = np.concatenate([self.keys, keys]), np.concatenate([self.at, at]), np.concatenate([self.n, n])
         order = np.argsort(every)
         self.keys, self.at, self.n = every[order], where[order], size[order]
@@ -103,9 +112,13 @@ class Encoder:
             known = self.keys[place] == keys
         if not known.all():
             if len(self.keys) + int((~known).sum()) > MAX_WORDS:
+                self._clear()
                 known[:] = False
             raw = buf.tobytes()
-            self._learn(keys[~known], [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in one[~known]])
+            new, first_of = keys[~known], one[~known]
+            for i in range(0, len(new), TOGETHER):
+                self._add(*self._learn([raw[starts[j] : ends[j]].decode("utf-8", "replace") for j in first_of[i : i + TOGETHER]]))
+            self._index(new)
         place = np.searchsorted(self.keys, keys)[inverse]
         n, at = self.n[place], self.at[place]
         total = np.concatenate([[0], np.cumsum(n)])
@@ -185,7 +198,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END) -> None:
         e = encoder(path)
         width = np.uint16 if e.size <= 1 << 16 else np.uint32
         w, row = width().itemsize, TaskContext.get().partitionId() << 40
-        for b in common.slices(batches):
+        for b in common.slices(batches, limit=2 << 20):
             ids, begin = e.encode(b.column("text"), end)
             at = cuts(ids, begin)
             edges = np.concatenate([at, [len(ids)]])
