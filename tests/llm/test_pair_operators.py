@@ -1,9 +1,11 @@
 """Line dedup, fingerprints, Jaccard join, decontamination."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -112,6 +114,26 @@ def test_repeated_passage_goes_wherever_it_stands(spark):
     assert max(left) <= 3 and all(own(k)[:60] in out[k] for k in range(30))
 
 
+@pytest.mark.parametrize("k", [2, 3, 4, 5, 6])
+def test_short_passage_in_two_documents_goes_whole(spark, k):
+    own = lambda d, p: "".join(f"{p} line {i} of text {d} and of no other.\n" for i in range(3))
+    rows, want = [], {}
+    for p in range(40):  # the short lines of every third passage need windows of more than two lines
+        passage = "".join(f"{p}.{i} ab\n" if p % 3 == 0 and k > 2 and i < k - 1 else f"Passage {p} has this line {i} of {k}, said twice.\n" for i in range(k))
+        rows += [(2 * p + d, own(2 * p + d, "First") + passage + own(2 * p + d, "Last")) for d in (0, 1)]
+        want |= {2 * p: rows[-2][1], 2 * p + 1: own(2 * p + 1, "First") + "\n" + own(2 * p + 1, "Last")}
+    out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == want
+
+
+def test_first_occurrence_of_every_line_stays(spark):
+    rng = random.Random(5)
+    rows = [(d, "".join(f"Line {rng.randrange(30)} of few that come again and again.\n" for _ in range(rng.randrange(2, 9)))) for d in range(60)]
+    out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {x for _, t in rows for x in t.splitlines()} == {x for t in out.values() for x in t.splitlines() if x}
+    assert out[0] == rows[0][1] and sum(map(len, out.values())) < sum(len(t) for _, t in rows)
+
+
 def test_line_dedup_over_odd_rows(odd, empty):
     out = linededup.dedup_lines(odd)
     assert out.count() == 12 and out.columns == odd.columns

@@ -1,13 +1,14 @@
 """Line dedup by content-defined chunks, in DataFrame functions only.
 
 Texts are cut into lines: after a newline, and after a full stop that no
-newline follows. A rolling hash over the hashes of two neighbouring lines
-decides where chunks start: the first chunking starts one at the first of a
-run of even hashes and at every second line of the run, the second one does so
-with odd hashes. So a chunk has two lines or more, and in a repeated passage
-the two chunkings agree, wherever it stands, soon after its begin. Chunks that
-occur again anywhere are removed, all but the first occurrence in the order of
-(doc_id, line), after a comparison of their bytes.
+newline follows. A chunk is a window of lines whose ends depend on the lines
+inside it only: from each line on, and up to each line, the shortest window of
+two lines or more that has LEAST_BYTES. So a repeated passage of two lines or
+more and that many bytes is covered by its own chunks, each of its lines by
+one at least, whatever stands around it. Chunks that occur again anywhere are
+removed, all but the first occurrence in the order of (doc_id, line), after a
+comparison of their bytes. A line goes only where the same line stands
+earlier, so the first occurrence of every line stays.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from . import common
 
 #: Bytes that a chunk must have to be removed, so that common short lines stay.
 LEAST_BYTES = 48
+#: A chunk's first line and size in one number.
+_PACK = 1 << 20
 
 
 def lines(text: Column) -> Column:
@@ -26,28 +29,31 @@ def lines(text: Column) -> Column:
     return F.filter(F.split(text, r"(?<=[.\n])(?!\n)"), lambda x: x != "")
 
 
-def _starts(parity: int) -> Column:
-    """Where chunks of one chunking start: in each run (from ``_runs``) of rolling hashes of its parity, the first line and every second one."""
-    own = F.filter("_runs", lambda x: x["parity"] == parity)
-    return F.flatten(F.transform(own, lambda x: F.sequence(x["start"], x["end"] - 1, F.lit(2))))
+def _windows(least: int) -> Column:
+    """Chunks of the lines with bytes ``_n``, as start * _PACK + size: from each line on, and up to each line, the shortest window of two lines or more with least bytes."""
+    n, count = F.col("_n"), F.size("_n")
+    pair = lambda i: F.try_element_at(n, i + 1) + F.try_element_at(n, i + 2)
+    # every line has a byte, so no window has more than max(2, least) lines
+    longest = max(2, least)
+    more = lambda s, x: F.when(s["bytes"] >= least, s).otherwise(F.struct((s["bytes"] + x).alias("bytes"), (s["size"] + 1).alias("size")))
+    taken = lambda xs: F.aggregate(xs, F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("size")), more, lambda s: F.when(s["bytes"] >= least, s["size"]))
+    packed = lambda start, size: start.cast("long") * _PACK + size
+    at = F.when(count > 1, F.sequence(F.lit(0), count - 2)).otherwise(F.array().cast("array<int>"))
+    onwards = F.transform(at, lambda i: F.when(pair(i) >= least, packed(i, F.lit(2))).otherwise(packed(i, taken(F.slice(n, i + 1, F.lit(longest))))))
+    short = F.filter(at, lambda i: pair(i) < least)
+    before = lambda i: F.slice(n, F.greatest(i + 3 - longest, F.lit(1)), F.least(i + 2, F.lit(longest)))
+    back = F.transform(F.transform(short, lambda i: F.struct(i.alias("i"), taken(F.reverse(before(i))).alias("size"))), lambda x: packed(x["i"] + 2 - x["size"], x["size"]))
+    return F.filter(F.when(F.size(short) == 0, onwards).otherwise(F.array_union(onwards, back)), lambda w: w.isNotNull())
 
 
 def chunks(docs: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """(_id, _row, chunks): the chunks of two lines or more and least bytes of each row, of both chunkings, as (hash, start, size) in lines."""
+    """(_id, _row, chunks): the chunks of two lines or more and least bytes of each row, as (hash, start, size) in lines."""
     d = docs.select("_id", "_row", lines(F.col("_text")).alias("_lines"))
     d = d.select("_id", "_row", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_h"), F.transform("_lines", lambda x: F.octet_length(x)).alias("_n"))
-    rolled = F.transform("_h", lambda h, i: F.xxhash64(h, F.try_element_at(F.col("_h"), i + 2)).bitwiseAND(F.lit(1)))  # each line's hash and the next one's
-    d = d.withColumn("_r", rolled)
-    turns = F.filter(F.transform("_r", lambda r, i: F.when((i == 0) | (r != F.try_element_at(F.col("_r"), F.greatest(i, F.lit(1)))), i)), lambda i: i.isNotNull())
-    d = d.withColumn("_t", turns)
-    runs = F.zip_with("_t", F.slice("_t", 2, F.greatest(F.size("_t"), F.lit(1))), lambda a, b: F.struct(a.alias("start"), F.coalesce(b, F.size("_h")).alias("end"), F.element_at("_r", a + 1).alias("parity")))
-    d = d.withColumn("_runs", runs)
-    d = d.select("*", *[_starts(p).alias(f"_s{p}") for p in (0, 1)])
-    part = lambda p: F.zip_with(F.col(f"_s{p}"), F.slice(f"_s{p}", 2, F.greatest(F.size(f"_s{p}"), F.lit(1))), lambda a, b: F.struct(a.alias("start"), (F.coalesce(b, F.size("_h")) - a).alias("size")))
-    both = F.filter(F.concat(part(0), part(1)), lambda c: c["size"] > 1)
-    hashed = F.transform(both, lambda c: F.struct(F.xxhash64(F.slice("_h", c["start"] + 1, c["size"])).alias("hash"), c["start"].alias("start"), c["size"].alias("size"), F.aggregate(F.slice("_n", c["start"] + 1, c["size"]), F.lit(0), lambda s, x: s + x).alias("bytes")))
-    kept = F.transform(F.filter(hashed, lambda c: c["bytes"] >= least), lambda c: F.struct(c["hash"].alias("hash"), c["start"].alias("start"), c["size"].alias("size")))
-    return d.select("_id", "_row", kept.alias("chunks"))
+    d = d.select("_id", "_row", "_h", _windows(least).alias("_w"))
+    d = d.select("_id", "_row", "_h", F.transform("_w", lambda w: F.struct(F.floor(w / _PACK).cast("int").alias("start"), (w % _PACK).cast("int").alias("size"))).alias("_w"))
+    hashed = F.transform("_w", lambda c: F.struct(F.xxhash64(F.slice("_h", c["start"] + 1, c["size"])).alias("hash"), c["start"].alias("start"), c["size"].alias("size")))
+    return d.select("_id", "_row", hashed.alias("chunks"))
 
 
 def _cut(spans: str) -> Column:
@@ -69,9 +75,13 @@ def dedup_lines(docs: DataFrame, least: int = LEAST_BYTES, drop_emptied: bool =
     columns = docs.columns
     keys = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     keys = keys.select("_id", F.xxhash64("_text").alias("_row"), "_text")
-    index = common.written(chunks(keys, least), f"{common.shared_folder(spark)}/chunks")
+    folder = common.shared_folder(spark)
+    index = common.written(chunks(keys, least), f"{folder}/chunks")
     each = index.select("_id", "_row", F.explode("chunks").alias("c")).select("_id", "_row", "c.*")
-    again = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_row", "start")).alias("at")).where("n > 1").drop("n")
+    # hashes alone are counted first, so that only chunks that occur again carry their places to a first occurrence
+    again = common.written(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), f"{folder}/hashes")
+    each = common.written(each.join(again, "hash"), f"{folder}/again")
+    again = common.written(each.groupBy("hash").agg(F.min(F.struct("_id", "_row", "start")).alias("at")), f"{folder}/firsts")
     first = (F.col("_id") == F.col("at._id")) & (F.col("_row") == F.col("at._row")) & (F.col("start") == F.col("at.start"))
     seen = each.join(again, "hash").select("_id", "_row", F.struct("hash", "start", "size", first.alias("first")).alias("c"))
     seen = seen.groupBy("_id", "_row").agg(F.collect_set("c").alias("spans"))
