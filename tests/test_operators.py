@@ -162,3 +162,21 @@ def test_emphasis(spark):
 def test_three_values(spark):
     d = spark.createDataFrame([(1, 2, 2), (2, 2, 3), (3, None, 3)], "p int, a int, b int")
     assert rows(stats.three_valued(d, ["p"], F.col("a"), F.col("b")), "p", "verdict") == [(1, "ok"), (2, "wrong"), (3, "not judged")]
+
+
+def test_matcher_in_parts_is_that_of_the_whole_matrix():
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        x, y = np.sort(rng.uniform(0, 900, rng.integers(1, 40))), np.sort(rng.uniform(0, 900, rng.integers(1, 40)))
+        assert align.matched(x, y, cells=1) == align.matched(x, y, cells=60) == align.matched(x, y)
+    ix = np.arange(6000)  # costs so large that a relative tolerance would take a wrong step
+    assert align.matched(ix * 40.0, ix[ix % 7 != 3] * 40.0 + 5) == [(int(i), k) for k, i in enumerate(ix[ix % 7 != 3])]
+
+
+def test_line_alignment_reads_all_documents(spark, tmp_path):
+    from textloom.plans import queries
+
+    d = [(i, "\n".join(f"line {k}" for k in range(i % 5 + 1))) for i in range(0, 1000, 50)]
+    spark.createDataFrame(d, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(queries.line_alignment(spark, str(tmp_path)).where("a is not null"), "page", "a")
+    assert got == sorted((i, k + 1) for i, t in d for k in range(len(t.split("\n"))))

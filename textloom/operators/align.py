@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: The largest deviation of a pair, what a gap costs, and the range in which a fitted scale is believed.
 FARTHEST, GAP, SCALES = 16.0, 22.0, (0.9, 1.1)
+#: Cells of a matrix that matched() and fit() hold at once; longer pages are done in parts, with the same result.
+CELLS = 1 << 20
 
 
 def by_rank(left: DataFrame, right: DataFrame, keys: list[str], value: str = "text", missing: str = "<missing>") -> DataFrame:
@@ -42,7 +44,8 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float, float]:
     offset = y.min() - scale * x.min()
     for _ in range(rounds):
         moved = scale * x + offset
-        target = y[np.abs(moved[:, None] - y).argmin(1)]
+        step = max(1, CELLS // len(y))
+        target = y[np.concatenate([np.abs(moved[i : i + step, None] - y).argmin(1) for i in range(0, len(x), step)])]
         use = np.abs(target - moved) < 3 * GAP
         if use.sum() < 3 or np.ptp(x[use]) == 0:
             break
@@ -57,29 +60,59 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float, float]:
     return float(scale), float(offset)
 
 
-def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float = GAP) -> list[tuple[int, int]]:
-    """Pairs (index in x, index in y) of the cheapest order-preserving match: a pair costs its deviation after fit(), at most farthest; each point left alone costs gap."""
+def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float = GAP, cells: int = CELLS) -> list[tuple[int, int]]:
+    """Pairs (index in x, index in y) of the cheapest order-preserving match: a pair costs its deviation after fit(), at most farthest; each point left alone costs gap.
+
+    More than cells of the cost matrix are not held: the points of x are halved,
+    the lower half is traced back first and says where the upper one ends. That
+    takes a row for each halving, and the pairs are those of the whole matrix.
+    """
     if not len(x) or not len(y):
         return []
     scale, offset = fit(x, y)
-    away = np.abs((scale * x + offset)[:, None] - y)
-    away[away > farthest] = np.inf
-    n, m = away.shape
-    cost = np.empty((n + 1, m + 1))
-    cost[0], cost[:, 0] = gap * np.arange(m + 1), gap * np.arange(n + 1)
-    for i in range(1, n + 1):  # a row: pairs and gaps in x at once, then gaps in y as a running minimum
-        best = np.minimum(cost[i - 1, :-1] + away[i - 1], cost[i - 1, 1:] + gap)
-        run = np.concatenate([[cost[i, 0]], best]) - gap * np.arange(m + 1)
-        cost[i] = np.minimum.accumulate(run) + gap * np.arange(m + 1)
-    out, i, j = [], n, m
-    while i and j:
-        if np.isclose(cost[i, j], cost[i - 1, j - 1] + away[i - 1, j - 1], atol=1e-9):
-            i, j = i - 1, j - 1
-            out.append((i, j))
-        elif np.isclose(cost[i, j], cost[i - 1, j] + gap, atol=1e-9):
-            i -= 1
-        else:
-            j -= 1
+    moved = scale * x + offset
+
+    def away(i: int, m: int) -> np.ndarray:
+        d = np.abs(moved[i] - y[:m])
+        return np.where(d > farthest, np.inf, d)
+
+    def below(row: np.ndarray, i: int) -> np.ndarray:  # pairs and gaps in x at once, then gaps in y as a running minimum
+        steps = gap * np.arange(len(row))
+        best = np.minimum(row[:-1] + away(i, len(row) - 1), row[1:] + gap)
+        return np.minimum.accumulate(np.concatenate([[row[0] + gap], best]) - steps) + steps
+
+    out = []
+
+    def back(row: np.ndarray, lo: int, hi: int, j: int) -> int:
+        """Trace back from (hi, j) to lo, row being the costs at lo; gives the place there."""
+        row = row[: j + 1]
+        if hi - lo > 1 and (hi - lo + 1) * (j + 1) > cells:
+            mid, half = (lo + hi) // 2, row
+            for i in range(lo, mid):
+                half = below(half, i)
+            return back(row, lo, mid, back(half, mid, hi, j))
+        cost = [row]
+        for i in range(lo, hi):
+            cost.append(below(cost[-1], i))
+        i = hi
+        while i > lo and j:
+            up = cost[i - lo - 1]
+            pair, alone, left = up[j - 1] + away_at(i - 1, j - 1), up[j] + gap, cost[i - lo][j - 1] + gap
+            least = min(pair, alone, left) + 1e-6
+            if pair <= least:
+                i, j = i - 1, j - 1
+                out.append((i, j))
+            elif alone <= least:
+                i -= 1
+            else:
+                j -= 1
+        return j
+
+    def away_at(i: int, j: int) -> float:
+        d = abs(moved[i] - y[j])
+        return np.inf if d > farthest else d
+
+    back(gap * np.arange(len(y) + 1), 0, len(x), len(y))
     return out[::-1]
 
 
@@ -110,7 +143,7 @@ def scored(x: np.ndarray, y: np.ndarray, reward: float = 10.0, gap: float = -1.0
 
 
 def aligned(rows: DataFrame, by: str = "page") -> DataFrame:
-    """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs, and with a null the points left alone. A page at a time; a page is a bounded group."""
+    """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs, and with a null the points left alone. A page at a time, in the memory of its rows and CELLS cells."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         side = {s: g.sort_values("ix") for s, g in pdf.groupby("side")}

@@ -387,7 +387,7 @@ def edit_distance_rate(spark, sf):
 
 @query()
 def line_alignment(spark, sf):
-    d = raw_lines(spark, sf).where("doc_id < 200").select(F.col("doc_id").alias("page"), F.col("rank").alias("ix"))
+    d = raw_lines(spark, sf).select(F.col("doc_id").alias("page"), F.col("rank").alias("ix"))
     a = d.select("page", F.lit("a").alias("side"), "ix", (F.col("ix") * 40.0).alias("y"))
     b = d.where("ix % 7 <> 3").select("page", F.lit("b").alias("side"), "ix", (F.col("ix") * 40.0 + 5).alias("y"))
     return align.aligned(a.union(b))
