@@ -180,3 +180,22 @@ def test_line_alignment_reads_all_documents(spark, tmp_path):
     spark.createDataFrame(d, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = rows(queries.line_alignment(spark, str(tmp_path)).where("a is not null"), "page", "a")
     assert got == sorted((i, k + 1) for i, t in d for k in range(len(t.split("\n"))))
+
+
+def test_edit_distances_of_whole_texts(spark, tmp_path):
+    from textloom.plans import queries
+
+    texts = ["é" * 260, "é" * 250 + "è" * 30, "same start " * 30 + "x", "same start " * 30 + "yz", ""]
+    spark.createDataFrame([(i, t, "de" if i % 2 else "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def apart(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, old = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(old[j] + (x != y), old[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    want = [(i, apart(t, u) if u is not None else len(t), len(t)) for i, (t, u) in enumerate(zip(texts, [*texts[1:], None], strict=True))]
+    got = queries.edit_distance_rate_whole(spark, str(tmp_path)).where("bin is not null")
+    assert rows(got, "bin", "distance", "size") == want

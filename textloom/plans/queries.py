@@ -375,7 +375,16 @@ def group_parents(spark, sf):
 g as (select (doc_id % 10)::bigint as bin, case when u is null then length(t) else levenshtein(t, u) end as dist, length(t) as n from p)
 select bin, sum(dist)::bigint as distance, sum(n)::bigint as size, round(sum(dist) / greatest(sum(n), 1), 6) as rate from g group by grouping sets ((bin), ())""")
 def edit_distance_rate(spark, sf):
-    d = t(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.regexp_replace(F.substring("text", 1, 200), "[^ -~]", "").alias("t"))
+    return _neighbours_apart(t(spark, sf, "documents").where("lang = 'en'").select("doc_id", F.regexp_replace(F.substring("text", 1, 200), "[^ -~]", "").alias("t")))
+
+
+@query()
+def edit_distance_rate_whole(spark, sf):
+    """Whole texts of all languages: edit_distance_rate and its SQL read the beginnings of English ones."""
+    return _neighbours_apart(t(spark, sf, "documents").select("doc_id", F.col("text").alias("t")))
+
+
+def _neighbours_apart(d: DataFrame) -> DataFrame:
     # neighbours in the order of ids, within ranges of ids: the last of a range meets the first of the next
     d = d.withColumn("stretch", F.floor(F.col("doc_id") / 4096))
     w = Window.partitionBy("stretch").orderBy("doc_id")
