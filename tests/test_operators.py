@@ -199,3 +199,13 @@ def test_edit_distances_of_whole_texts(spark, tmp_path):
     want = [(i, apart(t, u) if u is not None else len(t), len(t)) for i, (t, u) in enumerate(zip(texts, [*texts[1:], None], strict=True))]
     got = queries.edit_distance_rate_whole(spark, str(tmp_path)).where("bin is not null")
     assert rows(got, "bin", "distance", "size") == want
+
+
+def test_ranks_of_all_pages_are_compared(spark, tmp_path):
+    from textloom.plans import queries
+
+    spark.createDataFrame([(1, "a b"), (70, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(70, "a x"), (900, "z")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(queries.rank_diff_whole(spark, str(tmp_path)), "page", "rank", "expected", "obtained", "same")
+    no = "<missing>"
+    assert got == [(1, 1, "a", no, False), (1, 2, "b", no, False), (70, 1, "a", "a", True), (70, 2, "b", "x", False), (70, 3, "c", no, False), (900, 1, no, "z", False)]

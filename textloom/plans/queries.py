@@ -409,8 +409,19 @@ _RANKED = "select {id} as page, unnest(string_split(text, ' ')) as w, generate_s
 j as (select coalesce(a.page, b.page) as page, coalesce(a.rank, b.rank) as rank, coalesce(a.w, '<missing>') as expected, coalesce(b.w, '<missing>') as obtained from (select * from a where page < 40) a full join b on a.page = b.page and a.rank = b.rank)
 select page, rank, expected, obtained, expected = obtained as same from j""")
 def rank_diff(spark, sf):
-    ranked = lambda d, k: d.where(F.col(k) < 40).select(F.col(k).alias("page"), F.posexplode(F.split("text", " ")).alias("rank", "text")).withColumn("rank", (F.col("rank") + 1).cast("long"))
-    return align.by_rank(ranked(t(spark, sf, "benchmark"), "item_id"), ranked(t(spark, sf, "documents"), "doc_id"), ["page", "rank"])
+    few = lambda d, k: _ranked_words(d.where(F.col(k) < 40), k)
+    return align.by_rank(few(t(spark, sf, "benchmark"), "item_id"), few(t(spark, sf, "documents"), "doc_id"), ["page", "rank"])
+
+
+def _ranked_words(d: DataFrame, k: str) -> DataFrame:
+    return d.select(F.col(k).alias("page"), F.posexplode(F.split("text", " ")).alias("rank", "text")).withColumn("rank", (F.col("rank") + 1).cast("long"))
+
+
+@query(f"""with a as ({_RANKED.format(id='item_id', t='benchmark')}), b as ({_RANKED.format(id='doc_id', t='documents')})
+select page, rank, coalesce(a.w, '<missing>') as expected, coalesce(b.w, '<missing>') as obtained, coalesce(a.w, '<missing>') = coalesce(b.w, '<missing>') as same from a full join b using (page, rank)""")
+def rank_diff_whole(spark, sf):
+    """All items and documents: rank_diff and its SQL read ids below 40."""
+    return align.by_rank(_ranked_words(t(spark, sf, "benchmark"), "item_id"), _ranked_words(t(spark, sf, "documents"), "doc_id"), ["page", "rank"])
 
 
 @query("""with w as (select *, l_quantity > max(l_quantity) over (partition by l_orderkey) * 0.45 as wide from lineitem), g as (select l_returnflag, l_linestatus, median(l_extendedprice) as middle, count(*) as n from w where wide group by all)
