@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -209,3 +211,27 @@ def test_ranks_of_all_pages_are_compared(spark, tmp_path):
     got = rows(queries.rank_diff_whole(spark, str(tmp_path)), "page", "rank", "expected", "obtained", "same")
     no = "<missing>"
     assert got == [(1, 1, "a", no, False), (1, 2, "b", no, False), (70, 1, "a", "a", True), (70, 2, "b", "x", False), (70, 3, "c", no, False), (900, 1, no, "z", False)]
+
+
+def test_all_pages_turns_and_documents_are_read(spark, tmp_path):
+    from textloom.plans import queries
+
+    at = str(tmp_path)
+    ids = [0, 1, 95, 113, 119, 2400]
+    spark.createDataFrame([(i,) for i in ids], "page_id long").write.parquet(f"{at}/pages.parquet")
+    spark.createDataFrame([(1, 1, "A b"), (1, 2, "C")], "conv_id long, turn long, text string").write.parquet(f"{at}/conversations.parquet")
+    spark.createDataFrame([(7, "s", "en"), (50, "s", "de")], "doc_id long, source string, lang string").write.parquet(f"{at}/documents.parquet")
+    assert rows(queries.words_zipped_whole(spark, at), "turn", "rank", "truth", "read") == [(1, 1, "A", "a"), (1, 2, "b", "b"), (2, 1, "C", "c")]
+    assert rows(queries.anchor_faults_whole(spark, at).where("fault = 'encoded'"), "anchor") == [("#50",), ("#7",)]
+
+    number = re.compile(r"-\d+$")
+    present = [(i, f"p-{i % 40}" + ["-x", "-2", ""][i % 3]) for i in ids]
+    want = []
+    for old in {f"p-{i % 55}" + ("" if i % 2 else "-x-y") for i in ids}:
+        c = [(1, 0, p, x) for p, x in present if x == old]
+        c += [(2, 0, p, x) for p, x in present if x.startswith(old + "-") and not x[len(old) + 1 :].isdigit()]
+        c += [(3, 0, p, x) for p, x in present if number.sub("", x) == number.sub("", old)]
+        c += [(4, -len(x), p, x) for p, x in present if old.startswith(x + "-")]
+        want.append((old, min(c)[3] if c else None, min(c)[0] if c else None))
+    got = [(r["anchor"], r["id"], r["rule"]) for r in queries.anchor_kinship_whole(spark, at).collect()]
+    assert sorted(got) == sorted(want) and any(r for _, _, r in want)

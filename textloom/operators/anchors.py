@@ -45,7 +45,7 @@ def kin(old: DataFrame, present: DataFrame) -> DataFrame:
     base = lambda c: F.regexp_replace(c, r"-\d+$", "")
     begins = lambda c: F.transform(F.filter(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, F.lit(1)) == "-"), lambda i: F.substring(c, F.lit(1), i - 1))
     o = old.select("anchor").distinct()
-    ids = present.select("id", "pos")
+    ids = present.groupBy("id").agg(F.min("pos").alias("pos"))
     one = o.join(ids, F.col("anchor") == F.col("id")).select("anchor", "id", "pos", F.lit(1).alias("rule"), F.lit(0).alias("w"))
     longer = ids.select("*", F.explode(begins(F.col("id"))).alias("b"))
     two = o.join(longer, F.col("anchor") == F.col("b")).where(~F.substring("id", F.length("anchor") + 2, F.lit(1 << 30)).rlike(r"^\d+$")).select("anchor", "id", "pos", F.lit(2).alias("rule"), F.lit(0).alias("w"))

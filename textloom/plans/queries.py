@@ -278,8 +278,17 @@ def unique_anchors(spark, sf):
 
 @query("select source as g, lang as anchor, count(*) as n, 'repeated' as fault from documents group by source, lang having count(*) > 1 union all select source as g, '#' || doc_id as anchor, 1::bigint as n, 'encoded' as fault from documents where doc_id % 50 = 0")
 def anchor_faults(spark, sf):
-    d = t(spark, sf, "documents")
-    rows = d.select(F.col("source").alias("g"), F.col("lang").alias("anchor")).union(d.where("doc_id % 50 = 0").select("source", F.concat(F.lit("#"), "doc_id")))
+    return _address_faults(t(spark, sf, "documents"), F.expr("doc_id % 50 = 0"))
+
+
+@query("select source as g, lang as anchor, count(*) as n, 'repeated' as fault from documents group by source, lang having count(*) > 1 union all select source as g, '#' || doc_id as anchor, 1::bigint as n, 'encoded' as fault from documents")
+def anchor_faults_whole(spark, sf):
+    """An address of every document: anchor_faults and its SQL take a fiftieth of them."""
+    return _address_faults(t(spark, sf, "documents"), F.lit(True))
+
+
+def _address_faults(d: DataFrame, offered) -> DataFrame:
+    rows = d.select(F.col("source").alias("g"), F.col("lang").alias("anchor")).union(d.where(offered).select("source", F.concat(F.lit("#"), "doc_id")))
     return anchors.faults(rows, ["g"])
 
 
@@ -294,8 +303,19 @@ union all select anchor, id, pos, 4, -length(id)::int from old join ids on start
 b as (select anchor, arg_min(id, (rule, w, pos, id)) as id, arg_min(rule, (rule, w, pos, id))::bigint as rule from c group by anchor) select anchor, id, rule from old left join b using (anchor)""")
 def anchor_kinship(spark, sf):
     p = t(spark, sf, "pages")
+    return _kin(p, p.where("page_id < 90"))
+
+
+@query()
+def anchor_kinship_whole(spark, sf):
+    """All pages are present: anchor_kinship and its SQL take those below 90."""
+    p = t(spark, sf, "pages")
+    return _kin(p, p)
+
+
+def _kin(p: DataFrame, now: DataFrame) -> DataFrame:
     tail = F.when(F.col("page_id") % 3 == 0, "-x").when(F.col("page_id") % 3 == 1, "-2").otherwise("")
-    present = p.where("page_id < 90").select(F.col("page_id").alias("pos"), F.concat(F.lit("p-"), F.col("page_id") % 40, tail).alias("id"))
+    present = now.select(F.col("page_id").alias("pos"), F.concat(F.lit("p-"), F.col("page_id") % 40, tail).alias("id"))
     old = p.select(F.concat(F.lit("p-"), F.col("page_id") % 55, F.when(F.col("page_id") % 2 == 0, "-x-y").otherwise("")).alias("anchor"))
     return anchors.kin(old, present)
 
@@ -608,7 +628,18 @@ def three_valued_verdicts(spark, sf):
 @query("""with w as (select conv_id, turn, string_split(text, ' ') as a, string_split(lower(text), ' ') as b from conversations where turn % 2 = 0)
 select conv_id, turn, generate_subscripts(a, 1)::bigint as rank, unnest(a) as truth, unnest(b) as read from w where len(a) = len(b)""")
 def words_zipped(spark, sf):
-    d = t(spark, sf, "conversations").where("turn % 2 = 0").select("conv_id", "turn", F.split("text", " ").alias("truth"), F.split(F.lower("text"), " ").alias("read"))
+    return _zipped_words(t(spark, sf, "conversations").where("turn % 2 = 0"))
+
+
+@query("""with w as (select conv_id, turn, string_split(text, ' ') as a, string_split(lower(text), ' ') as b from conversations)
+select conv_id, turn, generate_subscripts(a, 1)::bigint as rank, unnest(a) as truth, unnest(b) as read from w where len(a) = len(b)""")
+def words_zipped_whole(spark, sf):
+    """All turns: words_zipped and its SQL read the even ones."""
+    return _zipped_words(t(spark, sf, "conversations"))
+
+
+def _zipped_words(c: DataFrame) -> DataFrame:
+    d = c.select("conv_id", "turn", F.split("text", " ").alias("truth"), F.split(F.lower("text"), " ").alias("read"))
     return align.zipped(d, ["conv_id", "turn"], "truth", "read")
 
 
