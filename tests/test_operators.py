@@ -235,3 +235,20 @@ def test_all_pages_turns_and_documents_are_read(spark, tmp_path):
         want.append((old, min(c)[3] if c else None, min(c)[0] if c else None))
     got = [(r["anchor"], r["id"], r["rule"]) for r in queries.anchor_kinship_whole(spark, at).collect()]
     assert sorted(got) == sorted(want) and any(r for _, _, r in want)
+
+
+def test_rows_of_deep_trees_are_covered(spark):
+    parent = {0: None, 1: 0, 2: 1, 3: 2, 4: 3, 5: 4, 6: 5, 7: 2, 8: None}
+    d = spark.createDataFrame([(i, p, [10 * i], 10 * i + 1) for i, p in parent.items()], "id long, parent long, rows array<long>, title long")
+    above = {i: {i} for i in parent}
+    for i in parent:
+        p = parent[i]
+        while p is not None:
+            above[i].add(p)
+            p = parent[p]
+    got = {r["id"]: set(r["covered"]) for r in layout.covered(d).collect()}
+    assert got == {i: {10 * k for k in a} for i, a in above.items()}
+    got = {r["id"]: set(r["covered"]) for r in layout.covered(d, below=True).collect()}
+    assert got == {i: {10 * k + x for k in parent if i in above[k] for x in (0, 1)} for i in parent}
+    circle = spark.createDataFrame([(1, 2, [1]), (2, 1, [2])], "id long, parent long, rows array<long>")
+    assert [sorted(r["covered"]) for r in layout.covered(circle).collect()] == [[1, 2], [1, 2]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,10 +80,33 @@ def subset(inner: Column, outer: Column) -> Column:
     return F.size(F.array_except(inner, outer)) == 0
 
 
-def covered(groups: DataFrame, depth: int = 3) -> DataFrame:
-    """groups (id, parent, rows) with ``covered``: their rows and those of the groups above them, depth levels up. A bounded number of self-joins."""
-    up = groups.select(F.col("id").alias("_id"), F.col("parent").alias("_up"), F.col("rows").alias("_rows"))
-    d = groups.withColumns({"covered": F.col("rows"), "_at": F.col("parent")})
-    for _ in range(depth):
-        d = d.join(up, d["_at"] == up["_id"], "left").withColumns({"covered": F.array_distinct(F.concat("covered", F.coalesce("_rows", F.array().cast("array<bigint>")))), "_at": F.col("_up")}).drop("_id", "_up", "_rows")
-    return d.drop("_at")
+def covered(groups: DataFrame, below: bool = False) -> DataFrame:
+    """groups (id, parent, rows) with ``covered``: their rows and those of all groups above them or, with below, of all groups under them and of the titles, where there is that column.
+
+    However deep the tree is: each round goes one level on and is written, until
+    nothing is added. Groups in a circle cover each other.
+    """
+    spark = groups.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    folder = f"{base.rstrip('/')}/covered-{uuid.uuid4().hex}"
+    schema = groups.select("id", F.col("id").alias("above")).schema
+
+    def written(df: DataFrame, k: int) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{k}")
+        return spark.read.schema(schema).parquet(f"{folder}/{k}")
+
+    up = groups.where("parent is not null").select(F.col("id").alias("_id"), F.col("parent").cast(schema["id"].dataType).alias("_up")).distinct()
+    last = written(up.select(F.col("_id").alias("id"), F.col("_up").alias("above")), 0)
+    pairs, k = last, 0
+    while not last.isEmpty():
+        k += 1
+        further = last.join(up, last["above"] == up["_id"]).select("id", F.col("_up").alias("above")).distinct()
+        last = written(further.join(pairs, ["id", "above"], "left_anti"), k)
+        pairs = pairs.unionByName(last)
+    own = F.concat("rows", F.array("title")) if below and "title" in groups.columns else F.col("rows")
+    rows = groups.select("id", F.explode(own).alias("_row")).where("_row is not null")
+    to, of = ("above", "id") if below else ("id", "above")
+    reached = pairs.select(F.col(to).alias("_to"), F.col(of).alias("_of")).join(rows, F.col("_of") == F.col("id")).select(F.col("_to").alias("id"), "_row")
+    every = rows.unionByName(reached).groupBy("id").agg(F.collect_set("_row").alias("covered"))
+    d = groups.join(every, "id", "left")
+    return d.select(*[d[c] for c in groups.columns], F.coalesce("covered", F.slice("rows", 1, 0)).alias("covered"))

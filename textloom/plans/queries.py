@@ -647,9 +647,21 @@ def _zipped_words(c: DataFrame) -> DataFrame:
 c as (select a.id, list_concat(a.rows, coalesce(b.rows, []), coalesce(c.rows, []), coalesce(d.rows, [])) as x from r a left join r b on a.parent = b.id left join r c on b.parent = c.id left join r d on c.parent = d.id)
 select id, array_to_string(list_sort(list_distinct(x)), ',') as covered from c""")
 def rows_covered(spark, sf):
+    return _covered(spark, sf, False)
+
+
+@query("""with recursive r as (select n_nationkey::bigint as id, case when n_nationkey > 0 then (n_nationkey // 3)::bigint end as parent, [n_nationkey::bigint, n_regionkey::bigint + 100] as rows from nation),
+c as (select id, id as under from r union select c.id, r.id from c join r on r.parent = c.under)
+select c.id, array_to_string(list_sort(list_distinct(flatten(list(r.rows)))), ',') as covered from c join r on r.id = c.under group by c.id""")
+def rows_covered_below(spark, sf):
+    """The rows of all groups under a group; rows_covered and its SQL go the other way, to those above."""
+    return _covered(spark, sf, True)
+
+
+def _covered(spark: SparkSession, sf: str, below: bool) -> DataFrame:
     k = F.col("n_nationkey").cast("long")
     n = t(spark, sf, "nation").select(k.alias("id"), F.when(k > 0, F.floor(k / 3)).alias("parent"), F.array(k, F.col("n_regionkey").cast("long") + 100).alias("rows"))
-    return layout.covered(n).select("id", F.array_join(F.array_sort("covered").cast("array<string>"), ",").alias("covered"))
+    return layout.covered(n, below).select("id", F.array_join(F.array_sort("covered").cast("array<string>"), ",").alias("covered"))
 
 
 @query(f"with {LINES}, h as (select doc_id, rank, case when regexp_matches(text, '^[A-ZÀ-Þ][a-zà-ÿ]*[.]') then regexp_extract(text, '^([A-ZÀ-Þ][a-zà-ÿ]*)[.]', 1) end as h from lines) select doc_id, rank, last_value(h ignore nulls) over (partition by doc_id order by rank rows unbounded preceding) as head from h")
