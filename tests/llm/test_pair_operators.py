@@ -65,6 +65,14 @@ def test_jaccard_over_odd_rows(odd, empty):
     assert kept.columns == odd.columns and kept.where("doc_id = 5").count() == 1 and kept.where("doc_id in (2, 3, 4)").count() == 3 and kept.where("doc_id is null").count() == 1
 
 
+def test_rows_without_words_never_stand_for_a_text(spark):
+    text = "a text of more than five words that must stay"
+    rows = [(1, None), (1, text), (1, " \n"), (1, ""), (2, ""), (2, "another text of words with the same id " * 3), (3, text)]
+    for some in (rows, rows[::-1]):
+        got = [tuple(r) for r in jaccard.one_of_each(spark.createDataFrame(some, "doc_id long, text string").coalesce(1)).collect()]
+        assert sorted(map(repr, got)) == sorted(map(repr, rows[:6]))
+
+
 def test_components_of_a_chain(spark, tmp_path):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in graph.components(e, str(tmp_path / "c")).collect()}

@@ -217,10 +217,12 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id and words, one. Rows without words all stay."""
+    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id that have words, one, by a hash of the text. Rows without words all stay."""
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     found = join(docs, width, percent)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(key.alias("_key")).agg(F.max("n_shingles").alias("_n"))
-    kept = docs.select(F.struct("*").alias("_d"), key.alias("_key")).join(stay, "_key")
-    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    return kept.withColumn("_at", first).where("_at = 1 or _n = 0").select("_d.*")
+    # rows of one id can be with and without words: they are told apart by the text itself
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("_key"), (F.col("n_shingles") > 0).alias("_words")).distinct()
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0d]"), F.lit(False))
+    kept = docs.select(F.struct("*").alias("_d"), key.alias("_key"), words.alias("_words"), F.xxhash64("text").alias("_hash")).join(stay, ["_key", "_words"])
+    first = F.row_number().over(Window.partitionBy("_key", "_words").orderBy("_hash", F.col("_d.text")))
+    return kept.withColumn("_at", first).where("_at = 1 or not _words").select("_d.*")
