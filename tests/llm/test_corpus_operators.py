@@ -72,8 +72,8 @@ def test_model_over_odd_rows(odd, empty):
 
 def test_store_gives_back_what_the_library_encodes(spark, documents, odd, empty, tmp_path):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    docs = documents.select("doc_id", "text").unionAll(odd.where("doc_id is not null").select(F.col("doc_id") + 1000, "text"))
+    special = spark.createDataFrame([(5000, "hello <|endoftext|> there"), (5001, "<|startoftext|><|endoftext|>"), (5002, "a<|ENDOFTEXT|>b <|endoftext|")], "doc_id long, text string")
+    docs = documents.select("doc_id", "text").unionAll(odd.where("doc_id is not null").select(F.col("doc_id") + 1000, "text")).unionAll(special)
     store.write(docs, f"{tmp_path}/s", WORDS)
     rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda x: x[0])
     ids = {}
@@ -105,6 +105,26 @@ def test_store_stores_once_and_sees_damage(spark, tmp_path):
         common.written(spark.read.parquet(f"{tmp_path}/s/{part}"), f"{tmp_path}/t/{part}")
     with pytest.raises(Exception, match="hash"):
         store.read(spark, f"{tmp_path}/t").collect()
+    for part in ("chunks", "manifest"):
+        common.written(spark.read.parquet(f"{tmp_path}/s/{part}"), f"{tmp_path}/u/{part}")
+    common.written(spark.read.parquet(f"{tmp_path}/s/recipes").where("doc_id <> 3"), f"{tmp_path}/u/recipes")
+    with pytest.raises(Exception, match="manifest"):
+        store.read(spark, f"{tmp_path}/u").collect()
+
+
+def test_crc_of_pieces_and_merkle_subtrees(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    pieces = [rng.randbytes(rng.choice([0, 1, 2, 7, 4096, 100_003])) for _ in range(40)]
+    first = np.array([0, 1, 4, 4 + 20, 40])
+    crc, size = np.array([zlib.crc32(x) for x in pieces]), np.array([len(x) for x in pieces])
+    assert store.joined_crc(crc, size, first).tolist() == [zlib.crc32(b"".join(pieces[a:b])) for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert store.joined_crc(crc[:0], size[:0], first[:1]).tolist() == []
+    monkeypatch.setattr(store, "SUBTREE", 4)
+    rows = [(p, i, rng.randbytes(32)) for p, n in enumerate((1, 3, 4, 5, 21)) for i in range(n)]
+    got = store.manifest(spark.createDataFrame(rows, "part int, at long, root binary").withColumn("n_tokens", F.lit(2).cast("long"))).collect()
+    assert {(r["part"], r["n_documents"], r["n_tokens"], bytes(r["root"])) for r in got} == {(p, n, 2 * n, store.merkle([x for q, _, x in rows if q == p])) for p, n in enumerate((1, 3, 4, 5, 21))}
 
 
 def test_words_one_by_one_are_the_whole_text():
@@ -113,7 +133,6 @@ def test_words_one_by_one_are_the_whole_text():
     import pyarrow as pa
 
     e, t = store.Encoder(WORDS), Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     rng = random.Random(2)
     alpha = ["a", "The", " ", "\n", "é", "É", "ß", "漢字", "　", "\x85", "\x1c", "'s", "'LL", "'", "12", "²", "\U0001f642", "!!", "--", "_", "ing.", "x,", "\xa0", "İ", "ΑΣ", "é", "<|endoftext|>", "\x01", "\x00", "|", "…", "a…."]
     texts = ["".join(rng.choice(alpha) for _ in range(rng.randint(0, 12))) for _ in range(2000)]

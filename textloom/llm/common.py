@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -37,9 +39,11 @@ def fold(n: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which the driver and all executors see. Where the setting is missing (tests) it is set to a folder of the warehouse."""
+    """A new folder under spark.checkpoint.dir, which the driver and all executors see. Where the setting is missing, one machine uses a folder of the warehouse, a cluster raises an error."""
     base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
 
@@ -50,6 +54,38 @@ def written(df: DataFrame, path: str, options: dict[str, str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that written() made and nothing reads any more, wherever its file system is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+
+
+_given_back = 0.0
+
+
+def give_back(pause: float = 1.0) -> None:
+    """Give free memory of this Python worker back to the system, at most once in so many seconds: an idle worker else keeps the most that it ever held."""
+    global _given_back
+    if time.monotonic() - _given_back < pause:
+        return
+    _given_back = time.monotonic()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library; it frees as it likes
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """run, a function of Arrow batches, giving memory back when the last batch is done."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back(0)
+
+    return inner
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str | None = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the column's (with None the last one's) texts have about limit bytes; one longer text stays whole."""
     for b in batches:

@@ -8,10 +8,9 @@ the root of them all. Reading checks chunks against their names and recipes
 against the manifest.
 
 Files, below one folder: ``chunks`` (hash, n, ids: little-endian unsigned
-16-bit, or 32-bit for larger vocabularies; null where a chunk occurs once
-more, refs: where), ``recipes`` (part, doc_id, copy, start, n_tokens, root,
-hashes), ``manifest`` (part, first_start, n_documents, root). All are written
-and read by Spark.
+16-bit, or 32-bit for larger vocabularies), ``recipes`` (part, at, doc_id,
+copy, start, n_tokens, root, hashes), ``manifest`` (part, n_tokens,
+n_documents, root, first_start). All are written and read by Spark.
 """
 
 from __future__ import annotations
@@ -22,9 +21,12 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,12 +46,16 @@ MAX_WORDS = 600_000
 TOGETHER = 4096
 
 
+#: Documents and bytes of hashes in a range of recipes, about; documents of a Merkle subtree, a power of two.
+RANGE_DOCS, RANGE_BYTES, SUBTREE = 200_000, 32 << 20, 1 << 14
+
+
 class Encoder:
     """Ids of the words of many texts by the tokenizers library, each word asked for once.
 
-    The vocabulary's text steps lower-case, split at white space, and part
-    letters from punctuation, so a text's ids are those of its pieces one
-    after the other. A file with other steps gets its texts whole.
+    Where the file's steps allow, texts are cut into words that the steps never
+    join; special tokens that a text spells get their ids, as the library gives
+    them, and what stands around one is encoded by itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -59,11 +65,16 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         steps = json.dumps(spec["normalizer"]), json.dumps(spec["pre_tokenizer"])
         mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self.by_word = json.dumps(_BY_WORD) in steps[1] and "Removed" in steps[1] and '"Lowercase"' in steps[0] and len(mark) == 1
+        added = spec["added_tokens"]
+        plain = all(x["special"] and not (x["normalized"] or x["single_word"] or x["lstrip"] or x["rstrip"]) for x in added)
+        # a special token must not be a piece of its own, or it could stand in a list of words
+        parts = [len(_pieces(*common.utf8(pa.array([x["content"].lower()])))[0]) for x in added]
+        self.by_word = plain and all(n > 1 for n in parts) and json.dumps(_BY_WORD) in steps[1] and "Removed" in steps[1] and '"Lowercase"' in steps[0] and len(mark) == 1
+        self.special = {x["content"]: x["id"] for x in added}
+        self.spelt = regex.compile("|".join(sorted(map(regex.escape, self.special), key=len, reverse=True))) if added else None
         self.mark = mark[0] if mark else -1
         self._clear()
 
@@ -101,6 +112,23 @@ class Encoder:
         if not self.by_word:
             got = [[*e.ids, end] for e in self.tokenizer.encode_batch_fast(column.to_pylist(), add_special_tokens=False)]
             return np.array([x for g in got for x in g], np.int64), np.concatenate([[0], np.cumsum([len(g) for g in got])]).astype(np.int64)
+        if not self.special or not any(pc.any(pc.match_substring(column, x)).as_py() for x in self.special):
+            return self._encode(column, np.full(len(column), end, np.int64))
+        stretches, after, first = [], [], [0]
+        for text in column.to_pylist():
+            at = 0
+            for m in self.spelt.finditer(text):
+                stretches.append(text[at : m.start()])
+                after.append(self.special[m.group()])
+                at = m.end()
+            stretches.append(text[at:])
+            after.append(end)
+            first.append(len(after))
+        ids, begin = self._encode(pa.array(stretches, pa.string()), np.array(after, np.int64))
+        return ids, begin[first]
+
+    def _encode(self, column: pa.Array, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with its own id of after behind it, and where each text's begin (one more entry)."""
         buf, off = common.utf8(column)
         buf = common.lower(buf)
         starts, ends, first = _pieces(buf, off)
@@ -124,9 +152,10 @@ class Encoder:
         total = np.concatenate([[0], np.cumsum(n)])
         per = total[first[1:]] - total[first[:-1]] + 1
         begin = np.concatenate([[0], np.cumsum(per)])
-        out = np.full(int(begin[-1]), end, np.int64)
+        out = np.empty(int(begin[-1]), np.int64)
         inner = np.ones(len(out), bool)
         inner[begin[1:] - 1] = False
+        out[~inner] = after
         out[inner] = self.ids[common.ragged(at, n)]
         return out, begin
 
@@ -156,6 +185,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+@lru_cache(2)
+def _width(path: str) -> int:
+    """Bytes of an id in the store."""
+    from tokenizers import Tokenizer
+
+    return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
+
+
 _MIX = common.mix(np.arange(1 << 16, dtype=np.uint64))
 
 
@@ -183,110 +220,130 @@ def merkle(hashes: list[bytes]) -> bytes:
     return level[0]
 
 
+def _names(hashes: bytes) -> list[bytes]:
+    return [hashes[i : i + 32] for i in range(0, len(hashes), 32)]
+
+
+def manifest(recipes: DataFrame) -> DataFrame:
+    """(part, n_tokens, n_documents, root) of each range of recipes: the Merkle root over its documents' roots.
+
+    Subtrees of SUBTREE documents are hashed first, each in a task of its own,
+    then their roots; as they are whole trees, the root is that of all leaves.
+    """
+
+    def rooted(group: pa.Table) -> pa.Table:
+        g = group.sort_by("at")
+        return pa.table({"part": g.column("part")[:1], "at": g.column("next")[:1], "n_tokens": [sum(g.column("n_tokens").to_pylist())], "n_documents": [sum(g.column("n_documents").to_pylist())], "root": pa.array([merkle(g.column("root").to_pylist())], pa.binary())})
+
+    schema = "part int, at long, n_tokens long, n_documents long, root binary"
+    leaves = recipes.select("part", "at", F.floor(F.col("at") / SUBTREE).alias("next"), "n_tokens", F.lit(1).cast("long").alias("n_documents"), "root")
+    trees = leaves.groupBy("part", "next").applyInArrow(rooted, schema)
+    trees = trees.withColumn("next", F.lit(0).cast("long")).groupBy("part").applyInArrow(rooted, schema)
+    return trees.drop("at")
+
+
 def write(docs: DataFrame, folder: str, path: str, end: int = END) -> None:
     """Encode every whole text and write the store.
 
-    A null or empty text is the end id alone. Repeated ids keep one recipe
-    each (``copy`` tells them apart); a null id comes first; an empty table
-    gives an empty store; other columns are not looked at. Chunks are
-    shuffled once, by their hash, after each batch has put its own repeats
-    together; of recipes only the hashes move, to ranges of ids.
+    A null or empty text is the end id alone; a very long text is encoded by
+    itself, its ids cut like all others. Repeated ids keep one recipe each
+    (``copy`` tells them apart within a range); a null id comes first; an empty
+    table gives an empty store; other columns are not looked at. Each batch
+    sends a chunk once, tasks put their batches' chunks together, and what is
+    left meets by its hash; of recipes only the hashes move, to ranges of ids.
+    The number of ranges follows the input.
     """
     common.ready(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         width = np.uint16 if e.size <= 1 << 16 else np.uint32
-        w, row = width().itemsize, TaskContext.get().partitionId() << 40
+        w = width().itemsize
         for b in common.slices(batches, limit=2 << 20):
             ids, begin = e.encode(b.column("text"), end)
             at = cuts(ids, begin)
-            edges = np.concatenate([at, [len(ids)]])
+            edges = (np.concatenate([at, [len(ids)]]) * w).tolist()
             raw = ids.astype(width).tobytes()
-            of = np.searchsorted(begin, at, "right") - 1
-            nth = np.arange(len(at)) - np.searchsorted(at, begin[:-1])[of]
-            docs_of = b.column("doc_id").to_pylist()
-            data: dict[bytes, bytes] = {}
-            refs: dict[bytes, list] = {}
-            for i, d in enumerate(of.tolist()):
-                piece = raw[edges[i] * w : edges[i + 1] * w]
-                name = hashlib.sha256(piece).digest()
-                data[name] = piece
-                refs.setdefault(name, []).append((docs_of[d], row + d, int(nth[i])))
-            row += b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(list(data), pa.binary()), pa.array(list(data.values()), pa.binary()), pa.array([len(x) // w for x in data.values()], pa.int32()), pa.array(list(refs.values()), pa.list_(pa.struct([("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int32())])))], ["hash", "ids", "n", "refs"])
+            pieces = [raw[x:y] for x, y in pairwise(edges)]
+            names = [hashlib.sha256(x).digest() for x in pieces]
+            data = dict(zip(names, pieces, strict=True))
+            first = np.searchsorted(at, begin).tolist()
+            recipes = [b"".join(names[x:y]) for x, y in pairwise(first)]
+            m, n = len(data), b.num_rows
+            blank = lambda k, kind: pa.nulls(k, kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(x) for x in ([pa.array(list(data), pa.binary()), blank(n, pa.binary())], [pa.array(list(data.values()), pa.binary()), blank(n, pa.binary())], [blank(m, pa.int64()), b.column("doc_id")], [blank(m, pa.int64()), pa.array(np.diff(begin), pa.int64())], [blank(m, pa.binary()), pa.array(recipes, pa.binary())])],
+                ["hash", "ids", "doc_id", "n_tokens", "hashes"],
+            )
 
     zstd = {"compression": "zstd"}
-    sent = common.texts(docs).mapInArrow(encode, "hash binary, ids binary, n int, refs array<struct<doc_id:long,row:long,at:int>>")
-    once = F.row_number().over(Window.partitionBy("hash").orderBy(F.element_at("refs", 1)["row"])) == 1
-    chunks = common.written(sent.withColumn("ids", F.when(once, F.col("ids"))), f"{folder}/chunks", zstd)
-    each = chunks.select("hash", "n", F.explode("refs").alias("r")).groupBy("r.doc_id", "r.row").agg(F.array_sort(F.collect_list(F.struct("r.at", "hash", "n"))).alias("c"))
-    rows = each.select("doc_id", F.aggregate("c.n", F.lit(0).cast("long"), lambda s, x: s + x).alias("n"), F.aggregate("c.hash", F.lit(b""), lambda s, x: F.concat(s, x)).alias("hashes"))
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "hashes")
+    texts = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    sent = common.written(texts.mapInArrow(common.tidy(encode), "hash binary, ids binary, doc_id long, n_tokens long, hashes binary"), f"{folder}/sent", zstd)
+    # chunks of one name have the same bytes, so whichever comes first will do
+    once = sent.where("hash is not null").groupBy("hash").agg(F.first("ids").alias("ids"))
+    common.written(once.select("hash", (F.octet_length("ids") / F.lit(_width(path))).cast("int").alias("n"), "ids"), f"{folder}/chunks", zstd)
+
+    rows = sent.where("hashes is not null").select("doc_id", "n_tokens", "hashes", F.xxhash64("hashes").alias("tie"))
+    size = rows.agg(F.count("*"), F.sum(F.octet_length("hashes"))).first()
+    parts = max(1, -(-size[0] // RANGE_DOCS), -(-(size[1] or 0) // RANGE_BYTES))
+    # only ids and their ties are sampled for the ranges' edges; rows of one id may lie in several ranges
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order, "hashes").drop("tie")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Starts within the range; the range's first start follows when all are known."""
-        part, start, last, copy, seen = TaskContext.get().partitionId(), 0, None, 0, False
+        part, at, start, last, copy = TaskContext.get().partitionId(), 0, 0, (), 0
         for b in batches:
             starts, copies, roots = [], [], []
-            for doc, n, hashes in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n", "hashes")), strict=True):
-                copy = copy + 1 if seen and doc == last else 0
-                seen = True
-                last = doc
+            for doc, n, hashes in zip(*(b.column(c).to_pylist() for c in ("doc_id", "n_tokens", "hashes")), strict=True):
+                copy = copy + 1 if last == (doc,) else 0
+                last = (doc,)
                 starts.append(start)
                 copies.append(copy)
                 start += n
-                roots.append(merkle([hashes[i : i + 32] for i in range(0, len(hashes), 32)]))
-            yield pa.RecordBatch.from_arrays([pa.array([part] * b.num_rows, pa.int32()), b.column("doc_id"), pa.array(copies, pa.int32()), pa.array(starts, pa.int64()), b.column("n"), pa.array(roots, pa.binary()), b.column("hashes")], ["part", "doc_id", "copy", "start", "n_tokens", "root", "hashes"])
+                roots.append(merkle(_names(hashes)))
+            place = pa.array(np.arange(at, at + b.num_rows))
+            at += b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array([part] * b.num_rows, pa.int32()), place, b.column("doc_id"), pa.array(copies, pa.int32()), pa.array(starts, pa.int64()), b.column("n_tokens"), pa.array(roots, pa.binary()), b.column("hashes")], ["part", "at", "doc_id", "copy", "start", "n_tokens", "root", "hashes"])
 
-    ordered = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "hashes").mapInArrow(number, "part int, doc_id long, copy int, start long, n_tokens long, root binary, hashes binary")
-    recipes = common.written(ordered, f"{folder}/recipes", zstd)
+    recipes = common.written(rows.mapInArrow(common.tidy(number), "part int, at long, doc_id long, copy int, start long, n_tokens long, root binary, hashes binary"), f"{folder}/recipes", zstd)
+    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    common.written(manifest(recipes).withColumn("first_start", F.coalesce(F.sum("n_tokens").over(w), F.lit(0))), f"{folder}/manifest")
+    common.removed(docs.sparkSession, f"{folder}/sent")
 
-    def rooted(group: pa.Table) -> pa.Table:
-        g = group.sort_by("start")
-        return pa.table({"part": g.column("part")[:1], "n_tokens": [sum(g.column("n_tokens").to_pylist())], "n_documents": [g.num_rows], "root": pa.array([merkle(g.column("root").to_pylist())], pa.binary())})
 
-    made = recipes.select("part", "start", "n_tokens", "root").groupBy("part").applyInArrow(rooted, "part int, n_tokens long, n_documents long, root binary")
-    w = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    common.written(made.withColumn("first_start", F.coalesce(F.sum("n_tokens").over(w), F.lit(0))), f"{folder}/manifest")
-
-
-def _combined(a: int, b: int, n: int) -> int:
-    """The crc32 of two byte strings laid end to end, from their own and the second one's length."""
-    for m in _zeros(n):
-        a = _times(m, a)
-    return a ^ b
-
-
-@lru_cache(4096)
-def _zeros(n: int) -> tuple:
-    """Matrices over GF(2) that carry a crc32 over n zero bytes."""
-    out, m = [], _byte()
-    while n:
-        if n & 1:
-            out.append(m)
-        m = tuple(_times(m, x) for x in m)
-        n >>= 1
-    return tuple(out)
-
-
-def _times(m: tuple, x: int) -> int:
-    out, i = 0, 0
-    while x:
-        if x & 1:
-            out ^= m[i]
-        x >>= 1
-        i += 1
+def _times(m: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The products over GF(2) of a matrix, given by its 32 columns, with vectors of 32 bits."""
+    out = np.zeros_like(x)
+    for i in range(32):
+        out ^= np.where(x >> np.uint32(i) & np.uint32(1), m[i], np.uint32(0))
     return out
 
 
-@lru_cache(1)
-def _byte() -> tuple:
-    bit = (0xEDB88320, *(1 << i for i in range(31)))
-    for _ in range(3):
-        bit = tuple(_times(bit, x) for x in bit)
-    return bit
+@lru_cache(64)
+def _zeros(k: int) -> np.ndarray:
+    """What carries a crc32 over 2**k zero bytes: for each of its four bytes a table of 256."""
+    m = np.array([0xEDB88320, *(1 << i for i in range(31))], np.uint32)  # one bit
+    for _ in range(k + 3):
+        m = _times(m, m)
+    byte = np.arange(256, dtype=np.uint32)
+    return np.stack([_times(m, byte << np.uint32(8 * i)) for i in range(4)])
+
+
+def joined_crc(crc: np.ndarray, size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The crc32 of documents from those of their pieces and the pieces' bytes; first: each document's first piece (one more entry; every document has one).
+
+    A piece's crc is carried over as many zero bytes as follow it in its
+    document; the sum of what comes out, over GF(2), is the document's.
+    """
+    end = np.concatenate([[0], np.cumsum(size)])
+    rest = np.repeat(end[first[1:]], np.diff(first)) - end[1:]
+    out = crc.astype(np.uint32)
+    for k in range(int(rest.max(initial=0)).bit_length()):
+        at = np.flatnonzero(rest >> k & 1)
+        x, t = out[at], _zeros(k)
+        out[at] = t[0, x & 255] ^ t[1, x >> 8 & 255] ^ t[2, x >> 16 & 255] ^ t[3, x >> 24]
+    return np.bitwise_xor.reduceat(out, first[:-1]) if len(first) > 1 else out
 
 
 def read(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
@@ -294,8 +351,8 @@ def read(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
 
     Each chunk is read once, checked against its name, and gives a crc32 and a
     length, of which a recipe's are put together; recipes are checked against
-    their Merkle root. What does not agree fails the query. wide: chunks of
-    32-bit ids.
+    their Merkle root, and ranges against the manifest. What does not agree
+    fails the query. wide: chunks of 32-bit ids.
     """
     common.ready(spark)
     kind = np.uint32 if wide else np.uint16
@@ -308,40 +365,45 @@ def read(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
             ids = [np.frombuffer(d, kind).astype("<u4") for d in data]
             yield pa.RecordBatch.from_arrays([b.column("hash"), pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64()), pa.array([len(x) for x in ids], pa.int64())], ["hash", "crc", "n"])
 
-    sums = spark.read.parquet(f"{folder}/chunks").where("ids is not null").select("hash", "ids").mapInArrow(summed, "hash binary, crc long, n long")
-    recipes = spark.read.parquet(f"{folder}/recipes")
+    sums = spark.read.parquet(f"{folder}/chunks").select("hash", "ids").mapInArrow(common.tidy(summed), "hash binary, crc long, n long")
+    # a range has fewer than 2**32 recipes: its number and a recipe's place in it are one key
+    recipes = spark.read.parquet(f"{folder}/recipes").withColumn("key", F.shiftleft(F.col("part").cast("long"), 32).bitwiseOR(F.col("at")))
     size = (F.octet_length("hashes") / 32).cast("int")
-    each = recipes.select("part", "doc_id", "copy", "hashes", F.explode(F.sequence(F.lit(0), size - 1)).alias("at"))
-    each = each.select("part", "doc_id", "copy", "at", F.substring("hashes", F.col("at") * 32 + 1, F.lit(32)).alias("hash"))
-    told = each.join(sums, "hash", "left").groupBy("part", "doc_id", "copy").agg(F.array_sort(F.collect_list(F.struct("at", "crc", "n"))).alias("chunks"))
-    keyed = recipes.select("part", "doc_id", "copy", "start", "n_tokens", "root", "hashes").alias("r").join(told.alias("t"), [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("part", "doc_id", "copy")])
-    keyed = keyed.select("r.*", "t.chunks").join(F.broadcast(spark.read.parquet(f"{folder}/manifest").select("part", "first_start")), "part")  # a row for each range of ids
+    each = recipes.select("key", "hashes", F.explode(F.sequence(F.lit(0), size - 1)).alias("at"))
+    each = each.select("key", "at", F.substring("hashes", F.col("at") * 32 + 1, F.lit(32)).alias("hash"))
+    told = each.join(sums, "hash", "left").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", "crc", "n"))).alias("chunks"))
+    kept = spark.read.parquet(f"{folder}/manifest").alias("k").join(manifest(recipes).alias("f"), "part", "left")
+    same = F.col("k.root").eqNullSafe(F.col("f.root")) & F.col("k.n_documents").eqNullSafe(F.col("f.n_documents"))
+    wrong = F.raise_error(F.lit("the recipes of a range do not agree with the manifest")).cast("long")
+    kept = kept.select("part", F.when(same, F.col("first_start")).otherwise(wrong).alias("first_start"))
+    keyed = recipes.select("key", "part", "doc_id", "start", "n_tokens", "root", "hashes").join(told, "key").join(kept, "part")
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            crcs = []
-            for n, root, hashes, chunks in zip(*(b.column(c).to_pylist() for c in ("n_tokens", "root", "hashes", "chunks")), strict=True):
-                if any(c["n"] is None for c in chunks) or sum(c["n"] for c in chunks) != n or merkle([hashes[i : i + 32] for i in range(0, len(hashes), 32)]) != root:
-                    raise ValueError("a recipe does not agree with its chunks or its root")
-                crc = 0
-                for c in chunks:
-                    crc = _combined(crc, c["crc"], 4 * c["n"])
-                crcs.append(crc)
-            start = np.array(b.column("start").to_pylist(), np.int64) + np.array(b.column("first_start").to_pylist(), np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(start), b.column("n_tokens"), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+            if not b.num_rows:
+                continue
+            chunks, n = b.column("chunks"), b.column("n_tokens").to_numpy()
+            first = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset : chunks.offset + len(chunks) + 1].astype(np.int64)
+            part = chunks.flatten()
+            size, crc = part.field("n"), part.field("crc")
+            first -= first[0]
+            if size.null_count or (np.add.reduceat(size.to_numpy(), first[:-1]) != n).any() or any(merkle(_names(h)) != r for h, r in zip(b.column("hashes").to_pylist(), b.column("root").to_pylist(), strict=True)):
+                raise ValueError("a recipe does not agree with its chunks or its root")
+            start = b.column("start").to_numpy() + b.column("first_start").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(start), b.column("n_tokens"), pa.array(joined_crc(crc.to_numpy(), 4 * size.to_numpy(), first).astype(np.int64))], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return keyed.select("doc_id", "start", "n_tokens", "root", "hashes", "chunks", "first_start").mapInArrow(joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return keyed.select("doc_id", "start", "n_tokens", "root", "hashes", "chunks", "first_start").mapInArrow(common.tidy(joined), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def rebuilt(spark: SparkSession, folder: str, among: Column, wide: bool = False) -> DataFrame:
     """(doc_id, copy, ids) of the recipes that ``among`` chooses."""
     recipes = spark.read.parquet(f"{folder}/recipes").where(among)
-    each = recipes.select("doc_id", "copy", F.explode(F.sequence(F.lit(0), (F.octet_length("hashes") / 32).cast("int") - 1)).alias("at"), "hashes")
-    each = each.select("doc_id", "copy", "at", F.substring("hashes", F.col("at") * 32 + 1, F.lit(32)).alias("hash")).join(spark.read.parquet(f"{folder}/chunks").where("ids is not null").select("hash", "ids"), "hash")
+    each = recipes.select("part", "doc_id", "copy", F.explode(F.sequence(F.lit(0), (F.octet_length("hashes") / 32).cast("int") - 1)).alias("at"), "hashes")
+    each = each.select("part", "doc_id", "copy", "at", F.substring("hashes", F.col("at") * 32 + 1, F.lit(32)).alias("hash")).join(spark.read.parquet(f"{folder}/chunks").select("hash", "ids"), "hash")
     kind = np.uint32 if wide else np.uint16
 
     def whole(group: pa.Table) -> pa.Table:
         g = group.sort_by("at")
         return pa.table({"doc_id": g.column("doc_id")[:1], "copy": g.column("copy")[:1], "ids": pa.array([np.frombuffer(b"".join(g.column("ids").to_pylist()), kind).astype(np.int32)], pa.list_(pa.int32()))})
 
-    return each.groupBy("doc_id", "copy").applyInArrow(whole, "doc_id long, copy int, ids array<int>")
+    return each.groupBy("part", "doc_id", "copy").applyInArrow(whole, "doc_id long, copy int, ids array<int>")
