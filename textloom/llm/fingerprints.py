@@ -21,6 +21,8 @@ LANES, WIDE = 0x0001000100010001, 0x0000FFFF0000FFFF
 #: Terms of one partial count; less than 2**15, so that no lane overflows.
 SEGMENT = 14
 RADIUS, BLOCKS = 3, 5
+#: Ranges of a group are numbered below this.
+_GROUP = 1 << 24
 
 
 def terms(text: Column) -> Column:
@@ -55,7 +57,31 @@ def likeness(a: Column, b: Column) -> Column:
     return F.greatest(F.lit(0.0), F.cos(F.bit_count(a.bitwiseXOR(b)) * F.lit(3.141592653589793 / 64)))
 
 
-def with_next(docs: DataFrame, per_bucket: int = 400, most: int = 4096) -> DataFrame:
+def _ranges(d: DataFrame, per_bucket: int, most: int) -> DataFrame:
+    """d with ``bucket`` and ``_next``: the range that ``_o`` is in, and at a range's largest id the range after it.
+
+    Edges are ids that occur, found in two steps: quantiles of all ids make
+    groups, quantiles in each group its ranges. Their number follows the table
+    up to ``most``; the edges, 8 bytes each, go with the tasks, so they have at
+    most 8 * most bytes.
+    """
+    k = max(1, min(most, ceil(d.count() / per_bucket)))
+    step = max(1, ceil(sqrt(k)))
+    at = [(i + 1) / step for i in range(step)]
+    got = d.agg(F.percentile_approx("_o", at, max(10_000, 4 * step)).alias("p"), F.max("_o").alias("m")).first()
+    groups = sorted({*(got["p"] or ()), *([] if got["m"] is None else [got["m"]])}) or [0]
+    edges = F.array(*[F.lit(x).cast("long") for x in groups])
+    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col("_o")))
+    d = d.withColumn("_g", below(edges))
+    inner = d.groupBy("_g").agg(F.array_sort(F.array_distinct(F.concat(F.percentile_approx("_o", at, max(1000, 4 * step)), F.array(F.max("_o"))))).alias("_edges"))
+    d = d.join(F.broadcast(inner), "_g").withColumn("_i", below(F.col("_edges")))
+    number = lambda g, i: g.cast("long") * _GROUP + i
+    after = F.when(F.col("_i") + 1 < F.size("_edges"), number(F.col("_g"), F.col("_i") + 1)).otherwise(number((F.col("_g") + 1) % len(groups), F.lit(0)))
+    edge = F.element_at("_edges", F.col("_i") + 1) == F.col("_o")
+    return d.withColumn("bucket", number(F.col("_g"), F.col("_i"))).withColumn("_next", F.when(edge, after)).drop("_g", "_i", "_edges")
+
+
+def with_next(docs: DataFrame, per_bucket: int = 400, most: int = 1 << 20) -> DataFrame:
     """(doc_id, text) with ``next_text``, the text that follows in descending order of ids, the first after the last; and ``bucket``, ``rank``, which tell the rows apart, and ``extra``.
 
     Ids are cut into ranges at ids that occur; the row with a range's largest
@@ -64,20 +90,9 @@ def with_next(docs: DataFrame, per_bucket: int = 400, most: int = 4096) -> DataF
     are ordered by their texts; a null id comes last.
     """
     d = common.texts(docs).withColumn("_o", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")))
-    n = d.count()
-    k = max(1, min(most, ceil(n / per_bucket)))
-    got = d.agg(F.percentile_approx("_o", [(i + 1) / k for i in range(k)], max(10_000, 4 * k)).alias("p"), F.max("_o").alias("m")).first()
-    bounds = sorted({*(got["p"] or ()), *([] if got["m"] is None else [got["m"]])}) or [0]
-    step = max(1, ceil(sqrt(len(bounds))))
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    literal = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
-    below = lambda xs: F.size(F.filter(xs, lambda b: b < F.col("_o")))
-    group = below(literal([g[-1] for g in groups]))
-    bucket = group * step + below(F.element_at(F.array(*[literal(g) for g in groups]), group + 1))
-    d = d.withColumn("_b", bucket)
-    edge = F.element_at(literal(bounds), F.col("_b") + 1) == F.col("_o")
-    both = F.array(F.struct(F.col("_b").alias("bucket"), F.lit(False).alias("extra")), F.struct(((F.col("_b") + 1) % len(bounds)).alias("bucket"), F.lit(True).alias("extra")))
-    d = d.select("*", F.explode(F.when(edge, both).otherwise(F.slice(both, 1, 1))).alias("_p")).select("doc_id", "text", "_o", "_p.*")
+    d = _ranges(d, per_bucket, most)
+    both = F.array(F.struct("bucket", F.lit(False).alias("extra")), F.struct(F.col("_next").alias("bucket"), F.lit(True).alias("extra")))
+    d = d.select("doc_id", "text", "_o", F.explode(F.when(F.col("_next").isNotNull(), both).otherwise(F.slice(both, 1, 1))).alias("_p")).select("doc_id", "text", "_o", "_p.*")
     w = Window.partitionBy("bucket").orderBy("extra", F.desc("_o"), "text")
     return d.select("doc_id", "text", "bucket", "extra", F.row_number().over(w).alias("rank"), F.lead("text").over(w).alias("next_text"))
 
@@ -88,7 +103,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     A null text counts as empty, an empty text has fingerprint 0; of equal ids
     each row counts by itself; an empty table gives an empty result; a single
     document is its own next; other columns are not looked at. The texts are
-    shuffled once, by ranges of ids; everything else happens where they are.
+    shuffled once, by ranges of ids; everything else happens where they are. A
+    very long text's terms are counted in segments; its row is in memory whole.
     """
     d = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
@@ -102,7 +118,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """prints (with ``fingerprint``) once for each choice of blocks - radius blocks: ``table``, and ``key``, the fingerprint with those blocks in front and the others cut off. Two fingerprints within the radius agree in some table's key."""
+    """prints (with ``fingerprint``) once for each choice of blocks - radius blocks: ``table``, and ``key``, the fingerprint with those blocks in front and the others cut off. Two fingerprints within the radius agree in some table's key. An empty table gives an empty result; repeated rows stay; a null fingerprint has null keys."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     rows = []
     for t, chosen in enumerate(combinations(range(blocks), blocks - radius)):
@@ -114,8 +130,17 @@ def block_tables(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS)
     return prints.select("*", F.explode(F.array(*rows)).alias("_t")).select("*", "_t.*").drop("_t")
 
 
-def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """All pairs (query, fingerprint, distance) of distinct fingerprints within the radius: queries has ``query``, prints has ``fingerprint``. Equal fingerprints are one, so that a group of copies is one entry whatever its size."""
+def blocks_for(prints: int, radius: int = RADIUS) -> int:
+    """How many blocks to cut fingerprints into: so many that a key, of all but radius of them, has about as many values as there are fingerprints. More blocks make longer keys and more tables; all find the same."""
+    blocks = radius + 2
+    while 64 * (blocks - radius) // blocks < prints.bit_length() - 2:
+        blocks += 1
+    return blocks
+
+
+def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
+    """All pairs (query, fingerprint, distance) of distinct fingerprints within the radius: queries has ``query``, prints has ``fingerprint``. Equal fingerprints are one, so that a group of copies is one entry whatever its size; of empty tables there are no pairs; null fingerprints match nothing. Without a number of blocks it follows the number of prints."""
+    blocks = blocks or blocks_for(prints.count(), radius)
     q = block_tables(queries.select(F.col("query").alias("fingerprint")).distinct(), radius, blocks).withColumnRenamed("fingerprint", "query")
     p = block_tables(prints.select("fingerprint").distinct(), radius, blocks)
     far = F.bit_count(F.col("query").bitwiseXOR(F.col("fingerprint")))

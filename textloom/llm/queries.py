@@ -58,7 +58,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = prints.where("doc_id % 100 = 0").select(F.col("fingerprint").alias("query"))
     sizes = prints.groupBy("fingerprint").agg(F.count("*").alias("n"))
     near = fingerprints.within(asked, prints).join(sizes, "fingerprint").groupBy("query").agg(F.sum("n").alias("n"))
-    out = prints.withColumn("query", F.when(F.col("doc_id") % 100 == 0, F.col("fingerprint"))).join(near, "query", "left")
+    # rows that are no queries go past the join: they have no key, and would all meet in one task
+    is_asked = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
+    out = prints.where(is_asked).join(near.withColumnRenamed("query", "fingerprint"), "fingerprint", "left")
+    out = out.unionByName(prints.where(~is_asked).withColumn("n", F.lit(None).cast("long")))
     text = lambda c: F.lower(F.lpad(F.hex(c), 16, "0")).alias(c)
     like = lambda c: fingerprints.likeness(F.col("fingerprint"), F.col(c))
     return out.select("doc_id", "n_chars", "edited_sha256", text("fingerprint"), text("edited_fingerprint"), like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"), (F.col("n") - 1).alias("near_docs"))
