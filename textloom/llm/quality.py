@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Bounds of the sample that is learned from: labelled documents, and the bytes of their texts.
-TRAIN_DOCS, TRAIN_BYTES = 2500, 8 << 20
+#: Bounds of the sample that is learned from: labelled documents, the bytes of their texts, and of one text.
+TRAIN_DOCS, TRAIN_BYTES, TRAIN_LONGEST = 3000, 12 << 20, 1 << 20
+#: Bytes of a long text whose passages are looked at together.
+SECTION = 1 << 20
 #: Words of a passage.
 PASSAGE = 48
 #: Documents with this score or more are kept.
@@ -67,6 +69,20 @@ def passages(buf: np.ndarray, off: np.ndarray, words: int = PASSAGE) -> tuple[np
     return np.concatenate([np.sqrt(two / scale), np.sqrt(one / scale), extra], 1).astype(np.float32), begin
 
 
+def sections(buf: np.ndarray, words: int = PASSAGE, limit: int = SECTION) -> Iterator[np.ndarray]:
+    """One text's bytes in sections of about limit bytes, each a number of whole passages; stretches without so many words stay whole."""
+    at, size = 0, limit
+    while at + size < len(buf):
+        starts = common.word_spans(buf[at : at + size], np.array([0, size]))[0]
+        whole = max(0, len(starts) - 1) // words * words
+        if whole:
+            yield buf[at : at + starts[whole]]
+            at, size = at + int(starts[whole]), limit
+        else:
+            size *= 2
+    yield buf[at:]
+
+
 @dataclass
 class Model:
     mean: np.ndarray
@@ -74,23 +90,36 @@ class Model:
     p: dict[str, np.ndarray]
     prior: float = 0.5
 
-    def encode(self, x: np.ndarray, begin: np.ndarray):
+    def hidden(self, x: np.ndarray):
         p = self.p
         z = (x - self.mean) * self.scale
         h = np.tanh(z @ p["enc"] + p["enc0"])
         v, u = np.tanh(h @ p["tanh"]), 1 / (1 + np.exp(-np.clip(h @ p["gate"], -30, 30)))
-        e = (v * u) @ p["att"]
-        n = np.diff(begin)
+        return z, h, v, u, (v * u) @ p["att"]
+
+    def encode(self, x: np.ndarray, begin: np.ndarray):
+        z, h, v, u, e = self.hidden(x)
+        return z, h, v, u, *self.pooled(h, e, begin)
+
+    def pooled(self, h: np.ndarray, e: np.ndarray, begin: np.ndarray):
+        p, n = self.p, np.diff(begin)
         top = np.maximum.reduceat(e, begin[:-1])
         w = np.exp(e - np.repeat(top, n))
         a = w / np.repeat(np.add.reduceat(w, begin[:-1]), n)
         pooled = np.add.reduceat(a[:, None] * h, begin[:-1], axis=0)
-        return z, h, v, u, a, pooled, pooled @ p["out"] + p["out0"]
+        return a, pooled, pooled @ p["out"] + p["out0"]
 
-    def score(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    def score(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """The scores of texts, given by their bytes and where each begins (one more entry). Of one long text, only the passages' encodings are in memory together."""
         if not self.p:
-            return np.full(len(begin) - 1, self.prior)
-        return 1 / (1 + np.exp(-np.clip(self.encode(x, begin)[-1], -60, 60).astype(np.float64)))
+            return np.full(len(off) - 1, self.prior)
+        if len(off) == 2 and len(buf) > SECTION:
+            parts = [self.hidden(passages(x, np.array([0, len(x)]))[0])[1::3] for x in sections(buf)]
+            h, e = (np.concatenate(x) for x in zip(*parts, strict=True))
+            out = self.pooled(h, e, np.array([0, len(e)]))[-1]
+        else:
+            out = self.encode(*passages(buf, off))[-1]
+        return 1 / (1 + np.exp(-np.clip(out, -60, 60).astype(np.float64)))
 
 
 def fit(x: np.ndarray, begin: np.ndarray, label: np.ndarray, hidden: int = 24, gates: int = 12, epochs: int = 60, seed: int = 7) -> Model:
@@ -98,7 +127,7 @@ def fit(x: np.ndarray, begin: np.ndarray, label: np.ndarray, hidden: int = 24, g
     if not len(label) or label.min() == label.max():
         return Model(np.zeros(FEATURES), np.ones(FEATURES), {}, float(label.mean()) if len(label) else 0.5)
     rng = np.random.default_rng(seed)
-    m = Model(x.mean(0), 1 / (x.std(0) + 0.05), {})
+    m = Model(x.mean(0, dtype=np.float32), 1 / (x.std(0, dtype=np.float32) + np.float32(0.05)), {})
     d = x.shape[1]
     m.p = {"enc": rng.normal(0, d**-0.5, (d, hidden)), "enc0": np.zeros(hidden), "tanh": rng.normal(0, hidden**-0.5, (hidden, gates)), "gate": rng.normal(0, hidden**-0.5, (hidden, gates)), "att": rng.normal(0, 0.3, gates), "out": rng.normal(0, hidden**-0.5, hidden), "out0": np.zeros(1)}
     m.p = {k: v.astype(np.float32) for k, v in m.p.items()}
@@ -109,7 +138,7 @@ def fit(x: np.ndarray, begin: np.ndarray, label: np.ndarray, hidden: int = 24, g
             n = np.diff(begin)[part]
             rows = common.ragged(begin[part], n)
             at = np.concatenate([[0], np.cumsum(n)])
-            z, h, v, u, a, pooled, out = m.encode(x[rows], at)
+            z, h, v, u, a, pooled, out = m.encode(x[rows].astype(np.float32), at)
             g = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - label[part]).astype(np.float32) / len(part)
             p = m.p
             gp = g[:, None] * p["out"]
@@ -134,9 +163,11 @@ def learn(docs: DataFrame, labels: DataFrame, among=None, max_docs: int = TRAIN_
     """A model from labels (doc_id, quality) and the texts of docs.
 
     The sample: labelled documents in the order of a hash of their id, at most
-    max_docs, and of those as many whole texts as max_bytes hold. ``among`` is
-    a condition on doc_id. Null labels or ids are left out, null texts count
-    as empty, and of repeated ids each row counts.
+    max_docs, and of those, but for texts longer than TRAIN_LONGEST, whole
+    texts in that order until max_bytes are full. ``among`` is a condition on
+    doc_id. Null labels or ids are left out, null texts count as empty, of
+    repeated ids each row counts, ties are broken by the id, and an empty
+    table gives a model that scores all texts alike.
     """
     common.ready(docs.sparkSession)
     lab = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -148,9 +179,12 @@ def learn(docs: DataFrame, labels: DataFrame, among=None, max_docs: int = TRAIN_
     sizes = own.select("doc_id", F.octet_length("text").alias("n")).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(max_docs).collect()
     fits, room = [], max_bytes
     for r in sizes:
-        if r["n"] <= room:
-            room -= r["n"]
-            fits.append(r["doc_id"])
+        if r["n"] > TRAIN_LONGEST:
+            continue
+        room -= r["n"]
+        if room < 0:
+            break
+        fits.append(r["doc_id"])
     if not fits:
         return fit(np.zeros((0, FEATURES)), np.zeros(1, np.int64), np.zeros(0))
     got = own.where(F.col("doc_id").isin(fits)).orderBy(F.xxhash64(F.lit("quality"), "doc_id"), "doc_id").limit(max_docs).toArrow()
@@ -158,16 +192,21 @@ def learn(docs: DataFrame, labels: DataFrame, among=None, max_docs: int = TRAIN_
     for b in common.slices(got.select(["text"]).to_batches(), limit=256 << 10):  # bounds what the driver holds beside the features
         x, at = passages(*common.utf8(b.column("text")))
         begin.extend((at[1:] + begin[-1]).tolist())
-        parts.append(x)
+        parts.append(x.astype(np.float16))  # shares of one: three digits are enough to learn from
     del got
-    return fit(np.concatenate(parts), np.array(begin), np.array([float(drawn[i] > 0) for i in ids]))
+    model = fit(np.concatenate(parts), np.array(begin), np.array([float(drawn[i] > 0) for i in ids]))
+    del parts
+    common.give_back(0)
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     """docs with ``score`` (0 to 1) and ``predicted`` (1 at keep or more) after its columns, which are passed on as they are; a column named score or predicted before gives way.
 
     Every passage of every text is encoded. Null and empty texts are one empty
-    passage. Map-only.
+    passage. A very long text goes through in sections; what is kept of each
+    passage is its encoding. Repeated rows each get their score; an empty table
+    gives an empty result. Map-only.
     """
     common.ready(docs.sparkSession)
     d = docs.drop("score", "predicted")
@@ -175,8 +214,7 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices((b.append_column("_text", b.column("text").fill_null("")) for b in batches), None, 1 << 20):
-            x, begin = passages(*common.utf8(b.column(b.num_columns - 1)))
-            s = model.score(x, begin)
+            s = model.score(*common.utf8(b.column(b.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s), pa.array((s >= keep).astype(np.int32))], [*b.schema.names[:-1], "score", "predicted"])
 
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(common.tidy(run), schema)

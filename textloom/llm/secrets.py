@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -298,12 +299,17 @@ def scan(data: bytes, auto: Automaton | None = None) -> list[tuple[int, int, int
 
 
 def found(text: str, auto: Automaton | None = None) -> list[tuple[int, int, int]]:
-    """As scan(), with starts and ends in code points."""
+    """As scan(), with starts and ends in code points, which are counted once from begin to end."""
     data = text.encode("utf-8", "surrogatepass")
     hits = scan(data, auto)
-    if len(data) == len(text):
+    if len(data) == len(text) or not hits:
         return hits
-    return [(i, a := len(data[:s].decode("utf-8", "surrogatepass")), a + len(data[s:e].decode("utf-8", "surrogatepass"))) for i, s, e in hits]
+    leads = np.frombuffer(data, np.uint8) & 0xC0 != 0x80
+    place, last, n = {}, 0, 0
+    for at in sorted({x for _, *span in hits for x in span}):
+        n += int(np.count_nonzero(leads[last:at]))
+        place[at], last = n, at
+    return [(i, place[s], place[e]) for i, s, e in hits]
 
 
 SCHEMA = "doc_id long, spans array<struct<kind:string,start:int,end:int>>"
@@ -314,7 +320,8 @@ def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 
     A null text counts as empty and has no spans; repeated rows give repeated
     rows; an empty table gives an empty result; other columns are not looked at.
-    Map-only: no shuffle, whatever the size.
+    A very long text takes time and memory in proportion to its length. Map-only:
+    no shuffle, whatever the size.
     """
     common.ready(docs.sparkSession)
     auto = compiled(rules)
@@ -324,7 +331,7 @@ def scan_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
             spans = [[{"kind": rules[i].name, "start": s, "end": e} for s, i, e in sorted((s, i, e) for i, s, e in found(t, auto))] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))], ["doc_id", "spans"])
 
-    return common.texts(docs).mapInArrow(run, SCHEMA)
+    return common.texts(docs).mapInArrow(common.tidy(run), SCHEMA)
 
 
 def listed(spans: list[tuple[str, int, int]]) -> str:
