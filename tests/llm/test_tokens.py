@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -45,25 +46,33 @@ def test_ragged(parts):
     assert common.ragged(starts, lens).tolist() == [s + k for s, n in parts for k in range(n)]
 
 
-def test_exchange_adds_up_over_blocks(spark, monkeypatch, tmp_path):
+@pytest.mark.parametrize(("digit", "fan", "keys"), [(8, 256, 1 << 20), (2, 4, 16), (2, 4, 2)])
+def test_exchange_adds_up_over_blocks(spark, monkeypatch, tmp_path, digit, fan, keys):
+    """In one step, in two and in four, with a second level of other sizes, of which the totals must be the same."""
+    for name, value in (("DIGIT", digit), ("FAN", fan), ("BUCKET_KEYS", keys)):
+        monkeypatch.setattr(tokens, name, value)
     texts = [f"common w{i} w{i % 7} w{i % 3}" for i in range(300)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(12)
     table = tokens.blocks(docs.withColumns({"kind": (F.col("doc_id") % 2).cast("int"), "flag": F.lit(0)}), f"{tmp_path}/b")
 
     def ask(row):
         *_, distinct, index = tokens.read_block(row)
         n = np.bincount(index, minlength=len(distinct))
-        return [(distinct, n, np.zeros(len(n)))]
+        return [(distinct[:0], n[:0], n[:0]), (distinct, n, np.zeros(len(n))), (distinct[::2], n[::2], n[::2] > 1)]
 
     def use(row, answer):
         *_, distinct, _ = tokens.read_block(row)
-        return pa.table({"key": distinct.view(np.int64), "n": answer[0][0].astype(np.int64)})
+        assert 0 not in answer and (answer[2][0] <= answer[1][0][::2]).all() and (answer[2][1] <= answer[2][0]).all()
+        return pa.table({"key": distinct.view(np.int64), "n": answer[1][0].astype(np.int64)})
 
-    told = tokens.totals(table, ask, [8], f"{tmp_path}/t")
+    assert len(tokens.digits_for(300)) == {1 << 20: 1, 16: 3, 2: 4}[keys]
+    told = tokens.totals(table, ask, [0, 300, 20], f"{tmp_path}/t")
+    assert told.where("receiver is not null").groupBy("level", "receiver").count().agg(F.max("count")).first()[0] <= fan
     got = {(r["key"], r["n"]) for r in tokens.answered(table, told, use, "key long, n long").collect()}
     want = Counter(w for t in texts for w in t.split())
     words = list(want)
     buf, off = common.utf8(pa.array(words))
     h = common.span_hashes(buf, off[:-1], off[1:]).view(np.int64).tolist()
     assert table.count() >= 2 and got == {(k, want[w]) for k, w in zip(h, words, strict=True)}
-    assert told.agg(F.sum("distinct")).first()[0] == len(words)
+    assert told.where("level = 1").agg(F.sum("distinct")).first()[0] == len(words)
+    assert {x.name for x in tmp_path.iterdir()} == {"b", "t"}

@@ -218,7 +218,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 back.append(hashlib.sha256(b"".join(decoded)).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(back)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return common.texts(docs).mapInArrow(run, SCHEMA)
+    return common.texts(docs).mapInArrow(common.tidy(run), SCHEMA)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -230,7 +230,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in common.slices(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([v.encode(t) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return common.texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return common.texts(docs).mapInArrow(common.tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -242,7 +242,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([v.decode(i or ()).decode("utf-8", "replace") for i in b.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(common.tidy(run), "doc_id long, text string")
 
 
 def stage(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -270,4 +270,4 @@ def stage(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([y - x for x, y in zip(off, off[1:])], pa.int64()), ids], [*b.schema.names[:-1], "n_tokens", "token_ids"])
 
-    return d.mapInArrow(run, schema)
+    return d.mapInArrow(common.tidy(run), schema)

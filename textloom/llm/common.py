@@ -48,9 +48,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/textloom-{uuid.uuid4().hex}"
 
 
+#: With this setting Spark deletes a query's shuffle files when the query is done.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, path: str, options: dict[str, str] | None = None) -> DataFrame:
-    """df as a Parquet table at path, read again: a cut of the lineage that survives lost executors."""
-    df.write.options(**(options or {})).mode("overwrite").parquet(path)
+    """df as a Parquet table at path, read again: a cut of the lineage that survives lost executors. Nothing needs the shuffles behind the table any more, so their files go at once; the session's own setting is put back."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**(options or {})).mode("overwrite").parquet(path)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -215,7 +215,7 @@ def find(docs: DataFrame, benchmark: DataFrame, max_items: int = MAX_ITEMS) -> D
                 ids = b.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[r[1]] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.int64())], ["doc_id", "item_id", "similarity", "first_word"])
 
-        part = common.texts(docs).withColumn("text", F.lower("text")).mapInArrow(run, SCHEMA)
+        part = common.texts(docs).withColumn("text", F.lower("text")).mapInArrow(common.tidy(run), SCHEMA)
         out = part if out is None else out.unionAll(part)
     return out
 
@@ -232,5 +232,5 @@ def without(docs: DataFrame, benchmark: DataFrame, max_items: int = MAX_ITEMS) -
                 bad = {r[0] for r in leaks(index, common.span_hashes(buf, starts, ends), first)}
                 yield b.select(range(b.num_columns - 1)).filter(pa.array([i not in bad for i in range(b.num_rows)]))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(common.tidy(run), docs.schema)
     return docs

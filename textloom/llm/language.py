@@ -168,7 +168,7 @@ def learn(labelled: DataFrame, per_language: int = TRAIN_DOCS, max_cells: int =
                 key, n = np.unique(code * 257 + s, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key)), pa.array(key), pa.array(n)], ["lang", "key", "n"])
 
-    grams = drawn.select("lang", "text").mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
+    grams = drawn.select("lang", "text").mapInArrow(common.tidy(count), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
     langs = np.array(grams.column("lang").to_pylist())
     key, n = grams.column("key").to_numpy(), grams.column("n").to_numpy()
     return train({lang: (key[langs == lang], n[langs == lang]) for lang in sorted(set(langs))}, max_cells)
@@ -208,4 +208,4 @@ def identify(docs: DataFrame, trees: Trees, held_out=None) -> DataFrame:
             )
 
     held = F.lit(False) if held_out is None else held_out
-    return common.texts(docs).withColumn("held_out", held).mapInArrow(run, SCHEMA)
+    return common.texts(docs).withColumn("held_out", held).mapInArrow(common.tidy(run), SCHEMA)

@@ -127,10 +127,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
                 out[0] = [out[0][0] + int(words[flags == TRAIN].sum()), out[0][1] + int(words[flags == DELETED_FLAG].sum()), out[0][2] + int(words.sum())]
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in out[0]], ["a", "b", "c"])
 
-    sums = table.select("flags", "words").mapInArrow(count, "a long, b long, c long").agg(F.sum("a"), F.sum("b"), F.sum("c")).first()
+    sums = table.select("flags", "words").mapInArrow(common.tidy(count), "a long, b long, c long").agg(F.sum("a"), F.sum("b"), F.sum("c")).first()
     kept, held, every = (int(x or 0) for x in sums)
-    levels = [tokens.buckets_for(every // 4), tokens.buckets_for(every)]
-    told = tokens.totals(table, _ask, levels, f"{folder}/totals")
+    told = tokens.totals(table, _ask, [every // 4, every], f"{folder}/totals")
     # the start is counted as a context only
     vocabulary = int(told.where("level = 0").agg(F.sum("distinct")).first()[0] or 0) - (1 if kept + held else 0)
     n = kept + held
@@ -141,7 +140,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         code, count = np.unique((bucket.astype(np.int64) << 40) + ((step(pair) + 20000) << 20) + step(one) + 20000, return_counts=True)
         return pa.table({"code": code, "n": count.astype(np.int64)})
 
-    got = tokens.answered(table.where("kind = 1"), told.join(table.where("kind = 1").select("block"), "block", "left_semi"), cells, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    got = tokens.answered(table.where("kind = 1"), told.join(table.where("kind = 1").select(F.col("block").alias("receiver")), "receiver", "left_semi"), cells, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
     weights = learn_weights([(c >> 40, (c >> 20 & 0xFFFFF) - 20000, (c & 0xFFFFF) - 20000, k) for c, k in got])
 
     def scores(row: dict, answer: dict) -> pa.Table:

@@ -1,20 +1,29 @@
 """Word streams in blocks, and global counts of their keys.
 
 A block holds some megabytes of documents as word hashes. Counting keys (words,
-word pairs, shingles) over all blocks takes one exchange: each block sends its
+word pairs, shingles) over all blocks takes an exchange: each block sends its
 distinct keys with its own counts, sorted and packed, to the bucket that the
 key's leading bits name; a bucket adds them up and sends each block the totals
 of what it asked for, in the order it asked. So a key that every document
 holds is sent once a block, and no row is made for a single word.
+
+A block sends to FAN buckets at most. Where more are needed, groups of about
+FAN blocks put their keys together first, a group for each of the FAN buckets;
+what they have is sent on by the next bits of the key, and the totals come
+back the same way. So rows grow in proportion to the blocks, no task hears
+from more than some FAN others, and a key that all documents hold has become
+one of a few groups' keys where it is added up.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +32,9 @@ from . import common
 
 #: Bytes of text in a block, and keys that a bucket adds up, about. Both bound the memory of a task.
 BLOCK_BYTES, BUCKET_KEYS = 6 << 20, 1 << 20
+#: Leading bits of a key by which one step deals, and so the rows that a block sends at most.
+DIGIT = 8
+FAN = 1 << DIGIT
 BLOCKS = "block long, kind int, n long, ids binary, flags binary, words binary, distinct binary, index binary"
 
 
@@ -87,7 +99,7 @@ def blocks(rows: DataFrame, path: str) -> DataFrame:
         for kind in list(held):
             yield block(kind)
 
-    return common.written(rows.select("doc_id", "text", "kind", "flag").mapInArrow(run, BLOCKS), path, options={"compression": "zstd"})
+    return common.written(rows.select("doc_id", "text", "kind", "flag").mapInArrow(common.tidy(run), BLOCKS), path, options={"compression": "zstd"})
 
 
 def read_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -96,68 +108,133 @@ def read_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return unpack(row["ids"], np.int64), unpack(row["flags"], np.int8), np.concatenate([[0], np.cumsum(words)]), unpack_keys(row["distinct"]), unpack(row["index"], np.uint32).astype(np.int64)
 
 
-def buckets_for(keys: int) -> int:
-    """A power of two: that many leading bits name a bucket."""
-    return 1 << max(0, (max(1, keys) // BUCKET_KEYS).bit_length())
+def digits_for(keys: int) -> list[int]:
+    """How many leading bits each step deals by. One step, with all its buckets from some millions of keys on, reaches to FAN * BUCKET_KEYS."""
+    if keys <= FAN * BUCKET_KEYS:
+        return [min(DIGIT, (max(1, keys) * 8 // BUCKET_KEYS).bit_length())]
+    bits = (keys // BUCKET_KEYS).bit_length()
+    return [min(DIGIT, bits - i) for i in range(0, bits, DIGIT)]
+
+
+SENT = "level int, prefix long, part long, sender long, keys binary, counts binary"
+TOLD = "level int, prefix long, part long, receiver long, counts binary, distinct long"
+
+
+def _deal(level: int, keys: np.ndarray, counts: np.ndarray, done: int, bits: int, groups: int, sender: int) -> Iterator[tuple]:
+    """Rows (as SENT) of keys that agree in their first done bits, by the next bits. The part is one of groups, by a hash of the sender."""
+    total = done + bits
+    prefix = keys >> np.uint64(64 - total) if total else np.zeros(len(keys), np.uint64)
+    cut = np.flatnonzero(np.diff(prefix, prepend=~prefix[:1]))
+    part = int(common.mix(np.array([sender], np.uint64))[0] % np.uint64(groups))
+    for a, b in pairwise([*cut.tolist(), len(keys)]):
+        yield level, int(prefix[a]), part, sender, pack_keys(keys[a:b]), pack(counts[:, a:b].ravel())
+
+
+def _sent(rows: Iterable[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * 6
+    return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int32(), *[pa.int64()] * 3, *[pa.binary()] * 2], strict=True)], ["level", "prefix", "part", "sender", "keys", "counts"])
+
+
+def _merged(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All keys, sorted and distinct; the place of each one's own among them, one list after the other; and where lists begin."""
+    every, place = np.unique(np.concatenate(keys), return_inverse=True)
+    return every, place, np.concatenate([[0], np.cumsum([len(k) for k in keys])])
 
 
-def totals(table: DataFrame, keys_of: Callable, levels: list[int], path: str) -> DataFrame:
-    """The exchange. keys_of(row) gives for each level the sorted distinct keys of a block and two arrays of its own counts; levels: the number of buckets of each level.
+def _summed(group: pa.Table, kind: type) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A group of SENT rows, their counts being numbers of that kind: senders, all keys, the places of theirs, where those begin, and both counts of all keys."""
+    every, place, edges = _merged([unpack_keys(k.as_py()) for k in group.column("keys")])
+    both = np.concatenate([unpack(c.as_py(), kind).reshape(2, -1) for c in group.column("counts")], axis=1)
+    total = np.stack([np.bincount(place, c, len(every)) for c in both]).astype(np.uint64)
+    return group.column("sender").to_pylist(), every, place, edges, total
 
-    The result, a table at path: (block, bucket, counts), counts being the
-    totals of both counts for the block's keys in that bucket, one after the
-    other; and for each bucket a row with block null, distinct and its level:
-    how many keys have a count at all. Bucket numbers of a level follow those
-    of the level before.
+
+def _told(level: int, prefix: int, senders: list[int], place: np.ndarray, edges: np.ndarray, total: np.ndarray) -> pa.Table:
+    """Each sender's totals, and a row without receiver: how many keys have a count at all."""
+    n = len(senders)
+    blobs = [pack(total[:, place[edges[i] : edges[i + 1]]].ravel()) for i in range(n)]
+    columns = [[level] * (n + 1), [prefix] * (n + 1), [0] * (n + 1), [*senders, None], [*blobs, None], [None] * n + [int((total.sum(0) > 0).sum())]]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int32(), *[pa.int64()] * 3, pa.binary(), pa.int64()], strict=True)], ["level", "prefix", "part", "receiver", "counts", "distinct"])
+
+
+def totals(table: DataFrame, keys_of: Callable, sizes: list[int], path: str) -> DataFrame:
+    """The exchange. keys_of(row) gives for each level the sorted distinct keys of a block and two arrays of its own counts; sizes: about how many keys each level has.
+
+    The result, a table at path: (level, prefix, receiver, counts), counts
+    being the totals of both counts for the keys of the block ``receiver``
+    that have the prefix, one after the other; and for each bucket a row with
+    receiver null and distinct: how many keys have a count at all. Of an empty
+    table the result is empty.
     """
-    common.ready(table.sparkSession)
-    first = np.concatenate([[0], np.cumsum(levels)])
+    spark = table.sparkSession
+    common.ready(spark)
+    digits = [digits_for(n) for n in sizes]
+    steps = max(map(len, digits))
+    digits = [[*d, *[0] * (steps - len(d))] for d in digits]
+    done = [np.concatenate([[0], np.cumsum(d)]).tolist() for d in digits]
+    n = table.count() if steps > 1 else 1
+    kinds = [np.uint32, *[np.uint64] * steps]  # a block's counts are small, those of many may not be
+    groups = [max(1, -(-n // FAN ** (i + 1))) if i + 1 < steps else 1 for i in range(steps)]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                out: dict[str, list] = {"bucket": [], "block": [], "keys": [], "counts": []}
-                for level, (keys, one, two) in enumerate(keys_of(row)):
-                    bits = levels[level].bit_length() - 1
-                    cuts = np.searchsorted(keys, np.arange(1, levels[level], dtype=np.uint64) << np.uint64(64 - bits)) if bits else []
-                    edges = [0, *cuts, len(keys)]
-                    for i in range(levels[level]):
-                        s = slice(edges[i], edges[i + 1])
-                        if edges[i] < edges[i + 1]:
-                            out["bucket"].append(int(first[level]) + i)
-                            out["block"].append(row["block"])
-                            out["keys"].append(pack_keys(keys[s]))
-                            out["counts"].append(pack(np.concatenate([one[s], two[s]]).astype(np.uint32)))
-                yield pa.RecordBatch.from_pydict(out, pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]))
+                rows = (x for level, (keys, *counts) in enumerate(keys_of(row)) if len(keys) for x in _deal(level, keys, np.stack(counts).astype(kinds[0]), 0, digits[level][0], groups[0], row["block"]))
+                yield from _sent(rows).to_batches()
+
+    sent = [table.mapInArrow(common.tidy(ask), SENT)]
+
+    def together(i: int) -> Callable:
+        def run(group: pa.Table) -> pa.Table:
+            level, prefix, part = (group.column(c)[0].as_py() for c in ("level", "prefix", "part"))
+            _, every, _, _, total = _summed(group, kinds[i - 1])
+            return _sent(_deal(level, every, total, done[level][i], digits[level][i], groups[i], prefix << 32 | part))
+
+        return run
+
+    for i in range(1, steps):
+        sent[-1] = common.written(sent[-1], f"{path}-sent{i}", {"compression": "zstd"})
+        sent.append(sent[-1].groupBy("level", "prefix", "part").applyInArrow(together(i), SENT))
 
     def answer(group: pa.Table) -> pa.Table:
-        bucket = group.column("bucket")[0].as_py()
-        keys = [unpack_keys(k.as_py()) for k in group.column("keys")]
-        counts = [unpack(c.as_py(), np.uint32).reshape(2, -1) for c in group.column("counts")]
-        every = np.concatenate(keys)
-        order = np.argsort(every, kind="stable")
-        new = np.diff(every[order], prepend=~every[order[:1]]) != 0
-        place = np.empty(len(every), np.int64)
-        place[order] = np.cumsum(new) - 1
-        both = np.concatenate(counts, axis=1).astype(np.float64)
-        total = np.stack([np.bincount(place, c, int(new.sum())) for c in both]).astype(np.uint64)
-        edges = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
-        blobs = [pack(total[:, place[edges[i] : edges[i + 1]]].ravel()) for i in range(len(keys))]
-        level = int(np.searchsorted(first, bucket, "right")) - 1
-        return pa.Table.from_pydict(
-            {"block": [*group.column("block").to_pylist(), None], "bucket": [bucket] * (len(keys) + 1), "counts": [*blobs, None], "level": [level] * (len(keys) + 1), "distinct": [None] * len(keys) + [int((total.sum(0) > 0).sum())]},
-            pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("level", pa.int32()), ("distinct", pa.int64())]),
-        )
-
-    asked = table.mapInArrow(ask, "bucket int, block long, keys binary, counts binary")
-    told = asked.groupBy("bucket").applyInArrow(answer, "block long, bucket int, counts binary, level int, distinct long")
-    return common.written(told, path, options={"compression": "zstd"})
+        senders, _, place, edges, total = _summed(group, kinds[steps - 1])
+        common.give_back()
+        return _told(group.column("level")[0].as_py(), group.column("prefix")[0].as_py(), senders, place, edges, total)
+
+    told = common.written(sent.pop().groupBy("level", "prefix", "part").applyInArrow(answer, TOLD), path if steps == 1 else f"{path}-told{steps}", {"compression": "zstd"})
+    distinct = told.where("receiver is null")
+
+    def on(i: int) -> Callable:
+        """The totals of a group of senders, from what its own buckets told it."""
+
+        def run(group: pa.Table) -> pa.Table:
+            asked = group.filter(pc.is_valid(group.column("keys")))
+            back = group.filter(pc.is_null(group.column("keys"))).sort_by("sender")
+            senders, _, place, edges, _ = _summed(asked, kinds[i - 1])
+            total = np.concatenate([unpack(c.as_py(), np.uint64).reshape(2, -1) for c in back.column("counts")], axis=1)
+            return _told(asked.column("level")[0].as_py(), asked.column("prefix")[0].as_py(), senders, place, edges, total).slice(0, len(senders))
+
+        return run
+
+    for i in range(steps - 1, 0, -1):
+        back = told.where("receiver is not null")
+        # a child's prefix puts what it told in the order of keys
+        back = back.select("level", F.shiftright("receiver", 32).alias("prefix"), F.col("receiver").bitwiseAND(F.lit(0xFFFFFFFF)).alias("part"), F.col("prefix").alias("sender"), F.lit(None).cast("binary").alias("keys"), "counts")
+        up = sent.pop().unionByName(back).groupBy("level", "prefix", "part").applyInArrow(on(i), TOLD)
+        last = i == 1
+        told = common.written(up.unionByName(distinct) if last else up, path if last else f"{path}-told{i}", {"compression": "zstd"})
+        common.removed(spark, f"{path}-sent{i}")
+        if not last:
+            continue
+        for k in range(2, steps + 1):
+            common.removed(spark, f"{path}-told{k}")
+    return told
 
 
 def answered(table: DataFrame, told: DataFrame, use: Callable, schema: str) -> DataFrame:
     """use(row of a block, totals) for every block, totals being for each level the two arrays that totals() found for the block's keys, in the order of its keys. use gives record batches."""
-    own = table.withColumn("part", F.lit(-1)).withColumn("counts", F.lit(None).cast("binary"))
-    back = told.where(F.col("block").isNotNull()).select("block", F.col("bucket").alias("part"), "counts", "level")
+    own = table.withColumn("part", F.lit(-1).cast("long")).withColumn("counts", F.lit(None).cast("binary"))
+    back = told.where("receiver is not null").select(F.col("receiver").alias("block"), F.col("prefix").alias("part"), "counts", "level")
     cols = [c for c in table.columns if c != "block"]
     both = own.withColumn("level", F.lit(-1)).unionByName(back, allowMissingColumns=True).select("block", "part", "level", "counts", *cols)
 
@@ -166,6 +243,8 @@ def answered(table: DataFrame, told: DataFrame, use: Callable, schema: str) -> D
         levels: dict[int, list] = {}
         for r in rows[1:]:
             levels.setdefault(r["level"], []).append(unpack(r["counts"], np.uint64).reshape(2, -1))
-        return use(rows[0], {level: np.concatenate(parts, axis=1) for level, parts in levels.items()})
+        out = use(rows[0], {level: np.concatenate(parts, axis=1) for level, parts in levels.items()})
+        common.give_back()
+        return out
 
     return both.groupBy("block").applyInArrow(run, schema)
