@@ -3,15 +3,17 @@
 A document is the set of its five-word shingles. Two sets whose Jaccard
 similarity reaches the threshold share a token among the first
 n - ceil(t n) + 1 tokens of each, under any order of all tokens. The orders
-used go by document frequency, rare tokens first, and differ by the hash that
-breaks ties. Shingles that only one document holds fill prefixes without ever
-making a candidate, so most documents need no more than their frequencies.
+used all begin with the tokens that only one document holds, which fill
+prefixes without ever making a candidate, and go on by classes of document
+frequency: single frequencies, factors of 4, factors of 16; within a class each
+has its own random order. Candidates of every order come from its own lists of
+prefix tokens; what all orders have in common is verified.
 
 Components are found without making all pairs of a group: equal sets are one;
-documents that agree in a minimum hash are compared with leaders, in salted
-groups of bounded size, and the leaders again under another hash; leaders with
-each other; and at last all documents of different components that share a
-prefix token under every order, where what is left behind the token is enough.
+documents that agree in a minimum hash are put to leaders, in salted groups of
+bounded size, by the same filters and the same verification, and the leaders
+again under another hash; then the lists give candidates among leaders, and at
+last among all documents of different components.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ from pyspark.sql import functions as F
 from . import common, graph, tokens
 
 WIDTH, PERCENT = 5, 75
-ORDERS = tuple(np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0))
-#: Documents of one salted group, on average, and the minimum hashes by which groups are made, one after the other.
-GROUP = 256
-HASHES = tuple(np.uint64(x) for x in (0x082EFA98EC4E6C89, 0x452821E638D01377, 0xBE5466CF34E90C6C))
+#: The orders: the factor of two whose powers bound a class of frequencies (0: each its own), and what mixes a class.
+ORDERS = ((0, np.uint64(0x243F6A8885A308D3)), (2, np.uint64(0x13198A2E03707344)), (4, np.uint64(0xA4093822299F31D0)))
+#: Documents of one salted group, on average, and how many minimum hashes are looked at together.
+GROUP, HASHES = 64, 3
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -68,10 +70,13 @@ def _ask(row: dict, width: int, bits: int):
     return [(keys, count, np.zeros(len(keys)))]
 
 
-def _prefix(shared: np.ndarray, df: np.ndarray, n: int, order: np.uint64, percent: int) -> np.ndarray:
-    """The tokens of a prefix that another document may hold. shared: the set's tokens with a document frequency over one; the others come before them in every order."""
+def _prefix(shared: np.ndarray, df: np.ndarray, n: int, order: tuple[int, np.uint64], percent: int) -> np.ndarray:
+    """The tokens of a prefix that another document may hold, in the order. shared: the set's tokens with a document frequency over one; the others come before them in every order."""
+    fold, seed = order
     q = prefix_length(n, percent) - (n - len(shared))
-    return shared[np.lexsort((common.mix(shared ^ order), df))[:q]] if q > 0 else shared[:0]
+    if q <= 0:
+        return shared[:0]
+    return shared[np.lexsort((common.mix(shared ^ seed), np.frexp(df)[1] // fold if fold else df))[:q]]
 
 
 SETS = "doc_id long, n long, h1 long, h2 long, shared binary, df binary"
@@ -100,74 +105,142 @@ def _sets(row: dict, answer: dict, width: int, bits: int, percent: int) -> pa.Ta
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    return len(np.intersect1d(a, b, assume_unique=True))
+    """How many tokens two sorted sets share."""
+    if len(a) < len(b):
+        a, b = b, a
+    return int(np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)) if len(b) else 0
 
 
-def _arrays(row: dict, end: str = "") -> tuple[np.ndarray, np.ndarray, int]:
-    return np.frombuffer(row["shared" + end], np.uint64), np.frombuffer(row["df" + end], np.uint32), row["n" + end]
+def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, int]:
+    return np.frombuffer(row["shared"], np.uint64), np.frombuffer(row["df"], np.uint32), row["n"]
 
 
-def _candidate(a, b, percent: int) -> bool:
-    """Whether the prefixes meet under every order."""
-    return all(_overlap(np.sort(_prefix(*a, o, percent)), np.sort(_prefix(*b, o, percent))) for o in ORDERS)
+POSTINGS = "order int, token long, class int, left long, doc_id long, n long, comp long"
 
 
 def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """(token, left, doc_id, n, comp) of the first order's prefixes; left: how many of the set's tokens the order has from this one on."""
+    """A row for each order and token of a prefix. left: how many of the set's tokens the order has from this one on; class: of two sets that can be linked, the larger one's is the same or the next."""
+    step = np.log(105 / percent)
     for b in batches:
         for rows in (b.slice(i, 256).to_pylist() for i in range(0, b.num_rows, 256)):
-            prefixes = [_prefix(*_arrays(r), ORDERS[0], percent) for r in rows]
-            size = [len(p) for p in prefixes]
-            of = np.repeat(np.arange(len(rows)), size)
-            take = lambda k: np.array([r[k] for r in rows], np.int64)[of]  # noqa: B023, E731
-            left = np.array([len(r["shared"]) // 8 for r in rows], np.int64)[of] - np.concatenate([np.arange(x) for x in size])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(prefixes).view(np.int64)), pa.array(left), pa.array(take("doc_id")), pa.array(take("n")), pa.array(take("comp"))], ["token", "left", "doc_id", "n", "comp"])
-
-
-def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The minimum hashes of each set's shared tokens."""
+            sets = [_arrays(r) for r in rows]
+            n = np.array([x[2] for x in sets], np.int64)
+            known = {"doc_id": np.array([r["doc_id"] for r in rows], np.int64), "n": n, "comp": np.array([r["comp"] for r in rows], np.int64), "class": np.floor(np.log(n) / step).astype(np.int32)}
+            for i, order in enumerate(ORDERS):
+                prefixes = [_prefix(*x, order, percent) for x in sets]
+                size = [len(p) for p in prefixes]
+                of = np.repeat(np.arange(len(rows)), size)
+                columns = {k: v[of] for k, v in known.items()}
+                columns["order"] = np.full(len(of), i, np.int32)
+                columns["token"] = np.concatenate(prefixes).view(np.int64)
+                columns["left"] = np.array([len(x[0]) for x in sets], np.int64)[of] - np.concatenate([np.arange(x) for x in size]).astype(np.int64)
+                names = [x.split()[0] for x in POSTINGS.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(columns[k]) for k in names], names)
+
+
+def _seed(i: int) -> np.uint64:
+    return common.mix(np.array([0x082EFA98EC4E6C89 + i], np.uint64))[0]
+
+
+def _least(batches: Iterator[pa.RecordBatch], first: int) -> Iterator[pa.RecordBatch]:
+    """HASHES minimum hashes of each set's shared tokens, from the first-th on."""
     for b in batches:
         sets = [np.frombuffer(x, np.uint64) for x in b.column("shared").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array([int(common.mix(x ^ seed).min()) - (1 << 63) for x in sets], pa.int64()) for seed in HASHES]], ["doc_id", *(f"k{i}" for i in range(len(HASHES)))])
+        keys = [pa.array([int(common.mix(x ^ _seed(first + i)).min()) - (1 << 63) for x in sets], pa.int64()) for i in range(HASHES)]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), *keys], ["doc_id", *(f"k{i}" for i in range(HASHES))])
 
 
 def _stars(group: pa.Table, percent: int) -> pa.Table:
-    """One salted group: each document, in the order of ids, joins the first leader that it links to, or becomes one."""
+    """One salted group: each document, in the order of ids, joins the first leader that it links to, or becomes one. Only leaders whose prefixes meet its own under every order are verified."""
     leaders, out = [], []
     for row in sorted(group.select(["doc_id", "n", "shared", "df"]).to_pylist(), key=lambda r: r["doc_id"]):
         a = _arrays(row)
-        for b, leader in leaders:
-            if 100 * min(a[2], b[2]) >= percent * max(a[2], b[2]) and linked(_overlap(a[0], b[0]), a[2], b[2], percent):
+        heads = [np.sort(_prefix(*a, order, percent)) for order in ORDERS]
+        for b, others, leader in leaders:
+            if 100 * min(a[2], b[2]) >= percent * max(a[2], b[2]) and all(map(_overlap, heads, others)) and linked(_overlap(a[0], b[0]), a[2], b[2], percent):
                 out.append((row["doc_id"], leader))
                 break
         else:
-            leaders.append((a, row["doc_id"]))
+            leaders.append((a, heads, row["doc_id"]))
+    common.give_back()
     return pa.table({"doc_id": pa.array([x for x, _ in out], pa.int64()), "comp": pa.array([y for _, y in out], pa.int64())})
 
 
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs with both sets: those that pass the filters of all orders and are linked."""
+    """Those of the pairs with both sets that are linked."""
     for b in batches:
         out = []
         for r in b.to_pylist():
-            x, y = _arrays(r), _arrays(r, "_b")
-            if _candidate(x, y, percent) and linked(_overlap(x[0], y[0]), x[2], y[2], percent):
+            x, y = (np.frombuffer(r[k], np.uint64) for k in ("shared", "shared_b"))
+            if linked(_overlap(x, y), r["n"], r["n_b"], percent):
                 out.append((r["comp"], r["comp_b"]))
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components, from all pairs of sets (doc_id, comp, n, shared, df) in different components that pass the filters."""
-    post = sets.mapInArrow(partial(_postings, percent=percent), "token long, left long, doc_id long, n long, comp long")
-    lists = post.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
-    post = post.join(lists, "token", "left_semi")
-    other = post.select("token", *[F.col(c).alias(c + "_b") for c in ("left", "doc_id", "n", "comp")])
-    # at the first token that two sets share, all that they can share is from there on
+def _candidates(post: DataFrame, percent: int) -> DataFrame:
+    """The pairs (doc_id, doc_b) of different components whose prefixes meet under every order, from POSTINGS; neither side has a set yet.
+
+    A pair is found from its smaller set's side. At the first token that two
+    sets share, all that they can share is from there on, so the smaller one's
+    token has to be near its set's begin (2 n t / (1 + t) tokens from there
+    on). Lists are cut by classes of set sizes as well, so that a token that
+    very many documents hold is no single group.
+    """
+    key = ["order", "token", "class"]
+    # tokens of one component only make no candidates
+    lists = post.groupBy("order", "token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("order", "token")
+    post = post.join(lists, ["order", "token"], "left_semi")
+    small = post.where(F.col("left") * (100 + percent) >= F.col("n") * (2 * percent))
+    large = post.select("order", "token", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"), *[F.col(c).alias(c + "_b") for c in ("left", "doc_id", "n", "comp")])
     enough = F.least("left", "left_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
-    pairs = post.join(other, "token").where((F.col("doc_id") < F.col("doc_id_b")) & (F.col("comp") != F.col("comp_b")) & enough).select("doc_id", F.col("doc_id_b").alias("doc_b")).distinct()
-    right = sets.select(*[F.col(c).alias("doc_b" if c == "doc_id" else c + "_b") for c in ("doc_id", "n", "shared", "df", "comp")])
-    both = pairs.join(sets.select("doc_id", "n", "shared", "df", "comp"), "doc_id").join(right, "doc_b").drop("doc_id", "doc_b")
-    return both.mapInArrow(partial(_verified, percent=percent), "a long, b long").distinct()
+    smaller = F.struct("n", "doc_id") < F.struct(F.col("n_b").alias("n"), F.col("doc_id_b").alias("doc_id"))
+    pairs = small.join(large, key).where((F.col("comp") != F.col("comp_b")) & smaller & enough)
+    met = pairs.groupBy("doc_id", F.col("doc_id_b").alias("doc_b")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("order"))).alias("met"))
+    return met.where(F.col("met") == (1 << len(ORDERS)) - 1).drop("met")
+
+
+def _links(sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Links (a, b) between components, from all pairs of sets (doc_id, comp, n, shared, df) in different components that pass the filters."""
+    spark = sets.sparkSession
+    post = common.written(sets.mapInArrow(common.tidy(partial(_postings, percent=percent)), POSTINGS), f"{folder}-postings", ZSTD)
+    pairs = common.written(_candidates(post, percent), f"{folder}-pairs")
+    common.removed(spark, f"{folder}-postings")
+    right = sets.select(*[F.col(c).alias("doc_b" if c == "doc_id" else c + "_b") for c in ("doc_id", "n", "shared", "comp")])
+    both = pairs.join(sets.select("doc_id", "n", "shared", "comp"), "doc_id").join(right, "doc_b").drop("doc_id", "doc_b")
+    out = common.written(both.mapInArrow(common.tidy(partial(_verified, percent=percent)), "a long, b long").distinct(), f"{folder}-links")
+    common.removed(spark, f"{folder}-pairs")
+    return out
+
+
+ZSTD = {"compression": "zstd"}
+
+
+def _led(able: DataFrame, percent: int, folder: str) -> DataFrame:
+    """(a, b): documents and the leaders that they have joined.
+
+    Each turn groups those that have not joined anyone by another minimum
+    hash. There are HASHES turns at least, and more while groups are larger
+    than GROUP and a good part of their members still joins: so of a group of
+    near copies, whatever its size, few leaders remain.
+    """
+    spark = able.sparkSession
+    members, keys, i = None, None, 0
+    while True:
+        if i % HASHES == 0:
+            keys = common.written(able.select("doc_id", "shared").mapInArrow(common.tidy(partial(_least, first=i)), f"doc_id long, {', '.join(f'k{k} long' for k in range(HASHES))}"), f"{folder}/keys{i}")
+        now = keys.select("doc_id", F.col(f"k{i % HASHES}").alias("key"))
+        if members is not None:
+            now = now.join(members.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
+        sizes = common.written(now.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), f"{folder}/sizes{i}")
+        now = now.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / GROUP))).drop("size")
+        stars = able.drop("comp").join(now, "doc_id").groupBy("key", "salt").applyInArrow(lambda g: _stars(g, percent), "doc_id long, comp long")
+        stars = common.written(stars, f"{folder}/stars{i}").select(F.col("doc_id").alias("a"), F.col("comp").alias("b"))
+        members = stars if members is None else members.unionAll(stars)
+        i += 1
+        if i >= HASHES:
+            large = sizes.where(F.col("size") > GROUP).agg(F.sum("size")).first()[0] or 0
+            if stars.count() * 4 < large or not large:
+                return members
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -175,49 +248,41 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
     Documents without words (null or empty texts) link with nothing. Rows with
     the same id count as linked, and so do those without one; a null id is the
-    smallest and comes back as null. An empty table
-    gives an empty result; other columns are not looked at.
+    smallest and comes back as null. A very long text is one set, in memory
+    whole. Repeated rows each give a row. An empty table gives an empty result;
+    other columns are not looked at.
     """
     spark = docs.sparkSession
     folder = common.shared_folder(spark)
-    zstd = {"compression": "zstd"}
     table = tokens.blocks(common.texts(docs).withColumns({"kind": F.lit(0), "flag": F.lit(0)}), f"{folder}/blocks")
     total = int(table.agg(F.sum("n")).first()[0] or 0)
     bits = min(64, max(1, total).bit_length() + 12)  # frequencies may be of a few tokens together: then a token only counts as less rare
-    told = tokens.totals(table, partial(_ask, width=width, bits=bits), [tokens.buckets_for(total)], f"{folder}/totals")
-    sets = common.written(tokens.answered(table, told, partial(_sets, width=width, bits=bits, percent=percent), SETS), f"{folder}/sets", zstd)
+    told = tokens.totals(table, partial(_ask, width=width, bits=bits), [total], f"{folder}/totals")
+    sets = common.written(tokens.answered(table, told, partial(_sets, width=width, bits=bits, percent=percent), SETS), f"{folder}/sets", ZSTD)
+    for name in ("blocks", "totals"):
+        common.removed(spark, f"{folder}/{name}")
 
     classes = sets.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     able = sets.where("shared is not null").join(classes.select("h1", "h2", F.col("rep").alias("doc_id")), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
-    able = common.written(able.drop("h1", "h2").withColumn("comp", F.col("doc_id")), f"{folder}/able", zstd)
-
-    keys = common.written(able.select("doc_id", "shared").mapInArrow(_least, f"doc_id long, {', '.join(f'k{i} long' for i in range(len(HASHES)))}"), f"{folder}/keys")
-    members = None  # (doc_id, comp): who has joined a leader, a row for each turn
-    for i in range(len(HASHES)):
-        now = keys.select("doc_id", F.col(f"k{i}").alias("key"))
-        if members is not None:
-            now = now.join(members.select("doc_id"), "doc_id", "left_anti")
-        sizes = now.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        now = now.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / GROUP))).drop("size")
-        stars = able.drop("comp").join(now, "doc_id").groupBy("key", "salt").applyInArrow(lambda g: _stars(g, percent), "doc_id long, comp long")
-        stars = common.written(stars, f"{folder}/stars{i}")
-        members = stars if members is None else members.unionAll(stars)
-    chains = graph.components(members.select(F.col("doc_id").alias("a"), F.col("comp").alias("b")), f"{folder}/chains").withColumnRenamed("node", "doc_id")
+    able = common.written(able.drop("h1", "h2").withColumn("comp", F.col("doc_id")), f"{folder}/able", ZSTD)
+    chains = graph.components(_led(able, percent, folder), f"{folder}/chains").withColumnRenamed("node", "doc_id")
 
     # leaders with each other, then all documents of components that are still apart
     led = able.drop("comp").join(chains, "doc_id", "left").withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
-    roots = graph.components(_links(led.where("comp = doc_id"), percent), f"{folder}/leaders").withColumnRenamed("node", "comp")
+    roots = graph.components(_links(led.where("comp = doc_id"), percent, f"{folder}/a"), f"{folder}/leaders").withColumnRenamed("node", "comp")
     merged = led.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
-    last = graph.components(_links(merged, percent), f"{folder}/components").withColumnRenamed("node", "comp")
+    last = graph.components(_links(merged, percent, f"{folder}/b"), f"{folder}/components").withColumnRenamed("node", "comp")
     member = merged.select("doc_id", "comp").join(last, "comp", "left").select(F.col("doc_id").alias("rep"), F.coalesce("root", "comp").alias("comp")).groupBy("rep").agg(F.min("comp").alias("comp"))
     out = sets.select("doc_id", "n", "h1", "h2").join(classes.join(member, "rep", "left"), ["h1", "h2"], "left")
     real = lambda c: F.when(c != -(1 << 63), c)
     component = F.when(F.col("n") > 0, F.coalesce("comp", "rep")).otherwise(F.col("doc_id"))
-    return out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(component).alias("component_id"))
+    out = common.written(out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(component).alias("component_id")), f"{folder}-joined")
+    common.removed(spark, folder)
+    return out
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id that have words, one, by a hash of the text. Rows without words all stay."""
+    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id that have words, one, by a hash of the text. Rows without words all stay; an empty table gives an empty result; a very long text is read whole."""
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     found = join(docs, width, percent)
     # rows of one id can be with and without words: they are told apart by the text itself
