@@ -80,56 +80,62 @@ def test_components_of_a_chain(spark, tmp_path):
     assert graph.components(e.where("false"), str(tmp_path / "d")).count() == 0
 
 
-def brute_chunks(rows):
-    """What dedup_lines must leave, from its own chunks, by comparing bytes of every chunk with all earlier ones."""
-    first, gone = {}, {}
-    for i, _, start, text, size in sorted(rows):
-        if first.setdefault(text, (i, start)) != (i, start):
-            gone.setdefault(i, set()).update(range(start, start + size))
-    return gone
-
-
-def left(lines, gone):
-    """The lines that are not gone; a stretch that is gone between others leaves the newline it ends with."""
-    out = ""
-    for k, x in enumerate(lines):
-        if k not in gone:
-            out += x
-        elif x.endswith("\n") and k + 1 < len(lines) and k + 1 not in gone and set(range(k)) - gone:
-            out += "\n"
+def plain_lines(text):
+    """Lines by the rule, read character by character: up to a newline, or a full stop and a space, with all white space behind it."""
+    out, at = [], 0
+    for m in re.finditer(r"(?:\n|\. )[ \t\n\x0b\x0c\r]*", text):
+        out.append(text[at : m.end()])
+        at = m.end()
+    return [*out, text[at:]] if text[at:] else out
+
+
+def brute_dedup(rows):
+    """What must be left of (doc_id, text): without each line that, with a neighbour, stands earlier just so."""
+    docs = [(i, plain_lines(t or "")) for i, t in sorted(rows)]
+    seen, out = set(), {}
+    for i, ls in docs:
+        bare = [x.strip(" \t\n\x0b\x0c\r") for x in ls]
+        gone = set()
+        for k, pair in enumerate(zip(bare, bare[1:])):  # noqa: B905
+            if all(pair):
+                gone |= {k, k + 1} if pair in seen else set()
+                seen.add(pair)
+        text = ""
+        for k, x in enumerate(ls):
+            if k not in gone:
+                text += x
+            elif x.endswith("\n") and k + 1 < len(ls) and k + 1 not in gone and set(range(k)) - gone:
+                text += "\n"
+        out[i] = text
     return out
 
 
 def test_line_dedup_as_brute_force(spark, documents):
     docs = documents.select("doc_id", "text", "lang", "n_chars")
-    keys = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_row"), F.col("text").alias("_text"))
-    parts = linededup.chunks(keys).join(keys.select("_id", linededup.lines(F.col("_text")).alias("l")), "_id").collect()
-    rows = [(r["_id"], 0, c["start"], "\0".join(r["l"][c["start"] : c["start"] + c["size"]]), c["size"]) for r in parts for c in r["chunks"]]
-    gone = brute_chunks(rows)
-    want = {r["_id"]: left(r["l"], gone.get(r["_id"], set())) for r in parts}
     out = {r["doc_id"]: r for r in linededup.dedup_lines(docs).collect()}
-    assert {i: r["text"] for i, r in out.items()} == want and any(gone.values())
-    assert all(r["n_chars"] == len(r["text"]) for r in out.values())
+    assert {i: r["text"] for i, r in out.items()} == brute_dedup([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert all(r["n_chars"] == len(r["text"]) for r in out.values()) and sum(len(r["text"]) for r in out.values()) < docs.agg(F.sum(F.length("text"))).first()[0]
 
 
-def test_repeated_passage_goes_wherever_it_stands(spark):
-    passage = " ".join(f"Sentence number {i} of the passage, with some more words." for i in range(9))
-    own = lambda k: " ".join(f"Text {k} has a line {i} of its own here." for i in range(12))
-    rows = [(k, f"{own(k)}\n{passage}\n{own(k + 100)}") for k in range(30)] + [(50, own(500))]
-    out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert out[0] == rows[0][1] and out[50] == own(500)
-    left = [sum(s in out[k] for s in passage.split(". ")) for k in range(1, 30)]
-    assert max(left) <= 3 and all(own(k)[:60] in out[k] for k in range(30))
+def test_lines_of_odd_texts(spark):
+    texts = ["", "a", "\n", " \n\t ", "a\n", "a. b.  c\nd.\ne", "a\n\n b.\n\n\nc. \nd", "3.14 and U.S.A. x", "a\x00b. c\nd", "\n\na. b", ". . .", "é. 漢字\n\n"]
+    got = [r["l"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(linededup.lines(F.col("t")).alias("l")).collect()]
+    bare = lambda xs: [x.strip() for x in xs if x.strip()]
+    assert ["".join(x) for x in got] == texts and [bare(x) for x in got] == [bare(plain_lines(t)) for t in texts]
 
 
-@pytest.mark.parametrize("k", [2, 3, 4, 5, 6])
-def test_short_passage_in_two_documents_goes_whole(spark, k):
-    own = lambda d, p: "".join(f"{p} line {i} of text {d} and of no other.\n" for i in range(3))
+@pytest.mark.parametrize("k", [2, 3, 4, 9, 20])
+def test_repeated_passage_goes_whole(spark, k):
+    """Passages between other texts, in two documents or more, at line ends or in the middle of paragraphs."""
+    own = lambda d, p, end: "".join(f"{p} line {i} of text {d} and of no other.{end}" for i in range(3))
     rows, want = [], {}
-    for p in range(40):  # the short lines of every third passage need windows of more than two lines
-        passage = "".join(f"{p}.{i} ab\n" if p % 3 == 0 and k > 2 and i < k - 1 else f"Passage {p} has this line {i} of {k}, said twice.\n" for i in range(k))
-        rows += [(2 * p + d, own(2 * p + d, "First") + passage + own(2 * p + d, "Last")) for d in (0, 1)]
-        want |= {2 * p: rows[-2][1], 2 * p + 1: own(2 * p + 1, "First") + "\n" + own(2 * p + 1, "Last")}
+    for p in range(30):
+        end, copies = ("\n", " ", "\n\n")[p % 3], 2 + p % 3
+        passage = "".join((f"{p}.{i} ab." if i % 4 == 1 else f"Passage {p} has this line {i} of {k}, said twice.") + end for i in range(k))
+        for d in range(copies):
+            i = 10 * p + d
+            rows.append((i, own(i, "First", end) + passage + own(i, "Last", end)))
+            want[i] = rows[-1][1] if d == 0 else own(i, "First", end) + ("\n" if "\n" in end else "") + own(i, "Last", end)
     out = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == want
 

@@ -1,14 +1,16 @@
-"""Line dedup by content-defined chunks, in DataFrame functions only.
-
-Texts are cut into lines: after a newline, and after a full stop that no
-newline follows. A chunk is a window of lines whose ends depend on the lines
-inside it only: from each line on, and up to each line, the shortest window of
-two lines or more that has LEAST_BYTES. So a repeated passage of two lines or
-more and that many bytes is covered by its own chunks, each of its lines by
-one at least, whatever stands around it. Chunks that occur again anywhere are
-removed, all but the first occurrence in the order of (doc_id, line), after a
-comparison of their bytes. A line goes only where the same line stands
-earlier, so the first occurrence of every line stays.
+"""Line dedup by content-defined line chunks, in DataFrame functions only.
+
+A line ends at a newline, or at a full stop with a space behind it (texts may
+have whole paragraphs without a newline); white space around a line does not
+count. A rolling hash over the hashes of two neighbouring lines names the chunk
+of both. Every such window is a chunk: a sparser choice of boundaries, by
+values of the rolling hash, misses passages that are shorter than its chunks,
+and a passage's first and last lines. So a chunk depends on what is inside it
+only, and a repeated passage of two lines or more is covered by its own chunks,
+wherever it stands. Chunks that occur again anywhere are removed, all but the
+first occurrence in the order of (doc_id, line), after a comparison of their
+lines' bytes. A line goes only where the same line stands earlier, so the first
+occurrence of every line stays.
 """
 
 from __future__ import annotations
@@ -18,86 +20,88 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Bytes that a chunk must have to be removed, so that common short lines stay.
-LEAST_BYTES = 48
-#: A chunk's first line and size in one number.
-_PACK = 1 << 20
+#: Stands at the ends of lines while a text is cut.
+_MARK = "\x00"
+_WHITE = " \t\n\x0b\x0c\r"
 
 
 def lines(text: Column) -> Column:
-    """The lines of a text; joined, they are the text."""
-    return F.filter(F.split(text, r"(?<=[.\n])(?!\n)"), lambda x: x != "")
-
-
-def _windows(least: int) -> Column:
-    """Chunks of the lines with bytes ``_n``, as start * _PACK + size: from each line on, and up to each line, the shortest window of two lines or more with least bytes."""
-    n, count = F.col("_n"), F.size("_n")
-    pair = lambda i: F.try_element_at(n, i + 1) + F.try_element_at(n, i + 2)
-    # every line has a byte, so no window has more than max(2, least) lines
-    longest = max(2, least)
-    more = lambda s, x: F.when(s["bytes"] >= least, s).otherwise(F.struct((s["bytes"] + x).alias("bytes"), (s["size"] + 1).alias("size")))
-    taken = lambda xs: F.aggregate(xs, F.struct(F.lit(0).alias("bytes"), F.lit(0).alias("size")), more, lambda s: F.when(s["bytes"] >= least, s["size"]))
-    packed = lambda start, size: start.cast("long") * _PACK + size
-    at = F.when(count > 1, F.sequence(F.lit(0), count - 2)).otherwise(F.array().cast("array<int>"))
-    onwards = F.transform(at, lambda i: F.when(pair(i) >= least, packed(i, F.lit(2))).otherwise(packed(i, taken(F.slice(n, i + 1, F.lit(longest))))))
-    short = F.filter(at, lambda i: pair(i) < least)
-    before = lambda i: F.slice(n, F.greatest(i + 3 - longest, F.lit(1)), F.least(i + 2, F.lit(longest)))
-    back = F.transform(F.transform(short, lambda i: F.struct(i.alias("i"), taken(F.reverse(before(i))).alias("size"))), lambda x: packed(x["i"] + 2 - x["size"], x["size"]))
-    return F.filter(F.when(F.size(short) == 0, onwards).otherwise(F.array_union(onwards, back)), lambda w: w.isNotNull())
-
-
-def chunks(docs: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """(_id, _row, chunks): the chunks of two lines or more and least bytes of each row, as (hash, start, size) in lines."""
-    d = docs.select("_id", "_row", lines(F.col("_text")).alias("_lines"))
-    d = d.select("_id", "_row", F.transform("_lines", lambda x: F.xxhash64(x)).alias("_h"), F.transform("_lines", lambda x: F.octet_length(x)).alias("_n"))
-    d = d.select("_id", "_row", "_h", _windows(least).alias("_w"))
-    d = d.select("_id", "_row", "_h", F.transform("_w", lambda w: F.struct(F.floor(w / _PACK).cast("int").alias("start"), (w % _PACK).cast("int").alias("size"))).alias("_w"))
-    hashed = F.transform("_w", lambda c: F.struct(F.xxhash64(F.slice("_h", c["start"] + 1, c["size"])).alias("hash"), c["start"].alias("start"), c["size"].alias("size")))
-    return d.select("_id", "_row", hashed.alias("chunks"))
+    """The lines of a text, each with the white space behind it; joined, they are the text. Blank lines belong to the one before."""
+    quick = F.split(F.replace(F.replace(text, F.lit("\n"), F.lit("\n" + _MARK)), F.lit(". "), F.lit(". " + _MARK)), _MARK)
+    quick = F.when(F.element_at(quick, -1) == "", F.slice(quick, 1, F.size(quick) - 1)).otherwise(quick)
+    # texts with blank lines, or with the mark itself, are cut by a slower pattern
+    slow = F.filter(F.split(text, r"(?=\S)(?:(?<=\n[ \t]{0,16})|(?<=\. {1,16}))"), lambda x: x != "")
+    odd = F.contains(text, F.lit(_MARK)) | F.exists(quick, lambda x: _bare(x) == "")
+    return F.when(odd, slow).otherwise(quick)
+
+
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(_WHITE))
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """(_id, _row, chunks): for each line of a row but the last, the rolling hash of it and the next one; null where one of them is blank."""
+    d = docs.select("_id", "_row", F.transform(lines(F.col("_text")), lambda x: F.nullif(F.xxhash64(_bare(x)), F.xxhash64(F.lit("")))).alias("_h"))
+    rolling = F.zip_with("_h", F.slice("_h", 2, F.greatest(F.size("_h"), F.lit(1))), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
+    return d.select("_id", "_row", rolling.alias("chunks"))
 
 
 def _cut(spans: str) -> Column:
-    return F.transform(spans, lambda c: F.struct(c["hash"].alias("hash"), c["start"].alias("start"), c["size"].alias("size"), c["first"].alias("first"), F.array_join(F.slice("_lines", c["start"] + 1, c["size"]), "").alias("bytes")))
+    """Of each repeated chunk its lines' bytes: the first line's, and the second one's unless it is the first line of a chunk to be removed itself, and compared there."""
+    line = lambda i: _bare(F.try_element_at("_lines", i + 1))
+
+    def one(c: Column, i: Column) -> Column:
+        after = F.try_element_at(spans, i + 2)
+        covered = F.coalesce((after["start"] == c["start"] + 1) & ~after["first"], F.lit(False))
+        return F.struct(c["hash"].alias("hash"), c["start"].alias("start"), c["first"].alias("first"), line(c["start"]).alias("one"), F.when(c["first"] | ~covered, line(c["start"] + 1)).alias("two"))
+
+    return F.transform(spans, one)
 
 
-def dedup_lines(docs: DataFrame, least: int = LEAST_BYTES, drop_emptied: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     """docs with repeated chunks taken out of text (and n_chars counted again, where there is that column); all columns and rows stay, but with drop_emptied not the rows of whose text only white space is left.
 
     The first occurrence in the order of (doc_id, line) stays; a null id comes
     first. Null and empty texts stay as they are. Rows equal in id and text
     are one document and keep the same chunks. An empty table gives an empty
-    result. The texts are shuffled once for both joins; hashes are counted
-    with partial sums, so a chunk that most rows hold is no hot key, and a
-    hot chunk's occurrences meet its one first occurrence in a join that may
-    be split.
+    result. A very long text is one row, in memory whole; its lines are cut and
+    put together in time that grows with their number. The texts are shuffled
+    once for both joins; hashes are counted with partial sums, so a chunk that
+    most rows hold is no hot key, and a hot chunk's occurrences meet its one
+    first occurrence in a join that may be split.
     """
     spark = docs.sparkSession
     columns = docs.columns
     keys = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     keys = keys.select("_id", F.xxhash64("_text").alias("_row"), "_text")
     folder = common.shared_folder(spark)
-    index = common.written(chunks(keys, least), f"{folder}/chunks")
-    each = index.select("_id", "_row", F.explode("chunks").alias("c")).select("_id", "_row", "c.*")
+    index = common.written(chunks(keys), f"{folder}/chunks")
+    each = index.select("_id", "_row", F.posexplode("chunks").alias("start", "hash")).where("hash is not null")
     # hashes alone are counted first, so that only chunks that occur again carry their places to a first occurrence
     again = common.written(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), f"{folder}/hashes")
     each = common.written(each.join(again, "hash"), f"{folder}/again")
-    again = common.written(each.groupBy("hash").agg(F.min(F.struct("_id", "_row", "start")).alias("at")), f"{folder}/firsts")
-    first = (F.col("_id") == F.col("at._id")) & (F.col("_row") == F.col("at._row")) & (F.col("start") == F.col("at.start"))
-    seen = each.join(again, "hash").select("_id", "_row", F.struct("hash", "start", "size", first.alias("first")).alias("c"))
-    seen = seen.groupBy("_id", "_row").agg(F.collect_set("c").alias("spans"))
+    common.removed(spark, f"{folder}/chunks")
+    common.removed(spark, f"{folder}/hashes")
+    firsts = common.written(each.groupBy("hash").agg(F.min(F.struct("_id", "_row", "start")).alias("at")), f"{folder}/firsts")
+    first = F.struct("_id", "_row", "start") == F.col("at")
+    seen = each.join(firsts, "hash").select("_id", "_row", F.struct("start", "hash", first.alias("first")).alias("c"))
+    seen = seen.groupBy("_id", "_row").agg(F.array_sort(F.collect_set("c")).alias("spans"))
     cut = keys.join(seen, ["_id", "_row"]).select("_id", "_row", lines(F.col("_text")).alias("_lines"), "spans")
     cut = cut.select("_id", "_row", F.explode(_cut("spans")).alias("c")).select("_id", "_row", "c.*")
-    kept = cut.where("first").select("hash", F.col("bytes").alias("_bytes")).dropDuplicates(["hash"])
-    gone = cut.where("not first").join(kept, "hash").where(F.col("bytes") == F.col("_bytes"))
-    gone = gone.groupBy("_id", "_row").agg(F.collect_set(F.struct("start", "size")).alias("gone"))
-    out = keys.join(gone, ["_id", "_row"], "left")
-    in_any = lambda i: F.exists("gone", lambda g: (i >= g["start"]) & (i < g["start"] + g["size"]))
+    kept = cut.where("first").select("hash", F.col("one").alias("_one"), F.col("two").alias("_two")).dropDuplicates(["hash"])
+    gone = cut.where("not first").join(kept, "hash").where("one = _one and (two is null or two = _two)")
+    at = F.explode(F.when(F.col("two").isNull(), F.array("start")).otherwise(F.array(F.col("start"), F.col("start") + 1)))
+    gone = gone.select("_id", "_row", at.alias("at")).groupBy("_id", "_row").agg(F.array_sort(F.collect_set("at")).alias("gone"))
+    # a byte for each line, 1 where it goes, so that lines are looked up in one step
+    mask = F.array_join(F.transform("gone", lambda g, i: F.concat(F.repeat(F.lit("0"), g - F.coalesce(F.try_element_at("gone", F.nullif(i, F.lit(0))), F.lit(-1)) - 1), F.lit("1"))), "").cast("binary")
+    out = keys.join(gone.select("_id", "_row", mask.alias("_mask")), ["_id", "_row"], "left")
+    goes = lambda i: F.substring("_mask", i + 1, F.lit(1)) == F.lit(b"1")
     # where a removed stretch ends a line of its text, the newline stays, unless it is the text's begin
-    ends = lambda x, i: F.endswith(x, F.lit("\n")) & ~in_any(i + 1) & (i + 1 < F.size("_lines"))
-    out = out.withColumn("_lines", F.when(F.col("gone").isNotNull(), lines(F.col("_text"))))
-    rest = F.array_join(F.transform("_lines", lambda x, i: F.when(~in_any(i), x).when(ends(x, i), F.lit("\n")).otherwise("")), "")
-    rest = F.when(in_any(F.lit(0)), F.regexp_replace(rest, r"^\n", "")).otherwise(rest)
-    out = out.select("_id", "_row", F.when(F.col("gone").isNull(), F.col("_text")).otherwise(rest).alias("_new"), F.col("gone").isNotNull().alias("_cut")).dropDuplicates(["_id", "_row"])
+    ends = lambda x, i: F.endswith(x, F.lit("\n")) & ~goes(i + 1) & (i + 1 < F.size("_lines"))
+    out = out.withColumn("_lines", F.when(F.col("_mask").isNotNull(), lines(F.col("_text"))))
+    rest = F.array_join(F.transform("_lines", lambda x, i: F.when(~goes(i), x).when(ends(x, i), F.lit("\n")).otherwise("")), "")
+    rest = F.when(goes(F.lit(0)), F.regexp_replace(rest, r"^\n", "")).otherwise(rest)
+    out = out.select("_id", "_row", F.when(F.col("_mask").isNull(), F.col("_text")).otherwise(rest).alias("_new"), F.col("_mask").isNotNull().alias("_cut")).dropDuplicates(["_id", "_row"])
     others = docs.select(F.struct(F.lit(0), *[F.col(f"`{c}`") for c in columns if c != "text"]).alias("_d"), F.col("text").isNull().alias("_null"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_row"))
     whole = others.join(out, ["_id", "_row"])
     if drop_emptied:
