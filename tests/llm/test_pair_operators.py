@@ -234,7 +234,7 @@ def test_decontamination_as_all_windows(spark, sf, documents):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench).collect()}
     assert got <= want and len(got) >= 0.98 * len(want) and {(d, i) for d, i in want if 1000 <= d < 2000} <= got
-    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench, max_items=7).collect()} == got
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench, max_bytes=100_000).collect()} == got
     assert {r["doc_id"] for r in decontaminate.without(docs, bench).collect()} == {d for d, _ in rows} - {d for d, _ in got}
 
 
@@ -244,3 +244,33 @@ def test_decontamination_over_odd_rows(odd, empty, spark):
     kept = decontaminate.without(odd, bench)
     assert kept.columns == odd.columns and kept.count() == 10
     assert decontaminate.find(empty, bench).count() == 0 and decontaminate.find(odd, bench.where("false")).count() == 0
+
+
+def test_long_items_are_found_with_edits():
+    """Items of 60 to 5,000 words with words changed, put in and left out: found wherever all windows of the text hold them, at a text's end too, and whatever stands beside the text."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(3000)}"
+    hits = total = 0
+    for n in (60, 61, 100, 333, 1000, 2047, 2100, 5000):
+        items = [[word() for _ in range(n)] for _ in range(6)]
+        index = decontaminate.build([(i, " ".join(w)) for i, w in enumerate(items)])
+        texts, want = [], []
+        for i, w in enumerate(items):
+            for share in (0, 0.01, 0.02):
+                w2 = list(w)
+                for _ in range(round(share * n)):
+                    k = rng.randrange(len(w2))
+                    w2[k : k + 1] = rng.choice([[word()], [], [w2[k], word()]])
+                for before, behind, cut in ((0, 0, 0), (37, 50, 0), (2, 0, 0), (21, 0, n // 20)):
+                    text = [word() for _ in range(before)] + w2[: len(w2) - cut] + [word() for _ in range(behind)]
+                    if any(weighted(counts(w), counts(text[s : s + n])) >= 0.78 for s in {before, max(0, len(text) - n)}):
+                        want.append((len(texts), i))
+                    texts.append(text)
+        h = [decontaminate._hashes(" ".join(t)) for t in texts]
+        import numpy as np
+
+        got = {(d, i) for d, i, _, _ in decontaminate.leaks(index, np.concatenate(h), np.cumsum([0, *map(len, h)]))}
+        alone = {(d, i) for d, x in enumerate(h) for _, i, _, _ in decontaminate.leaks(index, x, np.array([0, len(x)]))}
+        assert got == alone
+        hits, total = hits + len(got & set(want)), total + len(want)
+    assert total > 300 and hits >= 0.98 * total

@@ -176,6 +176,13 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * _power("down", _INVERSE, len(buf) + 1)[starts] ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many entries two sorted sets share."""
+    if len(a) < len(b):
+        a, b = b, a
+    return int(np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)) if len(b) else 0
+
+
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indices starts[i], starts[i] + 1, ... of lens[i] entries each, one after the other."""
     to = np.cumsum(lens)

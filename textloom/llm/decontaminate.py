@@ -2,17 +2,19 @@
 
 Windows of an item's size slide over each document. A window's fingerprint is
 the SimHash of its pairs of neighbouring words, taken from running vote
-counts. Windows start at every STRIDE-th word; an item has the fingerprints of
-its words from STRIDE successive starts on, so that one of them is aligned
-with a window wherever the passage stands. A multi-index over blocks of the
-fingerprint finds every item fingerprint within the Hamming radius; each
-candidate is then compared word by word: the multisets of five-word shingles
-of item and window, by weighted Jaccard similarity.
+counts. Windows start at every STRIDE-th word of a document; an item has the
+fingerprints of its words from STRIDE successive starts on, at its begin and
+again up to its end, so that one of them is aligned with a window wherever the
+passage stands; an item of more than LONGEST words has windows all over it. At
+a document's end the windows are what is left of it, down to SIMILAR of their
+size, so that short documents and cut passages are compared too. A multi-index
+over blocks of the fingerprint finds every item fingerprint within the Hamming
+radius; each candidate is then compared word by word: the multisets of
+five-word shingles of item and window, by weighted Jaccard similarity.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -28,11 +30,11 @@ from . import common
 #: Largest number of differing bits, and the number of 16-bit blocks: some block of two such fingerprints differs in RADIUS // BLOCKS bits at most.
 RADIUS, BLOCKS = 11, 4
 STRIDE, WIDTH, SIMILAR = 4, 5, 0.75
-#: Window sizes grow by this factor; an item has the largest that it holds with all its starts.
-GROWTH = 1.25
-#: Items indexed at once; a larger benchmark is searched for in several passes.
-MAX_ITEMS = 50_000
-#: Words whose votes are counted at once; windows have fewer words.
+#: Window sizes grow by this factor; an item has the largest that it holds with all its starts, LONGEST at most.
+GROWTH, LONGEST = 1.15, 2048
+#: Bytes of the items' part of an index, about (beside it are the block tables of some dozens of window sizes, a megabyte each). A larger benchmark is searched for in several passes.
+MAX_BYTES = 48 << 20
+#: Words whose votes are counted at once.
 STEP = 1 << 15
 _LANES = np.uint64(0x0001000100010001)
 
@@ -52,9 +54,11 @@ class Class:
 
 @dataclass
 class Index:
+    """Of each item its id, its number of words, and its multiset of shingles; and the classes."""
+
     ids: list[int]
-    words: list[np.ndarray]
-    shingles: list[Counter]
+    sizes: list[int]
+    shingles: list[np.ndarray]
     classes: list[Class]
 
 
@@ -69,15 +73,27 @@ def pairs(h: np.ndarray) -> np.ndarray:
     return common.mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
 
 
-def shingle_counts(h: np.ndarray) -> Counter:
-    """The multiset of five-word shingles; of fewer words, the whole sequence."""
-    w = h.tolist()
-    return Counter(tuple(w[i : i + WIDTH]) for i in range(max(1, len(w) - WIDTH + 1))) if w else Counter()
+def shingle_hashes(h: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """A hash of each five words; of fewer words, one of the whole sequence."""
+    k = min(len(h), width)
+    out = np.full(len(h) - k + 1 if k else 0, k, np.uint64)
+    for i in range(k):
+        out = common.mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + len(out)])
+    return out
+
 
+def multiset(s: np.ndarray) -> np.ndarray:
+    """A sorted set that stands for the multiset s: what occurs again gets a hash of its own each time."""
+    s = np.sort(s)
+    place = np.arange(len(s))
+    again = place - np.maximum.accumulate(np.where(np.diff(s, prepend=~s[:1]) != 0, place, 0))
+    return np.sort(s + again.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) if again.any() else s
 
-def weighted_similarity(a: Counter, b: Counter) -> float:
-    both = sum((a & b).values())
-    return both / max(1, sum(a.values()) + sum(b.values()) - both)
+
+def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Weighted Jaccard similarity of two multisets."""
+    both = common.shared(a, b)
+    return both / max(1, len(a) + len(b) - both)
 
 
 def window_prints(terms: np.ndarray, count: int, stride: int, counts: np.ndarray | None = None) -> np.ndarray:
@@ -90,6 +106,17 @@ def window_prints(terms: np.ndarray, count: int, stride: int, counts: np.ndarray
     return out
 
 
+def span_prints(counts: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """As window_prints, of n[i] terms from begin[i] on."""
+    out = np.zeros(len(begin), np.uint64)
+    for i in range(16):
+        votes = counts[i, begin + n] - counts[i, begin]
+        for lane in range(4):
+            more = (votes >> np.uint64(16 * lane) & np.uint64(0xFFFF)).astype(np.int64) > n // 2
+            out |= more.astype(np.uint64) << np.uint64(16 * lane + i)
+    return out
+
+
 def vote_counts(terms: np.ndarray) -> np.ndarray:
     """How many of the first n terms set each bit, for fewer than 2**15 terms a window and 2**16 in all: row i has the bits i, i + 16, i + 32 and i + 48 in four lanes."""
     out = np.zeros((16, len(terms) + 1), np.uint64)
@@ -103,6 +130,16 @@ def _near() -> np.ndarray:
     return np.array([sum(1 << b for b in bits) for k in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), k)], np.uint64)
 
 
+def window_starts(words: int) -> tuple[int, int, list[int]]:
+    """An item's window size and stride, and the first starts of its windows: from its begin on, one after the other, and up to its end."""
+    stride = STRIDE if words >= 4 * STRIDE else 1
+    size, most = 1.0, min(words - stride + 1, LONGEST)
+    while int(size * GROWTH + 1) <= most:
+        size = int(size * GROWTH + 1)
+    last = words - int(size) - stride + 1
+    return int(size), stride, sorted({*range(0, last + 1, int(size)), last})
+
+
 def build(items: list[tuple[int, str]]) -> Index:
     """The index of (item_id, text); items without words are left out. Items of one word are compared by their word."""
     ids, words = [], []
@@ -111,31 +148,22 @@ def build(items: list[tuple[int, str]]) -> Index:
         if len(h):
             ids.append(i)
             words.append(h)
-    sizes: dict[tuple[int, int], list[int]] = {}
+    sizes: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for at, h in enumerate(words):
-        stride = STRIDE if len(h) >= 4 * STRIDE else 1
-        size, most = 1.0, min(len(h) - stride + 1, STEP - 1)  # a longer item is looked for by its first words
-        while int(size * GROWTH + 1) <= most:
-            size = int(size * GROWTH + 1)
-        sizes.setdefault((int(size), stride), []).append(at)
+        size, stride, starts = window_starts(len(h))
+        sizes.setdefault((size, stride), []).extend((at, x + o) for x in starts for o in range(stride))
     near, classes = _near(), []
     for (size, stride), members in sorted(sizes.items()):
-        prints, item, start = [], [], []
-        for at in members:
-            for o in range(stride):
-                h = words[at][o : o + size]
-                prints.append(int(h[0]) if size == 1 else int(window_prints(pairs(h), size - 1, 1)[0]))
-                item.append(at)
-                start.append(o)
-        p = np.array(prints, np.uint64)
+        members = sorted(set(members))
+        p = np.array([int(words[at][o]) if size == 1 else int(window_prints(pairs(words[at][o : o + size]), size - 1, 1)[0]) for at, o in members], np.uint64)
         heads, entries = [], []
         for b in range(BLOCKS):
             value = ((p >> np.uint64(16 * b) & np.uint64(0xFFFF))[:, None] ^ near).ravel().astype(np.int64)
             order = np.argsort(value, kind="stable")
-            heads.append(np.searchsorted(value[order], np.arange((1 << 16) + 1)))
+            heads.append(np.searchsorted(value[order], np.arange((1 << 16) + 1)).astype(np.int32))
             entries.append((order // len(near)).astype(np.int32))
-        classes.append(Class(size, stride, p, np.array(item), np.array(start), heads, entries))
-    return Index(ids, words, [shingle_counts(h) for h in words], classes)
+        classes.append(Class(size, stride, p, *(np.array(x) for x in zip(*members, strict=True)), heads, entries))
+    return Index(ids, [len(h) for h in words], [multiset(shingle_hashes(h)) for h in words], classes)
 
 
 def within(c: Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,39 +182,56 @@ def within(c: Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def leaks(index: Index, h: np.ndarray, first: np.ndarray, similar: float = SIMILAR) -> list[tuple[int, int, float, int]]:
-    """(document, item, similarity, first word of the window) for documents given by their word hashes one after the other and where each begins (one more entry); for each document and item the most similar window, the first of equals."""
+    """(document, item, similarity, first word of the window) for documents given by their word hashes one after the other and where each begins (one more entry); for each document and item the most similar window, the first of equals. A document's rows depend on itself only."""
     best: dict[tuple[int, int], tuple[float, int]] = {}
     done: set[tuple[int, int]] = set()
     longest = max((c.size for c in index.classes), default=0)
-    for at in range(0, len(h), STEP):
-        piece = h[at : at + STEP + longest]
-        terms = pairs(piece) if len(piece) > 1 else piece[:0]
-        counts = vote_counts(terms)
+    # every document begins at a multiple of the stride
+    words = np.diff(first)
+    room = -(-words // STRIDE) * STRIDE
+    begins = np.concatenate([[0], np.cumsum(room)])
+    g = np.zeros(int(begins[-1]), np.uint64)
+    g[common.ragged(begins[:-1], words)] = h
+    doc_of = np.repeat(np.arange(len(words)), room)
+    left = np.repeat(begins[:-1] + words, room) - np.arange(len(g))  # words from here on in the document
+    fives = shingle_hashes(g) if len(g) >= WIDTH else g[:0]
+    for at in range(0, len(g), STEP):
+        piece = g[at : at + STEP + longest]
+        counts = vote_counts(pairs(piece))
         for c in index.classes:
-            if len(piece) < c.size:
-                continue
-            prints = piece if c.size == 1 else window_prints(terms, c.size - 1, c.stride, counts)
-            prints = prints[: -(-min(STEP, len(piece)) // c.stride)]
-            for w, e in zip(*(x.tolist() for x in within(c, prints)), strict=True):
-                begin, item = at + w * c.stride - int(c.start[e]), int(c.item[e])
+            rest = left[at : at + STEP : c.stride]
+            prints = piece[: len(rest)].copy() if c.size == 1 else np.zeros(len(rest), np.uint64)
+            if c.size > 1:
+                whole = window_prints(piece, c.size - 1, c.stride, counts)[: len(rest)]
+                prints[: len(whole)] = whole
+            short = np.flatnonzero((rest < c.size) & (rest >= max(2, similar * c.size)))
+            prints[short] = span_prints(counts, short * c.stride, rest[short] - 1)
+            use = np.flatnonzero((rest >= c.size) | (rest >= max(2, similar * c.size)))
+            for w, e in zip(*(x.tolist() for x in within(c, prints[use])), strict=True):
+                middle, item = at + int(use[w]) * c.stride, int(c.item[e])
+                begin = middle - int(c.start[e])
                 if (begin, item) in done:
                     continue
                 done.add((begin, item))
-                size = len(index.words[item])
-                middle = at + w * c.stride
-                doc = int(np.searchsorted(first, middle, "right")) - 1
+                size, doc = index.sizes[item], int(doc_of[middle])
+                low, high = int(begins[doc]), int(begins[doc] + words[doc])
                 for s in (begin, begin - 1, begin + 1):
-                    s = min(max(s, int(first[doc])), max(int(first[doc]), int(first[doc + 1]) - size))
-                    like = weighted_similarity(index.shingles[item], shingle_counts(h[s : min(s + size, int(first[doc + 1]))]))
-                    if like >= similar and (like, -(s - int(first[doc]))) > best.get((doc, item), (0.0, 0)):
-                        best[doc, item] = like, -(s - int(first[doc]))
+                    s = min(max(s, low), max(low, high - size))
+                    to = min(s + size, high)
+                    own = fives[s : to - WIDTH + 1] if to - s >= WIDTH else shingle_hashes(g[s:to])
+                    like = weighted_similarity(index.shingles[item], multiset(own))
+                    if like >= similar and (like, low - s) > best.get((doc, item), (0.0, 0)):
+                        best[doc, item] = like, low - s
         done = {(b, i) for b, i in done if b > at + STEP - longest} if len(done) < 1 << 20 else set()
     return [(d, i, like, -s) for (d, i), (like, s) in sorted(best.items())]
 
 
-def _indexes(benchmark: DataFrame, max_items: int) -> Iterator[Index]:
+def _indexes(benchmark: DataFrame, max_bytes: int) -> Iterator[Index]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).where("text is not null")
-    passes = max(1, -(-items.count() // max_items))
+    entry = 4 * BLOCKS * len(_near()) + 32
+    words = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
+    total = items.agg(F.sum(words * 16 + (words / LONGEST + 2) * (STRIDE * entry))).first()[0] or 0
+    passes = max(1, -(-int(total) // max_bytes))
     for p in range(passes):
         yield build([(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).orderBy("item_id", "text").collect()])
 
@@ -194,18 +239,19 @@ def _indexes(benchmark: DataFrame, max_items: int) -> Iterator[Index]:
 SCHEMA = "doc_id long, item_id long, similarity double, first_word long"
 
 
-def find(docs: DataFrame, benchmark: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     """One row for each document and benchmark item (item_id, text) that it holds: doc_id, item_id, similarity, and where in the document's words the most similar window begins.
 
     Letters of either case are alike. Null texts and texts without words, of either table, are in no row.
     Repeated documents each give their rows, repeated items too; an empty
     table gives an empty result; a null id comes back as null; other columns
-    are not looked at. Map-only: the index of at most max_items items goes
+    are not looked at. Very long texts go through in steps, beside which their
+    words' hashes are in memory. Map-only: an index of about max_bytes goes
     with the tasks, and a larger benchmark is searched for in passes.
     """
     common.ready(docs.sparkSession)
     out = None
-    for index in _indexes(benchmark, max_items):
+    for index in _indexes(benchmark, max_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for b in common.slices(batches, limit=2 << 20):
@@ -220,10 +266,10 @@ def find(docs: DataFrame, benchmark: DataFrame, max_items: int = MAX_ITEMS) -> D
     return out
 
 
-def without(docs: DataFrame, benchmark: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def without(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
     """The rows of docs, with all their columns, whose text holds no benchmark item; cases as find(). Map-only."""
     common.ready(docs.sparkSession)
-    for index in _indexes(benchmark, max_items):
+    for index in _indexes(benchmark, max_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for b in common.slices((b.append_column("_lower", b.column("text").fill_null("")) for b in batches), None, 2 << 20):

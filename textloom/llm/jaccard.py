@@ -104,13 +104,6 @@ def _sets(row: dict, answer: dict, width: int, bits: int, percent: int) -> pa.Ta
     return pa.table({"doc_id": ids, "n": n.astype(np.int64), "h1": h1, "h2": h2, "shared": pa.array(shared, pa.binary()), "df": pa.array(freq, pa.binary())})
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """How many tokens two sorted sets share."""
-    if len(a) < len(b):
-        a, b = b, a
-    return int(np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)) if len(b) else 0
-
-
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, int]:
     return np.frombuffer(row["shared"], np.uint64), np.frombuffer(row["df"], np.uint32), row["n"]
 
@@ -157,7 +150,7 @@ def _stars(group: pa.Table, percent: int) -> pa.Table:
         a = _arrays(row)
         heads = [np.sort(_prefix(*a, order, percent)) for order in ORDERS]
         for b, others, leader in leaders:
-            if 100 * min(a[2], b[2]) >= percent * max(a[2], b[2]) and all(map(_overlap, heads, others)) and linked(_overlap(a[0], b[0]), a[2], b[2], percent):
+            if 100 * min(a[2], b[2]) >= percent * max(a[2], b[2]) and all(map(common.shared, heads, others)) and linked(common.shared(a[0], b[0]), a[2], b[2], percent):
                 out.append((row["doc_id"], leader))
                 break
         else:
@@ -172,7 +165,7 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         out = []
         for r in b.to_pylist():
             x, y = (np.frombuffer(r[k], np.uint64) for k in ("shared", "shared_b"))
-            if linked(_overlap(x, y), r["n"], r["n_b"], percent):
+            if linked(common.shared(x, y), r["n"], r["n_b"], percent):
                 out.append((r["comp"], r["comp_b"]))
         yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["a", "b"])
 
