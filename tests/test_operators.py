@@ -3,6 +3,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from textloom.functions import text as T
 from textloom.operators import align, anchors, audit, concordance, corpus, glossary, layout, lexicon, notes, stats
 
 
@@ -128,13 +129,71 @@ def test_audits(spark):
     def broken():
         raise ValueError("no page")
 
-    f = audit.tolerated({"starts": lambda: audit.starts(d, "starts", ";"), "broken": broken}, spark)
-    assert rows(audit.report(f), "check", "severity", "n") == [("broken", "failure", 1), ("starts", "failure", 1)]
-
-
-def test_leave_one_out(spark):
-    tok = spark.createDataFrame([(1, "A", "x"), (1, "A", "y"), (2, "A", "x"), (3, "B", "y")], "doc_id int, lang string, word string")
-    assert rows(lexicon.leave_one_out(tok, "doc_id", "lang"), "doc_id", "cls", "known") == [(1, "A", 1), (1, "B", 1), (2, "A", 1), (3, "A", 1), (3, "B", 0)]
+    late = lambda: audit.findings(d, "late", F.raise_error(F.lit("stop")).cast("string"))
+    f = audit.tolerated({"starts": lambda: audit.starts(d, "starts", ";"), "broken": broken, "late": late}, spark)
+    assert rows(audit.report(f), "check", "severity", "n") == [("broken", "failure", 1), ("late", "failure", 1), ("starts", "failure", 1)]
+    assert rows(audit.starts(d, "c", ":;!?", F.col("text").contains("bad")), "line") == []
+
+
+def test_lexicons_inside_rows(spark):
+    d = spark.createDataFrame([(1, "A", "x Y x"), (2, "A", "x"), (3, "B", "y"), (4, "B", ""), (5, "B", None)], "doc_id int, lang string, text string")
+    assert rows(lexicon.leave_one_out(d, "doc_id", "lang"), "doc_id", "cls", "known") == [(1, "A", 1), (1, "B", 1), (2, "A", 1), (3, "A", 1), (3, "B", 0)]
+    assert rows(lexicon.counted(d, ["doc_id"]), "doc_id", "word", "n") == [(1, "x", 2), (1, "y", 1), (2, "x", 1), (3, "y", 1)]
+    assert rows(lexicon.of_documents(d, ["lang"]), "lang", "word", "n", "docs") == [("A", "x", 3, 2), ("A", "y", 1, 1), ("B", "y", 1, 1)]
+    near = lexicon.neighbours(d, ["doc_id"])
+    assert rows(near.where("doc_id = 1"), "k", "prev", "word", "next") == [(0, "", "x", "y"), (1, "x", "y", "x"), (2, "y", "x", "")]
+    lists = spark.createDataFrame([("x", True, False), ("y", False, True)], "word string, own boolean, foreign boolean")
+    one = lexicon.classified(near.join(lists, "word"), F.col("own"), F.col("foreign"), ["y"], ["x"]).groupBy("cls").count()
+    assert rows(lexicon.class_counts(near, lists, ["y"], ["x"]), "cls", "n") == rows(one, "cls", "count")
+
+
+def test_gaps_of_any_width(spark):
+    d = spark.createDataFrame([(1,), (3,), (3_000_000_000,), (None,)], "number long")
+    assert rows(corpus.gap_ranges(d), "from", "to") == [(1, 3), (3, 3_000_000_000)]
+    got = corpus.gaps(d.where("number is null or number < 4").union(spark.createDataFrame([(200_000,)], "number long")))
+    assert (got.count(), got.distinct().count(), *got.agg(F.min("number"), F.max("number")).first()) == (199_997, 199_997, 2, 199_999)
+    assert corpus.gaps(d).limit(70_000).agg(F.count("*")).first()[0] == 70_000 and corpus.gaps(d.where("number is null")).count() == 0
+
+
+def test_heads_of_paragraphs(spark):
+    cases = {
+        "<b>Vorto</b> esas": ("Vorto", 12, True),
+        '<a class="fol" href="#f">7</a> * 12bis. — <b>a</b>, <b>e &amp; o</b><b>n</b>. x': ("a, e & on", 76, True),
+        "<i>kande</i> = when": ("kande", 12, False),
+        "<i>kande</i>&#8212; when": ("kande", 12, False),
+        "<i>kande</i> when": None,
+        '<span class="pk">Noto</span>: x': ("Noto", 28, False),
+        "<b>kande = Ilu venis hike</b> x": ("kande", 29, True),
+        "<b>kande = when</b> x": None,
+        "<b>Me dicas to</b>": None,
+        "<b>plus Paris</b>": ("plus Paris", 17, True),
+        "<b>Notez bone</b>": None,
+        "<b>" + "a " * 13 + "</b>": None,
+        "<b> </b> x": None,
+        "plain": None,
+        "": None,
+    }
+    d = spark.createDataFrame(list(enumerate(cases)), "i int, t string")
+    got = {r["i"]: r["h"] and tuple(r["h"]) for r in d.select("i", T.headword(F.col("t")).alias("h")).collect()}
+    assert {t: got[i] for i, t in enumerate(cases)} == cases
+
+
+def test_lines_that_may_hide_another(spark):
+    d = spark.createDataFrame([(1, k, 50.0 if k == 4 else 27.0) for k in range(9)] + [(2, k, 80.0) for k in range(3)], "p int, k int, h double")
+    assert rows(stats.welded(d, "h", ["p"], ["k"]), "p", "k") == [(1, 4)]
+    d = spark.createDataFrame([(1, 83.0), (2, 95.0), (3, 62.3), (4, 41.0), (5, 80.1)], "k int, pitch double").withColumn("usual", F.lit(41.5))
+    assert rows(stats.suspects(d, "pitch", "usual"), "k", "exact") == [(1, True), (2, False), (5, True)]
+    b, e = spark.createDataFrame([(k,) for k in range(4)], "k int"), spark.createDataFrame([(0, 24.8), (1, 8.0), (2, 3.1)], "k int, excess double")
+    assert rows(stats.proposals(b, e, ["k"], 7.72), "k", "space") == [(0, 24.8), (2, 3.1 - 7.72), (3, -7.72)]
+
+
+def test_quantiles_from_counts(spark):
+    rng = np.random.default_rng(3)
+    x = [(g, float(v)) for g in range(3) for v in rng.integers(0, 9, 4 + g)]
+    got = {r["g"]: r for r in stats.quantiles(spark.createDataFrame([*x, (0, None)], "g int, v double"), "v", ["g"], {"a": 0.5, "b": 0.9, "c": 0.0}).collect()}
+    for g in range(3):
+        v = [b for a, b in x if a == g]
+        assert np.allclose([got[g][k] for k in "abc"], np.quantile(v, [0.5, 0.9, 0.0])) and got[g]["_n"] == len(v)
 
 
 def test_stats(spark):
@@ -154,7 +213,6 @@ def test_scored_match():
 
 
 def test_emphasis(spark):
-    from textloom.functions import text as T
 
     d = spark.createDataFrame([("**Bold two** and *it's* but ***no***",), ("",)], "t string")
     got = d.select(T.emphasised(F.col("t")).alias("x"), T.emphasis_share(F.col("t"), r"\*\*([^*]+)\*\*").alias("s")).collect()
@@ -184,31 +242,12 @@ def test_line_alignment_reads_all_documents(spark, tmp_path):
     assert got == sorted((i, k + 1) for i, t in d for k in range(len(t.split("\n"))))
 
 
-def test_edit_distances_of_whole_texts(spark, tmp_path):
-    from textloom.plans import queries
-
-    texts = ["é" * 260, "é" * 250 + "è" * 30, "same start " * 30 + "x", "same start " * 30 + "yz", ""]
-    spark.createDataFrame([(i, t, "de" if i % 2 else "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-
-    def apart(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a):
-            row, old = [i + 1], row
-            for j, y in enumerate(b):
-                row.append(min(old[j] + (x != y), old[j + 1] + 1, row[j] + 1))
-        return row[-1]
-
-    want = [(i, apart(t, u) if u is not None else len(t), len(t)) for i, (t, u) in enumerate(zip(texts, [*texts[1:], None], strict=True))]
-    got = queries.edit_distance_rate_whole(spark, str(tmp_path)).where("bin is not null")
-    assert rows(got, "bin", "distance", "size") == want
-
-
 def test_ranks_of_all_pages_are_compared(spark, tmp_path):
     from textloom.plans import queries
 
     spark.createDataFrame([(1, "a b"), (70, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(70, "a x"), (900, "z")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = rows(queries.rank_diff_whole(spark, str(tmp_path)), "page", "rank", "expected", "obtained", "same")
+    got = rows(queries.rank_diff(spark, str(tmp_path)), "page", "rank", "expected", "obtained", "same")
     no = "<missing>"
     assert got == [(1, 1, "a", no, False), (1, 2, "b", no, False), (70, 1, "a", "a", True), (70, 2, "b", "x", False), (70, 3, "c", no, False), (900, 1, no, "z", False)]
 
@@ -221,8 +260,8 @@ def test_all_pages_turns_and_documents_are_read(spark, tmp_path):
     spark.createDataFrame([(i,) for i in ids], "page_id long").write.parquet(f"{at}/pages.parquet")
     spark.createDataFrame([(1, 1, "A b"), (1, 2, "C")], "conv_id long, turn long, text string").write.parquet(f"{at}/conversations.parquet")
     spark.createDataFrame([(7, "s", "en"), (50, "s", "de")], "doc_id long, source string, lang string").write.parquet(f"{at}/documents.parquet")
-    assert rows(queries.words_zipped_whole(spark, at), "turn", "rank", "truth", "read") == [(1, 1, "A", "a"), (1, 2, "b", "b"), (2, 1, "C", "c")]
-    assert rows(queries.anchor_faults_whole(spark, at).where("fault = 'encoded'"), "anchor") == [("#50",), ("#7",)]
+    assert rows(queries.words_zipped(spark, at), "turn", "rank", "truth", "read") == [(1, 1, "A", "a"), (1, 2, "b", "b"), (2, 1, "C", "c")]
+    assert rows(queries.anchor_faults(spark, at).where("fault = 'encoded'"), "anchor") == [("#50",), ("#7",)]
 
     number = re.compile(r"-\d+$")
     present = [(i, f"p-{i % 40}" + ["-x", "-2", ""][i % 3]) for i in ids]
@@ -233,7 +272,7 @@ def test_all_pages_turns_and_documents_are_read(spark, tmp_path):
         c += [(3, 0, p, x) for p, x in present if number.sub("", x) == number.sub("", old)]
         c += [(4, -len(x), p, x) for p, x in present if old.startswith(x + "-")]
         want.append((old, min(c)[3] if c else None, min(c)[0] if c else None))
-    got = [(r["anchor"], r["id"], r["rule"]) for r in queries.anchor_kinship_whole(spark, at).collect()]
+    got = [(r["anchor"], r["id"], r["rule"]) for r in queries.anchor_kinship(spark, at).collect()]
     assert sorted(got) == sorted(want) and any(r for _, _, r in want)
 
 

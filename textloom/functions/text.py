@@ -136,6 +136,52 @@ def is_sentence(c: Column, endings: list[str], exceptions: list[str]) -> Column:
     return counts | c.rlike(u(r"[.!?]\s+[A-ZÀ-Þ]"))
 
 
+#: Verbal endings, the words that have them without being verbs, what stands before a head, the weights that set one off (with whether that is enough), what joins its pieces, the marks of a definition, and the largest head.
+VERB_ENDINGS, NOT_VERBS = ["as", "is", "os", "us", "ez"], ["plus", "minus", "depos", "bis", "gratis"]
+_CALL = "(?:(?:<a class=\"apelo\"[^>]*>.*?</a>|\\*)[\\s\u00a0\u202f]*)?"
+_BEFORE_HEAD = rf'(?:<a class="fol"[^>]*>[^<]*</a>)?[ \t\n]*{_CALL}(?:\d+(?:\s*bis)?\.\s*[—–-]?\s*)?{_CALL}'
+_WEIGHTS = (("<b>", "</b>", True), ("<i>", "</i>", False), ('<span class="pk">', "</span>", False))
+_JOINER = "(?:, | |)"
+_DEFINES, _DEFINES_INSIDE = "^[\\s\u00a0\u202f]*[=:.–—(\\[{«]", "[\\s\u00a0\u202f][=:–—][\\s\u00a0\u202f]"
+HEAD_LENGTH, HEAD_WORDS = 80, 12
+#: How a page may spell the marks of a definition, and the spaces before them.
+_MARK_ENTITIES = [("&(?:nbsp|#160|#8239);", "\u00a0"), ("&(?:mdash|#8212);", "—"), ("&(?:ndash|#8211);", "–"), ("&(?:laquo|#171);", "«")]
+
+
+def headword(c: Column) -> Column:
+    """(text, end, bold) of the headword that an HTML paragraph opens with; null without one.
+
+    A head is one run of pieces of one weight, the first that there is of bold,
+    italics and small capitals, behind a folio link, a number and calls. A
+    definition mark inside cuts it if a sentence follows, and makes it none if
+    not. It is short and no sentence itself; other than in bold, a definition
+    mark has to follow, or have cut it. end: where the run ends, 0-based.
+    """
+    found = None
+    for begin, close, bold in _WEIGHTS:
+        piece = f"{begin}.*?{close}"
+        whole = F.regexp_extract(c, f"^{_BEFORE_HEAD}{piece}(?:{_JOINER}{piece})*", 0)
+        this = F.struct(whole.alias("whole"), F.regexp_extract(whole, f"^{_BEFORE_HEAD}((?:{begin}).*)$", 1).alias("run"), F.lit(bold).alias("bold"))
+        found = F.when(whole != "", this) if found is None else found.when(whole != "", this)
+    # what later steps use several times is bound by a transform over one element
+    once = lambda x, f: F.transform(F.array(x), f)[0]
+    sentence = lambda x: is_sentence(x, VERB_ENDINGS, NOT_VERBS)
+
+    def parts(f: Column) -> Column:
+        text = plain_text(f["run"])
+        before, after = (strip(F.regexp_extract(text, f"^(?s:(.*?)){_DEFINES_INSIDE}(?s:(.*))$", i)) for i in (1, 2))
+        cut, end = text.rlike(_DEFINES_INSIDE), F.length(f["whole"])
+        rest = _each(F.substring(c, end + 1, F.lit(1 << 30)), [("<[^>]+>", ""), *_MARK_ENTITIES])
+        return F.struct(F.when(cut, before).otherwise(text).alias("text"), end.alias("end"), f["bold"].alias("bold"), (~cut | sentence(after)).alias("good"), (f["bold"] | cut | rest.rlike(_DEFINES)).alias("proved"))
+
+    def judged(f: Column) -> Column:
+        short = (F.length(f["text"]) <= HEAD_LENGTH) & (F.size(F.split(f["text"], u(r"\s+"))) <= HEAD_WORDS)
+        good = (f["text"] != "") & f["good"] & f["proved"] & short & ~sentence(f["text"])
+        return F.when(good, F.struct(f["text"].alias("text"), f["end"].alias("end"), f["bold"].alias("bold")))
+
+    return once(once(found, lambda f: F.when(f.isNotNull(), parts(f))), lambda f: F.when(f.isNotNull(), judged(f)))
+
+
 def snippet(text: Column, at: Column, size: Column, before: int = 70, after: int = 110) -> Column:
     """The hit at (1-based) with text around it, each part escaped, the hit in <mark>, and an ellipsis where text is cut off."""
     start = F.greatest(at - before, F.lit(1))

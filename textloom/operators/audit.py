@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import syllables
 from ..functions.text import WORD
+from . import tables
 
 FINDINGS = "check string, severity string, page long, line long, message string"
 NO_START = {"space_before": ":;!?", "closing": ",.)]}»"}
@@ -18,10 +19,11 @@ def findings(rows: DataFrame, check: str, message: Column, severity: str = "fail
     return rows.select(F.lit(check).alias("check"), F.lit(severity).alias("severity"), F.col("doc_id").cast("long").alias("page"), F.col("rank").cast("long").alias("line"), message.alias("message"))
 
 
-def starts(lines: DataFrame, check: str, forbidden: str) -> DataFrame:
-    """Lines but a page's first, not empty, that open with a forbidden character."""
+def starts(lines: DataFrame, check: str, forbidden: str, row: Column | None = None) -> DataFrame:
+    """Lines but a page's first, not empty and no rows of a table (for which ``row`` holds), that open with a forbidden character."""
     first = F.substring(F.ltrim("text"), 1, 1)
     bad = lines.where((F.col("rank") > 1) & (F.col("text") != "") & first.isin(list(forbidden)))
+    bad = bad if row is None else bad.where(~F.coalesce(row, F.lit(False)))
     return findings(bad, check, F.concat(F.lit("opens with "), first))
 
 
@@ -31,26 +33,27 @@ def junk(lines: DataFrame) -> DataFrame:
     return lines.where((F.length(t) <= 1) | t.rlike(r"^\*+$") | (~t.rlike(r"(?U)[\p{L}\p{N}]") & ~t.rlike(r"^[. ]+$")))
 
 
-def seams(lines: DataFrame, physical: bool) -> DataFrame:
-    """lines with ``left`` and ``right``, the last word of each and the first of the next line of its document: the physical next line, or the next that is not empty."""
+def seams(lines: DataFrame, physical: bool, by: list[str] = ["doc_id"], order: list[str] = ["rank"]) -> DataFrame:  # noqa: B006
+    """lines with ``left`` and ``right``, the last word of each and the first of the next line within by: the physical next line, or the next that is not empty. A book's running text and its notes are two flows, which go on from page to page: by names book and flow, order page and line."""
     rows = lines if physical else lines.where("text <> ''")
-    nxt = F.lead("text").over(Window.partitionBy("doc_id").orderBy("rank"))
+    nxt = F.lead("text").over(Window.partitionBy(*by).orderBy(*order))
     d = rows.withColumn("_next", F.coalesce(nxt, F.lit("")))
     return d.withColumns({"left": F.regexp_extract("text", f"({WORD})$", 1), "right": F.regexp_extract("_next", f"^({WORD})", 1)}).drop("_next")
 
 
 def lost_hyphens(lines: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Line ends whose two words welded are a known word while one of them is rare (once at most). Three joins to the lexicon on the word; Spark broadcasts it if its size allows."""
+    """Line ends whose two words welded are a known word while one of them is rare (once at most). The welded word is looked up first, which few line ends pass, so that frequent words are looked up for those only; Spark broadcasts the lexicon if its size allows."""
     s = seams(lines, True).where("left <> '' and right <> ''").withColumns({"left": F.lower("left"), "right": F.lower("right")}).withColumn("welded", F.concat("left", "right"))
     look = lambda c: lexicon.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
-    d = s.join(look("welded"), "welded").join(look("left"), "left", "left").join(look("right"), "right", "left")
+    known = s.join(lexicon.select(F.col("word").alias("welded")), "welded", "left_semi")
+    d = known.join(look("left"), "left", "left").join(look("right"), "right", "left")
     return d.where((F.coalesce("n_left", F.lit(0)) <= 1) | (F.coalesce("n_right", F.lit(0)) <= 1)).select("doc_id", "rank", "left", "right", "welded")
 
 
-def bad_breaks(lines: DataFrame, broken: Column) -> DataFrame:
-    """Broken words (lines for which ``broken`` holds) divided where no break is allowed."""
-    s = seams(lines, False).where(broken).withColumns({"left": F.lower("left"), "right": F.lower("right")})
-    return s.withColumn("fault", syllables.fault(F.col("left"), F.col("right"))).where("fault is not null").select("doc_id", "rank", "left", "right", "fault")
+def bad_breaks(lines: DataFrame, broken: Column, by: list[str] = ["doc_id"], order: list[str] = ["rank"]) -> DataFrame:  # noqa: B006
+    """Broken words (lines for which ``broken`` holds) divided where no break is allowed; a word goes on in the next line that is not empty, of the same flow, on a later page too (see seams)."""
+    s = seams(lines, False, by, order).where(broken).withColumns({"left": F.lower("left"), "right": F.lower("right")})
+    return s.withColumn("fault", syllables.fault(F.col("left"), F.col("right"))).where("fault is not null").select(*dict.fromkeys([*by, *order]), "left", "right", "fault")
 
 
 def witnesses(rules: DataFrame, files: DataFrame) -> DataFrame:
@@ -62,11 +65,11 @@ def witnesses(rules: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def tolerated(checks: dict[str, Callable[[], DataFrame]], spark: SparkSession) -> DataFrame:
-    """The findings of all checks. One that cannot be built gives a finding of itself, and the others go on."""
-    out = spark.createDataFrame([], FINDINGS)
-    for name, make in checks.items():
+    """The findings of all checks, each run to a table of its own. One that fails, when it is built or when it runs, gives a finding of itself, and the others go on."""
+    out, folder = spark.createDataFrame([], FINDINGS), tables.folder(spark, "findings")
+    for i, (name, make) in enumerate(checks.items()):
         try:
-            found = make()
+            found = tables.written(make(), f"{folder}/{i}")
         except Exception as e:  # noqa: BLE001
             found = spark.createDataFrame([(name, "failure", None, None, f"{type(e).__name__}: {e}"[:200])], FINDINGS)
         out = out.unionByName(found)

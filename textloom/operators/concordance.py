@@ -14,6 +14,20 @@ def topic_hits(blocks: DataFrame, topics: dict[str, str]) -> DataFrame:
     return blocks.select("*", F.explode(hit).alias("topic"))
 
 
+def topic_totals(docs: DataFrame, topics: dict[str, str], separator: str = "\n") -> DataFrame:
+    """(topic, n_blocks, n_docs) of documents, a row each: blocks are counted inside the row, where the text has a hit at all, and a row of sums for each task is all that moves."""
+    blocks = F.split("text", separator)
+
+    def hits(pattern: str) -> Column:
+        return F.when(F.col("text").rlike(pattern), F.size(F.filter(blocks, lambda b: b.rlike(pattern)))).otherwise(0)
+
+    n = {k: hits(u(p, True)) for k, p in topics.items()}
+    own = docs.select(*[c.alias(f"_{i}") for i, c in enumerate(n.values())])
+    sums = own.agg(*[F.sum(f"_{i}").alias(f"a{i}") for i in range(len(n))], *[F.count_if(F.col(f"_{i}") > 0).alias(f"b{i}") for i in range(len(n))])
+    each = F.array(*[F.struct(F.lit(k).alias("topic"), F.col(f"a{i}").alias("n_blocks"), F.col(f"b{i}").alias("n_docs")) for i, k in enumerate(n)])
+    return sums.select(F.explode(each).alias("_t")).select("_t.*").where("n_blocks > 0")
+
+
 def search(index: DataFrame, query: str, order: list[str], shown: int = 300, least: int = 2) -> DataFrame:
     """The first hit of query in each row, in order: hit (its number), at, total, snippet; the first ``shown`` only, a feature of the search. A shorter query than ``least`` finds nothing."""
     at = F.instr(F.lower("text"), query.lower())

@@ -51,15 +51,24 @@ def numbering(rows: DataFrame, number: Column, size: Column, by: list[str]) -> D
     )
 
 
-def gaps(numbers: DataFrame, number: str = "number") -> DataFrame:
-    """The numbers between the least and the greatest that do not occur."""
+def gap_ranges(numbers: DataFrame, number: str = "number") -> DataFrame:
+    """(from, to): the numbers that occur around each stretch of numbers, between the least and the greatest, that do not."""
     n = numbers.select(F.col(number).cast("long").alias(number)).where(F.col(number).isNotNull()).distinct()
     after = F.lead(number).over(Window.partitionBy(F.floor(F.col(number) / 65536)).orderBy(number))
     # neighbours within stretches of 65536 numbers, then between stretches: no window over all
     inner = n.withColumn("to", after).where(F.col("to") > F.col(number) + 1).select(F.col(number).alias("from"), "to")
     ends = n.groupBy(F.floor(F.col(number) / 65536).alias("s")).agg(F.min(number).alias("lo"), F.max(number).alias("hi"))
     outer = ends.withColumn("to", F.lead("lo").over(Window.orderBy("s"))).where(F.col("to") > F.col("hi") + 1).select(F.col("hi").alias("from"), "to")
-    return inner.union(outer).select(F.explode(F.sequence(F.col("from") + 1, F.col("to") - 1)).alias(number))
+    return inner.union(outer)
+
+
+def gaps(numbers: DataFrame, number: str = "number") -> DataFrame:
+    """The numbers between the least and the greatest that do not occur. A gap of any width is taken apart in steps, so that no array has more than 65,536 entries."""
+    d = gap_ranges(numbers, number).select((F.col("from") + 1).alias("_a"), (F.col("to") - 1).alias("_z"))
+    for step in (1 << 48, 1 << 32, 1 << 16):
+        parts = F.explode(F.sequence(F.col("_a"), F.col("_z"), F.lit(step).cast("long")))
+        d = d.select(parts.alias("_a"), "_z").withColumn("_z", F.least("_z", F.col("_a") + (step - 1)))
+    return d.select(F.explode(F.sequence("_a", "_z")).alias(number))
 
 
 def duplicate_openers(numbers: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import tables
+
 
 def _both(by: list[str], at: str):
     w = Window.partitionBy(*by).orderBy(at)
@@ -86,22 +86,16 @@ def covered(groups: DataFrame, below: bool = False) -> DataFrame:
     However deep the tree is: each round goes one level on and is written, until
     nothing is added. Groups in a circle cover each other.
     """
-    spark = groups.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-    folder = f"{base.rstrip('/')}/covered-{uuid.uuid4().hex}"
+    folder = tables.folder(groups.sparkSession, "covered")
     schema = groups.select("id", F.col("id").alias("above")).schema
 
-    def written(df: DataFrame, k: int) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{k}")
-        return spark.read.schema(schema).parquet(f"{folder}/{k}")
-
     up = groups.where("parent is not null").select(F.col("id").alias("_id"), F.col("parent").cast(schema["id"].dataType).alias("_up")).distinct()
-    last = written(up.select(F.col("_id").alias("id"), F.col("_up").alias("above")), 0)
+    last = tables.written(up.select(F.col("_id").alias("id"), F.col("_up").alias("above")), f"{folder}/0")
     pairs, k = last, 0
     while not last.isEmpty():
         k += 1
         further = last.join(up, last["above"] == up["_id"]).select("id", F.col("_up").alias("above")).distinct()
-        last = written(further.join(pairs, ["id", "above"], "left_anti"), k)
+        last = tables.written(further.join(pairs, ["id", "above"], "left_anti"), f"{folder}/{k}")
         pairs = pairs.unionByName(last)
     own = F.concat("rows", F.array("title")) if below and "title" in groups.columns else F.col("rows")
     rows = groups.select("id", F.explode(own).alias("_row")).where("_row is not null")
@@ -110,3 +104,16 @@ def covered(groups: DataFrame, below: bool = False) -> DataFrame:
     every = rows.unionByName(reached).groupBy("id").agg(F.collect_set("_row").alias("covered"))
     d = groups.join(every, "id", "left")
     return d.select(*[d[c] for c in groups.columns], F.coalesce("covered", F.slice("rows", 1, 0)).alias("covered"))
+
+
+def span(height: Column, gap: Column, row: Column, total: Column, pitch: float) -> Column:
+    """(first, rows) that a brace at a row spans: its height over the line pitch, half to even, one at least; its middle is gap above the row; it stays within the table's total rows."""
+    n = F.greatest(F.bround(height / pitch).cast("int"), F.lit(1))
+    first = F.bround(row - gap / pitch - (n - 1) / 2.0).cast("int")
+    return F.struct(F.greatest(F.least(first, total - n), F.lit(0)).cast("int").alias("first"), n.alias("rows"))
+
+
+def apparatus(rows: DataFrame, y: str, page: list[str], order: list[str], threshold: float = 60.0) -> DataFrame:
+    """rows with ``part`` and ``nth``: what is laid above the threshold is read before the page's body (head), the rest behind it (foot), both from top to bottom; order breaks ties."""
+    d = rows.withColumn("part", F.when(F.col(y) < threshold, "head").when(F.col(y).isNotNull(), "foot"))
+    return d.where("part is not null").withColumn("nth", F.row_number().over(Window.partitionBy(*page, "part").orderBy(y, *order)).cast("long"))

@@ -8,11 +8,28 @@ from pyspark.sql import functions as F
 
 def by_index(rows: DataFrame, value: str, by: list[str], picks: dict[str, tuple[int, int]]) -> DataFrame:
     """(by, picks): for each name the element at index n * numerator // denominator of the group's sorted values; not interpolated. Equal values are counted first, so that no group's values are gathered."""
+    pick = lambda num, den: F.min(F.when(F.col("_upto") > F.floor(F.col("_all") * num / den), F.col("_v")))
+    return _upto(rows, value, by).groupBy(*by).agg(*[pick(*f).alias(k) for k, f in picks.items()])
+
+
+def _upto(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """(by, _v, _upto, _all): each distinct value with how many of the group's are not above it, and how many there are."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    d = counts.withColumn("_upto", upto).join(counts.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
-    pick = lambda num, den: F.min(F.when(F.col("_upto") > F.floor(F.col("_all") * num / den), F.col("_v")))
-    return d.groupBy(*by).agg(*[pick(*f).alias(k) for k, f in picks.items()])
+    return counts.withColumn("_upto", upto).join(counts.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
+
+
+def quantiles(rows: DataFrame, value: str, by: list[str], picks: dict[str, float]) -> DataFrame:
+    """(by, picks): for each name the quantile at that share, interpolated between neighbours, of counts of equal values: no group's values are in memory together."""
+    out, ends = {}, {}
+    for k, share in picks.items():
+        place = (F.col("_all") - 1) * share
+        for end, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            out[f"_{end}_{k}"] = F.min(F.when(F.col("_upto") > at, F.col("_v")))
+        part = (F.col("_all") - 1) * share - F.floor((F.col("_all") - 1) * share)
+        ends[k] = F.col(f"_lo_{k}") * (1 - part) + F.col(f"_hi_{k}") * part
+    d = _upto(rows, value, by).groupBy(*by, "_all").agg(*[c.alias(k) for k, c in out.items()])
+    return d.select(*by, *[c.alias(k) for k, c in ends.items()], F.col("_all").alias("_n"))
 
 
 def mode_centroid(rows: DataFrame, value: str, by: list[str], reach: int = 2) -> DataFrame:
@@ -27,7 +44,7 @@ def deviations(rows: DataFrame, value: str, width: str, by: list[str], group: li
     """rows with ``verdict``: null for what is not judged (a group of fewer than least rows, or a row not wider than share of the widest of its by), else whether value is more than limit of the group's median away from it."""
     page = Window.partitionBy(*by)
     wide = rows.withColumn("_wide", F.col(width) > F.max(width).over(page) * share)
-    g = wide.where("_wide").groupBy(*group).agg(F.median(value).alias("middle"), F.count("*").alias("_n"))
+    g = quantiles(wide.where("_wide"), value, group, {"middle": 0.5})
     d = wide.join(g, group, "left")
     ok = F.col("_wide") & (F.col("_n") >= least)
     return d.withColumn("verdict", F.when(ok, F.abs(F.col(value) / F.col("middle") - 1) > limit)).drop("_wide", "_n")
@@ -94,3 +111,28 @@ def three_valued(rows: DataFrame, by: list[str], found: Column, wanted: Column)
     """(by, verdict): ok or wrong where both numbers are there, else not judged, which is not ok."""
     v = F.when(found.isNull() | wanted.isNull(), "not judged").when(found == wanted, "ok").otherwise("wrong")
     return rows.select(*by, v.alias("verdict"))
+
+
+def line_ends(share: Column, full: Column, least: float = 0.94, most: float = 0.995) -> Column:
+    """How a line ends, share being its end over the page's right margin: a line that has to be full (``full``) is short below least, another one runs to the margin beyond most; null if not measured."""
+    return F.when(full & (share < least), "short").when(~full & (share > most), "to the margin").when(share.isNotNull(), "ok")
+
+
+def suspects(rows: DataFrame, pitch: str, usual: str, ratio: float = 1.5, white: float = -3.0, tolerance: float = 4.5) -> DataFrame:
+    """The pitches that may hide a line: ratio times the usual one or more, unless a line missing there would leave less than white; ``exact`` where two usual pitches are it, within tolerance."""
+    over = F.col(pitch) - 2 * F.col(usual)
+    return rows.where((F.col(pitch) >= ratio * F.col(usual)) & (over >= white)).withColumn("exact", F.abs(over) <= tolerance)
+
+
+def welded(rows: DataFrame, height: str, by: list[str], order: list[str], ratio: float = 1.7, least: int = 8) -> DataFrame:
+    """Bands as high as two lines: ratio times the page's median height or more, but not a page's first; pages of fewer than least bands are not judged."""
+    page = Window.partitionBy(*by)
+    d = rows.withColumns({"middle": F.median(height).over(page), "_n": F.count("*").over(page), "_k": F.row_number().over(page.orderBy(*order))})
+    return d.where((F.col("_n") >= least) & (F.col("_k") > 1) & (F.col("middle") > 0) & (F.col(height) >= ratio * F.col("middle"))).drop("_n", "_k")
+
+
+def proposals(boundaries: DataFrame, excess: DataFrame, keys: list[str], ordinary: float, least: float = 3.0) -> DataFrame:
+    """boundaries with ``space``, what to set there: the whole excess where it is more than the ordinary space by least, the (negative) difference where it is less by least; a boundary without excess has none, and one as usual is not proposed."""
+    e = F.coalesce("excess", F.lit(0.0))
+    d = boundaries.join(excess.select(*keys, "excess"), keys, "left").withColumn("excess", e).withColumn("_d", F.col("excess") - ordinary)
+    return d.where(F.abs("_d") >= least).withColumn("space", F.when(F.col("_d") > 0, F.col("excess")).otherwise(F.col("_d"))).drop("_d")

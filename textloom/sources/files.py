@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import u
+from ..functions.text import as_markdown, u
 
 KINDS = ("h1", "p", "b", "li")
 
@@ -79,6 +80,66 @@ class Blocks(HTMLParser):
                 self.out[at][1] += data
 
 
+class Divisions(HTMLParser):
+    """Where the divisions of the wanted classes lie in a page: (kind, data-ch, id, begin, end of what is inside). The first class counts; divisions inside one belong to it."""
+
+    def __init__(self, kinds: tuple[str, ...]) -> None:
+        super().__init__(convert_charrefs=False)
+        self.kinds, self.depth, self.out = kinds, 0, []
+
+    def read(self, html: str) -> list[tuple]:
+        self.lines = [0, *(i + 1 for i, x in enumerate(html) if x == "\n")]
+        self.feed(html)
+        return [x for x in self.out if len(x) == 5]
+
+    def _at(self) -> int:
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
+
+    def handle_starttag(self, tag, attrs):
+        if tag != "div":
+            return
+        a = dict(attrs)
+        kind = next(iter((a.get("class") or "").split()), None)
+        if self.depth:
+            self.depth += 1
+        elif kind in self.kinds:
+            self.depth = 1
+            self.out.append((kind, a.get("data-ch"), a.get("id"), self._at() + len(self.get_starttag_text())))
+
+    def handle_startendtag(self, tag, attrs):
+        """<div/> opens nothing."""
+
+    def handle_endtag(self, tag):
+        if tag == "div" and self.depth:
+            self.depth -= 1
+            if not self.depth:
+                self.out[-1] += (self._at(),)
+
+
+def class_blocks(pages: DataFrame, kinds: tuple[str, ...] = ("tit", "p", "noto"), page: str = "page_id", html: str = "html") -> DataFrame:
+    """(page, rank, kind, ch, id, text): the divisions of <main> (without one, of the page) whose first class is a kind, up to the end of the same depth, as Markdown. A division that is not closed is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                main = re.search(r"<main\b.*?</main>", h or "", re.S)
+                h = main.group() if main else h or ""
+                rows += [(i, rank, kind, ch, name, h[begin:end]) for rank, (kind, ch, name, begin, end) in enumerate(Divisions(kinds).read(h), 1)]
+            names = [page, "rank", "kind", "ch", "id", "text"]
+            kind = [pa.int64(), pa.int64(), *[pa.string()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], x) for k, x in enumerate(kind)], names)
+
+    d = pages.select(page, html).mapInArrow(run, f"{page} long, rank long, kind string, ch string, id string, text string")
+    return d.withColumn("text", as_markdown(F.regexp_replace("text", "(?s)<!--.*?-->", "")))
+
+
+def by_name(files: DataFrame, name: str) -> DataFrame:
+    """files (a list of them, one row each) with ``nth`` in the order of their names."""
+    return files.withColumn("nth", F.row_number().over(Window.orderBy(name)).cast("long"))
+
+
 def parse_blocks(html: str, kinds: tuple[str, ...] = KINDS) -> list[tuple[str, str]]:
     p = Blocks(kinds)
     p.feed(html)
@@ -114,10 +175,10 @@ def index_rows(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("text", t).where("text <> ''").withColumn("lowered", F.lower("text"))
 
 
-def leaf_survey(spark: SparkSession, path: str) -> DataFrame:
-    """(leaf, folio, raw, nlines, skew) of JSON objects keyed by leaf."""
+def leaf_survey(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
+    """(leaf, folio, raw, nlines, skew) of JSON objects keyed by leaf, one a file or, with whole false, one a line."""
     schema = "map<string,struct<folio:int,raw:string,nlines:int,skew:double>>"
-    d = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", schema)).alias("leaf", "x"))
+    d = spark.read.text(path, wholetext=whole).select(F.explode(F.from_json("value", schema)).alias("leaf", "x"))
     return d.select(F.col("leaf").cast("int").alias("leaf"), "x.*")
 
 
