@@ -1,5 +1,6 @@
 """Language model, token store, pipeline."""
 
+import hashlib
 import math
 import re
 import zlib
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from textloom.llm import common, decontaminate, jaccard, linededup, lm, quality, queries, store
+from textloom.llm import bpe, common, decontaminate, fingerprints, jaccard, language, linededup, lm, quality, queries, secrets, store
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +63,76 @@ def test_weights_maximise_the_likelihood():
     assert abs(w.sum() - 1) < 1e-9 and like(w) >= best - 1e-3
 
 
+def test_model_scores_by_the_formula(spark, sf, documents, tmp_path):
+    """Every score from plain counts, with the model's own weights; and the weights from plain counts of the deleted documents."""
+    low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    rows = {r["doc_id"]: ["<", *re.findall("[^\x20\x09-\x0d]+", (r["text"] or "").translate(low)), ">"] for r in documents.collect()}
+    flags = {r["doc_id"]: (r["h"], r["d"]) for r in documents.select("doc_id", (common.fold(7) == 2).alias("h"), (F.pmod(F.xxhash64(F.lit("deleted"), "doc_id"), F.lit(lm.DELETED)) == 0).alias("d")).collect()}
+
+    def counts(ids):
+        one, two, context = Counter(), Counter(), Counter()
+        for i in ids:
+            one.update(rows[i][1:])
+            context.update(rows[i][:-1])
+            two.update(zip(rows[i], rows[i][1:]))  # noqa: B905
+        return one, two, context
+
+    model = lm.learn(documents, common.fold(7) == 2, str(tmp_path))
+    train = [i for i, (h, _) in flags.items() if not h]
+    one, two, context = counts(train)
+    n, v = sum(one.values()), len(one)
+    assert (model.tokens, model.vocabulary) == (n, v)
+    got = {r["doc_id"]: r for r in lm.score(documents, common.fold(7) == 2).collect()}
+    for i, w in rows.items():
+        want = 0.0
+        for a, b in zip(w, w[1:]):  # noqa: B905
+            weight = model.weights[context[a].bit_length()]
+            want += math.log10(weight[0] * (two[a, b] / context[a] if context[a] else 0) + weight[1] * one[b] / n + weight[2] / (v + 1))
+        assert abs(got[i]["score"] - want) < 1e-6 * abs(want) and got[i]["train_tokens"] == n
+    kept, deleted = [i for i in train if not flags[i][1]], [i for i in train if flags[i][1]]
+    one, two, context = counts(kept)
+    n, cells = sum(one.values()), {}
+    for i in deleted:
+        for a, b in zip(rows[i], rows[i][1:]):  # noqa: B905
+            cells.setdefault(context[a].bit_length(), []).append((two[a, b] / context[a] if context[a] else 0, one[b] / n, 1 / (v + 1)))
+    for bucket, parts in cells.items():
+        if len(parts) < 200:
+            continue
+        parts, share = np.array(parts), np.array([1 / 3, 1 / 3, 1 / 3]) if bucket else np.array([0, 0.5, 0.5])
+        for _ in range(40):
+            each = parts * share
+            share = (each / each.sum(1, keepdims=True)).mean(0)
+        assert np.abs(share - model.weights[bucket]).max() < 0.03
+
+
+def test_ten_megabytes_of_text(spark, tmp_path):
+    """Every operator over a very long text among short ones, and a very long word."""
+    rng = np.random.default_rng(1)
+    words = np.array([f"wörd{i}" if i % 5 else f"Word{i}." for i in range(4000)])
+    long = " ".join(words[rng.integers(0, 4000, 1_500_000)])
+    rows = [(1, long), (2, "a short text. of some words"), (3, "x" * 2_000_000), (4, long[:400] + " benchmark passage with a good many words of its own in it")]
+    docs = spark.createDataFrame([(*r, "en", len(r[1])) for r in rows], "doc_id long, text string, lang string, n_chars long").repartition(2)
+    docs = common.written(docs, f"{tmp_path}/docs")
+    assert len(long.encode()) > 10_000_000
+    bench = spark.createDataFrame([(7, "benchmark passage with a good many words of its own in it")], "item_id long, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, bench).collect()] == [(4, 7)]
+    model = quality.learn(docs, spark.createDataFrame([(2, 1), (4, 0)], "doc_id long, quality int"))
+    assert quality.score(docs, model).where("score between 0 and 1").count() == 4
+    assert {r["component_id"] for r in jaccard.join(docs).collect()} == {1, 2, 3, 4}
+    assert lm.score(docs, F.lit(False)).where("doc_id = 1").first()["n_tokens"] == 1_500_001
+    from test_pair_operators import brute_dedup
+
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()} == brute_dedup(rows)
+    assert {r["lang_pred"] for r in language.identify(docs, language.learn(docs.where("doc_id <> 3"))).collect()} == {"en"}
+    t = Tokenizer.from_file(WORDS)
+    store.write(docs, f"{tmp_path}/s", WORDS)
+    assert {r["doc_id"]: r["n_tokens"] for r in store.read(spark, f"{tmp_path}/s").collect()}[4] == len(t.encode(rows[3][1], add_special_tokens=False).ids) + 1
+    got = {r["doc_id"]: r for r in bpe.digests(docs.where("doc_id <> 3"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
+    assert got[1]["decoded_sha256"] == hashlib.sha256(long.encode()).hexdigest()
+    assert {r["n_chars"] for r in fingerprints.fingerprints(docs).collect()} == {len(t) for _, t in rows}
+    assert secrets.scan_documents(docs).count() == 4
+
+
 def test_model_over_odd_rows(odd, empty):
     r = lm.score(odd, common.fold(7) == 2).collect()
     assert len(r) == 12 and sorted(x["n_tokens"] for x in r if x["doc_id"] in (2, 3, 4)) == [1, 1, 1] and all(np.isfinite(x["score"]) for x in r)

@@ -1,5 +1,6 @@
 """Secret scans, language, quality, byte-level BPE."""
 
+import hashlib
 import random
 import re
 
@@ -107,8 +108,28 @@ def test_bpe_over_odd_rows(odd, empty, spark):
     assert staged.where("n_tokens <> size(token_ids)").count() == 0
 
 
+def test_known_pieces_as_the_library(vocab, reference, monkeypatch):
+    """What is learned from pieces in the order of their bytes, with what one shares with the next, also after the cache has started afresh."""
+    monkeypatch.setattr(bpe, "MAX_CACHE", 300)
+    rng = random.Random(8)
+    known, fresh = bpe.Known(vocab), 0
+    for _ in range(30):
+        group = {"".join(rng.choice(["a", "an", "ant", "anti", "é", "e", "ing", " ", "漢", "0", "xq"]) for _ in range(rng.randint(1, 9))) for _ in range(60)}
+        before = len(known)
+        known.learn(group)
+        fresh += len(known) < before
+        for p in group:
+            ids = vocab.piece(p.encode())
+            assert known[p] == (",".join(map(str, ids)), len(ids), p.encode()) and ids == reference._core_bpe.encode_single_piece(p.encode())
+    assert fresh and len(known) <= 300
+    text = " ".join(rng.choice(["word", "Wörter", "漢字", "12", "'s", "\n\n", "été"]) for _ in range(500))
+    monkeypatch.setattr(bpe, "GROUP", 7)
+    ids = reference.encode_ordinary(text)
+    assert known.stream(text) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
 def naive_ppm(train, text, symbols):
-    """Code length of text by the definition: counts of contexts of up to three symbols, method C, exclusion."""
+    """Code length of text by the definition: counts of contexts of up to three symbols, method C, exclusion. A context seen once is none."""
     counts = {}
     for t in train:
         padded = [-1, -1, -1, *t]
@@ -121,7 +142,7 @@ def naive_ppm(train, text, symbols):
         s, out = padded[i], set()
         for k in range(3, -1, -1):
             here = counts.get(tuple(padded[i - k : i]))
-            if not here:
+            if not here or (k and sum(here.values()) < 2):
                 continue
             free = {x: n for x, n in here.items() if x not in out}
             if not free:
@@ -139,12 +160,12 @@ def naive_ppm(train, text, symbols):
 
 
 def test_code_lengths_are_exact():
-    train = [b"abracadabra abracad", b"banana bandana", b"cab abra"] * 2  # each context twice at least
+    train = [b"abracadabra abracad", b"banana bandana", b"cab abra", b"once only"]
     buf, off = common.utf8(pa.array([t.decode() for t in train]))
     s, code = language._codes(np.arange(256), 256, buf, off)
     key, n = np.unique(code * 257 + s, return_counts=True)
     trees = language.train({"x": (key, n)})
-    texts = [b"abracadabra", b"banana", b"zebra!", b"", b"dada cabana"]
+    texts = [b"abracadabra", b"banana", b"zebra!", b"", b"dada cabana", b"once more, only"]
     got = language.code_lengths(trees, *common.utf8(pa.array([t.decode() for t in texts])))[:, 0]
     assert np.allclose(got, [naive_ppm(train, t, None) for t in texts], rtol=1e-5)
 
@@ -177,3 +198,49 @@ def test_attention_gradients_lower_the_loss():
     y = np.array([1.0, 0.0] * 30)
     s = quality.fit(x, begin, y, epochs=20).score(x, begin)
     assert s[y == 1].min() > 0.9 and s[y == 0].max() < 0.1
+
+
+def test_scores_by_the_formulas():
+    """The forward pass written out for one document at a time, in plain numbers."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["good", "words", "here!", "X", "12", "###", "läuft."]) for _ in range(rng.choice([0, 3, 47, 48, 49, 200, 500]))) for _ in range(40)]
+    x, begin = quality.passages(*common.utf8(pa.array(texts)))
+    m = quality.fit(x, begin, np.array([float(len(t) % 2) for t in texts]), epochs=3)
+    got, p = m.score(x, begin), {k: v.astype(float) for k, v in m.p.items()}
+    for i in range(len(texts)):
+        hidden, energy = [], []
+        for row in x[begin[i] : begin[i + 1]].astype(float):
+            h = [np.tanh(sum(a * b for a, b in zip((row - m.mean) * m.scale, p["enc"][:, j], strict=True)) + p["enc0"][j]) for j in range(p["enc"].shape[1])]
+            gate = [np.tanh(np.dot(h, p["tanh"][:, j])) / (1 + np.exp(-np.dot(h, p["gate"][:, j]))) for j in range(p["att"].shape[0])]
+            hidden.append(h)
+            energy.append(np.exp(np.dot(gate, p["att"])))
+        weight = [e / sum(energy) for e in energy]
+        out = sum(w * np.dot(h, p["out"]) for w, h in zip(weight, hidden, strict=True)) + p["out0"][0]
+        assert abs(1 / (1 + np.exp(-out)) - got[i]) < 1e-4
+    assert [b - a for a, b in zip(begin, begin[1:])] == [max(1, -(-len(t.split()) // quality.PASSAGE)) for t in texts]  # noqa: B905
+
+
+def test_a_long_text_in_sections_is_the_whole(monkeypatch):
+    rng = random.Random(6)
+    text = "  " + " ".join(rng.choice(["alpha", "Beta.", "γάμμα", "x" * 40, "\n"]) for _ in range(3000))
+    buf, off = common.utf8(pa.array([text]))
+    x, begin = quality.passages(buf, off)
+    m = quality.fit(np.concatenate([x, x[:9]]), np.array([0, len(x), len(x) + 9]), np.array([1.0, 0.0]), epochs=2)
+    s, code = language._codes(np.arange(256), 256, buf[:9000], np.array([0, 9000]))
+    key, n = np.unique(code * 257 + s, return_counts=True)
+    trees = language.train({"a": (key, n), "b": (key[::3], n[::3])})
+    want, bits = m.of_texts(buf, off), language.code_lengths(trees, buf, off)
+    for size in (100, 997, 5000):
+        monkeypatch.setattr(quality, "SECTION", size)
+        monkeypatch.setattr(language, "STEP", size)
+        parts = list(quality.sections(buf, limit=size))
+        assert b"".join(p.tobytes() for p in parts) == buf.tobytes() and (len(parts) > 1)
+        assert np.concatenate([quality.passages(p, np.array([0, len(p)]))[0] for p in parts]).shape == x.shape
+        assert np.allclose(m.of_texts(buf, off), want, rtol=1e-5) and np.allclose(language.code_lengths(trees, buf, off), bits)
+    assert [len(p) for p in quality.sections(np.frombuffer(b" " * 1000, np.uint8), limit=10)] == [1000]
+
+
+def test_offsets_of_many_hits():
+    text = "é password=abcdefghijkl1 ü " * 300 + "é"
+    hits = [(secrets.compiled().rules[i].name, s, e) for i, s, e in secrets.found(text)]
+    assert [h for h in sorted(hits, key=lambda h: h[1:]) if h[0] in secrets.BASE] == brute_secrets(text)

@@ -16,6 +16,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 import regex
@@ -27,6 +28,8 @@ from . import common
 _SPACES = r"\t-\r \x85\xa0  -     　"
 #: Pieces kept by a worker; when there are more, it starts afresh. Bounds its memory whatever the input.
 MAX_CACHE = 400_000
+#: Characters of a text whose pieces are looked at in groups, and the pieces of a group.
+LONG, GROUP = 1 << 20, 1 << 16
 #: Texts of these characters only are split by the quicker of two equal patterns: ASCII without control characters but tab and newlines, and Latin letters.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-ɏ]*")
 
@@ -138,8 +141,11 @@ class Vocabulary:
         out = text[:start] + new + text[end:]
         return out, self.last_tokens(out, last[:start])
 
+    def splitter(self, text: str):
+        return self.quick if _PLAIN.fullmatch(text) else self.general
+
     def pieces(self, text: str) -> list[str]:
-        return (self.quick if _PLAIN.fullmatch(text) else self.general).findall(text)
+        return self.splitter(text).findall(text)
 
     def encode(self, text: str) -> list[int]:
         return [t for p in self.pieces(text) for t in self.piece(p.encode("utf-8", "replace"))]
@@ -165,6 +171,18 @@ class Known(dict):
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
 
+    def stream(self, text: str) -> tuple[int, str, str]:
+        """The number of a long text's ids and both digests, its pieces looked at in groups."""
+        n, ids, back, first = 0, hashlib.sha256(), hashlib.sha256(), True
+        found = (m.group() for m in self.v.splitter(text).finditer(text))
+        while group := list(islice(found, GROUP)):
+            self.learn(set(group))
+            strings, counts, decoded = zip(*(self[p] for p in group), strict=True)
+            ids.update((("" if first else ",") + ",".join(strings)).encode())
+            back.update(b"".join(decoded))
+            n, first = n + sum(counts), False
+        return n, ids.hexdigest(), back.hexdigest()
+
     def learn(self, pieces: set[str]) -> None:
         """Add the pieces that are not known yet: in the order of their bytes, each begins with the last tokens of what it shares with the one before."""
         new = pieces - self.keys()
@@ -199,7 +217,8 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, the number of ids, and the SHA-256 of the ids (decimal, comma-joined) and of the bytes they decode to.
 
     Null and empty texts have no ids. Repeated rows give repeated rows; an
-    empty table an empty result; other columns are not looked at. Map-only.
+    empty table an empty result; other columns are not looked at. A text of
+    more than LONG characters goes through in groups of pieces. Map-only.
     """
     common.ready(docs.sparkSession)
 
@@ -207,6 +226,9 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         known = _known(path, pattern)
         split = known.v.pieces
         for b in common.slices(batches):
+            if b.num_rows == 1 and len(text := b.column("text")[0].as_py()) > LONG:
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array([x]) for x in known.stream(text)]], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                continue
             n, ids, back = array("q"), [], []
             pieces = [split(text) for text in b.column("text").to_pylist()]
             known.learn(set().union(*pieces))
@@ -246,7 +268,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def stage(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """docs with n_tokens and token_ids after its columns (a column so named before gives way); the ids of every whole text."""
+    """docs with n_tokens and token_ids after its columns (a column so named before gives way); the ids of every whole text. Null and empty texts have none; repeated rows each have theirs; a very long text's ids are one array; an empty table gives an empty result."""
     from pyspark.sql import types as T
 
     common.ready(docs.sparkSession)

@@ -99,10 +99,11 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> float:
 def window_prints(terms: np.ndarray, count: int, stride: int, counts: np.ndarray | None = None) -> np.ndarray:
     """SimHash fingerprints of count successive terms from every stride-th term on: a bit is set if more than half of the terms set it. counts: vote_counts(terms)."""
     c = vote_counts(terms) if counts is None else counts
-    out = np.zeros(len(range(0, c.shape[1] - count, stride)), np.uint64)
+    last = max(0, c.shape[1] - count)
+    out = np.zeros(len(range(0, last, stride)), np.uint64)
     more = _LANES * np.uint64(0x8000 - count // 2 - 1)
     for i in range(16):
-        out |= (c[i, count::stride] - c[i, : c.shape[1] - count : stride] + more >> np.uint64(15) & _LANES) << np.uint64(i)
+        out |= (c[i, count::stride] - c[i, :last:stride] + more >> np.uint64(15) & _LANES) << np.uint64(i)
     return out
 
 

@@ -25,6 +25,8 @@ from . import common
 TRAIN_DOCS = 600
 #: Contexts kept at most, the most frequent ones, times languages: the bound of the table's size (times symbols times 4 bytes).
 MAX_CELLS = 60_000
+#: Bytes of a long text that are looked at together.
+STEP = 1 << 20
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -138,7 +140,15 @@ def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_cells: int = MAX
 
 
 def code_lengths(trees: Trees, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Bits of each text in each language: texts times languages."""
+    """Bits of each text in each language: texts times languages. One long text goes through in steps, each with the three bytes before it."""
+    if len(off) == 2 and len(buf) > STEP:
+        out = np.zeros((1, len(trees.langs)))
+        for at in range(0, len(buf), STEP):
+            low = max(0, at - 3)
+            part = buf[low : at + STEP]
+            s, code = _codes(trees.symbol, trees.edge, part, np.array([0, len(part)]))
+            out += trees.cost[trees.node[code[at - low :]].astype(np.int64) * trees.symbols + s[at - low :]].sum(0, dtype=np.float64)
+        return out
     s, code = _codes(trees.symbol, trees.edge, buf, off)
     out = np.zeros((len(off) - 1, len(trees.langs)))
     if len(s):
@@ -183,7 +193,7 @@ def identify(docs: DataFrame, trees: Trees, held_out=None) -> DataFrame:
     A text that is null or has no letter, or with no language learned, is
     ``und`` with score 0. Ties go to the first language by name. Repeated rows
     give repeated rows; an empty table gives an empty result; of other columns
-    none is looked at. Map-only.
+    none is looked at. A very long text goes through in steps. Map-only.
     """
     common.ready(docs.sparkSession)
     ascii_letter = np.zeros(256, bool)

@@ -10,6 +10,8 @@ predict. The final counts are of all training documents.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -103,17 +105,19 @@ def learn_weights(cells: list[tuple[int, int, int, float]], rounds: int = 40) ->
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, held_out: Column) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens (words and an end), n_known, train_tokens, base_score (add-one words) and score, as log10 probabilities.
+@dataclass
+class Learned:
+    """The blocks of all documents, the totals of their words and pairs, the number of training tokens, of different ones, and the weights of each bucket."""
 
-    Counts are of all documents that are not held out. A null or empty text is
-    its end alone. Repeated rows each count and each give a row; an empty
-    table gives an empty result; a null id comes back as null; other columns
-    are not looked at. Without training documents every token has probability
-    1 / (V + 1) = 1.
-    """
-    spark = docs.sparkSession
-    folder = common.shared_folder(spark)
+    table: DataFrame
+    told: DataFrame
+    tokens: int
+    vocabulary: int
+    weights: np.ndarray
+
+
+def learn(docs: DataFrame, held_out: Column, folder: str) -> Learned:
+    """Counts and weights from all documents that are not held out, in tables below folder."""
     rows = common.texts(docs).withColumn("held", held_out)
     deleted = F.pmod(F.xxhash64(F.lit("deleted"), "doc_id"), F.lit(DELETED)) == 0
     flag = F.when(F.col("held"), HELD_OUT).when(deleted, DELETED_FLAG).otherwise(TRAIN)
@@ -141,7 +145,23 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         return pa.table({"code": code, "n": count.astype(np.int64)})
 
     got = tokens.answered(table.where("kind = 1"), told.join(table.where("kind = 1").select(F.col("block").alias("receiver")), "receiver", "left_semi"), cells, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
-    weights = learn_weights([(c >> 40, (c >> 20 & 0xFFFFF) - 20000, (c & 0xFFFFF) - 20000, k) for c, k in got])
+    return Learned(table, told, n, vocabulary, learn_weights([(c >> 40, (c >> 20 & 0xFFFFF) - 20000, (c & 0xFFFFF) - 20000, k) for c, k in got]))
+
+
+def score(docs: DataFrame, held_out: Column) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens (words and an end), n_known, train_tokens, base_score (add-one words) and score, as log10 probabilities.
+
+    Counts are of all documents that are not held out. A null or empty text is
+    its end alone; a very long text is in one block, in memory whole as hashes
+    of its words. Repeated rows each count and each give a row; an empty
+    table gives an empty result; a null id comes back as null; other columns
+    are not looked at. Without training documents every token has probability
+    1 / (V + 1) = 1.
+    """
+    spark = docs.sparkSession
+    folder = common.shared_folder(spark)
+    m = learn(docs, held_out, folder)
+    n, vocabulary, weights = m.tokens, m.vocabulary, m.weights
 
     def scores(row: dict, answer: dict) -> pa.Table:
         ids, flags, begin, flag, word, bucket, pair, one, rest = _parts(row, answer, False, n, vocabulary)
@@ -152,4 +172,6 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
             "base_score": add(np.log10((word + 1) / (n + vocabulary + 1))), "score": add(np.log10(p)),
         })
 
-    return tokens.answered(table, told, scores, SCHEMA)
+    out = common.written(tokens.answered(m.table, m.told, scores, SCHEMA), f"{folder}-scores")
+    common.removed(spark, folder)
+    return out

@@ -109,17 +109,22 @@ class Model:
         pooled = np.add.reduceat(a[:, None] * h, begin[:-1], axis=0)
         return a, pooled, pooled @ p["out"] + p["out0"]
 
-    def score(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """The scores of texts, given by their bytes and where each begins (one more entry). Of one long text, only the passages' encodings are in memory together."""
+    def score(self, x: np.ndarray, begin: np.ndarray) -> np.ndarray:
         if not self.p:
-            return np.full(len(off) - 1, self.prior)
-        if len(off) == 2 and len(buf) > SECTION:
-            parts = [self.hidden(passages(x, np.array([0, len(x)]))[0])[1::3] for x in sections(buf)]
-            h, e = (np.concatenate(x) for x in zip(*parts, strict=True))
-            out = self.pooled(h, e, np.array([0, len(e)]))[-1]
-        else:
-            out = self.encode(*passages(buf, off))[-1]
-        return 1 / (1 + np.exp(-np.clip(out, -60, 60).astype(np.float64)))
+            return np.full(len(begin) - 1, self.prior)
+        return _share(self.encode(x, begin)[-1])
+
+    def of_texts(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """The scores of texts, given by their bytes and where each begins (one more entry). Of one long text, only the passages' encodings are in memory together."""
+        if len(off) != 2 or len(buf) <= SECTION or not self.p:
+            return self.score(*passages(buf, off))
+        parts = [self.hidden(passages(x, np.array([0, len(x)]))[0])[1::3] for x in sections(buf)]
+        h, e = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return _share(self.pooled(h, e, np.array([0, len(e)]))[-1])
+
+
+def _share(out: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(out, -60, 60).astype(np.float64)))
 
 
 def fit(x: np.ndarray, begin: np.ndarray, label: np.ndarray, hidden: int = 24, gates: int = 12, epochs: int = 60, seed: int = 7) -> Model:
@@ -214,7 +219,7 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices((b.append_column("_text", b.column("text").fill_null("")) for b in batches), None, 1 << 20):
-            s = model.score(*common.utf8(b.column(b.num_columns - 1)))
+            s = model.of_texts(*common.utf8(b.column(b.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(s), pa.array((s >= keep).astype(np.int32))], [*b.schema.names[:-1], "score", "predicted"])
 
     return d.mapInArrow(common.tidy(run), schema)

@@ -76,8 +76,24 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op9_simhash."""
+    return fingerprints.fingerprints(common.table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op10_secret_automaton."""
+    return op10_secret_automaton(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op4_deleted_interpolation."""
+    return op4_deleted_interpolation(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    own = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return own | {f.__name__: f for f in (edited_texts, secret_counts, base_scores)}
 
 
 #: Pairs by shared shingles, links by the contract's rule, components by reachability.
@@ -91,5 +107,19 @@ reach(doc_id, other) as (select doc_id, doc_id from w union select reach.doc_id,
 select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.component_id from w left join n using (doc_id) join (select doc_id, min(other) as component_id from reach group by doc_id) r using (doc_id)"""
 
 
+EDITED_SQL = """with d as (select doc_id, coalesce(text, '') as text from documents), n as (select *, coalesce(lead(text) over w, first_value(text) over (order by doc_id desc rows between unbounded preceding and unbounded following)) as nxt, length(text) as n from d window w as (order by doc_id desc))
+select doc_id, n::bigint as n_chars, sha256(left(text, n - n // 2) || left(nxt, n // 2)) as edited_sha256 from n"""
+
+SECRET_SQL = r"""with d as (select doc_id, coalesce(text, '') as text from documents) select doc_id,
+len(list_filter(regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 12))::bigint as n_assign,
+len(list_filter(regexp_extract_all(text, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18))::bigint as n_access, len(list_filter(regexp_extract_all(text, '[0-9a-f]+'), lambda x: length(x) >= 16))::bigint as n_hex from d"""
+
+#: crc32 of the id's digits, bit by bit, as there is no function for it.
+_CRC = "xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substring(doc_id::varchar, i, 1))::bigint)), lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint for _ in range(8)]), lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end)), 4294967295::bigint)"
+BASE_SQL = rf"""with w as (select doc_id, {_CRC} % 7 = 2 as held_out, list_concat(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), [' ']) as ws from documents),
+t as (select doc_id, held_out, unnest(ws) as word from w), c as (select word, count(*) as c from t where not held_out group by word), s as (select sum(c)::bigint as n, count(*) as v from c)
+select doc_id, held_out, count(*) as n_tokens, count(c.c) as n_known, any_value(n) as train_tokens, round(sum(log10((coalesce(c.c, 0) + 1) / (n + v + 1))), 6) as base_score from t left join c using (word), s group by doc_id, held_out"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard_orders": OP3_SQL}
+    return {"op3_jaccard_orders": OP3_SQL, "edited_texts": EDITED_SQL, "secret_counts": SECRET_SQL, "base_scores": BASE_SQL}
