@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 #: The largest deviation of a pair, what a gap costs, and the range in which a fitted scale is believed.
 FARTHEST, GAP, SCALES = 16.0, 22.0, (0.9, 1.1)
-#: Cells of a matrix that matched() and fit() hold at once; longer pages are done in parts, with the same result.
+#: Cells of a matrix that matched() holds at once; longer pages are done in parts, with the same result.
 CELLS = 1 << 20
 
 
@@ -36,27 +36,31 @@ def zipped(rows: DataFrame, keys: list[str], left: str, right: str) -> DataFrame
     return d.select(*keys, (F.col("rank") + 1).cast("long").alias("rank"), F.col(f"x.{left}").alias(left), F.col(f"x.{right}").alias(right))
 
 
+def _line(u: np.ndarray, v: np.ndarray) -> tuple[float, float]:
+    """Scale and offset of the least squares line of v over u; a scale outside SCALES counts as 1."""
+    away = u - u.mean()
+    scale = float(away @ v / (away @ away))
+    scale = scale if SCALES[0] < scale < SCALES[1] else 1.0
+    return scale, float(v.mean() - scale * u.mean())
+
+
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float, float]:
-    """Scale and offset that lay the points x over y: least squares over nearest neighbours, again and again; a scale outside SCALES counts as 1."""
-    if len(x) < 2 or len(y) < 2:
-        return 1.0, float(np.mean(y) - np.mean(x)) if len(x) and len(y) else 0.0
-    scale = np.ptp(y) / max(np.ptp(x), 1e-6)
-    offset = y.min() - scale * x.min()
+    """Scale and offset that lay the points x over y: from both ranges laid over each other on, the line through each point's nearest neighbour, until the neighbours stay the same. Neighbours farther than three gaps do not count."""
+    s = np.sort(y)
+    if min(len(x), len(s)) < 2 or not np.ptp(x):
+        return 1.0, float(s.mean() - x.mean()) if len(x) and len(s) else 0.0
+    scale = np.ptp(s) / np.ptp(x)
+    offset, before = s[0] - scale * x.min(), None
     for _ in range(rounds):
-        moved = scale * x + offset
-        step = max(1, CELLS // len(y))
-        target = y[np.concatenate([np.abs(moved[i : i + step, None] - y).argmin(1) for i in range(0, len(x), step)])]
-        use = np.abs(target - moved) < 3 * GAP
-        if use.sum() < 3 or np.ptp(x[use]) == 0:
-            break
-        u, v = x[use], target[use]
-        new = float(((u - u.mean()) * (v - v.mean())).sum() / ((u - u.mean()) ** 2).sum())
-        new = new if SCALES[0] < new < SCALES[1] else 1.0
-        at = float(v.mean() - new * u.mean())
-        still = abs(new - scale) < 1e-6 and abs(at - offset) < 1e-3
-        scale, offset = new, at
-        if still:
+        at = scale * x + offset
+        upper = np.clip(np.searchsorted(s, at), 1, len(s) - 1)
+        near = upper - (at - s[upper - 1] <= s[upper] - at)
+        near = np.where(np.abs(s[near] - at) < 3 * GAP, near, -1)
+        use = near >= 0
+        if use.sum() < 3 or not np.ptp(x[use]) or np.array_equal(near, before):
             break
+        scale, offset = _line(x[use], s[near[use]])
+        before = near
     return float(scale), float(offset)
 
 

@@ -37,13 +37,20 @@ def search(index: DataFrame, query: str, order: list[str], shown: int = 300, lea
     return top.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one").select(*order, "hit", at.cast("long").alias("at"), "total", snippet(F.col("text"), at, F.lit(len(query))).alias("snippet"))  # total: one row
 
 
-def pages(hits: DataFrame, head: Column, by: list[str], order: list[str]) -> DataFrame:
-    """One text for each group: blocks in order, a heading before a block whose heading differs from the one before."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    d = hits.withColumn("_head", head).withColumn("_new", ~F.lag("_head").over(w).eqNullSafe(F.col("_head")))
-    piece = F.concat(F.when(F.col("_new"), F.concat(F.lit("## "), F.col("_head"), F.lit("\n\n"))).otherwise(F.lit("")), F.col("text"))
-    parts = F.array_sort(F.collect_list(F.struct(*order, piece.alias("piece"))))
-    return d.groupBy(*by).agg(F.count("*").alias("n_blocks"), F.array_join(parts["piece"], "\n\n").alias("page"))
+def page_pieces(hits: DataFrame, head: Column, by: list[str], doc: str, order: list[str], stretch: int = 4096) -> DataFrame:
+    """(by, doc, order, piece): each block of a topic's page, with a heading before it where the heading differs from that of the block before; a blank line goes between pieces.
+
+    No task sees a whole topic: neighbours meet within stretches of doc (a whole
+    number), and of stretches only the first and the last block meet.
+    """
+    d = hits.withColumns({"_head": head, "_s": F.floor(F.col(doc) / stretch)})
+    inside = Window.partitionBy(*by, "_s").orderBy(doc, *order)
+    ends = d.groupBy(*by, "_s").agg(F.max(F.struct(doc, *order, "_head"))["_head"].alias("_last"))
+    ends = ends.select(*by, "_s", F.lag("_last").over(Window.partitionBy(*by).orderBy("_s")).alias("_before"))
+    d = d.withColumns({"_lag": F.lag("_head").over(inside), "_first": F.row_number().over(inside) == 1}).join(ends, [*by, "_s"])
+    new = ~F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")).eqNullSafe(F.col("_head"))
+    piece = F.concat(F.when(new, F.concat(F.lit("## "), F.col("_head"), F.lit("\n\n"))).otherwise(F.lit("")), F.col("text"))
+    return d.select(*by, doc, *order, piece.alias("piece"))
 
 
 def top_heads(lines: DataFrame, head: Column, by: list[str], order: list[str]) -> DataFrame:

@@ -143,11 +143,11 @@ def search_too_short(spark, sf):
 
 @query(f"""with {LINES}, hits as (select l.doc_id, l.rank, l.text, d.lang, d.source from lines l join documents d on l.doc_id = d.doc_id where regexp_matches(l.text, '[0-9]{{4,}}', 'i')),
 h as (select *, lag(source) over (partition by lang order by doc_id, rank) is distinct from source as new from hits)
-select lang, count(*) as n_blocks, string_agg(case when new then '## ' || source || chr(10) || chr(10) else '' end || text, chr(10) || chr(10) order by doc_id, rank) as page from h group by lang""")
+select lang, doc_id, rank, case when new then '## ' || source || chr(10) || chr(10) else '' end || text as piece from h""")
 def topic_pages(spark, sf):
     hits = concordance.topic_hits(lines(spark, sf), {"number": TOPICS["number"]}).drop("topic")
     hits = hits.join(t(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id")
-    return concordance.pages(hits, F.col("source"), ["lang"], ["doc_id", "rank"])
+    return concordance.page_pieces(hits, F.col("source"), ["lang"], "doc_id", ["rank"])
 
 
 @query(f"with {WORDS} select word, count(*) as n, count(distinct doc_id) as docs from toks group by word")

@@ -11,6 +11,12 @@ def partitioned(df: DataFrame, path: str, by: str, kind: str = "parquet") -> Non
     df.write.mode("overwrite").partitionBy(by).format(kind).save(path)
 
 
+def paged(pieces: DataFrame, path: str, by: str, order: list[str]) -> None:
+    """pieces as text, a folder for each value of by, each piece followed by a blank line; the files of a folder, one after the other, are in order."""
+    d = pieces.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
+    d.select(by, F.concat("piece", F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy(by).text(path)
+
+
 def chapters(blocks: DataFrame, by: list[str], note: str = "is_note") -> DataFrame:
     """(by, n_blocks, size, text): a group's blocks in rank, apart by a blank line; every line of a note behind ``> ``."""
     piece = F.when(F.col(note), F.regexp_replace("text", "(?m)^", "> ")).otherwise(F.col("text"))
