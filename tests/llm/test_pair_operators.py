@@ -119,7 +119,7 @@ def test_line_dedup_as_brute_force(spark, documents):
 
 def test_lines_of_odd_texts(spark):
     texts = ["", "a", "\n", " \n\t ", "a\n", "a. b.  c\nd.\ne", "a\n\n b.\n\n\nc. \nd", "3.14 and U.S.A. x", "a\x00b. c\nd", "\n\na. b", ". . .", "é. 漢字\n\n"]
-    got = [r["l"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(linededup.lines(F.col("t")).alias("l")).collect()]
+    got = [r["l"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").transform(lambda d: linededup.with_lines(d, "t")).select(F.col("_lines").alias("l")).collect()]
     bare = lambda xs: [x.strip() for x in xs if x.strip()]
     assert ["".join(x) for x in got] == texts and [bare(x) for x in got] == [bare(plain_lines(t)) for t in texts]
 

@@ -25,14 +25,17 @@ _MARK = "\x00"
 _WHITE = " \t\n\x0b\x0c\r"
 
 
-def lines(text: Column) -> Column:
-    """The lines of a text, each with the white space behind it; joined, they are the text. Blank lines belong to the one before."""
-    quick = F.split(F.replace(F.replace(text, F.lit("\n"), F.lit("\n" + _MARK)), F.lit(". "), F.lit(". " + _MARK)), _MARK)
-    quick = F.when(F.element_at(quick, -1) == "", F.slice(quick, 1, F.size(quick) - 1)).otherwise(quick)
-    # texts with blank lines, or with the mark itself, are cut by a slower pattern
+def with_lines(rows: DataFrame, text: str) -> DataFrame:
+    """rows with ``_lines``, the lines of the column text, each with the white space behind it; joined, they are the text. Blank lines belong to the one before. Cut in steps, so that no step is worked out twice."""
+    cut = F.split(F.replace(F.replace(F.col(text), F.lit("\n"), F.lit("\n" + _MARK)), F.lit(". "), F.lit(". " + _MARK)), _MARK)
+    d = rows.withColumn("_cut", cut)
+    # texts with blank lines, or with the mark itself, are cut by a slower pattern; the last part is empty where the text ends with a line's end
+    blank = F.exists(F.slice("_cut", 1, F.size("_cut") - 1), lambda x: _bare(x) == "")
+    last = _bare(F.element_at("_cut", -1))
+    kind = F.when(F.contains(text, F.lit(_MARK)) | blank | ((last == "") & (F.element_at("_cut", -1) != "")), 2).when(F.element_at("_cut", -1) == "", 1).otherwise(0)
     slow = F.filter(F.split(text, r"(?=\S)(?:(?<=\n[ \t]{0,16})|(?<=\. {1,16}))"), lambda x: x != "")
-    odd = F.contains(text, F.lit(_MARK)) | F.exists(quick, lambda x: _bare(x) == "")
-    return F.when(odd, slow).otherwise(quick)
+    d = d.withColumn("_kind", kind)
+    return d.withColumn("_lines", F.when(F.col("_kind") == 2, slow).when(F.col("_kind") == 1, F.slice("_cut", 1, F.size("_cut") - 1)).otherwise(F.col("_cut"))).drop("_cut", "_kind")
 
 
 def _bare(line: Column) -> Column:
@@ -41,7 +44,8 @@ def _bare(line: Column) -> Column:
 
 def chunks(docs: DataFrame) -> DataFrame:
     """(_id, _row, chunks): for each line of a row but the last, the rolling hash of it and the next one; null where one of them is blank."""
-    d = docs.select("_id", "_row", F.transform(lines(F.col("_text")), lambda x: F.nullif(F.xxhash64(_bare(x)), F.xxhash64(F.lit("")))).alias("_h"))
+    d = with_lines(docs.select("_id", "_row", "_text"), "_text")
+    d = d.select("_id", "_row", F.transform("_lines", lambda x: F.nullif(F.xxhash64(_bare(x)), F.xxhash64(F.lit("")))).alias("_h"))
     rolling = F.zip_with("_h", F.slice("_h", 2, F.greatest(F.size("_h"), F.lit(1))), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
     return d.select("_id", "_row", rolling.alias("chunks"))
 
@@ -86,7 +90,7 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     first = F.struct("_id", "_row", "start") == F.col("at")
     seen = each.join(firsts, "hash").select("_id", "_row", F.struct("start", "hash", first.alias("first")).alias("c"))
     seen = seen.groupBy("_id", "_row").agg(F.array_sort(F.collect_set("c")).alias("spans"))
-    cut = keys.join(seen, ["_id", "_row"]).select("_id", "_row", lines(F.col("_text")).alias("_lines"), "spans")
+    cut = with_lines(keys.join(seen, ["_id", "_row"]), "_text").select("_id", "_row", "_lines", "spans")
     cut = cut.select("_id", "_row", F.explode(_cut("spans")).alias("c")).select("_id", "_row", "c.*")
     kept = cut.where("first").select("hash", F.col("one").alias("_one"), F.col("two").alias("_two")).dropDuplicates(["hash"])
     gone = cut.where("not first").join(kept, "hash").where("one = _one and (two is null or two = _two)")
@@ -98,7 +102,7 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     goes = lambda i: F.substring("_mask", i + 1, F.lit(1)) == F.lit(b"1")
     # where a removed stretch ends a line of its text, the newline stays, unless it is the text's begin
     ends = lambda x, i: F.endswith(x, F.lit("\n")) & ~goes(i + 1) & (i + 1 < F.size("_lines"))
-    out = out.withColumn("_lines", F.when(F.col("_mask").isNotNull(), lines(F.col("_text"))))
+    out = with_lines(out.withColumn("_cuttable", F.when(F.col("_mask").isNotNull(), F.col("_text"))), "_cuttable")
     rest = F.array_join(F.transform("_lines", lambda x, i: F.when(~goes(i), x).when(ends(x, i), F.lit("\n")).otherwise("")), "")
     rest = F.when(goes(F.lit(0)), F.regexp_replace(rest, r"^\n", "")).otherwise(rest)
     out = out.select("_id", "_row", F.when(F.col("_mask").isNull(), F.col("_text")).otherwise(rest).alias("_new"), F.col("_mask").isNotNull().alias("_cut")).dropDuplicates(["_id", "_row"])
