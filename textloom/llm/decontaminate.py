@@ -110,11 +110,9 @@ def window_prints(terms: np.ndarray, count: int, stride: int, counts: np.ndarray
 def span_prints(counts: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
     """As window_prints, of n[i] terms from begin[i] on."""
     out = np.zeros(len(begin), np.uint64)
+    more = _LANES * (0x8000 - n // 2 - 1).astype(np.uint64)
     for i in range(16):
-        votes = counts[i, begin + n] - counts[i, begin]
-        for lane in range(4):
-            more = (votes >> np.uint64(16 * lane) & np.uint64(0xFFFF)).astype(np.int64) > n // 2
-            out |= more.astype(np.uint64) << np.uint64(16 * lane + i)
+        out |= (counts[i, begin + n] - counts[i, begin] + more >> np.uint64(15) & _LANES) << np.uint64(i)
     return out
 
 
