@@ -54,13 +54,24 @@ class Class:
 
 @dataclass
 class Index:
-    """Of each item its id, its number of words, and its multiset of shingles; and the classes."""
+    """Of each item its id, its number of words, its multiset of shingles, and its different ones with their places; and the classes."""
 
     ids: list[int]
     sizes: list[int]
     shingles: list[np.ndarray]
+    places: list[tuple[np.ndarray, np.ndarray]]
     classes: list[Class]
 
+    def begin(self, item: int, region: np.ndarray, at: int, else_: int) -> int:
+        """Where the item begins if most of the shingles that a region of a text, from the place at on, shares with it stand at their places."""
+        known, place = self.places[item]
+        i = np.minimum(np.searchsorted(known, region), len(known) - 1)
+        same = np.flatnonzero(known[i] == region)
+        if not len(same):
+            return else_
+        begins, n = np.unique(same + at - place[i[same]], return_counts=True)
+        return int(begins[n.argmax()])
+
 
 def _hashes(text: str) -> np.ndarray:
     buf, off = common.utf8(pa.array([text]))
@@ -136,7 +147,8 @@ def window_starts(words: int) -> tuple[int, int, list[int]]:
     while int(size * GROWTH + 1) <= most:
         size = int(size * GROWTH + 1)
     last = words - int(size) - stride + 1
-    return int(size), stride, sorted({*range(0, last + 1, int(size)), last})
+    # a large window is much like those beside it: it moves by a 64th of its size or less, a power of two
+    return int(size), max(stride, 1 << max(0, (int(size) // 64).bit_length() - 1)), sorted({*range(0, last + 1, int(size)), last})
 
 
 def build(items: list[tuple[int, str]]) -> Index:
@@ -150,7 +162,8 @@ def build(items: list[tuple[int, str]]) -> Index:
     sizes: dict[tuple[int, int], list[tuple[int, int]]] = {}
     for at, h in enumerate(words):
         size, stride, starts = window_starts(len(h))
-        sizes.setdefault((size, stride), []).extend((at, x + o) for x in starts for o in range(stride))
+        own = range(stride) if stride <= STRIDE else (0,)
+        sizes.setdefault((size, stride), []).extend((at, x + o) for x in starts for o in own)
     near, classes = _near(), []
     for (size, stride), members in sorted(sizes.items()):
         members = sorted(set(members))
@@ -162,7 +175,8 @@ def build(items: list[tuple[int, str]]) -> Index:
             heads.append(np.searchsorted(value[order], np.arange((1 << 16) + 1)).astype(np.int32))
             entries.append((order // len(near)).astype(np.int32))
         classes.append(Class(size, stride, p, *(np.array(x) for x in zip(*members, strict=True)), heads, entries))
-    return Index(ids, [len(h) for h in words], [multiset(shingle_hashes(h)) for h in words], classes)
+    fives = [shingle_hashes(h) for h in words]
+    return Index(ids, [len(h) for h in words], [multiset(x) for x in fives], [np.unique(x, return_index=True) for x in fives], classes)
 
 
 def within(c: Class, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +199,10 @@ def leaks(index: Index, h: np.ndarray, first: np.ndarray, similar: float = SIMIL
     best: dict[tuple[int, int], tuple[float, int]] = {}
     done: set[tuple[int, int]] = set()
     longest = max((c.size for c in index.classes), default=0)
-    # every document begins at a multiple of the stride
+    # every document begins at a multiple of all strides
+    grid = max((c.stride for c in index.classes), default=1)
     words = np.diff(first)
-    room = -(-words // STRIDE) * STRIDE
+    room = -(-words // grid) * grid
     begins = np.concatenate([[0], np.cumsum(room)])
     g = np.zeros(int(begins[-1]), np.uint64)
     g[common.ragged(begins[:-1], words)] = h
@@ -209,11 +224,14 @@ def leaks(index: Index, h: np.ndarray, first: np.ndarray, similar: float = SIMIL
             for w, e in zip(*(x.tolist() for x in within(c, prints[use])), strict=True):
                 middle, item = at + int(use[w]) * c.stride, int(c.item[e])
                 begin = middle - int(c.start[e])
+                size, doc = index.sizes[item], int(doc_of[middle])
+                low, high = int(begins[doc]), int(begins[doc] + words[doc])
+                if c.stride > STRIDE:
+                    a = max(low, begin - c.stride)
+                    begin = index.begin(item, fives[a : max(a, min(high, begin + size + c.stride) - WIDTH + 1)], a, begin)
                 if (begin, item) in done:
                     continue
                 done.add((begin, item))
-                size, doc = index.sizes[item], int(doc_of[middle])
-                low, high = int(begins[doc]), int(begins[doc] + words[doc])
                 for s in (begin, begin - 1, begin + 1):
                     s = min(max(s, low), max(low, high - size))
                     to = min(s + size, high)
@@ -229,7 +247,7 @@ def _indexes(benchmark: DataFrame, max_bytes: int) -> Iterator[Index]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).where("text is not null")
     entry = 4 * BLOCKS * len(_near()) + 32
     words = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
-    total = items.agg(F.sum(words * 16 + (words / LONGEST + 2) * (STRIDE * entry))).first()[0] or 0
+    total = items.agg(F.sum(words * 40 + (words / LONGEST + 2) * (STRIDE * entry))).first()[0] or 0
     passes = max(1, -(-int(total) // max_bytes))
     for p in range(passes):
         yield build([(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p).orderBy("item_id", "text").collect()])
