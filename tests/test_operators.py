@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as T
 from textloom.operators import align, anchors, audit, concordance, corpus, glossary, layout, lexicon, notes, stats
+from textloom.sources import sinks
 
 
 def rows(df, *cols):
@@ -187,6 +188,22 @@ def test_lines_that_may_hide_another(spark):
     assert rows(stats.proposals(b, e, ["k"], 7.72), "k", "space") == [(0, 24.8), (2, 3.1 - 7.72), (3, -7.72)]
 
 
+def test_topic_pages_in_pieces(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    hits = [(f"t{rng.integers(2)}", int(d), int(r), f"s{rng.integers(2)}", f"block {d} {r}") for d in sorted(rng.choice(60, 25, replace=False)) for r in range(1, 4)]
+    d = spark.createDataFrame(hits, "topic string, doc_id long, rank long, source string, text string")
+    pieces = concordance.page_pieces(d, F.col("source"), ["topic"], "doc_id", ["rank"], stretch=8)
+    want, before = [], {}
+    for topic, doc, rank, source, text in sorted(hits, key=lambda x: x[:3]):
+        want.append((topic, doc, rank, ("" if before.get(topic) == source else f"## {source}\n\n") + text))
+        before[topic] = source
+    assert rows(pieces, "topic", "doc_id", "rank", "piece") == want
+    sinks.paged(pieces, f"{tmp_path}/pages", "topic", ["doc_id", "rank"])
+    for topic in ("t0", "t1"):
+        text = "".join(p.read_text() for p in sorted((tmp_path / "pages" / f"topic={topic}").glob("part-*")))
+        assert text == "".join(f"{p}\n\n" for t, _, _, p in want if t == topic)
+
+
 def test_quantiles_from_counts(spark):
     rng = np.random.default_rng(3)
     x = [(g, float(v)) for g in range(3) for v in rng.integers(0, 9, 4 + g)]
