@@ -8,7 +8,8 @@ the root of them all. Reading checks chunks against their names and recipes
 against the manifest.
 
 Files, below one folder: ``chunks`` (hash, n, ids: little-endian unsigned
-16-bit, or 32-bit for larger vocabularies), ``recipes`` (part, at, doc_id,
+16-bit, or 32-bit for larger vocabularies, as zlib compresses them; the hash is
+of what they were before), ``recipes`` (part, at, doc_id,
 copy, start, n_tokens, root, hashes), ``manifest`` (part, n_tokens,
 n_documents, root, first_start). All are written and read by Spark.
 """
@@ -185,14 +186,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-@lru_cache(2)
-def _width(path: str) -> int:
-    """Bytes of an id in the store."""
-    from tokenizers import Tokenizer
-
-    return 2 if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else 4
-
-
 _MIX = common.mix(np.arange(1 << 16, dtype=np.uint64))
 
 
@@ -220,6 +213,14 @@ def merkle(hashes: list[bytes]) -> bytes:
     return level[0]
 
 
+def _raw(ids: bytes) -> bytes:
+    """A chunk's ids as they were before they were compressed; nothing, which has no chunk's name, if they cannot be read."""
+    try:
+        return zlib.decompress(ids)
+    except zlib.error:
+        return b""
+
+
 def _names(hashes: bytes) -> list[bytes]:
     return [hashes[i : i + 32] for i in range(0, len(hashes), 32)]
 
@@ -266,22 +267,22 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END) -> None:
             raw = ids.astype(width).tobytes()
             pieces = [raw[x:y] for x, y in pairwise(edges)]
             names = [hashlib.sha256(x).digest() for x in pieces]
-            data = dict(zip(names, pieces, strict=True))
+            data = {name: (zlib.compress(piece, 1), len(piece) // w) for name, piece in dict(zip(names, pieces, strict=True)).items()}
             first = np.searchsorted(at, begin).tolist()
             recipes = [b"".join(names[x:y]) for x, y in pairwise(first)]
             m, n = len(data), b.num_rows
             blank = lambda k, kind: pa.nulls(k, kind)
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(x) for x in ([pa.array(list(data), pa.binary()), blank(n, pa.binary())], [pa.array(list(data.values()), pa.binary()), blank(n, pa.binary())], [blank(m, pa.int64()), b.column("doc_id")], [blank(m, pa.int64()), pa.array(np.diff(begin), pa.int64())], [blank(m, pa.binary()), pa.array(recipes, pa.binary())])],
-                ["hash", "ids", "doc_id", "n_tokens", "hashes"],
+                [pa.concat_arrays(x) for x in ([pa.array(list(data), pa.binary()), blank(n, pa.binary())], [pa.array([x for x, _ in data.values()], pa.binary()), blank(n, pa.binary())], [pa.array([k for _, k in data.values()], pa.int32()), blank(n, pa.int32())], [blank(m, pa.int64()), b.column("doc_id")], [blank(m, pa.int64()), pa.array(np.diff(begin), pa.int64())], [blank(m, pa.binary()), pa.array(recipes, pa.binary())])],
+                ["hash", "ids", "n", "doc_id", "n_tokens", "hashes"],
             )
 
     zstd = {"compression": "zstd"}
     texts = common.texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    sent = common.written(texts.mapInArrow(common.tidy(encode), "hash binary, ids binary, doc_id long, n_tokens long, hashes binary"), f"{folder}/sent", zstd)
+    sent = common.written(texts.mapInArrow(common.tidy(encode), "hash binary, ids binary, n int, doc_id long, n_tokens long, hashes binary"), f"{folder}/sent", zstd)
     # chunks of one name have the same bytes, so whichever comes first will do
-    once = sent.where("hash is not null").groupBy("hash").agg(F.first("ids").alias("ids"))
-    common.written(once.select("hash", (F.octet_length("ids") / F.lit(_width(path))).cast("int").alias("n"), "ids"), f"{folder}/chunks", zstd)
+    once = sent.where("hash is not null").groupBy("hash").agg(F.first("n").alias("n"), F.first("ids").alias("ids"))
+    common.written(once, f"{folder}/chunks", zstd)
 
     rows = sent.where("hashes is not null").select("doc_id", "n_tokens", "hashes", F.xxhash64("hashes").alias("tie"))
     size = rows.agg(F.count("*"), F.sum(F.octet_length("hashes"))).first()
@@ -359,7 +360,7 @@ def read(spark: SparkSession, folder: str, wide: bool = False) -> DataFrame:
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, data = b.column("hash").to_pylist(), b.column("ids").to_pylist()
+            names, data = b.column("hash").to_pylist(), [_raw(x) for x in b.column("ids").to_pylist()]
             if any(hashlib.sha256(d).digest() != h for h, d in zip(names, data, strict=True)):
                 raise ValueError("a chunk does not have the hash that it is named by")
             ids = [np.frombuffer(d, kind).astype("<u4") for d in data]
@@ -404,6 +405,6 @@ def rebuilt(spark: SparkSession, folder: str, among: Column, wide: bool = False)
 
     def whole(group: pa.Table) -> pa.Table:
         g = group.sort_by("at")
-        return pa.table({"doc_id": g.column("doc_id")[:1], "copy": g.column("copy")[:1], "ids": pa.array([np.frombuffer(b"".join(g.column("ids").to_pylist()), kind).astype(np.int32)], pa.list_(pa.int32()))})
+        return pa.table({"doc_id": g.column("doc_id")[:1], "copy": g.column("copy")[:1], "ids": pa.array([np.frombuffer(b"".join(map(_raw, g.column("ids").to_pylist())), kind).astype(np.int32)], pa.list_(pa.int32()))})
 
     return each.groupBy("part", "doc_id", "copy").applyInArrow(whole, "doc_id long, copy int, ids array<int>")
