@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir, or where that is unset (one machine) under the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    """A new folder under spark.checkpoint.dir. Where that is unset, one machine uses a folder of the warehouse, a cluster raises an error."""
+    base = spark.conf.get("spark.checkpoint.dir", "")
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
