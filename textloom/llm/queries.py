@@ -107,6 +107,16 @@ reach(doc_id, other) as (select doc_id, doc_id from w union select reach.doc_id,
 select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, r.component_id from w left join n using (doc_id) join (select doc_id, min(other) as component_id from reach group by doc_id) r using (doc_id)"""
 
 
+#: Lines by the rule, pairs of neighbours that are not blank, the first of each by id and line; what others cover goes.
+OP5_SQL = r"""with l as (select doc_id, regexp_extract_all(coalesce(text, ''), '(?s).*?(?:\n|\. )[ \t\n\x0b\x0c\r]*|.+$') as xs from documents),
+e as (select doc_id, unnest(xs) as x, generate_subscripts(xs, 1) as i from l), t as (select *, trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as a from e),
+p as (select *, lead(a) over (partition by doc_id order by i) as b from t),
+q as (select doc_id, i, row_number() over (partition by a, b order by doc_id, i) as nth from p where a <> '' and b <> ''),
+g as (select distinct doc_id, unnest([i, i + 1]) as i from q where nth > 1), m as (select e.*, g.i is not null as gone from e left join g on e.doc_id = g.doc_id and e.i = g.i),
+w as (select *, coalesce(not lead(gone) over (partition by doc_id order by i), false) as stays, coalesce(sum((not gone)::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as before from m),
+n as (select doc_id, string_agg(case when not gone then x when ends_with(x, chr(10)) and stays and before > 0 then chr(10) else '' end, '' order by i) as text from w group by doc_id)
+select doc_id, length(coalesce(n.text, ''))::bigint as n_chars, sha256(coalesce(n.text, '')) as text_sha256 from l left join n using (doc_id)"""
+
 EDITED_SQL = """with d as (select doc_id, coalesce(text, '') as text from documents), n as (select *, coalesce(lead(text) over w, first_value(text) over (order by doc_id desc rows between unbounded preceding and unbounded following)) as nxt, length(text) as n from d window w as (order by doc_id desc))
 select doc_id, n::bigint as n_chars, sha256(left(text, n - n // 2) || left(nxt, n // 2)) as edited_sha256 from n"""
 
@@ -122,4 +132,4 @@ select doc_id, held_out, count(*) as n_tokens, count(c.c) as n_known, any_value(
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard_orders": OP3_SQL, "edited_texts": EDITED_SQL, "secret_counts": SECRET_SQL, "base_scores": BASE_SQL}
+    return {"op3_jaccard_orders": OP3_SQL, "op5_line_chunks": OP5_SQL, "edited_texts": EDITED_SQL, "secret_counts": SECRET_SQL, "base_scores": BASE_SQL}
