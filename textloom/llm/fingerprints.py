@@ -9,6 +9,7 @@ permuted blocks find every fingerprint within a Hamming radius.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 from math import ceil, sqrt
 
@@ -32,12 +33,12 @@ def terms(text: Column) -> Column:
     return F.zip_with(hashes, F.slice(hashes, 2, F.greatest(F.size(hashes), F.lit(1))), lambda a, b: F.xxhash64(a, b))
 
 
-def simhash(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """keys and ``fingerprint`` (long) of rows with a text; keys tell the rows apart. A bit is set if more than half of the term weights set it; without terms, none is.
+def simhash(rows: DataFrame, keys: list[str], text: str = "text", of: Callable[[Column], Column] = terms) -> DataFrame:
+    """keys and ``fingerprint`` (long) of rows with a text; keys tell the rows apart, of gives the hashes of a text's terms. A bit is set if more than half of the term weights set it; without terms, none is.
 
     If rows are dealt by some of the keys already, nothing is shuffled.
     """
-    each = rows.select(*keys, F.posexplode_outer(terms(F.col(text))).alias("_at", "_term"))
+    each = rows.select(*keys, F.posexplode_outer(of(F.col(text))).alias("_at", "_term"))
     each = each.withColumn("_segment", F.shiftright(F.col("_at"), SEGMENT))
     lanes = [F.sum(F.shiftrightunsigned("_term", i).bitwiseAND(F.lit(LANES))).alias(f"_s{i}") for i in range(16)]
     part = each.groupBy(*keys, "_segment").agg(F.count("_term").alias("_n"), *lanes)

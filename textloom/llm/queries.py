@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, decontaminate, fingerprints, jaccard, language, linededup, lm, quality, secrets, store
+from . import bpe, centroids, common, decontaminate, fingerprints, fuzzy, jaccard, language, linededup, lm, negatives, quality, secrets, store
 
 
 def op1_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,20 @@ def op10_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op11_dual_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op12_golay_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy.join(common.table(spark, sf_dir, "documents"))
+
+
+def op13_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(common.table(spark, sf_dir, "embeddings"))
+
+
 def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can say of op9_simhash."""
     return fingerprints.fingerprints(common.table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
@@ -124,6 +138,28 @@ SECRET_SQL = r"""with d as (select doc_id, coalesce(text, '') as text from docum
 len(list_filter(regexp_extract_all(text, '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 12))::bigint as n_assign,
 len(list_filter(regexp_extract_all(text, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18))::bigint as n_access, len(list_filter(regexp_extract_all(text, '[0-9a-f]+'), lambda x: length(x) >= 16))::bigint as n_hex from d"""
 
+#: All anchors with all rows, the windows of positives, and what falls into each.
+OP11_SQL = """with v as (select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::bigint as s from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select a, b, s from s where same qualify row_number() over (partition by a order by s desc, b) <= 5)
+select p.a as anchor_id, p.b as positive_id, (row_number() over (partition by p.a, p.b order by n.s desc, n.b))::int as rank, n.b as negative_id, p.s as positive_score, n.s as negative_score
+from p join s n on p.a = n.a and not n.same and 80 * p.s <= 100 * n.s and 100 * n.s <= 100 * p.s qualify row_number() over (partition by p.a, p.b order by n.s desc, n.b) <= 5"""
+
+
+def lloyd_sql(size: int = 64, centres: int = 40, rounds: int = 5, seed: str = "2") -> str:
+    """Lloyd's rounds written out, one after the other, in whole numbers."""
+    near = "(select vec_id, v, arg_min(k, (d, k)) as k, min(d) as d from (select vec_id, v, k, list_sum(list_transform(range(1, {size} + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::bigint as d from v, c{r}) group by vec_id, v)"
+    out = f"""with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings where len(embedding) = {size} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+c0 as (select row_number() over (order by sha256('{seed}:' || vec_id)) - 1 as k, v as c from v qualify k < {centres})"""
+    for r in range(rounds):
+        sums = "select k, i, sum(v[i])::bigint as s, count(*) as n from a{r}, (select unnest(range(1, {size} + 1)) as i) group by k, i"
+        out += f""",\na{r} as materialized {near}, m{r} as (select k, list((s - ((s % n) + n) % n) // n order by i)::bigint[] as c from ({sums}) group by k),
+c{r + 1} as materialized (select c{r}.k, coalesce(m{r}.c, c{r}.c) as c from c{r} left join m{r} using (k))""".format(r=r, size=size)
+    last = near.format(r=rounds, size=size)
+    return out + f""",\nz as materialized {last}
+select vec_id, k::int as cluster, d as distance, (sum(d) over (partition by k))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256 from z join c{rounds} using (k)"""
+
+
 #: crc32 of the id's digits, bit by bit, as there is no function for it.
 _CRC = "xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substring(doc_id::varchar, i, 1))::bigint)), lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint for _ in range(8)]), lambda x, y: case when x % 2 = 1 then xor(x // 2, 3988292384::bigint) else x // 2 end)), 4294967295::bigint)"
 BASE_SQL = rf"""with w as (select doc_id, {_CRC} % 7 = 2 as held_out, list_concat(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), [' ']) as ws from documents),
@@ -132,4 +168,4 @@ select doc_id, held_out, count(*) as n_tokens, count(c.c) as n_known, any_value(
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard_orders": OP3_SQL, "op5_line_chunks": OP5_SQL, "edited_texts": EDITED_SQL, "secret_counts": SECRET_SQL, "base_scores": BASE_SQL}
+    return {"op3_jaccard_orders": OP3_SQL, "op5_line_chunks": OP5_SQL, "op11_dual_tree_negatives": OP11_SQL, "op13_lloyd": lloyd_sql(), "edited_texts": EDITED_SQL, "secret_counts": SECRET_SQL, "base_scores": BASE_SQL}
