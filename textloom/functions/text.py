@@ -216,6 +216,38 @@ def emphasised(c: Column) -> Column:
     return F.concat(as_cls(runs(r"(?<!\*)\*\*([^*]+?)\*\*(?!\*)"), "bold"), as_cls(runs(r"(?<!\*)\*([^*]+?)\*(?!\*)"), "italic"))
 
 
+#: The commands that set words off, by what they make of them, and what a word of a marked text is.
+SET_OFF = {"VUgras": "bold", "textit": "italic", "textsc": "italic"}
+MARKED_WORD = r"\p{L}[\p{L}'-]*"
+
+
+def emphasised_by_braces(c: Column, commands: dict[str, str] = SET_OFF) -> Column:
+    """(word, cls) of the words of a text with commands, by the innermost open one; roman outside.
+
+    A stack is folded over the text's marks: a command with its brace puts its
+    class on it, a closing brace takes the top off, whatever brace it closes, as
+    an opening brace without a command puts nothing on. Other commands, and
+    characters behind a backslash, are no words. The words between two marks are
+    one piece of the fold, so that it takes a step a mark.
+    """
+    opens = rf"\\({'|'.join(commands)})\s*\{{"
+    # a piece cannot begin inside a command: marks are tried first, and a piece ends before a backslash
+    pieces = F.regexp_extract_all(c, F.lit(rf"(?s){opens}|\}}|\\(?:\p{{L}}+|.)?|[^\\}}]+"), 0)
+    classes = F.create_map(*[F.lit(x) for kv in commands.items() for x in kv])
+
+    def step(acc: Column, x: Column) -> Column:
+        name = F.regexp_extract(x, f"^{opens}", 1)
+        stack = F.when(name != "", F.concat(F.array(classes[name]), acc["stack"])).when(x == "}", F.slice(acc["stack"], 2, 1 << 30)).otherwise(acc["stack"])
+        own = F.struct(x.alias("run"), F.coalesce(F.get(acc["stack"], F.lit(0)), F.lit("roman")).alias("cls"))
+        out = F.when(F.substring(x, 1, 1).isin("\\", "}"), acc["out"]).otherwise(F.concat(acc["out"], F.array(own)))
+        return F.struct(stack.alias("stack"), out.alias("out"))
+
+    begin = F.struct(F.array().cast("array<string>").alias("stack"), F.array().cast("array<struct<run:string,cls:string>>").alias("out"))
+    runs = F.aggregate(pieces, begin, step)["out"]
+    each = lambda r: F.transform(words(r["run"], MARKED_WORD), lambda w: F.struct(w.alias("word"), r["cls"].alias("cls")))
+    return F.flatten(F.transform(runs, each))
+
+
 def emphasis_share(c: Column, pattern: str) -> Column:
     """The share of a line's characters in runs of the pattern's first group, 1 at most; 0 for an empty line."""
     inner = F.aggregate(F.regexp_extract_all(c, F.lit(pattern), 1), F.lit(0), lambda s, x: s + F.length(x))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import syllables
 from ..functions.text import WORD
-from . import tables
+from . import joins, tables
 
 FINDINGS = "check string, severity string, page long, line long, message string"
 NO_START = {"space_before": ":;!?", "closing": ",.)]}»"}
@@ -42,11 +42,13 @@ def seams(lines: DataFrame, physical: bool, by: list[str] = ["doc_id"], order: l
 
 
 def lost_hyphens(lines: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Line ends whose two words welded are a known word while one of them is rare (once at most). The welded word is looked up first, which few line ends pass, so that frequent words are looked up for those only; Spark broadcasts the lexicon if its size allows."""
+    """Line ends whose two words welded are a known word while one of them is rare (once at most). The lexicon is written once, as three look-ups read it. The welded word is looked up first, which few line ends pass; frequent words are looked up in a bounded map, so that no task gets all lines that end or begin with one."""
     s = seams(lines, True).where("left <> '' and right <> ''").withColumns({"left": F.lower("left"), "right": F.lower("right")}).withColumn("welded", F.concat("left", "right"))
-    look = lambda c: lexicon.select(F.col("word").alias(c), F.col("n").alias(f"n_{c}"))
-    known = s.join(lexicon.select(F.col("word").alias("welded")), "welded", "left_semi")
-    d = known.join(look("left"), "left", "left").join(look("right"), "right", "left")
+    known = tables.written(lexicon.select("word", "n"), tables.folder(lines.sparkSession, "lexicon"))
+    d = s.join(known.select(F.col("word").alias("welded")), "welded", "left_semi")
+    for side in ("left", "right"):
+        own = known.select(F.col("word").alias(side), F.col("n").alias(f"n_{side}"))
+        d = joins.looked_up(d, own, [side], own.select(side, F.col(f"n_{side}").alias("n")))
     return d.where((F.coalesce("n_left", F.lit(0)) <= 1) | (F.coalesce("n_right", F.lit(0)) <= 1)).select("doc_id", "rank", "left", "right", "welded")
 
 

@@ -27,6 +27,16 @@ def in_force(rows: DataFrame, value: Column, by: list[str], order: list, name: s
     return rows.withColumn(name, F.last(value, True).over(w))
 
 
+def carried(rows: DataFrame, value: Column, by: list[str], order: str, name: str, stretch: int = 4096) -> DataFrame:
+    """As in_force, for groups of any length: within stretches of order (a whole number), and from stretch to stretch by one value each, so that no task sees all rows of a group."""
+    d = rows.withColumns({"_v": value, "_c": F.floor(F.col(order) / stretch)})
+    inside = Window.partitionBy(*by, "_c").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = d.groupBy(*by, "_c").agg(F.max(F.when(F.col("_v").isNotNull(), F.struct(order, "_v")))["_v"].alias("_end"))
+    before = F.last("_end", True).over(Window.partitionBy(*by).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("_in", F.last("_v", True).over(inside)).join(ends.select(*by, "_c", before.alias("_before")), [*by, "_c"])
+    return d.select(*rows.columns, F.coalesce("_in", "_before").alias(name))
+
+
 def next_in_force(rows: DataFrame, value: Column, by: list[str], order: list, name: str) -> DataFrame:
     """rows with the first non-null value at or after each, within by."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import WORD, words
+from . import joins, tables
 
 
 def tokens(rows: DataFrame, keep: list[str], pattern: str = WORD, text: str = "text") -> DataFrame:
@@ -20,10 +21,10 @@ def lexicon(tokens: DataFrame, by: list[str] = [], doc: str | None = None) -> Da
 
 
 def counted(rows: DataFrame, keep: list[str], pattern: str = WORD, text: str = "text") -> DataFrame:
-    """(keep, word, n): each distinct word of a text with its count, found inside the row: sorted words, and where runs of equal ones begin."""
-    d = rows.select(*keep, F.array_sort(words(F.lower(F.col(text)), pattern)).alias("_w")).where(F.size("_w") > 0)
-    begins = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: (i == 0) | (F.col("_w")[i] != F.col("_w")[F.greatest(i - 1, F.lit(0))]))
-    d = d.withColumn("_b", begins)
+    """(keep, word, n): each distinct word of a text with its count, found inside the row: sorted words, and where runs of equal ones begin. No filter looks at the words before they are taken apart: Spark would push it below them and cut the text twice."""
+    d = rows.select(*keep, F.sort_array(words(F.lower(F.col(text)), pattern)).alias("_w"))
+    begins = F.filter(F.sequence(F.lit(0), F.greatest(F.size("_w") - 1, F.lit(0))), lambda i: (i == 0) | (F.col("_w")[i] != F.col("_w")[F.greatest(i - 1, F.lit(0))]))
+    d = d.withColumn("_b", F.when(F.size("_w") > 0, begins))
     runs = F.transform("_b", lambda b, i: F.struct(F.col("_w")[b].alias("word"), (F.coalesce(F.try_element_at("_b", i + 2), F.size("_w")) - b).cast("long").alias("n")))
     return d.select(*keep, F.explode(runs).alias("_r")).select(*keep, "_r.*")
 
@@ -34,11 +35,13 @@ def of_documents(rows: DataFrame, by: list[str] = [], pattern: str = WORD) -> Da
 
 
 def leave_one_out(rows: DataFrame, doc: str, truth: str, text: str = "text") -> DataFrame:
-    """For each document (a row) and class: how many of its distinct words other documents of that class hold. The lexicon is built once, a row for each word with the counts of all classes; what the document itself adds is taken off."""
+    """For each document (a row) and class: how many of its distinct words other documents of that class hold. The lexicon is built once, a row for each word with the counts of all classes; what the document itself adds is taken off. Frequent words, which most documents hold, are looked up in a bounded map and are never dealt out."""
     once = rows.select(doc, truth, F.explode(F.array_distinct(words(F.lower(F.col(text))))).alias("word"))
     by = once.groupBy("word", F.col(truth).alias("cls")).agg(F.count("*").alias("n"))
-    by = by.groupBy("word").agg(F.collect_list(F.struct("cls", "n")).alias("_by"))  # as many entries as there are classes
-    d = once.join(by, "word").select(doc, truth, F.explode("_by").alias("_c")).select(doc, truth, "_c.*")
+    by = by.groupBy("word").agg(F.collect_list(F.struct("cls", "n")).alias("_by"), F.sum("n").alias("_docs"))  # as many entries as there are classes
+    by = tables.written(by, tables.folder(rows.sparkSession, "lexicon"))
+    d = joins.looked_up(once, by.drop("_docs"), ["word"], by.select("word", F.col("_docs").alias("n")))
+    d = d.select(doc, truth, F.explode("_by").alias("_c")).select(doc, truth, "_c.*")
     return d.groupBy(doc, truth, "cls").agg(F.count_if(F.col("n") - (F.col(truth) == F.col("cls")).cast("long") > 0).alias("known"))
 
 

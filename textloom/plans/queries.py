@@ -218,9 +218,10 @@ def findings_report(spark, sf):
     return audit.report(audit.tolerated(checks, spark))
 
 
-@query(f"""with {SET}, {WORDS}, lex as materialized (select word, count(*) as n from toks group by word), s as materialized (select doc_id, rank, lower(regexp_extract(text, '([A-Za-zÀ-ÿ]+)$', 1)) as l, lower(regexp_extract(coalesce(lead(text) over (partition by doc_id order by rank), ''), '^([A-Za-zÀ-ÿ]+)', 1)) as r from cut),
-k as materialized (select * from s where l <> '' and r <> '' and l || r in (select word from lex))
-select doc_id, rank, l as "left", r as "right", l || r as welded from k left join lex a on a.word = l left join lex b on b.word = r where coalesce(a.n, 0) <= 1 or coalesce(b.n, 0) <= 1""")
+@query(f"""with {SET}, {WORDS}, lex as materialized (select word, count(*) as n from toks group by word),
+s as materialized (select doc_id, rank, lower(regexp_extract(text, '([A-Za-zÀ-ÿ]+)$', 1)) as l, lower(regexp_extract(coalesce(lead(text) over (partition by doc_id order by rank), ''), '^([A-Za-zÀ-ÿ]+)', 1)) as r from cut),
+k as materialized (select s.*, l || r as welded from s join lex w on w.word = s.l || s.r where l <> '' and r <> '')
+select doc_id, rank, l as "left", r as "right", welded from k left join lex a on a.word = l left join lex b on b.word = r where coalesce(a.n, 0) <= 1 or coalesce(b.n, 0) <= 1""")
 def lost_hyphen_audit(spark, sf):
     return audit.lost_hyphens(set_lines(spark, sf), lexicon.of_documents(t(spark, sf, "documents")))
 
@@ -416,16 +417,29 @@ def group_parents(spark, sf):
     return layout.parents(g).select("id", "title", "parent", layout.subset(F.array("title"), F.col("rows")).alias("whole"))
 
 
-@query("""with d as (select conv_id, turn, regexp_replace(text, '[^ -~]', '', 'g') as t from conversations), p as (select turn, t, lead(t) over (partition by conv_id order by turn) as u from d),
+#: DuckDB's distance counts bytes: in the SQL the tables' letters of two bytes stand for one each, of those that no text holds.
+_LETTERS = "ÄÇÈÉÊÍÑÓÖÜßäçèéêíñóöü"
+_ONE_BYTE = f"translate(text, '{_LETTERS}', {' || '.join(f'chr({i})' for i in [*range(1, 9), *range(14, 27)])})"
+
+
+@query(f"""with d as (select conv_id, turn, {_ONE_BYTE} as t from conversations), p as (select turn, t, lead(t) over (partition by conv_id order by turn) as u from d),
 g as (select (turn % 10)::bigint as bin, case when u is null then length(t) else levenshtein(t, u) end as dist, length(t) as n from p)
 select bin, sum(dist)::bigint as distance, sum(n)::bigint as size, round(sum(dist) / greatest(sum(n), 1), 6) as rate from g group by grouping sets ((bin), ())""")
 def edit_distance_rate(spark, sf):
-    """Each whole turn against the next one of its conversation, in the letters that both systems count alike."""
-    d = t(spark, sf, "conversations").select("conv_id", "turn", F.regexp_replace("text", "[^ -~]", "").alias("t"))
+    """Each whole turn, in all its letters, against the next one of its conversation."""
+    d = t(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("t"))
     d = d.withColumn("u", F.lead("t").over(Window.partitionBy("conv_id").orderBy("turn")))
     return align.error_rate(d.withColumn("bin", F.col("turn") % 10), ["bin"], F.col("u"), F.col("t"))
 
 
+@query()
+def reading_error_rate(spark, sf):
+    """Whole documents of all languages, line by line, against a reading of them: rn read as m, the marks of letters lost, each ninth line not read."""
+    d = raw_lines(spark, sf).join(t(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
+    read = F.when(F.col("rank") % 9 != 0, F.translate(F.replace("text", F.lit("rn"), F.lit("m")), "ÄÉÖÜäéöü", "AEOUaeou"))
+    return align.error_rate(d, ["lang"], read, F.col("text"))
+
+
 @query()
 def line_alignment(spark, sf):
     """Every line of a page, 40 apart, against those but the third of seven, all five lower."""
@@ -524,11 +538,12 @@ def line_fit(spark, sf):
 _SY = "[aeiou]"
 
 
-@query(f"""with {WORDS}, w as (select distinct word from toks where lang = 'en' and regexp_matches(word, '^[a-z]+$') and length(word) > 1)
-select word, list_filter(range(1, length(word)), lambda i: substring(word, i, 2) not in ('ch','sh','qu','au','eu') and regexp_matches(substring(word, 1, i), '{_SY}') and regexp_matches(substring(word, i + 1), '{_SY}'))::varchar as breaks from w""")
+@query(f"""with {WORDS}, w as (select word, strip_accents(word) as f from (select distinct word from toks)), b as (select word, f, case when regexp_matches(f, '^\\p{{L}}+$') then list_filter(range(1, length(f)), lambda i: substring(f, i, 2) not in ('ch','sh','qu','au','eu') and regexp_matches(substring(f, 1, i), '{_SY}') and regexp_matches(substring(f, i + 1), '{_SY}')) else [] end as bs from w)
+select word, '[' || array_to_string(bs, ', ') || ']' as breaks from b""")
 def syllable_breaks(spark, sf):
-    tok = lexicon.tokens(t(spark, sf, "documents").where("lang = 'en'"), ["doc_id"]).where(r"word rlike '^[a-z]+$' and length(word) > 1").select("word").distinct()
-    return tok.select("word", F.concat(F.lit("["), F.array_join(syllables.breaks(F.col("word")).cast("array<string>"), ", "), F.lit("]")).alias("breaks"))
+    """Every word of every language, by its letters without marks."""
+    tok = lexicon.counted(t(spark, sf, "documents"), []).select("word").distinct().withColumn("folded", T.fold_marks(F.col("word")))
+    return tok.select("word", F.concat(F.lit("["), F.array_join(syllables.breaks(F.col("folded")).cast("array<string>"), ", "), F.lit("]")).alias("breaks"))
 
 
 @query("""with p as (select page_id, string_split(html, '<p>') as parts from pages), s as (select page_id, unnest(parts[2:]) as body, unnest(range(1, len(parts)))::bigint as nth from p)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import as_markdown, u
+from ..operators import tables
 
 KINDS = ("h1", "p", "b", "li")
 
@@ -135,9 +136,74 @@ def class_blocks(pages: DataFrame, kinds: tuple[str, ...] = ("tit", "p", "noto")
     return d.withColumn("text", as_markdown(F.regexp_replace("text", "(?s)<!--.*?-->", "")))
 
 
+class Searched(HTMLParser):
+    """What a search looks at in a page: (kind, text) of the elements of the wanted classes, each with all the text inside it but that of the dropped classes' elements."""
+
+    def __init__(self, kinds: tuple[str, ...], dropped: Callable[[list[str]], bool]) -> None:
+        super().__init__(convert_charrefs=True)
+        self.kinds, self.dropped, self.out = kinds, dropped, []
+        self.stack: list[tuple[str, int | None, bool]] = []  # tag, the entry it opened, whether its text is dropped
+
+    def handle_starttag(self, tag, attrs):
+        if tag in VOID:
+            return
+        classes = (dict(attrs).get("class") or "").split()
+        kind = next((c for c in classes if c in self.kinds), None)
+        self.stack.append((tag, len(self.out) if kind else None, tag in ("script", "style") or self.dropped(classes)))
+        if kind:
+            self.out.append([kind, ""])
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i][0] == tag:
+                del self.stack[i:]
+                return
+
+    def handle_data(self, data):
+        for _, at, dropped in reversed(self.stack):  # what is dropped is so for all that lies around it
+            if dropped:
+                return
+            if at is not None:
+                self.out[at][1] += data
+
+
+#: The classes a search looks at, and elements without an end.
+SEARCHED = ("p", "tit", "cen", "rangi", "noto", "sub2", "fer", "avizo", "legendo")
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
+
+
+def _not_searched(classes: list[str]) -> bool:
+    """Folio marks, and a table's rendering that stands there a second time."""
+    return "fol" in classes or ("grupi" in classes and "sola" not in classes)
+
+
+def searched_blocks(pages: DataFrame, kinds: tuple[str, ...] = SEARCHED, page: str = "page_id", html: str = "html") -> DataFrame:
+    """(page, rank, kind, text): the blocks of a page that a search looks at, white space collapsed, without folio marks and doubled tables; empty ones take no rank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                p = Searched(kinds, _not_searched)
+                p.feed(h or "")
+                p.close()
+                found = [(k, " ".join(x.split())) for k, x in p.out if x.split()]
+                rows += [(i, rank, k, x) for rank, (k, x) in enumerate(found, 1)]
+            kind = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], x) for k, x in enumerate(kind)], [page, "rank", "kind", "text"])
+
+    return pages.select(page, html).mapInArrow(run, f"{page} long, rank long, kind string, text string")
+
+
 def by_name(files: DataFrame, name: str) -> DataFrame:
-    """files (a list of them, one row each) with ``nth`` in the order of their names."""
-    return files.withColumn("nth", F.row_number().over(Window.orderBy(name)).cast("long"))
+    """files (a list of them, one row each) with ``nth`` in the order of their names. Names are cut into ranges and counted inside each, with the number of those before."""
+    d = files.repartitionByRange(name).withColumn("_p", F.spark_partition_id())
+    d = tables.written(d, tables.folder(files.sparkSession, "names"))  # so that both sides see the same ranges
+    own = d.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    w = Window.partitionBy("_p").orderBy(name)
+    d = d.join(F.broadcast(own.select("_p", before.alias("_before"))), "_p")
+    return d.withColumn("nth", (F.row_number().over(w) + F.col("_before")).cast("long")).drop("_p", "_before")
 
 
 def parse_blocks(html: str, kinds: tuple[str, ...] = KINDS) -> list[tuple[str, str]]:
