@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: The largest deviation of a pair, what a gap costs, and the range in which a fitted scale is believed.
 FARTHEST, GAP, SCALES = 16.0, 22.0, (0.9, 1.1)
-#: Cells of a matrix that matched() holds at once; longer pages are done in parts, with the same result.
+#: Cells of a matrix that a matcher holds at once, and differences that a vote looks at together; longer pages are done in parts, with the same result.
 CELLS = 1 << 20
 
 
@@ -64,25 +66,21 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 8) -> tuple[float, float]:
     return float(scale), float(offset)
 
 
-def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float = GAP, cells: int = CELLS) -> list[tuple[int, int]]:
-    """Pairs (index in x, index in y) of the cheapest order-preserving match: a pair costs its deviation after fit(), at most farthest; each point left alone costs gap.
+def _cheapest(x: np.ndarray, y: np.ndarray, price: Callable[[np.ndarray], np.ndarray], farthest: float, gap: float, cells: int, pair_first: bool) -> list[tuple[int, int]]:
+    """Pairs of the cheapest order-preserving match: a pair costs the price of its deviation, which is farthest at most, a point left alone costs gap. Of equally cheap ways back from the end a pair is taken first or, without pair_first, last, and a point of x is left alone rather than one of y.
 
     More than cells of the cost matrix are not held: the points of x are halved,
     the lower half is traced back first and says where the upper one ends. That
     takes a row for each halving, and the pairs are those of the whole matrix.
     """
-    if not len(x) or not len(y):
-        return []
-    scale, offset = fit(x, y)
-    moved = scale * x + offset
 
-    def away(i: int, m: int) -> np.ndarray:
-        d = np.abs(moved[i] - y[:m])
-        return np.where(d > farthest, np.inf, d)
+    def priced(i: int, m: int) -> np.ndarray:
+        d = np.abs(x[i] - y[:m])
+        return np.where(d > farthest, np.inf, price(d))
 
     def below(row: np.ndarray, i: int) -> np.ndarray:  # pairs and gaps in x at once, then gaps in y as a running minimum
         steps = gap * np.arange(len(row))
-        best = np.minimum(row[:-1] + away(i, len(row) - 1), row[1:] + gap)
+        best = np.minimum(row[:-1] + priced(i, len(row) - 1), row[1:] + gap)
         return np.minimum.accumulate(np.concatenate([[row[0] + gap], best]) - steps) + steps
 
     out = []
@@ -100,10 +98,11 @@ def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float
             cost.append(below(cost[-1], i))
         i = hi
         while i > lo and j:
-            up = cost[i - lo - 1]
-            pair, alone, left = up[j - 1] + away_at(i - 1, j - 1), up[j] + gap, cost[i - lo][j - 1] + gap
+            up, d = cost[i - lo - 1], np.abs(x[i - 1] - y[j - 1])
+            pair = up[j - 1] + price(d) if d <= farthest else np.inf
+            alone, left = up[j] + gap, cost[i - lo][j - 1] + gap
             least = min(pair, alone, left) + 1e-6
-            if pair <= least:
+            if pair <= least and (pair_first or (alone > least and left > least)):
                 i, j = i - 1, j - 1
                 out.append((i, j))
             elif alone <= least:
@@ -112,48 +111,72 @@ def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float
                 j -= 1
         return j
 
-    def away_at(i: int, j: int) -> float:
-        d = abs(moved[i] - y[j])
-        return np.inf if d > farthest else d
-
     back(gap * np.arange(len(y) + 1), 0, len(x), len(y))
     return out[::-1]
 
 
-def scored(x: np.ndarray, y: np.ndarray, reward: float = 10.0, gap: float = -1.0) -> list[tuple[int, int]]:
-    """Pairs of the order-preserving match with the highest score: reward less the deviation for a pair, gap for a point left alone. Deviations are after the offset that brings most points near."""
+def matched(x: np.ndarray, y: np.ndarray, farthest: float = FARTHEST, gap: float = GAP, cells: int = CELLS) -> list[tuple[int, int]]:
+    """Pairs (index in x, index in y) of the cheapest order-preserving match: a pair costs its deviation after fit(), at most farthest; each point left alone costs gap."""
     if not len(x) or not len(y):
         return []
-    offsets = (y[None, :] - x[:, None]).ravel()
-    votes = (np.abs((x[:, None] + offsets)[:, :, None] - y) <= reward).any(2).sum(0)
-    offset = offsets[votes == votes.max()].min()
-    gain = reward - np.abs((x + offset)[:, None] - y)
-    n, m = gain.shape
-    best = np.empty((n + 1, m + 1))
-    best[0], best[:, 0] = gap * np.arange(m + 1), gap * np.arange(n + 1)
-    for i in range(1, n + 1):
-        row = np.maximum(best[i - 1, :-1] + gain[i - 1], best[i - 1, 1:] + gap)
-        best[i] = np.maximum.accumulate(np.concatenate([[best[i, 0]], row]) - gap * np.arange(m + 1)) + gap * np.arange(m + 1)
-    out, i, j = [], n, m
-    while i and j:
-        if np.isclose(best[i, j], best[i - 1, j - 1] + gain[i - 1, j - 1], atol=1e-9):
-            i, j = i - 1, j - 1
-            out.append((i, j))
-        elif np.isclose(best[i, j], best[i - 1, j] + gap, atol=1e-9):
-            i -= 1
-        else:
-            j -= 1
-    return out[::-1]
+    scale, offset = fit(x, y)
+    return _cheapest(scale * x + offset, y, lambda d: d, farthest, gap, cells, True)
+
+
+def voted(x: np.ndarray, y: np.ndarray, reach: float, cells: int = CELLS) -> float:
+    """Of all differences y - x the offset that brings most x within reach of some y, the smallest of equals.
+
+    What is within reach of y is a union of intervals; each x has them moved by
+    itself, and the votes of an offset are the intervals that have begun at it
+    less those that have ended before. That is a sweep over sorted ends, in
+    ranges of offsets with about cells differences each.
+    """
+    y = np.unique(y)
+    new = np.flatnonzero(np.diff(y) > 2 * reach) + 1
+    begins, ends = y[np.concatenate([[0], new])] - reach, y[np.concatenate([new - 1, [len(y) - 1]])] + reach
+
+    def upto(points: np.ndarray, o: float, side: str = "right") -> np.ndarray:
+        return np.searchsorted(points, x + o, side)
+
+    def inside(points: np.ndarray, lo: float, hi: float) -> np.ndarray:
+        """The sorted differences of points and x in (lo, hi]."""
+        a, n = upto(points, lo), upto(points, hi)
+        n = n - a
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
+        return np.sort(points[at] - np.repeat(x, n))
+
+    best, most = 0.0, -1
+    ranges = [(float(y[0] - x.max()) - 1.0, float(y[-1] - x.min()))]
+    while ranges:
+        lo, hi = ranges.pop()
+        mid = lo + (hi - lo) / 2
+        if (upto(y, hi) - upto(y, lo)).sum() > cells and hi - lo > 1e-6 * max(1.0, abs(lo), abs(hi)):
+            ranges += [(mid, hi), (lo, mid)]  # the lower one is next
+            continue
+        offsets = np.unique(inside(y, lo, hi))
+        if len(offsets):
+            votes = upto(begins, lo).sum() + np.searchsorted(inside(begins, lo, hi), offsets, "right") - upto(ends, lo).sum() - np.searchsorted(inside(ends, lo, hi), offsets, "left")
+            k = int(votes.argmax())
+            if votes[k] > most:
+                best, most = float(offsets[k]), int(votes[k])
+    return best
+
+
+def scored(x: np.ndarray, y: np.ndarray, reward: float = 10.0, gap: float = -1.0, cells: int = CELLS) -> list[tuple[int, int]]:
+    """Pairs of the order-preserving match with the highest score: reward less the deviation, which is reward at most, for a pair, gap for a point left alone. Deviations are after the offset that brings most points within reward of another; both take memory in proportion to the points and cells."""
+    if not len(x) or not len(y):
+        return []
+    return _cheapest(x + voted(x, y, reward, cells), y, lambda d: d - reward, reward, -gap, cells, False)
 
 
-def aligned(rows: DataFrame, by: str = "page") -> DataFrame:
-    """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs, and with a null the points left alone. A page at a time, in the memory of its rows and CELLS cells."""
+def aligned(rows: DataFrame, by: str = "page", match: Callable[[np.ndarray, np.ndarray], list[tuple[int, int]]] = matched) -> DataFrame:
+    """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs by the matcher, and with a null the points left alone. A page at a time, in the memory of its rows and CELLS cells."""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         side = {s: g.sort_values("ix") for s, g in pdf.groupby("side")}
         xs, ys = (side[s]["y"].to_numpy(float) if s in side else np.zeros(0) for s in "ab")
         ax, bx = (side[s]["ix"].to_numpy() if s in side else np.zeros(0, int) for s in "ab")
-        pairs = matched(xs, ys)
+        pairs = match(xs, ys)
         rest_a, rest_b = set(range(len(xs))) - {i for i, _ in pairs}, set(range(len(ys))) - {j for _, j in pairs}
         rows = [(ax[i], bx[j]) for i, j in pairs] + [(ax[i], None) for i in sorted(rest_a)] + [(None, bx[j]) for j in sorted(rest_b)]
         return pd.DataFrame({by: pdf[by].iloc[0], "a": pd.array([r[0] for r in rows], "Int64"), "b": pd.array([r[1] for r in rows], "Int64")})

@@ -2,34 +2,90 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def by_index(rows: DataFrame, value: str, by: list[str], picks: dict[str, tuple[int, int]]) -> DataFrame:
-    """(by, picks): for each name the element at index n * numerator // denominator of the group's sorted values; not interpolated. Equal values are counted first, so that no group's values are gathered."""
-    pick = lambda num, den: F.min(F.when(F.col("_upto") > F.floor(F.col("_all") * num / den), F.col("_v")))
-    return _upto(rows, value, by).groupBy(*by).agg(*[pick(*f).alias(k) for k, f in picks.items()])
+from . import layout, tables
+
+
+#: Ranges that values are counted in, values of one range that are looked at together, and chosen ranges that are broadcast at most.
+RANGES, SMALL, BROADCAST = 4096, 4096, 10_000
+
+
+def _range(v: Column, low: Column, high: Column) -> Column:
+    """The number of the range that v is in, of RANGES from low to high; it never falls where v rises. NaN, which sorts behind all numbers, has one of its own."""
+    x, lo, hi = (c.cast("double") for c in (v, low, high))
+    inner = F.floor(F.nanvl((x - lo) / (hi - lo), F.lit(0.5)) * RANGES)
+    return F.when(F.isnan(x), RANGES).when(x <= lo, 0).when(x >= hi, RANGES - 1).otherwise(F.greatest(F.least(inner, F.lit(RANGES - 1)), F.lit(0))).cast("int")
+
+
+def picked(rows: DataFrame, value: str, by: list[str], ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """(by, names of ranks, _n): for each name the value at that rank, from 0, of the group's sorted values; a rank is given by the number of values. Rows with a null value or by are left out.
+
+    Values are counted in ranges, a row for each group, range and task; the range
+    that holds a rank is known from the counts. If all its values are equal
+    that is the answer; if they are few they are looked at, else the range
+    is cut into ranges again. So no task sees a group's values, only the counts
+    of RANGES ranges or SMALL values.
+    """
+    spark, folder = rows.sparkSession, tables.folder(rows.sparkSession, "picked")
+    whole = F.col(value).isNotNull()
+    for b in by:
+        whole = whole & F.col(b).isNotNull()
+    d = rows.where(whole).select(*by, F.col(value).alias("_v"))
+    real = F.when(~F.isnan(F.col("_v").cast("double")), F.col("_v"))
+    ends = d.agg(F.min(real).alias("a"), F.max(real).alias("z")).first()
+    kind = d.schema["_v"].dataType
+    d = d.withColumns({"_path": F.lit(""), "_a": F.lit(ends["a"]).cast(kind), "_z": F.lit(ends["z"]).cast(kind)})
+    asked, found, turn = None, [], 0
+    while True:
+        d = d.withColumn("_r", _range(F.col("_v"), F.col("_a"), F.col("_z")))
+        h = d.groupBy(*by, "_path", "_r").agg(F.count("*").alias("_k"), F.min("_v").alias("_a"), F.max("_v").alias("_z"))
+        w = Window.partitionBy(*by, "_path")
+        h = h.withColumns({"_upto": F.sum("_k").over(w.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)), "_n": F.sum("_k").over(w)})
+        if asked is None:
+            each = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), f(F.col("_n")).cast("long").alias("rank")) for k, f in ranks.items()])).alias("_e")
+            h = h.select("*", each).select("*", "_e.*").withColumn("_all", F.col("_n"))
+        else:
+            h = h.join(asked, [*by, "_path"])
+        got = h.where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_k")))
+        got = got.select(*by, "_path", "_r", "_k", "_a", "_z", "name", (F.col("rank") - F.col("_upto") + F.col("_k")).alias("rank"), "_all")
+        got = tables.written(got, f"{folder}/{turn}")
+        found.append(got.where(F.col("_a") == F.col("_z")).select(*by, "name", F.col("_a").alias("_v"), "_all"))
+        n, large = got.where("_a < _z").agg(F.count("*"), F.count_if(F.col("_k") > SMALL)).first()
+        own = got.where("_a < _z")
+        among = lambda some: F.broadcast(some) if n <= BROADCAST else some  # noqa: B023, E731  n rows at most
+        chosen = own.select(*by, "_path", "_r", F.col("_a").alias("_lo"), F.col("_z").alias("_hi"), "_k").distinct()
+        if n > large:
+            few = d.join(among(chosen.where(F.col("_k") <= SMALL)), [*by, "_path", "_r"]).groupBy(*by, "_path", "_r").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+            at = F.element_at("_vs", (F.col("rank") + 1).cast("int")).alias("_v")
+            found.append(own.where(F.col("_k") <= SMALL).join(few, [*by, "_path", "_r"]).select(*by, "name", at, "_all"))
+        if not large:
+            break
+        path = F.concat_ws("/", "_path", "_r").alias("_path")
+        rest = d.join(among(chosen.where(F.col("_k") > SMALL)), [*by, "_path", "_r"])
+        d = tables.written(rest.select(*by, "_v", path, F.col("_lo").alias("_a"), F.col("_hi").alias("_z")), f"{folder}/rest{turn}")
+        asked = own.where(F.col("_k") > SMALL).select(*by, path, "name", "rank", "_all")
+        turn += 1
+    every = reduce(DataFrame.unionByName, found)
+    return every.groupBy(*by).agg(*[F.max(F.when(F.col("name") == k, F.col("_v"))).alias(k) for k in ranks], F.max("_all").alias("_n"))
 
 
-def _upto(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """(by, _v, _upto, _all): each distinct value with how many of the group's are not above it, and how many there are."""
-    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    return counts.withColumn("_upto", upto).join(counts.groupBy(*by).agg(F.sum("_n").alias("_all")), by)
+def by_index(rows: DataFrame, value: str, by: list[str], picks: dict[str, tuple[int, int]]) -> DataFrame:
+    """(by, picks): for each name the element at index n * numerator // denominator of the group's sorted values; not interpolated."""
+    at = {k: lambda n, num=num, den=den: F.floor(n * num / den) for k, (num, den) in picks.items()}
+    return picked(rows, value, by, at).drop("_n")
 
 
 def quantiles(rows: DataFrame, value: str, by: list[str], picks: dict[str, float]) -> DataFrame:
-    """(by, picks): for each name the quantile at that share, interpolated between neighbours, of counts of equal values: no group's values are in memory together."""
-    out, ends = {}, {}
-    for k, share in picks.items():
-        place = (F.col("_all") - 1) * share
-        for end, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            out[f"_{end}_{k}"] = F.min(F.when(F.col("_upto") > at, F.col("_v")))
-        part = (F.col("_all") - 1) * share - F.floor((F.col("_all") - 1) * share)
-        ends[k] = F.col(f"_lo_{k}") * (1 - part) + F.col(f"_hi_{k}") * part
-    d = _upto(rows, value, by).groupBy(*by, "_all").agg(*[c.alias(k) for k, c in out.items()])
-    return d.select(*by, *[c.alias(k) for k, c in ends.items()], F.col("_all").alias("_n"))
+    """(by, picks, _n): for each name the quantile at that share, interpolated between neighbours."""
+    ranks = {f"{end}_{k}": lambda n, f=f, share=share: f((n - 1) * share) for k, share in picks.items() for end, f in (("lo", F.floor), ("hi", F.ceil))}
+    part = lambda share: (F.col("_n") - 1) * share - F.floor((F.col("_n") - 1) * share)
+    d = picked(rows, value, by, ranks)
+    return d.select(*by, *[(F.col(f"lo_{k}") * (1 - part(share)) + F.col(f"hi_{k}") * part(share)).alias(k) for k, share in picks.items()], "_n")
 
 
 def mode_centroid(rows: DataFrame, value: str, by: list[str], reach: int = 2) -> DataFrame:
@@ -81,11 +137,18 @@ def margins(rows: DataFrame, left: Column, right: Column, page: str) -> DataFram
     return rows.groupBy(page).agg(F.min(F.least(left, right)).alias("margin"))
 
 
-def best_offset(a: DataFrame, b: DataFrame, by: list[str], reach: int = 10, bin: int = 1) -> DataFrame:
-    """(by, offset, votes): the whole offset that brings most values y of a within reach of some value of b; the smallest of equals. Pairs are made within by only, which is a page."""
-    pairs = a.select(*by, F.col("y").alias("_a")).join(b.select(*by, F.col("y").alias("_b")), by)
-    near = pairs.select(*by, "_a", F.explode(F.sequence(F.col("_b") - F.col("_a") - reach, F.col("_b") - F.col("_a") + reach)).alias("offset")).distinct()
-    votes = near.groupBy(*by, "offset").agg(F.count("*").alias("votes"))
+def best_offset(a: DataFrame, b: DataFrame, by: list[str], reach: int = 10) -> DataFrame:
+    """(by, offset, votes): the whole offset that brings most values y of a within reach of some value of b; the smallest of equals.
+
+    What is within reach of b's values is a set of bands. Each value of a votes
+    for the offsets from a band's begin to its end, less itself: one more vote
+    from there on, one less behind it, and the votes of an offset are a running
+    sum. Pairs of values and bands are made within by only, which is a page.
+    """
+    bands = layout.merged(b.select(*by, (F.col("y") - reach).alias("start"), (F.col("y") + reach).alias("end")), 0, by).select(*by, "start", "end")
+    ends = F.array(F.struct((F.col("start") - F.col("y")).alias("offset"), F.lit(1).alias("d")), F.struct((F.col("end") - F.col("y") + 1).alias("offset"), F.lit(-1).alias("d")))
+    moves = a.select(*by, "y").distinct().join(bands, by).select(*by, F.explode(ends).alias("_e")).select(*by, "_e.*").groupBy(*by, "offset").agg(F.sum("d").alias("d"))
+    votes = moves.withColumn("votes", F.sum("d").over(Window.partitionBy(*by).orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)))
     return votes.groupBy(*by).agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("offset"))).alias("m")).select(*by, F.col("m.offset").alias("offset"), (-F.col("m.v")).alias("votes"))
 
 

@@ -449,6 +449,15 @@ def line_alignment(spark, sf):
     return align.aligned(a.union(b))
 
 
+@query()
+def scored_alignment(spark, sf):
+    """The lines of a page as in line_alignment, all three lower, by votes and scores."""
+    d = raw_lines(spark, sf).select(F.col("doc_id").alias("page"), F.col("rank").alias("ix"))
+    a = d.select("page", F.lit("a").alias("side"), "ix", (F.col("ix") * 40.0).alias("y"))
+    b = d.where("ix % 7 <> 3").select("page", F.lit("b").alias("side"), "ix", (F.col("ix") * 40.0 + 3).alias("y"))
+    return align.aligned(a.union(b), match=align.scored)
+
+
 _RANKED = "select {id} as page, unnest(string_split(text, ' ')) as w, generate_subscripts(string_split(text, ' '), 1)::bigint as rank from {t}"
 
 
