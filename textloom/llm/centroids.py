@@ -31,7 +31,7 @@ def first_centres(points: DataFrame, centres: int = CENTRES, seed: str = SEED) -
     """The points with the smallest SHA-256 of seed:vec_id as text (a null id is the empty text), in that order; equal ids in the order of their vectors. Fewer points give fewer centres."""
     name = F.concat(F.lit(seed + ":"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
     got = points.select(F.sha2(name.cast("binary"), 256).alias("h"), "v").orderBy("h", "v").limit(centres).collect()
-    return vectors.checked(np.array([r["v"] for r in got], np.int64).reshape(len(got), -1))
+    return vectors.checked(np.array([r["v"] for r in got], np.int64)) if got else np.zeros((0, 0), np.int64)
 
 
 def nearest(v: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
