@@ -129,7 +129,7 @@ def test_known_pieces_as_the_library(vocab, reference, monkeypatch):
 
 
 def naive_ppm(train, text, symbols):
-    """Code length of text by the definition: counts of contexts of up to three symbols, method C, exclusion. A context seen once is none."""
+    """Code length of text by the definition: counts of contexts of up to three symbols, method C, exclusion."""
     counts = {}
     for t in train:
         padded = [-1, -1, -1, *t]
@@ -142,7 +142,7 @@ def naive_ppm(train, text, symbols):
         s, out = padded[i], set()
         for k in range(3, -1, -1):
             here = counts.get(tuple(padded[i - k : i]))
-            if not here or (k and sum(here.values()) < 2):
+            if not here:
                 continue
             free = {x: n for x, n in here.items() if x not in out}
             if not free:
@@ -159,12 +159,39 @@ def naive_ppm(train, text, symbols):
     return bits
 
 
+def counted(texts):
+    return np.unique(language.quadruples(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])), return_counts=True)
+
+
+def test_many_languages_keep_all_contexts():
+    """Twenty languages with trees of their own: every context stays, and code lengths are those of the definition."""
+    rng = random.Random(9)
+    speech = {f"l{k:02}": [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzéß"[k % 9 : k % 9 + 15]) for _ in range(rng.randrange(1, 9))) for _ in range(500)).encode() for _ in range(2)] for k in range(20)}
+    trees = language.train({lang: counted(texts) for lang, texts in speech.items()})
+    for k, texts in enumerate(speech.values()):
+        contexts = {bytes(b"\0" * max(0, 3 - i) + t[max(0, i - 3) : i]) for t in texts for i in range(len(t))}
+        assert len(trees.levels[k][3].contexts) == len(contexts)
+    print(f"{len(trees.langs)} languages, {sum(len(x[3].contexts) for x in trees.levels)} contexts of three bytes, {trees.nbytes / 1e6:.1f} MB")
+    asked = [b"abc dabe fegh", "éß été".encode(), b"xyz"]
+    got = language.code_lengths(trees, *common.utf8(pa.array([t.decode() for t in asked])))
+    assert np.allclose(got, [[naive_ppm(texts, t, None) for texts in speech.values()] for t in asked])
+    assert trees.nbytes < 20 << 20
+
+
+def test_what_languages_are_learned_from(spark):
+    rows = [(i, "word " * 10, "a") for i in range(40)] + [(i, "x" * 5000, "b") for i in range(5)] + [(100, "long " * 5000, "a"), (101, "c", "c"), (102, None, "d"), (103, "e", None), (None, "no id", "a"), (104, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.learn(df).langs == ["a", "b", "c"]
+    few = language.learn(df, per_language=3, max_bytes=6000, languages=2)
+    assert few.langs == ["a", "b"] and len(few.levels[1][0].seen) == 1
+    whole = language.learn(df.repartition(5), per_language=7)
+    again = language.learn(df.coalesce(1), per_language=7)
+    assert all((x.seen == y.seen).all() and np.allclose(x.bits, y.bits) for p, q in zip(whole.levels, again.levels, strict=True) for x, y in zip(p, q, strict=True))
+
+
 def test_code_lengths_are_exact():
     train = [b"abracadabra abracad", b"banana bandana", b"cab abra", b"once only"]
-    buf, off = common.utf8(pa.array([t.decode() for t in train]))
-    s, code = language._codes(np.arange(256), 256, buf, off)
-    key, n = np.unique(code * 257 + s, return_counts=True)
-    trees = language.train({"x": (key, n)})
+    trees = language.train({"x": counted(train)})
     texts = [b"abracadabra", b"banana", b"zebra!", b"", b"dada cabana", b"once more, only"]
     got = language.code_lengths(trees, *common.utf8(pa.array([t.decode() for t in texts])))[:, 0]
     assert np.allclose(got, [naive_ppm(train, t, None) for t in texts], rtol=1e-5)
@@ -226,8 +253,7 @@ def test_a_long_text_in_sections_is_the_whole(monkeypatch):
     buf, off = common.utf8(pa.array([text]))
     x, begin = quality.passages(buf, off)
     m = quality.fit(np.concatenate([x, x[:9]]), np.array([0, len(x), len(x) + 9]), np.array([1.0, 0.0]), epochs=2)
-    s, code = language._codes(np.arange(256), 256, buf[:9000], np.array([0, 9000]))
-    key, n = np.unique(code * 257 + s, return_counts=True)
+    key, n = counted([buf[:9000].tobytes()])
     trees = language.train({"a": (key, n), "b": (key[::3], n[::3])})
     want, bits = m.of_texts(buf, off), language.code_lengths(trees, buf, off)
     for size in (100, 997, 5000):

@@ -1,11 +1,14 @@
 """Language identification by prediction by partial matching over bytes.
 
-Each language has a tree of byte contexts of up to three bytes. A symbol's
-code length in a context is that of the longest context the tree holds; where
-the symbol was never seen there, an escape (method C, with exclusion of what
-the longer context has seen) leads to the next shorter one, at last to all
-bytes alike. The statistics are frozen after training, so that every code
-length is a table entry and a text's length in a language is a sum.
+Each language has a tree of byte contexts of up to three bytes. A byte's code
+length in a context is that of the longest context the tree holds; where the
+byte was never seen there, an escape (method C, with exclusion of what the
+longer context has seen) leads to the next shorter one, at last to all bytes
+alike. The statistics are frozen after training. A tree keeps every context,
+and of each only the bytes seen in it, with what an escape from it costs; what
+a byte costs that was not seen is worked out from the context above when it is
+asked for. So trees take memory in proportion to what was learned, and a batch
+works out each run of four bytes once.
 """
 
 from __future__ import annotations
@@ -16,172 +19,148 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled documents learned from, for each language; about so many are drawn by a hash of the id.
-TRAIN_DOCS = 600
-#: Contexts kept at most, the most frequent ones, times languages: the bound of the table's size (times symbols times 4 bytes).
-MAX_CELLS = 60_000
+#: What is learned from: labelled documents of a language at most, the first ones by a hash of the id; bytes of their texts; and languages, the most frequent ones. A model of more languages has to be asked for.
+TRAIN_DOCS, TRAIN_BYTES, TRAIN_LANGS = 600, 4 << 20, 1024
+#: Bytes of a context, the digits of its number, the digit of what stands before a text.
+ORDER, BASE, EDGE = 3, 257, 256
 #: Bytes of a long text that are looked at together.
 STEP = 1 << 20
 _LETTER = regex.compile(r"\p{L}")
 
 
+@dataclass
+class Level:
+    """The contexts of one length: seen (context * BASE + byte, sorted) with the bits of each byte seen, and the bits of its count; contexts (sorted) with the bits of an escape, of what is left of the context above, and of an escape from that."""
+
+    seen: np.ndarray
+    bits: np.ndarray
+    count_bits: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+    left: np.ndarray
+    further: np.ndarray
+
+
 @dataclass
 class Trees:
-    """langs; symbol of each byte; node of each code of three symbols before; cost[node * symbols + symbol, language] in bits; edge: the symbol that stands before a text."""
+    """langs, and for each its levels from no context to ORDER bytes, and the bits of a byte that the language never has."""
 
     langs: list[str]
-    symbol: np.ndarray
-    node: np.ndarray
-    cost: np.ndarray
-    symbols: int
+    levels: list[list[Level]]
+    unseen: list[float]
 
     @property
-    def edge(self) -> int:
-        return self.symbols
-
-
-def _codes(symbol: np.ndarray, edge: int, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The symbols of all texts, and for each the code of the three before it in its text."""
-    s = symbol[buf].astype(np.int64)
-    n, base = len(s), edge + 1
-    before = [np.full(n, edge, np.int64) for _ in range(3)]
-    place = np.arange(n) - np.repeat(off[:-1], np.diff(off))
-    for d in (1, 2, 3):
-        before[d - 1][d:] = np.where(place[d:] >= d, s[:-d], edge)
-    return s, (before[2] * base + before[1]) * base + before[0]
-
-
-def train(counts: dict[str, tuple[np.ndarray, np.ndarray]], max_cells: int = MAX_CELLS) -> Trees:
-    """Trees from each language's byte quadruples (three bytes before, as base 257 digits with 256 before a text's begin, then the byte) and their counts."""
-    langs = sorted(counts)
-    used = np.zeros(257, bool)
-    split = {}
-    for lang in langs:
-        key, n = counts[lang]
-        digits = np.stack([key // 257**3, key // 257**2 % 257, key // 257 % 257, key % 257]).astype(np.int64)
-        split[lang] = digits, n.astype(np.float64)
-        used[np.unique(digits)] = True
-    known = np.flatnonzero(used[:256])
-    symbols = len(known) + 1
-    rest = 256 - len(known)
-    symbol = np.full(257, symbols - 1, np.int64)
-    symbol[known] = np.arange(len(known))
-    symbol[256] = edge = symbols
-    base = symbols + 1
-    spread = np.ones(symbols)
-    spread[-1] = max(rest, 1)
-    total: dict[int, np.ndarray] = {}
-    tables = {}
-    for lang in langs:
-        d, n = split[lang]
-        s = symbol[d]
-        contexts = [np.zeros(len(n), np.int64), s[2], s[1] * base + s[2], (s[0] * base + s[1]) * base + s[2]]
-        tables[lang] = contexts, s[3], n
-        for order in (1, 2, 3):
-            total[order] = total.get(order, 0) + np.bincount(contexts[order], n, base**order)
-    limit = max(1000, max_cells // max(1, len(langs)))
-    keep = {}
-    for order in (1, 2, 3):  # a context is kept only with its shorter ones
-        t = total[order].copy()
-        if order > 1:
-            t[keep[order - 1][np.arange(base**order) % base ** (order - 1)] < 0] = 0
-        ids = np.flatnonzero(t >= 2)
-        if order == 3 and len(ids) > limit:
-            ids = np.sort(ids[np.argsort(-t[ids], kind="stable")[:limit]])
-        keep[order] = np.full(base**order, -1, np.int64)
-        keep[order][ids] = np.arange(len(ids))
-    sizes = [1, *(int((keep[o] >= 0).sum()) for o in (1, 2, 3))]
-    first = np.cumsum([0, *sizes])
-    cost = np.zeros((first[-1], symbols, len(langs)), np.float32)
-    for at, lang in enumerate(langs):
-        contexts, sym, n = tables[lang]
-        full = beyond = None
-        for order in range(4):
-            if order == 0:
-                parent_full = np.full((1, symbols), 8.0)
-                parent_beyond, parent_counts, parent = np.zeros((1, symbols)), None, np.zeros(1, np.int64)
-                row = contexts[0]
-            else:
-                ids = np.flatnonzero(keep[order] >= 0)
-                parent = keep[order - 1][ids % base ** (order - 1)] if order > 1 else np.zeros(len(ids), np.int64)
-                parent_full, parent_beyond, parent_counts = full, beyond, have
-                row = keep[order][contexts[order]]
-            c = np.zeros((sizes[order], symbols))
-            ok = row >= 0
-            np.add.at(c, (row[ok], sym[ok]), n[ok])
-            seen, t, d = c > 0, c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
-            # the code length of what this context has not seen, after its escape
-            if order == 0:
-                left = np.where(seen, 0, spread).sum(1, keepdims=True)
-                then = np.broadcast_to(np.log2(np.maximum(left, 1)), (1, symbols))  # every byte left is as likely
-            else:
-                pc, pb = parent_counts[parent], parent_beyond[parent]
-                free = np.where(seen, 0, pc)
-                pt, pd = free.sum(1, keepdims=True), (free > 0).sum(1, keepdims=True)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    then = np.where(pc > 0, np.log2((pt + pd) / np.maximum(pc, 1)), np.where(pd > 0, np.log2((pt + pd) / np.maximum(pd, 1)), 0) + pb)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                own = np.where(seen, np.log2((t + d) / np.maximum(c, 1)), np.log2((t + d) / np.maximum(d, 1)) + then)
-            full = np.where(t > 0, own, parent_full[parent])
-            beyond = np.where(t > 0, then, parent_beyond[parent])
-            have = np.where(t > 0, c, parent_counts[parent] if parent_counts is not None else c)
-            cost[first[order] : first[order + 1], :, at] = full
-    node = np.zeros(base**3, np.int32)
-    code = np.arange(base**3)
-    for order in (1, 2, 3):
-        k = keep[order][code % base**order]
-        node = np.where(k >= 0, k + first[order], node).astype(np.int32)
-    return Trees(langs, symbol[:256].astype(np.int16), node, cost.reshape(-1, len(langs)), symbols)
+    def nbytes(self) -> int:
+        return sum(x.nbytes for own in self.levels for level in own for x in vars(level).values())
+
+
+def quadruples(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Each byte of all texts with the three before it in its text, as one number."""
+    b = buf.astype(np.int64)
+    place = np.arange(len(b)) - np.repeat(off[:-1], np.diff(off))
+    out = b.copy()
+    for d in range(1, ORDER + 1):
+        before = np.full(len(b), EDGE, np.int64)
+        before[d:] = np.where(place[d:] >= d, b[:-d], EDGE)
+        out += before * BASE**d
+    return out
 
 
-def code_lengths(trees: Trees, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Bits of each text in each language: texts times languages. One long text goes through in steps, each with the three bytes before it."""
-    if len(off) == 2 and len(buf) > STEP:
-        out = np.zeros((1, len(trees.langs)))
-        for at in range(0, len(buf), STEP):
-            low = max(0, at - 3)
-            part = buf[low : at + STEP]
-            s, code = _codes(trees.symbol, trees.edge, part, np.array([0, len(part)]))
-            out += trees.cost[trees.node[code[at - low :]].astype(np.int64) * trees.symbols + s[at - low :]].sum(0, dtype=np.float64)
-        return out
-    s, code = _codes(trees.symbol, trees.edge, buf, off)
+def _tree(key: np.ndarray, n: np.ndarray) -> tuple[list[Level], float]:
+    levels, above = [], None
+    for order in range(ORDER + 1):
+        seen, at = np.unique(key % BASE ** (order + 1), return_inverse=True)
+        count = np.bincount(at, n)
+        contexts, of = np.unique(seen // BASE, return_inverse=True)
+        total, kinds = np.bincount(of, count), np.bincount(of).astype(np.float64)
+        left, left_kinds = np.ones(len(contexts)), np.ones(len(contexts))
+        if above:
+            up_seen, up_count, up_contexts, up_total, up_kinds = above
+            up = np.searchsorted(up_contexts, contexts % BASE ** (order - 1))
+            shared = up_count[np.searchsorted(up_seen, seen % BASE**order)]
+            left, left_kinds = up_total[up] - np.bincount(of, shared), up_kinds[up] - kinds
+        some = left_kinds > 0
+        level = Level(
+            seen, np.log2((total + kinds)[of] / count), np.log2(count), contexts, np.log2((total + kinds) / kinds),
+            np.log2(np.where(some, left + left_kinds, 1)), np.where(some, np.log2(np.where(some, (left + left_kinds) / np.maximum(left_kinds, 1), 1)), 0.0),
+        )
+        levels.append(level)
+        above = seen, count, contexts, total, kinds
+    return levels, float(np.log2(max(1, 256 - len(levels[0].seen))))
+
+
+def train(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Trees:
+    """Trees from each language's quadruples and their counts."""
+    own = {lang: _tree(key, n.astype(np.float64)) for lang, (key, n) in sorted(counts.items()) if len(key)}
+    return Trees(list(own), [t for t, _ in own.values()], [u for _, u in own.values()])
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return keys[at] == asked, at
+
+
+def _bits(levels: list[Level], unseen: float, quads: np.ndarray) -> np.ndarray:
+    """The code length of each quadruple's last byte behind the others."""
+    full = beyond = up_seen = up_bits = None
+    for order, level in enumerate(levels):
+        seen, at = _found(level.seen, quads % BASE ** (order + 1))
+        known, of = _found(level.contexts, quads // BASE % BASE**order)
+        if order == 0:
+            beyond = np.full(len(quads), unseen)
+            full = np.where(seen, level.bits[at], level.escape[of] + beyond)
+        else:
+            then = np.where(up_seen, level.left[of] - up_bits, level.further[of] + beyond)
+            full = np.where(known, np.where(seen, level.bits[at], level.escape[of] + then), full)
+            beyond = np.where(known, then, beyond)
+        up_seen, up_bits = seen, level.count_bits[at]  # a context is in the tree only with all shorter ones
+    return full
+
+
+def _sums(trees: Trees, buf: np.ndarray, off: np.ndarray, skip: int = 0) -> np.ndarray:
     out = np.zeros((len(off) - 1, len(trees.langs)))
-    if len(s):
-        bits = trees.cost[trees.node[code].astype(np.int64) * trees.symbols + s]
-        some = np.flatnonzero(np.diff(off) > 0)
-        out[some] = np.add.reduceat(bits, off[some], axis=0, dtype=np.float64)
+    quads, at = np.unique(quadruples(buf, off), return_inverse=True)
+    some = np.flatnonzero(np.diff(off) > skip)
+    for k, (levels, unseen) in enumerate(zip(trees.levels, trees.unseen, strict=True)):
+        if len(some):
+            out[some, k] = np.add.reduceat(_bits(levels, unseen, quads)[at], off[some] + skip)
     return out
 
 
-def learn(labelled: DataFrame, per_language: int = TRAIN_DOCS, max_cells: int = MAX_CELLS) -> Trees:
-    """Trees learned from (doc_id, text, lang): about per_language documents of each language, drawn by a hash of the id, each text whole. Rows without lang or text are left out."""
+def code_lengths(trees: Trees, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Bits of each text in each language: texts times languages. One long text goes through in steps, each with the bytes before it."""
+    if len(off) == 2 and len(buf) > STEP:
+        parts = ((buf[max(0, at - ORDER) : at + STEP], min(at, ORDER)) for at in range(0, len(buf), STEP))
+        return sum(_sums(trees, part, np.array([0, len(part)]), skip) for part, skip in parts)
+    return _sums(trees, buf, off)
+
+
+def learn(labelled: DataFrame, per_language: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES, languages: int = TRAIN_LANGS) -> Trees:
+    """Trees learned from (doc_id, text, lang): per_language documents of each language at most, the first ones by a hash of the id (ties by the text), as long as their whole texts have max_bytes together; of more than ``languages`` languages those with most documents. Rows without lang or text are left out, repeated ids count each by itself, an empty table gives trees of no language."""
     common.ready(labelled.sparkSession)
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = rows.groupBy("lang").count().collect()
-    if not known:
-        return Trees([], np.zeros(256, np.int16), np.zeros(8, np.int32), np.zeros((1, 0), np.float32), 1)
-    share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, per_language / r["count"]))])
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 20)) <= share[F.col("lang")] * (1 << 20))
+    rows = labelled.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), "doc_id"), "doc_id", "text")
+    drawn = rows.where(F.octet_length("text") <= max_bytes).join(F.broadcast(known), "lang")  # languages rows at most
+    drawn = drawn.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= per_language)
+    drawn = drawn.withColumn("_sum", F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("_nth"))).where(F.col("_sum") <= max_bytes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain = np.arange(256)
         for b in common.slices(batches, limit=1 << 20):
             langs = b.column("lang").dictionary_encode()
             for i, lang in enumerate(langs.dictionary.to_pylist()):
-                buf, off = common.utf8(b.column("text").filter(pa.array(langs.indices.to_numpy() == i)))
-                s, code = _codes(plain, 256, buf, off)
-                key, n = np.unique(code * 257 + s, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key)), pa.array(key), pa.array(n)], ["lang", "key", "n"])
+                key, n = np.unique(quadruples(*common.utf8(b.column("text").filter(pa.array(langs.indices.to_numpy() == i)))), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key), pa.array(n)], ["lang", "key", "n"])
 
     grams = drawn.select("lang", "text").mapInArrow(common.tidy(count), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
-    langs = np.array(grams.column("lang").to_pylist())
-    key, n = grams.column("key").to_numpy(), grams.column("n").to_numpy()
-    return train({lang: (key[langs == lang], n[langs == lang]) for lang in sorted(set(langs))}, max_cells)
+    coded = grams.column("lang").combine_chunks().dictionary_encode()
+    which, key, n = coded.indices.to_numpy(), grams.column("key").to_numpy(), grams.column("n").to_numpy()
+    return train({lang: (key[which == i], n[which == i]) for i, lang in enumerate(coded.dictionary.to_pylist())})
 
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
