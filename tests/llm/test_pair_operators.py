@@ -274,3 +274,13 @@ def test_long_items_are_found_with_edits():
         assert got == alone
         hits, total = hits + len(got & set(want)), total + len(want)
     assert total > 300 and hits >= 0.98 * total
+
+
+def test_find_and_without_lower_letters_alike(spark):
+    """Capital sigmas at the ends of words, dotted capital I, sharp s, Cyrillic: what find reports, without leaves out."""
+    item = " ".join(f"λόγος{i} ὁδός οἶκος strada{i} мир{i}" for i in range(12))
+    rows = [(1, item), (2, item.upper()), (3, "İstanbul " + item.upper() + " İ"), (4, "ΟΔΟΣ ΟΙΚΟΣ alone"), (5, None)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_lower0", F.lit(1)), spark.createDataFrame([(7, item)], "item_id long, text string")
+    found = {r["doc_id"] for r in decontaminate.find(docs, bench).collect()}
+    kept = decontaminate.without(docs, bench)
+    assert found >= {1, 2} and {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows} - found and kept.columns == docs.columns

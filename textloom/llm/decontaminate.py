@@ -21,7 +21,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -284,16 +283,18 @@ def find(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> D
 
 
 def without(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """The rows of docs, with all their columns, whose text holds no benchmark item; cases as find(). Map-only."""
+    """The rows of docs, with all their columns, whose text holds no benchmark item; cases, and letters in lower case, as find(). Map-only."""
     common.ready(docs.sparkSession)
+    lowered = next(f"_lower{i}" for i in range(len(docs.columns) + 1) if f"_lower{i}" not in docs.columns)
     for index in _indexes(benchmark, max_bytes):
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for b in common.slices((b.append_column("_lower", b.column("text").fill_null("")) for b in batches), None, 2 << 20):
-                buf, off = common.utf8(pc.utf8_lower(b.column(b.num_columns - 1)))
+            for b in common.slices(batches, None, 2 << 20):
+                buf, off = common.utf8(b.column(b.num_columns - 1))
                 starts, ends, first = common.word_spans(buf, off)
                 bad = {r[0] for r in leaks(index, common.span_hashes(buf, starts, ends), first)}
                 yield b.select(range(b.num_columns - 1)).filter(pa.array([i not in bad for i in range(b.num_rows)]))
 
-        docs = docs.mapInArrow(common.tidy(run), docs.schema)
+        both = docs.select("*", F.lower(F.coalesce(F.col("text"), F.lit(""))).alias(lowered))
+        docs = both.mapInArrow(common.tidy(run), docs.schema)
     return docs

@@ -275,12 +275,12 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id that have words, one, by a hash of the text. Rows without words all stay; an empty table gives an empty result; a very long text is read whole."""
+    """The rows of docs, with all their columns, that have their component's smallest id; of rows with the same id that have words, one, by a hash of the text. Rows without words all stay; an empty table gives an empty result; a very long text is read whole. Of rows with one id each task keeps one before anything is shuffled, so that a repeated or null id is no hot key."""
     key = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     found = join(docs, width, percent)
-    # rows of one id can be with and without words: they are told apart by the text itself
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("_key"), (F.col("n_shingles") > 0).alias("_words")).distinct()
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("n_shingles") > 0)).select(key.alias("_key")).distinct()
     words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0d]"), F.lit(False))
-    kept = docs.select(F.struct("*").alias("_d"), key.alias("_key"), words.alias("_words"), F.xxhash64("text").alias("_hash")).join(stay, ["_key", "_words"])
-    first = F.row_number().over(Window.partitionBy("_key", "_words").orderBy("_hash", F.col("_d.text")))
-    return kept.withColumn("_at", first).where("_at = 1 or not _words").select("_d.*")
+    rows = docs.select(F.struct("*").alias("_d"), key.alias("_key"), words.alias("_words"), F.xxhash64("text").alias("_hash"))
+    first = F.row_number().over(Window.partitionBy("_key").orderBy("_hash", F.col("_d.text")))
+    one = rows.where("_words").withColumn("_at", first).where("_at = 1").join(stay, "_key")
+    return one.select("_d.*").unionByName(rows.where("not _words").select("_d.*"))
