@@ -26,6 +26,38 @@ def first_difference(compared: DataFrame, by: list[str], rank: str) -> DataFrame
     return compared.groupBy(*by).agg(F.count_if(~F.col("same")).alias("differences"), F.min(F.when(~F.col("same"), F.struct(rank, "expected", "obtained"))).alias("first"))
 
 
+def rejoined(expected: DataFrame, obtained: DataFrame, by: list[str], rank: str = "rank", value: str = "text", splits: Column | None = None) -> DataFrame:
+    """obtained (by, rank, value) with the pieces of split lines put together again: (by, rank, value, pieces), ranks counted from 1.
+
+    Both sides are walked together. As long as what is there of a line is a
+    beginning of the expected line at its place, but not all of it, and another
+    piece follows, that piece is added; so a line that was not split, or is
+    another one, is as it was. splits says which expected lines may have been
+    split, all by default. A page at a time, as one fold over its pieces; pages
+    without an expected line stay as they are.
+    """
+    ok = F.lit(True) if splits is None else F.coalesce(splits, F.lit(False))
+    want = expected.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(rank, F.col(value).alias("t"), ok.alias("ok")))).alias("_want"))
+    have = obtained.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(rank, F.col(value).alias("t"))))["t"].alias("_have"))
+    done = "array<struct<t:string,n:int>>"
+    begin = F.struct(F.lit(None).cast("string").alias("open"), F.lit(0).alias("n"), F.array().cast(done).alias("out"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        now, n = F.concat(F.coalesce(acc["open"], F.lit("")), F.coalesce(piece, F.lit(""))), acc["n"] + 1
+        line = F.get("_want", F.size(acc["out"]))
+        part = F.coalesce(line["ok"] & (line["t"] != now) & F.startswith(line["t"], now), F.lit(False))
+        whole = F.concat(acc["out"], F.array(F.struct(now.alias("t"), n.alias("n"))))
+        return F.struct(F.when(part, now).alias("open"), F.when(part, n).otherwise(0).alias("n"), F.when(part, acc["out"]).otherwise(whole).alias("out"))
+
+    def end(acc: Column) -> Column:
+        last = F.array(F.struct(acc["open"].alias("t"), acc["n"].alias("n")))
+        return F.when(acc["n"] > 0, F.concat(acc["out"], last)).otherwise(acc["out"])
+
+    d = have.join(want, by, "left").withColumn("_want", F.coalesce("_want", F.array().cast(want.schema["_want"].dataType)))
+    d = d.select(*by, F.posexplode(F.aggregate("_have", begin, step, end)).alias("_i", "_x"))
+    return d.select(*by, (F.col("_i") + 1).cast("long").alias(rank), F.col("_x.t").alias(value), F.col("_x.n").cast("long").alias("pieces"))
+
+
 def counts_agree(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     """(by) where both sides have as many rows: only there do ranks mean the same."""
     a, b = left.groupBy(*by).agg(F.count("*").alias("_a")), right.groupBy(*by).agg(F.count("*").alias("_b"))

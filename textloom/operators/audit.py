@@ -92,13 +92,41 @@ def lengths(lines: DataFrame, low: float, high: float) -> DataFrame:
 
 def edits(fragments: DataFrame, files: DataFrame) -> DataFrame:
     """fragments (file, old, new) as an edit list (file, pos, old, new, status), last position first within a file: applied if old occurs once, refused if not."""
-    n = F.floor((F.length("text") - F.length(F.replace("text", F.col("old"), F.lit("")))) / F.length("old"))
-    d = fragments.join(files, "file", "left").withColumn("_n", n)
+    n = F.floor((F.length("text") - F.length(F.replace("text", F.col("old"), F.lit("")))) / F.nullif(F.length("old"), F.lit(0)))
+    d = fragments.join(files, "file", "left").withColumn("_n", F.coalesce(n, F.lit(0)))
     status = F.when(F.col("text").isNull(), "missing file").when(F.col("_n") == 1, "ok").when(F.col("_n") == 0, "absent").otherwise("not unique")
     pos = F.when(F.col("_n") == 1, F.call_function("instr", F.col("text"), F.col("old"))).cast("long")
     return d.select("file", pos.alias("pos"), "old", "new", status.alias("status"))
 
 
+def settled(listed: DataFrame) -> DataFrame:
+    """An edit list (see edits) with what can be applied settled: of edits whose fragments overlap within a file the first by position (ties by the shorter fragment, then by old and new) stays ok, those that overlap one that stays are refused as ``overlap``. Fragments that touch do not overlap. One fold over a file's edits."""
+    good = F.col("status") == "ok"
+    own = F.struct("pos", F.length("old").alias("n"), "old", "new")
+    begin = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast("array<struct<pos:bigint,n:int,old:string,new:string,status:string>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        free = x["pos"] >= acc["end"]
+        row = F.struct(x["pos"].alias("pos"), x["n"].alias("n"), x["old"].alias("old"), x["new"].alias("new"), F.when(free, "ok").otherwise("overlap").alias("status"))
+        return F.struct(F.when(free, x["pos"] + x["n"]).otherwise(acc["end"]).alias("end"), F.concat(acc["out"], F.array(row)).alias("out"))
+
+    d = listed.where(good).groupBy("file").agg(F.sort_array(F.collect_list(own)).alias("_xs"))
+    d = d.select("file", F.explode(F.aggregate("_xs", begin, step)["out"]).alias("_x")).select("file", "_x.pos", "_x.old", "_x.new", "_x.status")
+    return d.unionByName(listed.where(~good).select("file", "pos", "old", "new", "status"))
+
+
+def applied(settled: DataFrame, files: DataFrame) -> DataFrame:
+    """files (file, text) with the settled edits done: (file, text, applied, refused). The pieces between the fragments are taken from the text as it was, so no edit moves another; files without edits come back as they were."""
+    own = settled.groupBy("file").agg(F.sort_array(F.collect_list(F.when(F.col("status") == "ok", F.struct("pos", F.length("old").alias("n"), "new")))).alias("_es"), F.count_if(F.col("status") == "ok").alias("applied"), F.count_if(F.col("status") != "ok").alias("refused"))
+    d = files.join(own, "file", "left")
+    begins = F.transform("_es", lambda e, i: F.when(i == 0, F.lit(1)).otherwise(F.get("_es", F.greatest(i - 1, F.lit(0)))["pos"] + F.get("_es", F.greatest(i - 1, F.lit(0)))["n"]))
+    pieces = F.zip_with("_es", begins, lambda e, a: F.concat(F.substring("text", a.cast("int"), (e["pos"] - a).cast("int")), F.coalesce(e["new"], F.lit(""))))
+    last = F.element_at("_es", -1)
+    rest = F.substring("text", (last["pos"] + last["n"]).cast("int"), F.length("text"))
+    text = F.when(F.size("_es") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("text"))
+    return d.select("file", text.alias("text"), F.coalesce("applied", F.lit(0)).cast("long").alias("applied"), F.coalesce("refused", F.lit(0)).cast("long").alias("refused"))
+
+
 def compile_log(log: DataFrame) -> DataFrame:
     """Lines of a compile log (value) about boxes that are too full: (kind, points)."""
     m = lambda i: F.regexp_extract("value", r"Overfull \\(hbox|vbox) \((\d+(?:\.\d+)?)pt too (?:wide|high)\)", i)

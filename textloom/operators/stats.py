@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import layout, tables
+from . import joins, layout, tables
 
 
 #: Ranges that values are counted in, values of one range that are looked at together, and chosen ranges that are broadcast at most.
@@ -152,6 +152,41 @@ def best_offset(a: DataFrame, b: DataFrame, by: list[str], reach: int = 10) -> D
     return votes.groupBy(*by).agg(F.min(F.struct((-F.col("votes")).alias("v"), F.col("offset"))).alias("m")).select(*by, F.col("m.offset").alias("offset"), (-F.col("m.v")).alias("votes"))
 
 
+def circular_mean(rows: DataFrame, degrees: Column, by: list[str], harmonic: int = 1) -> DataFrame:
+    """(by, mean, concentration, n) of angles that count modulo 360 / harmonic degrees: the angle of the mean of their points on the circle, from 0 on, and the length of that mean, 1 where all agree. Sums of sines and cosines are all that moves; null angles do not count."""
+    turned = F.radians(degrees * harmonic)
+    d = rows.groupBy(*by).agg(F.sum(F.cos(turned)).alias("_x"), F.sum(F.sin(turned)).alias("_y"), F.count(degrees).alias("n"))
+    mean = F.pmod(F.degrees(F.atan2("_y", "_x")) / harmonic, F.lit(360.0 / harmonic))
+    return d.select(*by, F.when(F.col("n") > 0, mean).alias("mean"), (F.sqrt(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y")) / F.nullif("n", F.lit(0))).alias("concentration"), "n")
+
+
+def apart(rows: DataFrame, degrees: str, value: str, by: list[str], most: int = 6, least: float = 25.0) -> DataFrame:
+    """(by, nth, degrees, value): the greatest value of each group, then the greatest of those more than least degrees from all that were taken, and so on, most of them; ties go to the smaller angle.
+
+    Each turn is one aggregation with partial results, so no group is gathered;
+    what a group has taken, most angles at most, goes to its rows by a look-up
+    that frequent groups do not skew.
+    """
+    spark = rows.sparkSession
+    folder = tables.folder(spark, "apart")
+    d = rows.select(*by, F.col(degrees).cast("double").alias("_a"), F.col(value).alias("_v")).where("_a is not null and _v is not null")
+    counts = tables.written(d.groupBy(*by).agg(F.count("*").alias("n")), f"{folder}/counts")
+    taken = None
+    for nth in range(1, most + 1):
+        left = d
+        if taken is not None:
+            own = taken.groupBy(*by).agg(F.collect_list("_a").alias("_taken"))  # most at most
+            near = lambda p: F.least(F.pmod(F.abs(F.col("_a") - p), F.lit(360.0)), 360.0 - F.pmod(F.abs(F.col("_a") - p), F.lit(360.0))) <= least
+            left = joins.looked_up(d, own, by, counts).where(~F.coalesce(F.exists("_taken", near), F.lit(False)))
+        best = left.groupBy(*by).agg(F.max(F.struct("_v", (-F.col("_a")).alias("_b"))).alias("_m"))
+        best = tables.written(best.select(*by, F.lit(nth).alias("nth"), (-F.col("_m._b")).alias("_a"), F.col("_m._v").alias("_v")), f"{folder}/{nth}")
+        if best.isEmpty():
+            break
+        taken = best if taken is None else taken.unionByName(best)
+    taken = d.select(*by, F.lit(0).alias("nth"), "_a", "_v").where("false") if taken is None else taken
+    return taken.select(*by, "nth", F.col("_a").alias(degrees), F.col("_v").alias(value))
+
+
 def local_pitch(rows: DataFrame, pitch: str, by: list[str], side: str, least: int = 4) -> DataFrame:
     """rows with ``usual``: the median pitch of their own side (text or notes) of the page, or of the whole page where that side has fewer than least."""
     own, page = Window.partitionBy(*by, side), Window.partitionBy(*by)
