@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import syllables
-from ..functions.text import WORD
+from ..functions.text import WORD, strip
 from . import joins, tables
 
 FINDINGS = "check string, severity string, page long, line long, message string"
@@ -27,10 +27,22 @@ def starts(lines: DataFrame, check: str, forbidden: str, row: Column | None = No
     return findings(bad, check, F.concat(F.lit("opens with "), first))
 
 
+def is_junk(t: Column) -> Column:
+    """A character or none, asterisks, or no letter or digit unless all are dots."""
+    return (F.length(t) <= 1) | t.rlike(r"^\*+$") | (~t.rlike(r"(?U)[\p{L}\p{N}]") & ~t.rlike(r"^[. ]+$"))
+
+
 def junk(lines: DataFrame) -> DataFrame:
-    """Lines of a character or none, of asterisks, or without letter or digit unless of dots."""
-    t = F.col("text")
-    return lines.where((F.length(t) <= 1) | t.rlike(r"^\*+$") | (~t.rlike(r"(?U)[\p{L}\p{N}]") & ~t.rlike(r"^[. ]+$")))
+    """Lines that are junk."""
+    return lines.where(is_junk(F.col("text")))
+
+
+def text_pages(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, page, rank, text): the lines of a text whose pages end with form feeds, stripped, without junk (see junk); ranks and pages from 1, a rank for each line that stays. Pages are cut in the row; one without a line that stays is in no row."""
+    pages = docs.select(doc, F.posexplode(F.split(text, "\f")).alias("page", "_t"))
+    kept = F.filter(F.transform(F.split("_t", "\n"), strip), lambda t: ~is_junk(t))
+    d = pages.select(doc, (F.col("page") + 1).cast("long").alias("page"), F.posexplode(kept).alias("rank", "text"))
+    return d.withColumn("rank", (F.col("rank") + 1).cast("long"))
 
 
 def seams(lines: DataFrame, physical: bool, by: list[str] = ["doc_id"], order: list[str] = ["rank"]) -> DataFrame:  # noqa: B006
@@ -44,8 +56,9 @@ def seams(lines: DataFrame, physical: bool, by: list[str] = ["doc_id"], order: l
 def lost_hyphens(lines: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Line ends whose two words welded are a known word while one of them is rare (once at most). The lexicon is written once, as three look-ups read it. The welded word is looked up first, which few line ends pass; frequent words are looked up in a bounded map, so that no task gets all lines that end or begin with one."""
     s = seams(lines, True).where("left <> '' and right <> ''").withColumns({"left": F.lower("left"), "right": F.lower("right")}).withColumn("welded", F.concat("left", "right"))
-    known = tables.written(lexicon.select("word", "n"), tables.folder(lines.sparkSession, "lexicon"))
-    d = s.join(known.select(F.col("word").alias("welded")), "welded", "left_semi")
+    folder = tables.folder(lines.sparkSession, "hyphens")
+    known = tables.written(lexicon.select("word", "n"), f"{folder}/lexicon")
+    d = tables.written(s.join(known.select(F.col("word").alias("welded")), "welded", "left_semi"), f"{folder}/welded")
     for side in ("left", "right"):
         own = known.select(F.col("word").alias(side), F.col("n").alias(f"n_{side}"))
         d = joins.looked_up(d, own, [side], own.select(side, F.col(f"n_{side}").alias("n")))

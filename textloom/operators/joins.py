@@ -17,7 +17,8 @@ def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFr
     dealt out; all other rows meet table by key, and none of those keys has more
     than a share of 1 / most of the rows. A null key finds nothing and is not
     dealt out either. counts (keys, n) says how frequent keys are, if that is
-    known already.
+    known already. rows are read twice, so what is costly to make is best written
+    before.
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("n")) if counts is None else counts
     more = [c for c in table.columns if c not in keys]
@@ -28,7 +29,6 @@ def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFr
     hot = counts.where(whole).orderBy(F.desc("n"), *keys).limit(most).select(*keys).join(table, keys, "left").withColumn("_hot", F.lit(True))
     marked = rows.join(F.broadcast(hot), keys, "left")  # most rows at most
     out = [*rows.columns, *more]
-    found = marked.where("_hot").select(*out)
+    found = marked.where(F.col("_hot").isNotNull() | ~whole).select(*out)  # a null key meets nothing in the map either
     rest = marked.where(F.col("_hot").isNull() & whole).select(*rows.columns).join(table, keys, "left").select(*out)
-    without = rows.where(~whole).select(*rows.columns, *[F.lit(None).cast(table.schema[c].dataType).alias(c) for c in more])
-    return found.unionByName(rest).unionByName(without)
+    return found.unionByName(rest)

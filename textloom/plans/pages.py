@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import machine
-from .queries import LINES, lines, query, raw_lines
+from ..operators import audit, braces, machine
+from .queries import LINES, lines, query, raw_lines, t
 
 
 def page_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,3 +64,33 @@ def braced_words(spark, sf):
 
     text = F.when(F.col("rank") % 3 == 0, marked(SHAPES[0][0])).when(F.col("rank") % 3 == 1, marked(SHAPES[1][0])).otherwise(marked(SHAPES[2][0]))
     return d.select("doc_id", "rank", F.posexplode(T.emphasised_by_braces(text)).alias("nth", "e")).select("doc_id", "rank", (F.col("nth") + 1).cast("long").alias("nth"), "e.*")
+
+
+def order_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as tables, a row for each line item: flags with dots behind them, braces as high as quantities have it, and one that closes."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    d = t(spark, sf, "lineitem").withColumn("n", F.row_number().over(w))  # numbers of line items are not unique in the tables
+    n, q = F.col("n"), F.col("l_quantity").cast("int")
+    cell = lambda when, x, kind, text, height=F.lit(0.0), gap=F.lit(0.0): F.when(when, F.struct(F.lit(float(x)).alias("x"), F.lit(kind).cast("string").alias("kind"), height.cast("double").alias("height"), gap.cast("double").alias("gap"), text.alias("text")))
+    brace = lambda when, x, kind: cell(when, x, kind, F.lit(""), (q % 4) * 4, F.col("l_partkey") % 3 * 2 - 2)
+    word, dot, always = F.concat("l_returnflag", n.cast("string")), F.lit("."), F.lit(True)
+    own = F.array_compact(F.array(
+        cell(always, 10, None, word), cell(q % 5 == 0, 12, None, dot), cell(q % 5 == 0, 14, None, dot), brace(n % 2 == 1, 20, braces.OPEN), cell(always, 30, None, F.col("l_linestatus")),
+        brace(n % 3 == 2, 40, braces.OPEN), brace((n == 4) & (q % 2 == 0), 45, braces.UP), cell(always, 50, None, word), brace((n == 2) & (q % 2 == 0), 60, braces.CLOSE), cell(q % 3 > 0, 70, None, word),
+    ))
+    return d.select(F.col("l_orderkey").alias("table"), (n - 1).alias("row"), F.posexplode(own).alias("ord", "c")).select("table", "row", "ord", "c.*")
+
+
+@query()
+def table_groups(spark, sf):
+    found = braces.groups(braces.merged_leaders(order_cells(spark, sf)), 4.0)
+    return found.select("table", "row", "x", "kind", "title", "title_row", "parent", "closed_by", F.array_join(F.col("covered").cast("array<string>"), ",").alias("covered"))
+
+
+@query(r"""with f as (select doc_id, replace(replace(text, '. ', '.' || chr(10)), chr(10) || chr(10), chr(12) || chr(10)) as t from documents), p as (select doc_id, unnest(string_split(t, chr(12))) as t, generate_subscripts(string_split(t, chr(12)), 1)::bigint as page from f),
+l as (select doc_id, page, unnest(string_split(t, chr(10))) as x, generate_subscripts(string_split(t, chr(10)), 1) as i from p), s as (select doc_id, page, i, regexp_replace(x, '^\s+|\s+$', '', 'g') as text from l)
+select doc_id, page, row_number() over (partition by doc_id, page order by i) as rank, text from s where length(text) > 1 and not regexp_matches(text, '^\*+$') and (regexp_matches(text, '[\p{L}\p{N}]') or regexp_matches(text, '^[. ]+$'))""")
+def text_pages(spark, sf):
+    """Documents with a line for each sentence and a page for each paragraph."""
+    paged = F.replace(F.replace("text", F.lit(". "), F.lit(".\n")), F.lit("\n\n"), F.lit("\f\n"))
+    return audit.text_pages(t(spark, sf, "documents").select("doc_id", paged.alias("text")))

@@ -141,13 +141,13 @@ def search_too_short(spark, sf):
     return concordance.search(t(spark, sf, "documents").select("doc_id", "text"), "t", ["doc_id"]).select("doc_id", "hit")
 
 
-@query(f"""with {LINES}, hits as (select l.doc_id, l.rank, l.text, d.lang, d.source from lines l join documents d on l.doc_id = d.doc_id where regexp_matches(l.text, '[0-9]{{4,}}', 'i')),
-h as (select *, lag(source) over (partition by lang order by doc_id, rank) is distinct from source as new from hits)
-select lang, doc_id, rank, case when new then '## ' || source || chr(10) || chr(10) else '' end || text as piece from h""")
+@query(f"""with {LINES}, m as ({_TOPIC_SQL}), hits as (select m.topic, l.doc_id, l.rank, l.text, d.source from m join lines l using (doc_id, rank) join documents d using (doc_id)),
+h as (select *, lag(source) over (partition by topic order by doc_id, rank) is distinct from source as new from hits)
+select topic, doc_id, rank, case when new then '## ' || source || chr(10) || chr(10) else '' end || text as piece from h""")
 def topic_pages(spark, sf):
-    hits = concordance.topic_hits(lines(spark, sf), {"number": TOPICS["number"]}).drop("topic")
-    hits = hits.join(t(spark, sf, "documents").select("doc_id", "lang", "source"), "doc_id")
-    return concordance.page_pieces(hits, F.col("source"), ["lang"], "doc_id", ["rank"])
+    """The pages of all topics."""
+    hits = concordance.topic_hits(lines(spark, sf), TOPICS).join(t(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    return concordance.page_pieces(hits, F.col("source"), ["topic"], "doc_id", ["rank"])
 
 
 @query(f"with {WORDS} select word, count(*) as n, count(distinct doc_id) as docs from toks group by word")
@@ -907,3 +907,16 @@ def tex_pages(spark, sf):
     page = F.concat(F.format_string("\\begin{VUpage}[%d]{%d}\n", k, k - 4), body, F.lit("\\end{VUpage}"))
     t(spark, sf, "nation").select(page.alias("value")).repartition(3).write.text(path)
     return files.tex_pages(spark, path, 5, 20).select("leaf", "folio", "line_ix", "raw", "brk")
+
+
+@query("""with c as (select conv_id, string_agg(text, chr(10) || chr(10) order by turn) as body, count(*) as n from conversations group by conv_id)
+select 'Talk ' || conv_id as title, length(body)::bigint as size, md5(body) as digest from c""")
+def chapters_read(spark, sf):
+    """Every conversation as a Markdown file with a title and a rule, read again."""
+    c = t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("turn", "text")))["text"], "\n\n").alias("body"))
+    path = tables.folder(spark, "chapters")
+    md = F.concat(F.lit("Before the title\n# Talk "), F.col("conv_id"), F.lit("\n\nwhat leads in\n---\n"), F.col("body"))
+    c.select("conv_id", md.alias("value")).write.option("maxRecordsPerFile", 1).partitionBy("conv_id").text(path)
+    d = files.markdown_chapters(spark, f"{path}/*/*.txt")
+    body = F.regexp_replace("body", "\n$", "")
+    return d.select("title", F.length(body).cast("long").alias("size"), F.md5(body.cast("binary")).alias("digest"))
