@@ -1,10 +1,10 @@
-"""Line dedup by content-defined line chunks, in DataFrame functions only.
+"""Line dedup by chunks of two lines each, in DataFrame functions only.
 
 A line ends at a newline, or at a full stop with a space behind it (texts may
 have whole paragraphs without a newline); white space around a line does not
-count. A rolling hash over the hashes of two neighbouring lines names the chunk
+count. A hash of the hashes of two neighbouring lines names the chunk
 of both. Every such window is a chunk: a sparser choice of boundaries, by
-values of the rolling hash, misses passages that are shorter than its chunks,
+values of such a hash, misses passages that are shorter than its chunks,
 and a passage's first and last lines. So a chunk depends on what is inside it
 only, and a repeated passage of two lines or more is covered by its own chunks,
 wherever it stands. Chunks that occur again anywhere are removed, all but the
@@ -43,7 +43,7 @@ def _bare(line: Column) -> Column:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(_id, _row, chunks): for each line of a row but the last, the rolling hash of it and the next one; null where one of them is blank."""
+    """(_id, _row, chunks): for each line of a row but the last, the hash of its and the next one's hash; null where one of them is blank."""
     d = with_lines(docs.select("_id", "_row", "_text"), "_text")
     d = d.select("_id", "_row", F.transform("_lines", lambda x: F.nullif(F.xxhash64(_bare(x)), F.xxhash64(F.lit("")))).alias("_h"))
     rolling = F.zip_with("_h", F.slice("_h", 2, F.greatest(F.size("_h"), F.lit(1))), lambda a, b: F.when(a.isNotNull() & b.isNotNull(), F.xxhash64(a, b)))
