@@ -10,28 +10,28 @@ def minted(rows: DataFrame, base: Column, by: list[str], order: list[str], reser
     """rows with ``anchor``: base, or base-2, base-3 and so on for homonyms in order, within by; no number leads to an address that a base of the rows, or a reserved one (by and ``anchor``), takes.
 
     The n-th homonym gets the n-th free number: the taken numbers of each base
-    are the natural addresses base-k, so one join and ranks decide it, without
-    rounds.
+    are the natural addresses base-k. Each of them has so many free numbers
+    below it, so one sort of homonyms and taken numbers together says how many
+    of these a homonym has to pass; there are no rounds, and no row carries a
+    base's numbers.
     """
-    w = Window.partitionBy(*by, "_base").orderBy(*order)
-    d = rows.withColumn("_base", base).withColumn("_nth", F.row_number().over(w))
+    w = Window.partitionBy(*by, "_base")
+    d = rows.withColumn("_base", base).withColumn("_nth", F.row_number().over(w.orderBy(*order)))
     natural = d.select(*by, F.col("_base").alias("anchor"))
+    first = F.lit(0)
     if reserved is not None:
         natural = natural.unionByName(reserved.select(*by, "anchor"))
-    taken = natural.distinct().withColumn("_of", F.regexp_extract("anchor", r"^(.*)-(\d+)$", 1)).withColumn("_k", F.regexp_extract("anchor", r"-(\d+)$", 1).try_cast("int"))
-    used = taken.where("_k is not null and _k >= 2 and anchor = concat(_of, '-', _k)").groupBy(*by, F.col("_of").alias("_base")).agg(F.collect_set("_k").alias("_used"))
-    own = d.groupBy(*by, "_base").agg(F.count("*").alias("_n"))
-    if reserved is not None:
-        own = own.join(reserved.select(*by, F.col("anchor").alias("_base")).distinct().withColumn("_first", F.lit(True)), [*by, "_base"], "left")
-    else:
-        own = own.withColumn("_first", F.lit(None).cast("boolean"))
-    own = own.join(used, [*by, "_base"], "left")
-    need = (F.col("_n") + F.coalesce(F.size("_used"), F.lit(0)) + 1).cast("int")
-    free = F.array_except(F.sequence(F.lit(2), F.greatest(need, F.lit(2))), F.coalesce("_used", F.array().cast("array<int>")))
-    free = F.when(F.coalesce("_first", F.lit(False)), free).otherwise(F.concat(F.array(F.lit(1)), free))
-    both = d.join(own.select(*by, "_base", free.alias("_free")), [*by, "_base"])
-    k = F.element_at("_free", F.col("_nth"))
-    return both.withColumn("anchor", F.when(k == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", k))).drop("_base", "_nth", "_free")
+        own = reserved.select(*by, F.col("anchor").alias("_base")).distinct().withColumn("_first", F.lit(1))
+        d, first = d.join(own, [*by, "_base"], "left"), F.coalesce("_first", F.lit(0))
+    # the first homonym has the base itself, unless that is reserved; _at: how many free numbers come before
+    d = d.withColumns({"_at": F.col("_nth") + first - 2, "_row": F.lit(1)}).select(*rows.columns, "_base", "_at", "_row")
+    taken = natural.distinct().withColumns({"_base": F.regexp_extract("anchor", r"^(.*)-(\d+)$", 1), "_k": F.regexp_extract("anchor", r"-(\d+)$", 1).try_cast("int")})
+    taken = taken.where("_k is not null and _k >= 2 and anchor = concat(_base, '-', _k)")
+    taken = taken.select(*by, "_base", (F.col("_k") - 1 - F.row_number().over(w.orderBy("_k"))).alias("_at"), F.lit(0).alias("_row"))
+    passed = F.sum(1 - F.col("_row")).over(w.orderBy("_at", "_row").rowsBetween(Window.unboundedPreceding, 0))
+    both = d.unionByName(taken, allowMissingColumns=True).withColumn("_k", F.col("_at") + 2 + passed).where("_row = 1")
+    anchor = F.when((F.col("_at") < 0) | F.col("_base").isNull(), F.col("_base")).otherwise(F.concat_ws("-", "_base", "_k"))
+    return both.withColumn("anchor", anchor).drop("_base", "_at", "_row", "_k")
 
 
 def faults(anchors: DataFrame, by: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, braces, machine
+from ..operators import audit, braces, corpus, machine
 from .queries import LINES, lines, query, raw_lines, t
 
 
@@ -94,3 +94,12 @@ def text_pages(spark, sf):
     """Documents with a line for each sentence and a page for each paragraph."""
     paged = F.replace(F.replace("text", F.lit(". "), F.lit(".\n")), F.lit("\n\n"), F.lit("\f\n"))
     return audit.text_pages(t(spark, sf, "documents").select("doc_id", paged.alias("text")))
+
+
+@query(f"""with {LINES}, c as (select doc_id, rank, text, last_value(case when rank % 6 = 1 then rank // 6 + 1 end ignore nulls) over (partition by doc_id order by rank rows unbounded preceding) as leaf from lines)
+select doc_id, rank, left(text, 30) as title, leaf from c where (doc_id + rank) % 11 = 0""")
+def titles_on_leaves(spark, sf):
+    """Lines as titles, each with the leaf whose mark was seen last."""
+    r = F.col("rank")
+    d = corpus.carried(lines(spark, sf), F.when(r % 6 == 1, F.floor(r / 6) + 1), ["doc_id"], "rank", "leaf")
+    return d.where((F.col("doc_id") + r) % 11 == 0).select("doc_id", "rank", F.substring("text", 1, 30).alias("title"), "leaf")

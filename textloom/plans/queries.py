@@ -573,6 +573,21 @@ def _glossary_body(text) -> Column:
     return F.concat(F.lit("Ex. : "), F.array_join(T.words(F.lower(text)), " , "))
 
 
+_FITS = f"""lambda x: contains(x, core) and not starts_with(x, core) and list_contains(['{"', '".join(glossary.ENDINGS)}'], split_part(x, core, -1))"""
+
+
+@query(f"""with a(suffix, lang) as (values {', '.join(str((x, lang)) for x, _, lang in _AFFIX)}), d as (select doc_id, suffix, substring(suffix, 2) as core, {_WS} as ws from documents join a using (lang)),
+e as (select *, list_concat([ws[i] for i in range(1, len(ws) + 1, 2)], [ws[i] for i in range(2, len(ws) + 1, 2)]) as xs from d) select doc_id, suffix as affix, coalesce(list_filter(xs, {_FITS})[1], '') as example from e""")
+def example_in_runs(spark, sf):
+    """No examples are announced: every second word stands in bold, the others in italics behind."""
+    a = spark.createDataFrame(_AFFIX, "affix string, prefix string, lang string")
+    d = t(spark, sf, "documents").join(F.broadcast(a), "lang")  # four rules
+    ws = T.words(F.lower("text"))
+    every = lambda odd: F.array_join(F.filter(ws, lambda x, i: (i % 2 == 0) == odd), " ")
+    body = F.concat(F.lit("***x*** — **"), every(True), F.lit("** and *"), every(False), F.lit("*"))
+    return d.select("doc_id", "affix", glossary.first_example(F.col("affix"), F.lit(True), body).alias("example"))
+
+
 @query(f"with {_SUFFIXED} select doc_id, suffix as affix, shown as example from e")
 def first_example(spark, sf):
     a = spark.createDataFrame(_AFFIX, "affix string, prefix string, lang string")
