@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: What is learned from: labelled documents of a language at most, the first ones by a hash of the id; bytes of their texts; and languages, the most frequent ones. A model of more languages has to be asked for.
+#: What is learned from: labelled documents of a language at most, the first ones by a hash of id and text; bytes of their texts; and languages, the most frequent ones. A model of more languages has to be asked for.
 TRAIN_DOCS, TRAIN_BYTES, TRAIN_LANGS = 600, 4 << 20, 1024
 #: Bytes of a context, the digits of its number, the digit of what stands before a text.
 ORDER, BASE, EDGE = 3, 257, 256
@@ -141,12 +141,15 @@ def code_lengths(trees: Trees, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def learn(labelled: DataFrame, per_language: int = TRAIN_DOCS, max_bytes: int = TRAIN_BYTES, languages: int = TRAIN_LANGS) -> Trees:
-    """Trees learned from (doc_id, text, lang): per_language documents of each language at most, the first ones by a hash of the id (ties by the text), as long as their whole texts have max_bytes together; of more than ``languages`` languages those with most documents. Rows without lang or text are left out, repeated ids count each by itself, an empty table gives trees of no language."""
+    """Trees learned from (doc_id, text, lang): per_language documents of each language at most, the first ones by a hash of id and text, as long as their whole texts have max_bytes together; of more than ``languages`` languages those with most documents. Rows without lang or text are left out, repeated ids count each by itself, an empty table gives trees of no language."""
     common.ready(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), "doc_id"), "doc_id", "text")
+    known = rows.groupBy("lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "lang").limit(languages)
     drawn = rows.where(F.octet_length("text") <= max_bytes).join(F.broadcast(known), "lang")  # languages rows at most
+    # half as many again as are wanted are drawn where they lie, so that few texts are shuffled
+    drawn = drawn.withColumn("_h", F.xxhash64(F.lit("language"), "doc_id", "text"))
+    drawn = drawn.where(F.pmod("_h", F.lit(1 << 30)) < F.lit((1 << 30) * 1.5 * per_language) / F.col("_n"))
+    first = Window.partitionBy("lang").orderBy(F.pmod("_h", F.lit(1 << 30)), "doc_id", "text")
     drawn = drawn.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= per_language)
     drawn = drawn.withColumn("_sum", F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("_nth"))).where(F.col("_sum") <= max_bytes)
 
