@@ -113,3 +113,29 @@ def test_offsets_of_pages(spark):
         return min((-sum(any(abs(x + o - y) <= 10 for y in ys) for x in set(xs)), o) for o in range(-300, 300))
 
     assert got == {p: (o, -v) for p in (1, 2) for v, o in [plain(a[p], b[p])]}
+
+
+def test_distances_in_bands_are_exact(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [("", ""), (None, "a"), ("a", None)]
+    for _ in range(80):
+        a = "".join(rng.choice("abcé ") for _ in range(rng.choice([0, 3, 60, 300])))
+        b = list(a)
+        for _ in range(rng.choice([0, 2, 40, 200]) if b else 0):
+            b[rng.randrange(len(b))] = rng.choice(["", "x", "yy"])
+        rows.append((a, "".join(b)))
+
+    def apart(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row, old = [i + 1], row
+            for j, y in enumerate(b):
+                row.append(min(old[j] + (x != y), old[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string")
+    got = d.selectExpr("i", "a", "b").select("i", align.distance(d["a"], d["b"], 4).alias("d"), align.distance(d["a"], d["b"]).alias("e")).orderBy("i").collect()
+    want = [None if a is None or b is None else apart(a, b) for a, b in rows]
+    assert [r["d"] for r in got] == [r["e"] for r in got] == want
