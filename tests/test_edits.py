@@ -140,3 +140,10 @@ def test_extremes_apart(spark, most):
     for r in stats.apart(spark.createDataFrame(rows, "g int, a double, v double"), "a", "v", ["g"], most).orderBy("g", "nth").collect():
         got.setdefault(r["g"], []).append(r["a"])
     assert got == {g: plain(g) for g in (0, 1, 2, 7)}
+
+
+def test_edit_where_its_fragment_was_found(spark):
+    docs = spark.createDataFrame([(1, "abababx")], "file long, text string")
+    f = spark.createDataFrame([(1, 3, "abab", "-")], "file long, at int, old string, new string")
+    done = lambda x: audit.applied(audit.settled(audit.edits(x, docs)), docs).first()["text"]
+    assert done(f) == "ab-x" and done(f.drop("at")) == "-abx" and done(f.withColumn("at", F.lit(2))) == "-abx"

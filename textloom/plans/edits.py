@@ -23,7 +23,7 @@ union all select doc_id, md5(text), 0, 0 from documents where length(text) < 48"
 def edits_applied(spark, sf):
     """Five fragments of each text put in brackets: those that occur once and do not overlap."""
     files = t(spark, sf, "documents").select(F.col("doc_id").alias("file"), "text")
-    each = F.explode(F.array(*[F.struct(F.substring("text", b, n).alias("old"), F.concat(F.lit(f"<{i}"), F.substring("text", b, n), F.lit(">")).alias("new")) for i, (b, n) in enumerate(FRAGMENTS)])).alias("e")
+    each = F.explode(F.array(*[F.struct(F.lit(b).alias("at"), F.substring("text", b, n).alias("old"), F.concat(F.lit(f"<{i}"), F.substring("text", b, n), F.lit(">")).alias("new")) for i, (b, n) in enumerate(FRAGMENTS)])).alias("e")
     fragments = files.where(F.length("text") >= 48).select("file", each).select("file", "e.*")
     done = audit.applied(audit.settled(audit.edits(fragments, files)), files)
     return done.select("file", F.md5(F.col("text").cast("binary")).alias("digest"), "applied", "refused")
