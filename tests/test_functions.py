@@ -67,3 +67,20 @@ def test_every_break_has_vowels_on_both_sides(spark):
     for r in d.select("w", syllables.breaks(F.col("w")).alias("b")).collect():
         for i in r["b"]:
             assert set(r["w"][:i]) & set("aeiou") and set(r["w"][i:]) & set("aeiou") and r["w"][i - 1 : i + 1] not in syllables.DIGRAPHS + syllables.DIPHTHONGS
+
+
+def test_references_without_semicolon_are_text(spark):
+    assert one(spark, T.whole_references, "a&amp;&amp b&lt;&#12;&#x1F;&c & d;") == "a&amp;&amp;amp b&lt;&#12;&#x1F;&amp;c &amp; d;"
+    assert one(spark, lambda c: T.as_markdown(T.whole_references(c)), "x&amp;&amp") == "x&&amp"
+
+
+def test_capitals_are_one_letter(spark):
+    head = lambda c: T.headword_case(c, F.lit(True))
+    assert [one(spark, head, x) for x in ("ßung ber", "élan", "ŉa", "")] == ["ẞung ber", "Élan", "ŉa", ""]
+
+
+def test_opening_verb_in_capitals(spark):
+    s = lambda c: T.is_sentence(c, ["as", "is", "us"], ["plus"])
+    assert one(spark, s, "ÑCOAS!!") and one(spark, s, "Paris")
+    assert not any(one(spark, s, x) for x in ("a ÑCOAS", "PLUS", "a pLus", "-ÑCOAS", "as"))
+    assert one(spark, s, "a plusus")
