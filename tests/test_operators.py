@@ -308,3 +308,9 @@ def test_rows_of_deep_trees_are_covered(spark):
     assert got == {i: {10 * k + x for k in parent if i in above[k] for x in (0, 1)} for i in parent}
     circle = spark.createDataFrame([(1, 2, [1]), (2, 1, [2])], "id long, parent long, rows array<long>")
     assert [sorted(r["covered"]) for r in layout.covered(circle).collect()] == [[1, 2], [1, 2]]
+
+
+def test_headword_works_its_text_out_once(spark):
+    d = spark.createDataFrame([("<b>kapo</b> texto",)], "t string").select(T.headword(F.concat("t", F.lit("MARK"))).alias("h"))
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("MARK") == 1
+    assert tuple(d.first()["h"]) == ("kapo", 11, True)
