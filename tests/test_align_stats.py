@@ -139,3 +139,10 @@ def test_distances_in_bands_are_exact(spark):
     got = d.selectExpr("i", "a", "b").select("i", align.distance(d["a"], d["b"], 4).alias("d"), align.distance(d["a"], d["b"]).alias("e")).orderBy("i").collect()
     want = [None if a is None or b is None else apart(a, b) for a, b in rows]
     assert [r["d"] for r in got] == [r["e"] for r in got] == want
+
+
+def test_pages_are_matched_in_batches(spark):
+    points = [(1, "a", 2, 40.0), (1, "a", 1, 0.0), (1, "b", 5, 1.0), (1, "b", 9, 41.0), (2, "b", 7, 3.0), (3, "a", 4, 3.0)]
+    got = align.aligned(spark.createDataFrame(points, "page long, side string, ix int, y double"))
+    assert "GroupsInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, 1, 5), (1, 2, 9), (2, None, 7), (3, 4, None)]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -201,19 +201,44 @@ def scored(x: np.ndarray, y: np.ndarray, reward: float = 10.0, gap: float = -1.0
     return _cheapest(x + voted(x, y, reward, cells), y, lambda d: d - reward, reward, -gap, cells, False)
 
 
+#: Rows of matched pages that go to the JVM at once.
+BATCH = 1 << 16
+
+
 def aligned(rows: DataFrame, by: str = "page", match: Callable[[np.ndarray, np.ndarray], list[tuple[int, int]]] = matched) -> DataFrame:
-    """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs by the matcher, and with a null the points left alone. A page at a time, in the memory of its rows and CELLS cells."""
+    """rows (by, side 'a' or 'b', ix, y) to (by, a, b): pairs by the matcher, and with a null the points left alone. A page is one row with both its sides, in the memory of its points and CELLS cells; pages go to the matcher in batches."""
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = {s: g.sort_values("ix") for s, g in pdf.groupby("side")}
-        xs, ys = (side[s]["y"].to_numpy(float) if s in side else np.zeros(0) for s in "ab")
-        ax, bx = (side[s]["ix"].to_numpy() if s in side else np.zeros(0, int) for s in "ab")
-        pairs = match(xs, ys)
-        rest_a, rest_b = set(range(len(xs))) - {i for i, _ in pairs}, set(range(len(ys))) - {j for _, j in pairs}
-        rows = [(ax[i], bx[j]) for i, j in pairs] + [(ax[i], None) for i in sorted(rest_a)] + [(None, bx[j]) for j in sorted(rest_b)]
-        return pd.DataFrame({by: pdf[by].iloc[0], "a": pd.array([r[0] for r in rows], "Int64"), "b": pd.array([r[1] for r in rows], "Int64")})
+    def points(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ix, y = (column.values.field(f).to_numpy(zero_copy_only=False) for f in ("ix", "y"))
+        return column.offsets.to_numpy(), ix, y.astype(float)
 
-    return rows.select(by, "side", "ix", "y").groupBy(by).applyInPandas(one, f"{by} long, a long, b long")
+    def one(ax: np.ndarray, xs: np.ndarray, bx: np.ndarray, ys: np.ndarray) -> tuple[list, list]:
+        pairs = match(xs, ys)
+        rest_a, rest_b = np.ones(len(xs), bool), np.ones(len(ys), bool)
+        i, j = [p[0] for p in pairs], [p[1] for p in pairs]
+        rest_a[i], rest_b[j] = False, False
+        alone_a, alone_b = ax[rest_a].tolist(), bx[rest_b].tolist()
+        return [*ax[i].tolist(), *alone_a, *[None] * len(alone_b)], [*bx[j].tolist(), *[None] * len(alone_a), *alone_b]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = pa.schema([(by, pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+        for batch in batches:
+            (ao, ax, xs), (bo, bx, ys) = points(batch.column(1)), points(batch.column(2))
+            out: tuple[list, list, list] = ([], [], [])
+            for k, key in enumerate(batch.column(0).to_pylist()):
+                a, b = slice(ao[k], ao[k + 1]), slice(bo[k], bo[k + 1])
+                left, right = one(ax[a], xs[a], bx[b], ys[b])
+                for column, more in zip(out, ([key] * len(left), left, right), strict=True):
+                    column.extend(more)
+                if len(out[0]) >= BATCH:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], schema=types)
+                    out = ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], schema=types)
+
+    point = F.struct(F.col("ix").cast("long").alias("ix"), F.col("y").cast("double").alias("y"))
+    sides = [F.sort_array(F.collect_list(F.when(F.col("side") == s, point))).alias(s) for s in "ab"]
+    pages = rows.groupBy(F.col(by).cast("long").alias(by)).agg(*sides)
+    return pages.mapInArrow(run, f"{by} long, a long, b long")
 
 
 def distance(a: Column, b: Column, band: int = 64) -> Column:
