@@ -314,3 +314,10 @@ def test_headword_works_its_text_out_once(spark):
     d = spark.createDataFrame([("<b>kapo</b> texto",)], "t string").select(T.headword(F.concat("t", F.lit("MARK"))).alias("h"))
     assert d._jdf.queryExecution().optimizedPlan().toString().count("MARK") == 1
     assert tuple(d.first()["h"]) == ("kapo", 11, True)
+
+
+def test_first_example_works_its_body_out_once(spark):
+    d = spark.createDataFrame([("-ado", "***x*** — **kant*ado, not** and *paf-ado* Ex. : adoro, lern-ado.")], "affix string, body string")
+    d = d.select(glossary.first_example(F.col("affix"), F.lit(True), F.concat("body", F.lit("MARK"))).alias("e"))
+    assert d._jdf.queryExecution().optimizedPlan().toString().count("MARK") == 1 and d.first()["e"] == "paf-ado"
+    assert spark.createDataFrame([(1,)], "i int").select(glossary.first_example(F.lit("-ad"), F.lit(True), F.lit("***x*** — Ex. : adoro, lern-ado.")).alias("e")).first()["e"] == "lern-ado"
