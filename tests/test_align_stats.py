@@ -1,6 +1,7 @@
 """Votes, scored matches and picked ranks against their definitions."""
 
 import math
+import random
 import tracemalloc
 
 import numpy as np
@@ -146,3 +147,23 @@ def test_pages_are_matched_in_batches(spark):
     got = align.aligned(spark.createDataFrame(points, "page long, side string, ix int, y double"))
     assert "GroupsInPandas" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, got.collect()), key=repr) == [(1, 1, 5), (1, 2, 9), (2, None, 7), (3, 4, None)]
+
+
+def test_distances_by_bits_and_by_edits():
+    rng = random.Random(11)
+    for _ in range(200):
+        a = "".join(rng.choice("abé😀") for _ in range(rng.randrange(1, 90)))
+        b = "".join(rng.choice("abé😀") if rng.random() < 0.2 else c for c in a)[rng.randrange(3) :] + "x" * rng.randrange(4)
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        assert align.bit_distance(a, b) == row[-1]
+        assert [align.near_distance(a, b, m) for m in (3, 200)] == [row[-1] if row[-1] <= 3 else None, row[-1]]
+
+
+def test_long_texts_that_are_alike_take_no_matrix():
+    text = "".join(random.Random(3).choices("abcdefgh ", k=300000))
+    assert align.near_distance(text, text[:1000] + "X" + text[1000:-5], 100) == 6

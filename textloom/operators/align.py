@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -241,13 +242,82 @@ def aligned(rows: DataFrame, by: str = "page", match: Callable[[np.ndarray, np.n
     return pages.mapInArrow(run, f"{by} long, a long, b long")
 
 
-def distance(a: Column, b: Column, band: int = 64) -> Column:
-    """The edit distance of two texts, in time that follows their length times the distance: within a band around the diagonal, eight times as wide as long as the distance does not fit, at last without one; short texts without one at once."""
-    whole = out = F.levenshtein(a, b)
-    for wide in (band * 64, band * 8, band):
-        fits = F.transform(F.array(F.levenshtein(a, b, wide)), lambda d: F.when(d >= 0, d))[0]  # worked out once, looked at twice
-        out = F.coalesce(fits, out)
-    return F.when(F.greatest(F.length(a), F.length(b)) <= 4 * band, whole).otherwise(out)
+#: Texts up to so many letters are compared by the whole matrix, up to so many by vectors of bits at once.
+SHORT, LONG = 256, 1024
+
+
+def bit_distance(a: str, b: str) -> int:
+    """The edit distance of two texts by Myers' vectors of bits: one column of the matrix is two whole numbers of len(a) bits, so a character of b takes about fifteen operations on them."""
+    if a == b or not a or not b:
+        return 0 if a == b else len(a) or len(b)
+    codes = np.frombuffer(a.encode("utf-32-le"), "<u4")
+    at = {chr(c): int.from_bytes(np.packbits(codes == c, bitorder="little").tobytes(), "little") for c in np.unique(codes)}
+    top, every = len(a) - 1, (1 << len(a)) - 1
+    up, down, out = every, 0, len(a)  # where a column rises and falls by one
+    for c in b:
+        same = at.get(c, 0)
+        v = same | down
+        h = (((same & up) + up) ^ up) | same
+        rise, fall = down | (every & ~(h | up)), up & h
+        out += (rise >> top & 1) - (fall >> top & 1)
+        rise = rise << 1 | 1
+        up, down = every & (fall << 1 | ~(v | rise)), every & rise & v
+    return out
+
+
+def near_distance(a: str, b: str, most: int) -> int | None:
+    """The edit distance if it is ``most`` at most: with 0, 1, 2, ... edits, how far into a each diagonal of the matrix gets; that is steps in proportion to the length and the square of the distance."""
+    x, y = (np.frombuffer(s.encode("utf-32-le") + end, "<u4") for s, end in ((a, b"\xff\xff\xff\x7f"), (b, b"\xff\xff\xff\x6f")))  # two ends that no letter equals
+    n, m = len(a), len(b)
+
+    def along(i: int, j: int) -> int:
+        """How many letters agree from i and j on."""
+        at, step = 0, 64
+        while True:
+            u, v = x[i + at : i + at + step], y[j + at : j + at + step]
+            k = min(len(u), len(v))
+            differ = u[:k] != v[:k]
+            first = int(differ.argmax())
+            if differ[first]:
+                return at + first
+            at, step = at + k, 2 * step
+
+    far = np.array([along(0, 0)])  # by diagonal, which is the place in b less that in a, from -edits to edits
+    for edits in range(most + 1):
+        if abs(m - n) <= edits and far[m - n + edits] >= n:
+            return edits
+        wide = np.full(len(far) + 4, -2)
+        wide[2:-2] = far
+        k = np.arange(-edits - 1, edits + 2)
+        far = np.maximum(np.maximum(wide[1:-1], wide[2:]) + 1, wide[:-2])
+        far = np.minimum(far, np.minimum(n, m - k))
+        at = np.flatnonzero((far >= 0) & (far + k >= 0))
+        for _ in range(3):
+            at = at[x[far[at]] == y[far[at] + k[at]]]
+            far[at] += 1
+        for d in at.tolist():
+            far[d] += along(int(far[d]), int(far[d] + k[d]))
+    return None
+
+
+def _edit_distance(a: str, b: str) -> int:
+    size = max(len(a), len(b))
+    near = near_distance(a, b, size // 16) if size > LONG else None
+    return bit_distance(a, b) if near is None else near
+
+
+def _long_distance(a: Column, b: Column) -> Column:
+    def over(a, b):
+        return pd.Series([None if x is None or y is None else _edit_distance(x, y) for x, y in zip(a, b, strict=True)], dtype="Int64")
+
+    over.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}  # as objects: names would be looked up here
+    return F.pandas_udf(over, "long")(a, b)
+
+
+def distance(a: Column, b: Column, short: int = SHORT) -> Column:
+    """The edit distance of two texts: of ``short`` ones by the whole matrix, of others by vectors of bits, of those longer than LONG by as many edits as there are, if these are few. The time of long texts that are alike follows their length and the square of their distance."""
+    far = F.greatest(F.length(a), F.length(b)) > short
+    return F.when(far, _long_distance(F.when(far, a), F.when(far, b))).otherwise(F.levenshtein(a, b))
 
 
 def error_rate(pairs: DataFrame, by: list[str], read: Column, truth: Column) -> DataFrame:
