@@ -79,3 +79,18 @@ def test_page_index_of_a_cut_reference(spark, tmp_path):
     spark.createDataFrame([(1, "<h1>a &amp;&amp</h1><p>b &lt</p>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert [r["text"] for r in queries.QUERIES["page_index"](spark, str(tmp_path)).collect()] == ["a &&amp"]
     assert [r["text"] for r in queries.QUERIES["class_blocks"](spark, str(tmp_path)).orderBy("rank").collect()][:2] == ["a &&amp", "b &lt *x* **y**"]
+
+
+def test_lists_of_neighbouring_texts():
+    import numpy as np
+
+    texts = {70: "abcabc😀", 3: "ab", 64: "", 5: "bcab\x00ab", 130: "abc"}
+    grams, parts, begin, keys = search._lists(np.array(list(texts)), list(texts.values()), 64)
+    ends = [*begin[1:].tolist(), len(keys)]
+    got = {(g, p): keys[a:z].tolist() for g, p, a, z in zip(grams, parts.tolist(), begin.tolist(), ends, strict=True)}
+    want = {}
+    for k in sorted(texts):
+        t = texts[k] + search.END
+        for g in {t[i : i + 3] for i in range(len(t) - 2)}:
+            want.setdefault((g, k // 64), []).append(k)
+    assert got == want

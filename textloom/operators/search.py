@@ -9,9 +9,12 @@ own trigrams only. ``grams`` says how many texts hold each.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import snippet, u
@@ -31,25 +34,67 @@ class Index:
     grams: DataFrame
 
 
-def grams(text: Column) -> Column:
-    """The distinct runs of three characters of text and the mark behind it, in one pass: a pattern that looks ahead and takes nothing."""
-    return F.array_distinct(F.regexp_extract_all(F.concat(text, F.lit(END)), F.lit(f"(?s)(?=(.{{{SIZE}}}))"), 1))
+def _lists(keys: np.ndarray, texts: list[str], stretch: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The trigrams of some texts and the mark behind each: (gram, stretch, begin) of each list, and the lists' keys one behind the other."""
+    order = np.argsort(keys, kind="stable")
+    keys, texts = keys[order], [texts[i] for i in order]
+    size = np.array([len(t) + 1 for t in texts])
+    c = np.frombuffer((END.join(texts) + END).encode("utf-32-le"), "<u4").astype(np.int64)
+    own = np.repeat(np.arange(len(texts)), size)
+    at = np.flatnonzero(np.arange(len(c)) + SIZE <= np.cumsum(size)[own])
+    code, own = c[at] << 42 | c[at + 1] << 21 | c[at + 2], own[at]
+    order = np.argsort(code, kind="stable")  # texts stay in order
+    code, own = code[order], own[order]
+    part = keys[own] // stretch
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (own[1:] != own[:-1])
+    code, own, part = code[new], own[new], part[new]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (part[1:] != part[:-1])
+    begin = np.flatnonzero(new)
+    letters = np.stack([code[begin] >> 42, code[begin] >> 21 & 0x1FFFFF, code[begin] & 0x1FFFFF], 1).astype("<u4").tobytes().decode("utf-32-le")
+    return [letters[i : i + SIZE] for i in range(0, len(letters), SIZE)], part[begin], begin, keys[own]
+
+
+def _posted(texts: DataFrame, stretch: int, most: int = 1 << 21) -> DataFrame:
+    """(gram, part, keys) of texts (key, lowered): a list for each trigram and stretch of some neighbouring texts, about ``most`` characters of them or a longer one, so that a trigram of most texts is a few rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def listed(keys: list[int], texts: list[str]) -> pa.RecordBatch:
+            grams, parts, begin, own = _lists(np.array(keys, np.int64), texts, stretch)
+            offsets = np.append(begin, len(own)).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(parts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(own, pa.int64()))], names=["gram", "part", "keys"])
+
+        keys, some, size = [], [], 0
+        for b in batches:
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                keys.append(key)
+                some.append(text)
+                size += len(text)
+                if size >= most:
+                    yield listed(keys, some)
+                    keys, some, size = [], [], 0
+        if keys:
+            yield listed(keys, some)
+
+    return texts.select("key", "lowered").mapInArrow(run, "gram string, part long, keys array<long>")
 
 
 def build(rows: DataFrame, key: str, folder: str | None = None, text: str = "text", stretch: int = STRETCH) -> Index:
     """The index of rows (key: a whole number, each once; text), written to folder. White space is collapsed; rows without text are left out.
 
     Lists of one trigram are cut by stretches of keys, so that a trigram of most
-    texts is many bounded lists. Each text's trigrams are found inside its row.
+    texts is many bounded lists. Neighbouring texts' trigrams are listed together
+    where the texts lie, so that lists are dealt out, not trigrams of texts.
     """
     spark = rows.sparkSession
     folder = folder or tables.folder(spark, "search")
-    shown = F.trim(F.regexp_replace(text, u(r"\s+"), " "))
-    d = rows.select(F.col(key).cast("long").alias("key"), shown.alias("text")).where("key is not null and text <> ''").withColumn("lowered", F.lower("text"))
-    tables.written(d.repartitionByRange("key").sortWithinPartitions("key"), f"{folder}/texts")
+    shown = F.trim(F.regexp_replace("text", u(r"\s+"), " "))
+    d = rows.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).where("key is not null and text is not null").repartitionByRange("key")  # as they are: dealt out once, looked at behind that
+    d = d.select("key", shown.alias("text")).where("text <> ''").withColumn("lowered", F.lower("text"))
+    tables.written(d.sortWithinPartitions("key"), f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
-    each = texts.select("key", F.floor(F.col("key") / stretch).alias("part"), F.explode(grams(F.col("lowered"))).alias("gram"))
-    lists = each.groupBy("gram", "part").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # stretch keys at most
+    lists = _posted(texts, stretch).groupBy("gram", "part").agg(F.sort_array(F.flatten(F.collect_list("keys"))).alias("keys"))  # stretch keys at most
     postings = tables.written(lists.repartitionByRange("gram", "part").sortWithinPartitions("gram", "part"), f"{folder}/postings")
     n = tables.written(postings.groupBy("gram").agg(F.sum(F.size("keys")).alias("n")), f"{folder}/grams")
     return Index(folder, texts, postings, n)
