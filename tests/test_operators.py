@@ -321,3 +321,18 @@ def test_first_example_works_its_body_out_once(spark):
     d = d.select(glossary.first_example(F.col("affix"), F.lit(True), F.concat("body", F.lit("MARK"))).alias("e"))
     assert d._jdf.queryExecution().optimizedPlan().toString().count("MARK") == 1 and d.first()["e"] == "paf-ado"
     assert spark.createDataFrame([(1,)], "i int").select(glossary.first_example(F.lit("-ad"), F.lit(True), F.lit("***x*** — Ex. : adoro, lern-ado.")).alias("e")).first()["e"] == "lern-ado"
+
+
+def test_seams_deal_words_not_texts(spark):
+    from textloom.operators import audit
+
+    d = spark.createDataFrame([(1, 1, "a kon"), (1, 2, "sonanti b"), (1, 3, "")], "doc_id long, rank long, text string")
+    s = audit.seams(d, True).select("doc_id", "rank", "left", "right")
+    plan = s._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in next(x for x in plan.splitlines() if "lead(" in x)
+    assert sorted(map(tuple, s.collect())) == [(1, 1, "kon", "sonanti"), (1, 2, "b", ""), (1, 3, "", "")]
+
+
+def test_blocks_carry_columns_of_their_document(spark):
+    d = spark.createDataFrame([(1, "a\n\nb", "s")], "doc_id long, text string, source string")
+    assert sorted(map(tuple, corpus.blocks(d, "\n", more=["source"]).collect())) == [(1, 1, "a", "s"), (1, 2, "b", "s")]
