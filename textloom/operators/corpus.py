@@ -11,10 +11,10 @@ from ..functions.text import strip, u
 OPENER = u(r"^(\d{1,3})\.\s*[—–]\s")
 
 
-def blocks(docs: DataFrame, separator: str = "\n\n", doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, rank, text): the stripped parts between separators (a literal regular expression); empty ones take no rank. Ranks are counted in the row, without a shuffle."""
+def blocks(docs: DataFrame, separator: str = "\n\n", doc: str = "doc_id", text: str = "text", more: list[str] = []) -> DataFrame:  # noqa: B006
+    """(doc, rank, text, more columns of the document): the stripped parts between separators (a literal regular expression); empty ones take no rank. Ranks are counted in the row, without a shuffle."""
     parts = F.filter(F.transform(F.split(F.col(text), separator), strip), lambda b: b != "")
-    return docs.select(doc, F.posexplode(parts).alias("rank", "text")).withColumn("rank", (F.col("rank") + 1).cast("long"))
+    return docs.select(doc, *more, F.posexplode(parts).alias("rank", "text")).select(doc, "rank", "text", *more).withColumn("rank", (F.col("rank") + 1).cast("long"))
 
 
 def opener(text: Column) -> Column:
