@@ -65,6 +65,28 @@ def test_jaccard_over_odd_rows(odd, empty):
     assert kept.columns == odd.columns and kept.where("doc_id = 5").count() == 1 and kept.where("doc_id in (2, 3, 4)").count() == 3 and kept.where("doc_id is null").count() == 1
 
 
+def test_near_copies_that_chains_link_are_no_pairs_of_leaders(spark, monkeypatch):
+    """A tenth has one edit and links with the others, of three edits, which do not link with each other: nearly all of them are leaders."""
+    draw, base = random.Random(3), [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for k in draw.sample(range(150), 1 if i % 10 == 9 else 3):
+            text[k] = f"e{i}_{k}"
+        rows.append((i, " ".join(text)))
+    made, plain = [], jaccard._candidates
+
+    def counted(post, percent):
+        pairs = plain(post, percent)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_candidates", counted)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows) and sum(x == 0 for x in got.values()) > 380
+    assert made[0] < len(rows)
+
+
 def test_rows_without_words_never_stand_for_a_text(spark):
     text = "a text of more than five words that must stay"
     rows = [(1, None), (1, text), (1, " \n"), (1, ""), (2, ""), (2, "another text of words with the same id " * 3), (3, text)]

@@ -12,8 +12,10 @@ prefix tokens; what all orders have in common is verified.
 Components are found without making all pairs of a group: equal sets are one;
 documents that agree in a minimum hash are put to leaders, in salted groups of
 bounded size, by the same filters and the same verification, and the leaders
-again under another hash; then the lists give candidates among leaders, and at
-last among all documents of different components.
+again under another hash. Of a large group of near copies many leaders remain
+that only chains of others link, so its documents meet in new salted groups, where
+components are joined. Then the lists give candidates among leaders, and at last
+among all documents of different components.
 """
 
 from __future__ import annotations
@@ -159,6 +161,28 @@ def _stars(group: pa.Table, percent: int) -> pa.Table:
     return pa.table({"doc_id": pa.array([x for x, _ in out], pa.int64()), "comp": pa.array([y for _, y in out], pa.int64())})
 
 
+def _chains(group: pa.Table, percent: int) -> pa.Table:
+    """One salted group: links between its components, as many as it takes to join those that link in it. Documents of one component are not compared."""
+    up, seen, out = {}, [], []
+
+    def top(c: int) -> int:
+        while (to := up.setdefault(c, c)) != c:
+            c = to
+        return c
+
+    for row in sorted(group.select(["doc_id", "n", "shared", "df", "comp"]).to_pylist(), key=lambda r: r["doc_id"]):
+        a = _arrays(row)
+        heads = [np.sort(_prefix(*a, order, percent)) for order in ORDERS]
+        for b, others, comp in seen:
+            x, y = top(row["comp"]), top(comp)
+            if x != y and 100 * min(a[2], b[2]) >= percent * max(a[2], b[2]) and all(map(common.shared, heads, others)) and linked(common.shared(a[0], b[0]), a[2], b[2], percent):
+                up[max(x, y)] = min(x, y)
+                out.append((row["comp"], comp))
+        seen.append((a, heads, row["comp"]))
+    common.give_back()
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Those of the pairs with both sets that are linked."""
     for b in batches:
@@ -208,8 +232,8 @@ def _links(sets: DataFrame, percent: int, folder: str) -> DataFrame:
 ZSTD = {"compression": "zstd"}
 
 
-def _led(able: DataFrame, percent: int, folder: str) -> DataFrame:
-    """(a, b): documents and the leaders that they have joined.
+def _led(able: DataFrame, percent: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(a, b): documents and the leaders that they have joined; and the last table of minimum hashes.
 
     Each turn groups those that have not joined anyone by another minimum
     hash. There are HASHES turns at least, and more while groups are larger
@@ -233,7 +257,35 @@ def _led(able: DataFrame, percent: int, folder: str) -> DataFrame:
         if i >= HASHES:
             large = sizes.where(F.col("size") > GROUP).agg(F.sum("size")).first()[0] or 0
             if stars.count() * 4 < large or not large:
-                return members
+                return members, keys
+
+
+def _chained(able: DataFrame, keys: DataFrame, comps: DataFrame, percent: int, folder: str) -> DataFrame:
+    """comps (doc_id, comp), joined where documents link that have a minimum hash in common with more than GROUP components.
+
+    All leaders of such a group would be candidates of each other, though chains
+    through other members link most of them. Its documents, leaders or not, are
+    dealt to salted groups anew in each turn; there are HASHES turns, and more
+    while a good part of what is left joins. What still is apart is left to the
+    lists.
+    """
+    i = 0
+    while True:
+        now = keys.select("doc_id", F.col(f"k{i % HASHES}").alias("key")).join(comps, "doc_id")
+        each = now.groupBy("key", "comp").agg(F.count("*").alias("n"))
+        many = common.written(each.groupBy("key").agg(F.sum("n").alias("size"), F.count("*").alias("comps")).where(F.col("comps") > GROUP), f"{folder}/many{i}")
+        apart = many.agg(F.sum("comps")).first()[0] or 0
+        joined = 0
+        if apart:
+            salt = F.pmod(F.xxhash64("doc_id", F.lit(i)), F.ceil(F.col("size") / GROUP))
+            met = able.drop("comp").join(now.join(many, "key").select("doc_id", "comp", "key", salt.alias("salt")), "doc_id")
+            links = common.written(met.groupBy("key", "salt").applyInArrow(lambda g: _chains(g, percent), "a long, b long").distinct(), f"{folder}/links{i}")
+            roots = common.written(graph.components(links, f"{folder}/roots{i}"), f"{folder}/joined{i}").withColumnRenamed("node", "comp")
+            joined = roots.count()
+            comps = common.written(comps.join(roots, "comp", "left").select("doc_id", F.coalesce("root", "comp").alias("comp")), f"{folder}/comps{i}")
+        i += 1
+        if i >= HASHES and joined * 4 <= apart:
+            return comps
 
 
 def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -258,10 +310,13 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     classes = sets.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     able = sets.where("shared is not null").join(classes.select("h1", "h2", F.col("rep").alias("doc_id")), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
     able = common.written(able.drop("h1", "h2").withColumn("comp", F.col("doc_id")), f"{folder}/able", ZSTD)
-    chains = graph.components(_led(able, percent, folder), f"{folder}/chains").withColumnRenamed("node", "doc_id")
+    members, keys = _led(able, percent, folder)
+    chains = graph.components(members, f"{folder}/chains").withColumnRenamed("node", "doc_id")
+    comps = able.select("doc_id").distinct().join(chains, "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("comp"))
+    comps = _chained(able, keys, common.written(comps, f"{folder}/comps"), percent, f"{folder}/chained")
 
     # leaders with each other, then all documents of components that are still apart
-    led = able.drop("comp").join(chains, "doc_id", "left").withColumn("comp", F.coalesce("root", "doc_id")).drop("root")
+    led = able.drop("comp").join(comps, "doc_id")
     roots = graph.components(_links(led.where("comp = doc_id"), percent, f"{folder}/a"), f"{folder}/leaders").withColumnRenamed("node", "comp")
     merged = led.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
     last = graph.components(_links(merged, percent, f"{folder}/b"), f"{folder}/components").withColumnRenamed("node", "comp")
