@@ -200,6 +200,30 @@ def test_crc_of_pieces_and_merkle_subtrees(spark, monkeypatch):
     assert {(r["part"], r["n_documents"], r["n_tokens"], bytes(r["root"])) for r in got} == {(p, n, 2 * n, store.merkle([x for q, _, x in rows if q == p])) for p, n in enumerate((1, 3, 4, 5, 21))}
 
 
+def test_words_of_latin_letters_go_to_the_model_at_once(monkeypatch):
+    """Each letter, pairs of them and words of them get the library's ids; only other words take all its steps."""
+    import random
+
+    import pyarrow as pa
+
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100)]]
+    draw = random.Random(1)
+    words = [*letters, *(a + b for a in letters for b in letters), *("".join(draw.choices(letters, k=k)) for k in range(3, 40) for _ in range(20))]
+    others = ["e\u0301a", "l'été", "a×b", "İx", "ΑΣ", "한국어", "a\x01b", "x²", "naïve—word"]
+    texts = [" ".join(words), "", " ".join(others), *words[-200:], *others]
+    marked, plain = [], store.Encoder._marked
+
+    def seen(self, some):
+        marked.extend(some)
+        return plain(self, some)
+
+    monkeypatch.setattr(store.Encoder, "_marked", seen)
+    ids, begin = store.Encoder(WORDS).encode(pa.array(texts, pa.string()), store.END)
+    want = [[*x.ids, store.END] for x in Tokenizer.from_file(WORDS).encode_batch_fast(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(begin[:-1], begin[1:], strict=True)] == want
+    assert marked and not any(set(w) <= {*letters} - {*"×÷"} for w in marked)
+
+
 def test_words_one_by_one_are_the_whole_text():
     import random
 

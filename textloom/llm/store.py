@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,6 +39,8 @@ END = 2
 ROLLING, MEAN, LONGEST = 8, 256, 2048
 #: The text steps under which words can be encoded one by one.
 _BY_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of letters that each step of the tokenizer takes one by one: no two of them are composed, cut apart or lower-cased by their place.
+_LATIN = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+")
 #: Stands between words that are encoded together.
 _MARK = "\x01"
 #: Words whose ids a worker keeps; when there are more, it starts afresh.
@@ -76,14 +79,41 @@ class Encoder:
         self.special = {x["content"]: x["id"] for x in added}
         self.spelt = regex.compile("|".join(sorted(map(regex.escape, self.special), key=len, reverse=True))) if added else None
         self.mark = mark[0] if mark else -1
+        self.model = self.tokenizer.model
+        self.letters = self._letters(spec) if self.by_word else {}
         self._clear()
 
+    def _letters(self, spec: dict) -> dict[int, str]:
+        """What the steps before the model make of each letter of _LATIN; empty if there are steps that may look at more than one."""
+        inner = lambda x, names: x.get(names) or [x]
+        normal = [x for x in inner(spec["normalizer"], "normalizers") if x["type"] not in ("NFC", "Lowercase") and not (x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"})]
+        cut = [x for x in inner(spec["pre_tokenizer"], "pretokenizers") if not (x["type"] == "Split" and x["pattern"] == {"Regex": _BY_WORD}) and not (x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"])]
+        if normal or cut or spec["model"]["type"] != "BPE" or spec["model"].get("dropout"):
+            return {}
+        made = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chr(c))) for c in [*range(0x61, 0x7B), *range(0xC0, 0x100)] if _LATIN.match(chr(c))}
+        same = all(len(x) == 1 for x in made.values()) and all(made[c][0][0] == chr(c) for c in range(0x61, 0x7B))
+        return {c: x[0][0] for c, x in made.items()} if same else {}
+
     def _clear(self) -> None:
         self.keys, self.at, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.fresh: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of words, where each word's begin among them, and how many they are. The words are encoded as one text, a mark between them."""
+        """The ids of words, where each word's begin among them, and how many they are. Words of _LATIN are one piece each and go to the library's model at once; the others take all its steps."""
+        if not self.letters:
+            return self._marked(words)
+        plain = np.array([_LATIN.fullmatch(w) is not None for w in words], bool)
+        ids, at, n = np.zeros(0, np.int32), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        if not plain.all():
+            ids, at[~plain], n[~plain] = self._marked([words[i] for i in np.flatnonzero(~plain)])
+        tokenize = self.model.tokenize
+        got = [[t.id for t in tokenize(w if w.isascii() else w.translate(self.letters))] for w in (words[i] for i in np.flatnonzero(plain))]
+        n[plain] = size = np.array([len(x) for x in got], np.int64)
+        at[plain] = len(ids) + np.cumsum(size) - size
+        return np.concatenate([ids, np.array([x for g in got for x in g], np.int32)]), at, n
+
+    def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As _learn; the words are encoded as one text, a mark between them."""
         joined = f" {_MARK} ".join(w if _MARK not in w else "" for w in words)
         ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
         cut = np.flatnonzero(ids == self.mark)
