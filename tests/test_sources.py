@@ -4,6 +4,20 @@ from textloom import streaming
 from textloom.sources import files, sinks
 
 
+def test_chapters_are_files_of_one_folder(spark, tmp_path, monkeypatch):
+    """A file for each conversation, one folder for all; a table without rows or with one conversation gives as many."""
+    from textloom.plans import queries
+
+    for k in (0, 1, 40):
+        rows = [(i, turn, f"{i} says\n---\n{turn}") for i in range(k) for turn in range(3)]
+        spark.createDataFrame(rows, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/{k}/conversations.parquet")
+        folder = tmp_path / str(k) / "shared"
+        monkeypatch.setattr(queries.tables, "folder", lambda spark, name, at=folder: str(at))
+        got = {r["title"]: r["size"] for r in queries.chapters_read(spark, f"{tmp_path}/{k}").collect()}
+        assert got == {f"Talk {i}": sum(len(x) for c, _, x in rows if c == i) + 4 for i in range(k)}
+        assert not [x for x in folder.iterdir() if x.is_dir()] and len([x for x in folder.glob("part-*.txt") if x.stat().st_size]) == k
+
+
 def test_markdown_chapters(spark, tmp_path):
     (tmp_path / "b.md").write_text("<!-- x -->\n# Title\n\nfrom\n\n---\n\nbody\n\nmore")
     (tmp_path / "a.md").write_text("no rule")
