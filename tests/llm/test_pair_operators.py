@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from textloom.llm import decontaminate, fingerprints, graph, jaccard, linededup, queries
+from textloom.llm import common, decontaminate, fingerprints, graph, jaccard, linededup, queries, tokens
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -87,6 +89,23 @@ def test_near_copies_that_chains_link_are_no_pairs_of_leaders(spark, monkeypatch
     assert made[0] < len(rows)
 
 
+def test_shingles_of_a_block_are_made_in_steps():
+    """1.2 million words of 1,200 documents, two of which have the same words: beside the block's own arrays no large ones are held."""
+    draw = np.random.default_rng(5)
+    words = draw.integers(0, 50_000, 1_200_000).astype(np.uint32)
+    words[1000:2000] = words[:1000]
+    distinct = np.sort(common.mix(np.arange(50_000, dtype=np.uint64)))
+    packed = {"ids": np.arange(1200), "flags": np.zeros(1200, np.int8), "words": np.full(1200, 1000, np.uint32), "index": words}
+    row = {k: tokens.pack(v) for k, v in packed.items()} | {"distinct": tokens.pack_keys(distinct)}
+    tracemalloc.start()
+    ids, first, s = jaccard.shingles(row)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids.tolist() == list(range(1200)) and np.diff(first).tolist() == [996] * 1200
+    assert (s[:996] == s[996:1992]).all() and len(np.unique(s)) == 996 * 1199
+    assert peak < 60e6
+
+
 def test_rows_without_words_never_stand_for_a_text(spark):
     text = "a text of more than five words that must stay"
     rows = [(1, None), (1, text), (1, " \n"), (1, ""), (2, ""), (2, "another text of words with the same id " * 3), (3, text)]

@@ -35,6 +35,10 @@ WIDTH, PERCENT = 5, 75
 ORDERS = ((0, np.uint64(0x243F6A8885A308D3)), (2, np.uint64(0x13198A2E03707344)), (4, np.uint64(0xA4093822299F31D0)))
 #: Documents of one salted group, on average, and how many minimum hashes are looked at together.
 GROUP, HASHES = 64, 3
+#: Words or shingles of a block that are worked on at a time, about (a longer document is whole), and sets.
+STEP, SETS_STEP = 1 << 17, 256
+#: Sets that a Python worker gets at a time.
+BATCH = 1024
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -45,13 +49,19 @@ def linked(common_tokens: int, a: int, b: int, percent: int = PERCENT) -> bool:
     return 100 * common_tokens >= percent * (a + b - common_tokens)
 
 
-def shingles(row: dict, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's document ids, where each one's shingles begin, and the shingles: distinct in a document, sorted. A document with fewer words has its whole sequence as one."""
-    ids, _, first, distinct, index = tokens.read_block(row)
-    h = distinct[index]
-    n = np.diff(first)
+def _steps(first: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of documents that have about STEP entries together; first: where each one's begin, one more."""
+    at = 0
+    while at < len(first) - 1:
+        to = max(at + 1, int(np.searchsorted(first, first[at] + STEP, "right")) - 1)
+        yield at, to
+        at = to
+
+
+def _distinct(n: np.ndarray, h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct shingles each document has, of n words each, and the shingles."""
     per = np.where(n >= width, n - width + 1, np.minimum(n, 1))
-    begin = common.ragged(first[:-1], per)
+    begin = common.ragged(np.cumsum(n) - n, per)
     doc = np.repeat(np.arange(len(n)), per)
     size = np.minimum(n, width)[doc]
     out = size.astype(np.uint64)
@@ -62,8 +72,16 @@ def shingles(row: dict, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.
     doc, out = doc[order], out[order]
     keep = np.ones(len(out), bool)
     keep[1:] = (doc[1:] != doc[:-1]) | (out[1:] != out[:-1])
-    doc, out = doc[keep], out[keep]
-    return ids, np.searchsorted(doc, np.arange(len(ids) + 1)), out
+    return np.bincount(doc[keep], minlength=len(n)), out[keep]
+
+
+def shingles(row: dict, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's document ids, where each one's shingles begin, and the shingles: distinct in a document, sorted. A document with fewer words has its whole sequence as one."""
+    ids, _, first, distinct, index = tokens.read_block(row)
+    n = np.diff(first)
+    parts = [_distinct(n[a:b], distinct[index[first[a] : first[b]]], width) for a, b in _steps(first)]
+    sizes, out = (np.concatenate([np.zeros(0, kind), *(p[i] for p in parts)]) for i, kind in enumerate((np.int64, np.uint64)))
+    return ids, np.concatenate([[0], np.cumsum(sizes)]), out
 
 
 def _ask(row: dict, width: int, bits: int):
@@ -87,23 +105,28 @@ SETS = "doc_id long, n long, h1 long, h2 long, shared binary, df binary"
 def _sets(row: dict, answer: dict, width: int, bits: int, percent: int) -> pa.Table:
     ids, begin, s = shingles(row, width)
     _, inverse = np.unique(s >> np.uint64(64 - bits), return_inverse=True)
-    df = answer[0][0][inverse].astype(np.uint32) if len(s) else np.zeros(0, np.uint32)
-    n = np.diff(begin)
-    sums = [np.concatenate([[np.uint64(0)], np.cumsum(common.mix(s + np.uint64(c)), dtype=np.uint64)]) for c in (1, 2)]
-    h1, h2 = ((x[begin[1:]] - x[begin[:-1]]).view(np.int64) for x in sums)
-    shared, freq = [], []
-    common_so_far = np.concatenate([[0], np.cumsum(df > 1)])
-    alone = n - (common_so_far[begin[1:]] - common_so_far[begin[:-1]])
-    for i in range(len(ids)):
-        if n[i] and alone[i] < prefix_length(int(n[i]), percent):
-            part = slice(begin[i], begin[i + 1])
-            many = df[part] > 1
-            shared.append(s[part][many].tobytes())
-            freq.append(df[part][many].tobytes())
-        else:
-            shared.append(None)
-            freq.append(None)
-    return pa.table({"doc_id": ids, "n": n.astype(np.int64), "h1": h1, "h2": h2, "shared": pa.array(shared, pa.binary()), "df": pa.array(freq, pa.binary())})
+    totals = answer[0][0] if len(s) else np.zeros(0, np.uint64)
+    out = []
+    for a, b in _steps(begin):
+        at, part = begin[a : b + 1] - begin[a], s[begin[a] : begin[b]]
+        df = totals[inverse[begin[a] : begin[b]]].astype(np.uint32)
+        n = np.diff(at)
+        sums = (np.concatenate([[np.uint64(0)], np.cumsum(common.mix(part + np.uint64(c)), dtype=np.uint64)]) for c in (1, 2))
+        h1, h2 = ((x[at[1:]] - x[at[:-1]]).view(np.int64) for x in sums)
+        shared, freq = [], []
+        common_so_far = np.concatenate([[0], np.cumsum(df > 1)])
+        alone = n - (common_so_far[at[1:]] - common_so_far[at[:-1]])
+        for i in range(b - a):
+            if n[i] and alone[i] < prefix_length(int(n[i]), percent):
+                own = slice(at[i], at[i + 1])
+                many = df[own] > 1
+                shared.append(part[own][many].tobytes())
+                freq.append(df[own][many].tobytes())
+            else:
+                shared.append(None)
+                freq.append(None)
+        out.append(pa.table({"doc_id": ids[a:b], "n": n.astype(np.int64), "h1": h1, "h2": h2, "shared": pa.array(shared, pa.binary()), "df": pa.array(freq, pa.binary())}))
+    return pa.concat_tables(out)
 
 
 def _arrays(row: dict) -> tuple[np.ndarray, np.ndarray, int]:
@@ -117,7 +140,7 @@ def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
     """A row for each order and token of a prefix. left: how many of the set's tokens the order has from this one on; class: of two sets that can be linked, the larger one's is the same or the next."""
     step = np.log(105 / percent)
     for b in batches:
-        for rows in (b.slice(i, 256).to_pylist() for i in range(0, b.num_rows, 256)):
+        for rows in (b.slice(i, SETS_STEP).to_pylist() for i in range(0, b.num_rows, SETS_STEP)):
             sets = [_arrays(r) for r in rows]
             n = np.array([x[2] for x in sets], np.int64)
             known = {"doc_id": np.array([r["doc_id"] for r in rows], np.int64), "n": n, "comp": np.array([r["comp"] for r in rows], np.int64), "class": np.floor(np.log(n) / step).astype(np.int32)}
@@ -139,7 +162,7 @@ def _seed(i: int) -> np.uint64:
 
 def _least(batches: Iterator[pa.RecordBatch], first: int) -> Iterator[pa.RecordBatch]:
     """HASHES minimum hashes of each set's shared tokens, from the first-th on."""
-    for b in batches:
+    for b in (x.slice(i, SETS_STEP) for x in batches for i in range(0, x.num_rows, SETS_STEP)):
         sets = [np.frombuffer(x, np.uint64) for x in b.column("shared").to_pylist()]
         keys = [pa.array([int(common.mix(x ^ _seed(first + i)).min()) - (1 << 63) for x in sets], pa.int64()) for i in range(HASHES)]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), *keys], ["doc_id", *(f"k{i}" for i in range(HASHES))])
@@ -185,7 +208,7 @@ def _chains(group: pa.Table, percent: int) -> pa.Table:
 
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Those of the pairs with both sets that are linked."""
-    for b in batches:
+    for b in (x.slice(i, SETS_STEP) for x in batches for i in range(0, x.num_rows, SETS_STEP)):
         out = []
         for r in b.to_pylist():
             x, y = (np.frombuffer(r[k], np.uint64) for k in ("shared", "shared_b"))
@@ -219,12 +242,12 @@ def _candidates(post: DataFrame, percent: int) -> DataFrame:
 def _links(sets: DataFrame, percent: int, folder: str) -> DataFrame:
     """Links (a, b) between components, from all pairs of sets (doc_id, comp, n, shared, df) in different components that pass the filters."""
     spark = sets.sparkSession
-    post = common.written(sets.mapInArrow(common.tidy(partial(_postings, percent=percent)), POSTINGS), f"{folder}-postings", ZSTD)
+    post = common.written(sets.mapInArrow(common.tidy(partial(_postings, percent=percent)), POSTINGS), f"{folder}-postings", ZSTD, BATCH)
     pairs = common.written(_candidates(post, percent), f"{folder}-pairs")
     common.removed(spark, f"{folder}-postings")
     right = sets.select(*[F.col(c).alias("doc_b" if c == "doc_id" else c + "_b") for c in ("doc_id", "n", "shared", "comp")])
     both = pairs.join(sets.select("doc_id", "n", "shared", "comp"), "doc_id").join(right, "doc_b").drop("doc_id", "doc_b")
-    out = common.written(both.mapInArrow(common.tidy(partial(_verified, percent=percent)), "a long, b long").distinct(), f"{folder}-links")
+    out = common.written(both.mapInArrow(common.tidy(partial(_verified, percent=percent)), "a long, b long").distinct(), f"{folder}-links", batch=BATCH)
     common.removed(spark, f"{folder}-pairs")
     return out
 
@@ -244,7 +267,7 @@ def _led(able: DataFrame, percent: int, folder: str) -> tuple[DataFrame, DataFra
     members, keys, i = None, None, 0
     while True:
         if i % HASHES == 0:
-            keys = common.written(able.select("doc_id", "shared").mapInArrow(common.tidy(partial(_least, first=i)), f"doc_id long, {', '.join(f'k{k} long' for k in range(HASHES))}"), f"{folder}/keys{i}")
+            keys = common.written(able.select("doc_id", "shared").mapInArrow(common.tidy(partial(_least, first=i)), f"doc_id long, {', '.join(f'k{k} long' for k in range(HASHES))}"), f"{folder}/keys{i}", batch=BATCH)
         now = keys.select("doc_id", F.col(f"k{i % HASHES}").alias("key"))
         if members is not None:
             now = now.join(members.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")

@@ -32,6 +32,10 @@ from . import common
 
 #: Bytes of text in a block, and keys that a bucket adds up, about. Both bound the memory of a task.
 BLOCK_BYTES, BUCKET_KEYS = 6 << 20, 1 << 20
+#: Bytes of text whose words are hashed at a time; some 50 bytes of arrays go with each.
+SLICE_BYTES = 1 << 19
+#: Texts that a Python worker gets at a time.
+BATCH = 1024
 #: Leading bits of a key by which one step deals, and so the rows that a block sends at most.
 DIGIT = 8
 FAN = 1 << DIGIT
@@ -83,7 +87,7 @@ def blocks(rows: DataFrame, path: str) -> DataFrame:
             row = [TaskContext.get().partitionId() << 24 | made, kind, len(hashes), pack(ids), pack(flags), pack(counts), pack_keys(distinct), pack(index.astype(np.uint32))]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 5], strict=True)], ["block", "kind", "n", "ids", "flags", "words", "distinct", "index"])
 
-        for b in common.slices(batches, limit=BLOCK_BYTES // 2):
+        for b in common.slices(batches, limit=SLICE_BYTES):
             buf, off = common.utf8(b.column("text"))
             buf = common.lower(buf)
             starts, ends, first = common.word_spans(buf, off)
@@ -99,7 +103,7 @@ def blocks(rows: DataFrame, path: str) -> DataFrame:
         for kind in list(held):
             yield block(kind)
 
-    return common.written(rows.select("doc_id", "text", "kind", "flag").mapInArrow(common.tidy(run), BLOCKS), path, options={"compression": "zstd"})
+    return common.written(rows.select("doc_id", "text", "kind", "flag").mapInArrow(common.tidy(run), BLOCKS), path, {"compression": "zstd"}, BATCH)
 
 
 def read_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
