@@ -106,6 +106,29 @@ def test_shingles_of_a_block_are_made_in_steps():
     assert peak < 60e6
 
 
+def test_sets_are_not_dealt_again_for_a_join_by_id(spark, monkeypatch):
+    draw = random.Random(8)
+    rows = [(i, " ".join(draw.choices("abcdefghijkl", k=40))) for i in range(60)]
+    rows += [(i + 60, t + " z") for i, t in rows]
+    plans, plain = [], jaccard._links
+
+    def looked(sets, percent, folder):
+        plans.append(sets._jdf.queryExecution().executedPlan().toString())
+        return plain(sets, percent, folder)
+
+    monkeypatch.setattr(jaccard, "_links", looked)
+    monkeypatch.setattr(jaccard, "BUCKET_WORDS", (1 << 22, 1 << 10), raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute_components(rows)
+    assert len(plans) == 2 and all("Bucketed: true" in p and p.count("Exchange") == 1 for p in plans)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("textloom_")]
+
+
 def test_rows_without_words_never_stand_for_a_text(spark):
     text = "a text of more than five words that must stay"
     rows = [(1, None), (1, text), (1, " \n"), (1, ""), (2, ""), (2, "another text of words with the same id " * 3), (3, text)]

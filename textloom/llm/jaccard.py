@@ -39,6 +39,8 @@ GROUP, HASHES = 64, 3
 STEP, SETS_STEP = 1 << 17, 256
 #: Sets that a Python worker gets at a time.
 BATCH = 1024
+#: Words for each bucket of the table of sets, at most and at least, about.
+BUCKET_WORDS = 1 << 22, 1 << 16
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -273,7 +275,7 @@ def _led(able: DataFrame, percent: int, folder: str) -> tuple[DataFrame, DataFra
             now = now.join(members.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
         sizes = common.written(now.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), f"{folder}/sizes{i}")
         now = now.join(sizes, "key").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / GROUP))).drop("size")
-        stars = able.drop("comp").join(now, "doc_id").groupBy("key", "salt").applyInArrow(lambda g: _stars(g, percent), "doc_id long, comp long")
+        stars = able.join(now, "doc_id").groupBy("key", "salt").applyInArrow(lambda g: _stars(g, percent), "doc_id long, comp long")
         stars = common.written(stars, f"{folder}/stars{i}").select(F.col("doc_id").alias("a"), F.col("comp").alias("b"))
         members = stars if members is None else members.unionAll(stars)
         i += 1
@@ -301,7 +303,7 @@ def _chained(able: DataFrame, keys: DataFrame, comps: DataFrame, percent: int, f
         joined = 0
         if apart:
             salt = F.pmod(F.xxhash64("doc_id", F.lit(i)), F.ceil(F.col("size") / GROUP))
-            met = able.drop("comp").join(now.join(many, "key").select("doc_id", "comp", "key", salt.alias("salt")), "doc_id")
+            met = able.join(now.join(many, "key").select("doc_id", "comp", "key", salt.alias("salt")), "doc_id")
             links = common.written(met.groupBy("key", "salt").applyInArrow(lambda g: _chains(g, percent), "a long, b long").distinct(), f"{folder}/links{i}")
             roots = common.written(graph.components(links, f"{folder}/roots{i}"), f"{folder}/joined{i}").withColumnRenamed("node", "comp")
             joined = roots.count()
@@ -332,18 +334,21 @@ def join(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
 
     classes = sets.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     able = sets.where("shared is not null").join(classes.select("h1", "h2", F.col("rep").alias("doc_id")), ["doc_id", "h1", "h2"], "left_semi").dropDuplicates(["doc_id", "h1", "h2"])
-    able = common.written(able.drop("h1", "h2").withColumn("comp", F.col("doc_id")), f"{folder}/able", ZSTD)
+    # every step below joins these sets by their ids, so they are dealt by them once
+    most, least = BUCKET_WORDS
+    buckets = max(1, total // most, min(int(spark.conf.get("spark.sql.shuffle.partitions")), total // least))
+    able = common.bucketed(able.drop("h1", "h2"), f"{folder}/able", "doc_id", buckets, ZSTD)
     members, keys = _led(able, percent, folder)
     chains = graph.components(members, f"{folder}/chains").withColumnRenamed("node", "doc_id")
     comps = able.select("doc_id").distinct().join(chains, "doc_id", "left").select("doc_id", F.coalesce("root", "doc_id").alias("comp"))
     comps = _chained(able, keys, common.written(comps, f"{folder}/comps"), percent, f"{folder}/chained")
 
     # leaders with each other, then all documents of components that are still apart
-    led = able.drop("comp").join(comps, "doc_id")
-    roots = graph.components(_links(led.where("comp = doc_id"), percent, f"{folder}/a"), f"{folder}/leaders").withColumnRenamed("node", "comp")
-    merged = led.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
-    last = graph.components(_links(merged, percent, f"{folder}/b"), f"{folder}/components").withColumnRenamed("node", "comp")
-    member = merged.select("doc_id", "comp").join(last, "comp", "left").select(F.col("doc_id").alias("rep"), F.coalesce("root", "comp").alias("comp")).groupBy("rep").agg(F.min("comp").alias("comp"))
+    led = able.join(comps.where("comp = doc_id"), "doc_id")
+    roots = graph.components(_links(led, percent, f"{folder}/a"), f"{folder}/leaders").withColumnRenamed("node", "comp")
+    comps = common.written(comps.join(roots, "comp", "left").select("doc_id", F.coalesce("root", "comp").alias("comp")), f"{folder}/comps-led")
+    last = graph.components(_links(able.join(comps, "doc_id"), percent, f"{folder}/b"), f"{folder}/components").withColumnRenamed("node", "comp")
+    member = comps.join(last, "comp", "left").select(F.col("doc_id").alias("rep"), F.coalesce("root", "comp").alias("comp"))
     out = sets.select("doc_id", "n", "h1", "h2").join(classes.join(member, "rep", "left"), ["h1", "h2"], "left")
     real = lambda c: F.when(c != -(1 << 63), c)
     component = F.when(F.col("n") > 0, F.coalesce("comp", "rep")).otherwise(F.col("doc_id"))
