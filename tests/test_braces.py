@@ -1,8 +1,14 @@
 """Braces of tables against a plain reading of each table."""
 
 import random
+from pathlib import Path
 
-from textloom.operators import braces
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from textloom.operators import braces, bracerows
+from textloom.plans import pages
 
 PITCH = 4.0
 CELLS = "table int, row int, ord int, x double, kind string, height double, gap double, text string"
@@ -112,3 +118,57 @@ def test_tables_as_read_one_by_one(spark):
         open_rows |= {(t, r) for r, row in enumerate(rows) if row} - {(t, r) for g in gs for r in cover(g, gs)}
     assert got == sorted(want) and sum("'close'" in w for w in want) > 3
     assert {(r["table"], r["row"]) for r in braces.uncovered(cells, found).collect()} == open_rows
+
+
+def as_rows(cells):
+    cell = F.struct("x", "kind", "height", "gap", "text")
+    rows = cells.groupBy("table", "row").agg(F.array_sort(F.collect_list(F.struct("ord", cell.alias("c"))))["c"].alias("cells"))
+    # a null before and behind: no cells
+    return rows.withColumn("cells", F.concat(F.array(F.lit(None).cast("struct<x:double,kind:string,height:double,gap:double,text:string>")), "cells", F.array(F.lit(None))))
+
+
+def read_off(found):
+    columns = ["table", "id", "kind", "row", "ord", "x", "first", "n", "title", "title_row", "title_cell", "parent", "closed_by", "covered"]
+    assert found.columns == columns
+    return sorted(map(repr, found.collect()))
+
+
+@pytest.mark.parametrize("closers", [1, 6])
+def test_rows_of_whole_tables_give_the_same_groups(spark, monkeypatch, closers):
+    """In batches, in chunks and parts of few cells, and with larger tables put aside: always what the joined reading gives, nulls and several closing braces included."""
+    rng = random.Random(closers)
+    tables = {t: random_table(rng, t % 2 * closers) for t in range(60)}
+    cells = [[t, r, k, c["x"], c["kind"], c["height"], c["gap"], c["text"]] for t, rows in tables.items() for r, row in enumerate(rows) for k, c in enumerate(row)]
+    for c in cells[::7]:
+        c[rng.choice([5, 6, 7])] = None
+    for c in cells[::31]:
+        c[7] = rng.choice(["..\n", ".\n", "é.", " ", ""])
+    cells = spark.createDataFrame([*cells, [None, 0, 0, 1.0, None, 0.0, 0.0, "a"], [None, 0, 1, 2.0, "open", 0.0, 0.0, ""]], CELLS).repartition(3).cache()
+    want = read_off(braces.groups(braces.merged_leaders(cells), PITCH))
+    assert len(want) > 100 and sum("closed_by=None" not in w for w in want) > 0
+    rows = as_rows(cells).cache()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert read_off(braces.row_groups(rows, PITCH)) == want
+        assert read_off(braces.row_groups(rows, PITCH, most=20)) == want  # both ways
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    batch = pa.Table.from_batches(rows.where("table is not null").withColumn("n", F.lit(1)).orderBy("table").toArrow().to_batches()).combine_chunks().to_batches()[0]
+    whole = sorted(map(repr, pa.Table.from_batches(list(bracerows.reader(PITCH, 1)(iter([batch])))).to_pylist()))
+    monkeypatch.setattr(bracerows, "CHUNK", 9)
+    monkeypatch.setattr(bracerows, "PAIRS", 3)
+    assert sorted(map(repr, pa.Table.from_batches(list(bracerows.reader(PITCH, 1)(iter([batch.slice(0, 5), batch.slice(5)])))).to_pylist())) == whole and len(whole) == len(want)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no tables here")
+def test_orders_are_read_in_a_few_jobs(spark):
+    """table_groups shuffles its line items once; it took a job and a table for each step and level."""
+    spark.sparkContext.setJobGroup("table_groups", "")
+    try:
+        found = pages.table_groups(spark, "/root/testdata/sf0.001").collect()
+        assert len(found) > 1000 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("table_groups")) <= 8
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    cells = pages.order_rows(spark, "/root/testdata/sf0.001").select("table", "row", F.posexplode(F.array_compact("cells")).alias("ord", "c")).select("table", "row", "ord", "c.*")
+    want = braces.groups(braces.merged_leaders(cells), 4.0).withColumn("covered", F.array_join(F.col("covered").cast("array<string>"), ","))
+    assert sorted(map(repr, found)) == sorted(map(repr, want.select(*found[0].__fields__).collect()))

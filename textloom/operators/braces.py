@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import layout, tables
+from . import bracerows, layout, tables
 
 #: Kinds of cells: a brace that opens to the right, one that points up to the row above, one that closes, and leader dots; an ordinary cell has none.
 OPEN, UP, CLOSE, LEADER = "open", "up", "close", "leader"
 BRACES = (OPEN, UP, CLOSE)
+#: Cells of a table, with those left out, up to which it is read in one piece.
+MOST = 1 << 13
 
 
 def merged_leaders(cells: DataFrame) -> DataFrame:
@@ -95,6 +97,29 @@ def groups(cells: DataFrame, pitch: float) -> DataFrame:
     return d.drop("rows").join(deep, "id").select(*columns, "covered")
 
 
+def row_groups(rows: DataFrame, pitch: float, most: int = MOST) -> DataFrame:
+    """The same groups, from rows (table, row, cells: array of struct x, kind, height, gap, text; one that is null is no cell) whose leader dots are not put together yet.
+
+    Where the rows are dealt and sorted by table already, nothing is shuffled:
+    tables of up to most cells are read in Arrow batches of whole tables. Those
+    of larger ones are put aside, and go through merged_leaders and groups.
+    """
+    d = rows.where("table is not null").select("table", "row", "cells")
+    d = d.withColumn("_n", F.sum(F.size("cells")).over(Window.partitionBy("table")))
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("table", "cells")}
+    read = d.mapInArrow(bracerows.reader(pitch, most), f"table {kinds['table']}, {bracerows.TYPES}, large struct<row: int, cells: {kinds['cells']}>")
+    read = tables.written(read.withColumn("is_large", F.col("large").isNotNull()), f"{tables.folder(rows.sparkSession, 'brace_rows')}/read")
+    parent = F.when(F.col("parent_row").isNotNull(), _key("table", "parent_row", "parent_ord"))
+    found = read.where("not is_large").select(
+        "table", _key("table", "row", "ord").alias("id"), "kind", "row", "ord", "x", "first", "n", "title", "title_row", _key("title_row", "title_ord").alias("title_cell"), parent.alias("parent"), "closed_by", "covered"
+    )
+    large = read.where("is_large").select("table", "large.row", "large.cells")
+    if large.isEmpty():
+        return found
+    cells = large.select("table", "row", F.posexplode(F.array_compact("cells")).alias("ord", "c")).select("table", "row", "ord", "c.*")
+    return found.unionByName(groups(merged_leaders(cells), pitch))
+
+
 def uncovered(cells: DataFrame, found: DataFrame) -> DataFrame:
     """(table, row) of the rows with cells that no group covers."""
     have = found.select("table", F.explode("covered").alias("row"))

@@ -66,24 +66,24 @@ def braced_words(spark, sf):
     return d.select("doc_id", "rank", F.posexplode(T.emphasised_by_braces(text)).alias("nth", "e")).select("doc_id", "rank", (F.col("nth") + 1).cast("long").alias("nth"), "e.*")
 
 
-def order_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as tables, a row for each line item: flags with dots behind them, braces as high as quantities have it, and one that closes."""
+def order_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as tables, a row for each line item: flags with dots behind them, braces as high as quantities have it, and one that closes; null where a cell is left out."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     d = t(spark, sf, "lineitem").withColumn("n", F.row_number().over(w))  # numbers of line items are not unique in the tables
     n, q = F.col("n"), F.col("l_quantity").cast("int")
     cell = lambda when, x, kind, text, height=F.lit(0.0), gap=F.lit(0.0): F.when(when, F.struct(F.lit(float(x)).alias("x"), F.lit(kind).cast("string").alias("kind"), height.cast("double").alias("height"), gap.cast("double").alias("gap"), text.alias("text")))
     brace = lambda when, x, kind: cell(when, x, kind, F.lit(""), (q % 4) * 4, F.col("l_partkey") % 3 * 2 - 2)
     word, dot, always = F.concat("l_returnflag", n.cast("string")), F.lit("."), F.lit(True)
-    own = F.array_compact(F.array(
+    own = F.array(
         cell(always, 10, None, word), cell(q % 5 == 0, 12, None, dot), cell(q % 5 == 0, 14, None, dot), brace(n % 2 == 1, 20, braces.OPEN), cell(always, 30, None, F.col("l_linestatus")),
         brace(n % 3 == 2, 40, braces.OPEN), brace((n == 4) & (q % 2 == 0), 45, braces.UP), cell(always, 50, None, word), brace((n == 2) & (q % 2 == 0), 60, braces.CLOSE), cell(q % 3 > 0, 70, None, word),
-    ))
-    return d.select(F.col("l_orderkey").alias("table"), (n - 1).alias("row"), F.posexplode(own).alias("ord", "c")).select("table", "row", "ord", "c.*")
+    )
+    return d.select(F.col("l_orderkey").alias("table"), (n - 1).alias("row"), own.alias("cells"))
 
 
 @query()
 def table_groups(spark, sf):
-    found = braces.groups(braces.merged_leaders(order_cells(spark, sf)), 4.0)
+    found = braces.row_groups(order_rows(spark, sf), 4.0)
     return found.select("table", "row", "x", "kind", "title", "title_row", "parent", "closed_by", F.array_join(F.col("covered").cast("array<string>"), ",").alias("covered"))
 
 
